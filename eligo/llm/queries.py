@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from eligo.llm.bpe import op4_bpe_trie
+from eligo.llm.neardup import op5_near_duplicates
 from eligo.llm.packing import op7_best_fit_packing
 
 QUERIES = {
     "op4_bpe_trie": op4_bpe_trie,
+    "op5_near_duplicates": op5_near_duplicates,
     "op7_best_fit_packing": op7_best_fit_packing,
 }
 
