@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from eligo.llm.bpe import op4_bpe_trie
+from eligo.llm.fingerprints import op1_fingerprints
 from eligo.llm.neardup import op5_near_duplicates
 from eligo.llm.packing import op7_best_fit_packing
+from eligo.llm.quality import op2_quality_rules
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
+    "op2_quality_rules": op2_quality_rules,
     "op4_bpe_trie": op4_bpe_trie,
     "op5_near_duplicates": op5_near_duplicates,
     "op7_best_fit_packing": op7_best_fit_packing,
