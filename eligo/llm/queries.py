@@ -7,13 +7,39 @@ from eligo.llm.fingerprints import op1_fingerprints
 from eligo.llm.neardup import op5_near_duplicates
 from eligo.llm.packing import op7_best_fit_packing
 from eligo.llm.quality import op2_quality_rules
+from eligo.llm.urlfilter import op6_url_filter
+from eligo.llm.warc import op3_warc
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_quality_rules": op2_quality_rules,
+    "op3_warc": op3_warc,
     "op4_bpe_trie": op4_bpe_trie,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_url_filter": op6_url_filter,
     "op7_best_fit_packing": op7_best_fit_packing,
 }
 
-ORACLES: dict[str, str] = {}
+URL_PARTS = """
+    SELECT page_id,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages)
+"""
+
+ORACLES: dict[str, str] = {
+    "op6_url_filter": f"""
+WITH parts AS ({URL_PARTS}),
+rules(rule, rule_host, rule_path, rule_verdict) AS (VALUES
+    ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'), ('example.org/en/1', 'example.org', '/en/1', 'block'),
+    ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
+fits AS (
+    SELECT page_id, rule, rule_verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC) AS k
+    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+blocked(name) AS (VALUES ('adult-x.example.com'), ('ads-track.example.com'), ('casino-win.example.net'), ('cheap-pills.example.net'), ('free-bets.example.net'), ('spam-farm.example.org'))
+SELECT parts.page_id, host, path, rule,
+       CASE WHEN rule_verdict IS NOT NULL THEN rule_verdict
+            WHEN EXISTS (SELECT 1 FROM blocked WHERE host = name OR ends_with(host, '.' || name)) THEN 'block' ELSE 'allow' END AS verdict
+FROM parts LEFT JOIN (SELECT * FROM fits WHERE k = 1) AS f ON parts.page_id = f.page_id
+""",
+}
