@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from eligo.llm.bpe import op4_bpe_trie
+from eligo.llm.chat import ORACLE as CHAT_ORACLE
+from eligo.llm.chat import op10_chat_examples
 from eligo.llm.fingerprints import op1_fingerprints
 from eligo.llm.neardup import op5_near_duplicates
 from eligo.llm.packing import op7_best_fit_packing
 from eligo.llm.quality import op2_quality_rules
+from eligo.llm.toxicity import op8_toxicity
 from eligo.llm.urlfilter import op6_url_filter
 from eligo.llm.warc import op3_warc
 
@@ -18,6 +21,8 @@ QUERIES = {
     "op5_near_duplicates": op5_near_duplicates,
     "op6_url_filter": op6_url_filter,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_toxicity": op8_toxicity,
+    "op10_chat_examples": op10_chat_examples,
 }
 
 URL_PARTS = """
@@ -28,6 +33,7 @@ URL_PARTS = """
 """
 
 ORACLES: dict[str, str] = {
+    "op10_chat_examples": CHAT_ORACLE,
     "op6_url_filter": f"""
 WITH parts AS ({URL_PARTS}),
 rules(rule, rule_host, rule_path, rule_verdict) AS (VALUES
