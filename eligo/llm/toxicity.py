@@ -4,8 +4,9 @@ Grades 0 (clean) to 3 follow P(grade > j) = sigmoid(w x - t_j): one weight vecto
 x holds which sparse features a text has: its words and their first four and five letters, hashed. A document's
 severity is its expected grade, the sum of P(grade > j); it is toxic where that reaches a cut.
 
-The model is fitted on a bounded sample: ``sample_rows`` labelled rows of each class, those with the least hash of
-their key. Labels only say toxic or not, so toxic rows are graded 1 to 3 by thirds of how many of the features typical
+The model is fitted on a bounded sample: ``sample_rows`` toxic labelled rows and four times as many clean ones, those
+with the least hash of their key. Features enter if the sample shows by a likelihood ratio test that toxic rows have
+them more often. Labels only say toxic or not, so toxic rows are graded 1 to 3 by thirds of how many of the features typical
 of toxic rows they hold. Half of the sample fits the weights, the other half the cut: the one that loses least, a
 clean row flagged counting as ``clean_weight`` missed toxic ones; where several do, the middle between them.
 
@@ -80,16 +81,17 @@ def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int, rounds: int = 400
     above = grade[:, None] > np.arange(grades - 1)
     weight = (1 / np.maximum(1, np.bincount(grade, minlength=grades)))[grade]
     weight = (weight / weight.sum())[:, None]
+    x = x.astype(np.float32, copy=False)
     params = np.concatenate([np.zeros(k), [0.0], np.ones(grades - 2)])  # weights, first threshold, steps between thresholds
     first, second = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, rounds + 1):
         gaps = np.log1p(np.exp(params[k + 1 :]))
         t = params[k] + np.concatenate([[0.0], np.cumsum(gaps)])
-        p = 1 / (1 + np.exp(np.clip(t - (x @ params[:k])[:, None], -30, 30)))
+        p = 1 / (1 + np.exp(np.clip(t - (x @ params[:k].astype(np.float32)).astype(float)[:, None], -30, 30)))
         err = weight * (p - above)
         by_t = -err.sum(0)
         grad_gaps = np.cumsum(by_t[::-1])[::-1][1:] / (1 + np.exp(-params[k + 1 :]))
-        grad = np.concatenate([x.T @ err.sum(1) + ridge * params[:k], [by_t.sum()], grad_gaps])
+        grad = np.concatenate([x.T @ err.sum(1).astype(np.float32) + ridge * params[:k], [by_t.sum()], grad_gaps])
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
         params = params - 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
     gaps = np.log1p(np.exp(params[k + 1 :]))
@@ -111,7 +113,7 @@ def best_cut(severity: np.ndarray, toxic: np.ndarray, clean_weight: float) -> fl
 def sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
     """toxic and features of the sampled rows of ``docs`` (doc_id, text)."""
     named = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("key")).agg(F.max("toxic").alias("toxic"))
-    parts = [named.filter(F.col("toxic") == g).orderBy(F.xxhash64("key", F.lit(3)), "key").limit(sample_rows) for g in (0, 1)]
+    parts = [named.filter(F.col("toxic") == g).orderBy(F.xxhash64("key", F.lit(3)), "key").limit(n) for g, n in ((0, 4 * sample_rows), (1, sample_rows))]
     keys = F.broadcast(parts[0].unionAll(parts[1]))
 
     @arrow_udf("array<int>")
@@ -124,7 +126,7 @@ def sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
     return docs.join(keys, docs["doc_id"] == keys["key"]).select("key", "toxic", run("text").alias("features"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2_000, most_features: int = 3_000, clean_weight: float = 10.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2_000, most_features: int = 1_000, clean_weight: float = 10.0) -> Model:
     rows = sample(docs, labels, sample_rows).toArrow().sort_by("key")
     toxic = rows["toxic"].to_numpy() == 1
     if not toxic.any() or toxic.all() or len(toxic) < 20:
@@ -136,9 +138,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2_000, most_featu
     of_fit = half[owner]
     seen = [np.bincount(flat[of_fit & (toxic[owner] == g)], minlength=BUCKETS) for g in (False, True)]
     size = [max(1, int((half & (toxic == g)).sum())) for g in (False, True)]
-    odds = np.log((seen[1] + 0.5) / (size[1] + 1)) - np.log((seen[0] + 0.5) / (size[0] + 1))
-    telling = np.flatnonzero((seen[1] >= 4) & (odds > 1.5))
-    telling = np.sort(telling[np.argsort(-odds[telling] * np.sqrt(seen[1][telling]), kind="stable")][:most_features])
+    total = seen[0] + seen[1]
+    expected = [total * (n / sum(size)) for n in size]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = 2 * sum(np.where(o > 0, o * np.log(o / e), 0.0) for o, e in zip(seen, expected))
+    telling = np.flatnonzero((gain > 18) & (seen[1] > 3 * expected[1]))
+    telling = np.sort(telling[np.argsort(-gain[telling], kind="stable")][:most_features])
     if not len(telling):
         return Model({}, [], 1.0)
     at = np.searchsorted(telling, flat)
@@ -148,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2_000, most_featu
     held = x.sum(1)
     thirds = np.quantile(held[half & toxic], [1 / 3, 2 / 3])
     grade = np.where(toxic, 1 + (held > thirds[0]) + (held > thirds[1]), 0)
-    weights, thresholds = fit_ordinal(x[half].astype(float), grade[half], 4)
+    weights, thresholds = fit_ordinal(x[half], grade[half], 4)
     model = Model(dict(zip(telling.tolist(), weights.tolist())), thresholds.tolist(), 0.0)
     rest = ~half
     if toxic[rest].any() and not toxic[rest].all():
