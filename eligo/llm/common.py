@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +54,22 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def blocks(lengths: np.ndarray, most: int = 2_000_000):
+    """Ranges of rows that hold about ``most`` units of length each."""
+    at, held = 0, 0
+    for i, n in enumerate(lengths.tolist()):
+        held += n or 0
+        if held >= most:
+            yield at, i + 1
+            at, held = i + 1, 0
+    if at < len(lengths):
+        yield at, len(lengths)
+
+
+def byte_letters() -> dict[str, int]:
+    """The printable letter that stands for each byte in byte-level vocabularies, reversed."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}

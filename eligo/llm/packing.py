@@ -20,20 +20,29 @@ repeated rows are packed as often as they occur; an empty table gives no rows; e
 
 from __future__ import annotations
 
+import gc
 import os
+import re
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eligo.llm.common import checkpointed, table, text_of, tokenizer_path
+from eligo.llm.common import blocks, byte_letters, checkpointed, table, text_of, tokenizer_path
 
 #: Distinct words whose ids a Python worker remembers; past it the memory starts afresh.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
+
+
+#: Words whose pre-tokens can be counted without the tokenizer: printable Latin-1.
+PLAIN = re.compile("[!-~\xa1-\xff]+")
+#: The public word-level pre-tokenizer pattern (fixed value).
+PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
 class WordIds(dict):
@@ -41,34 +50,72 @@ class WordIds(dict):
 
     The tokenizer drops white space and no merge, normal form or added token reaches across it, so a text's ids are
     its words' ids in turn. Splitting is on ASCII white space alone; rarer kinds stay inside a word for the tokenizer.
+    New words of printable Latin-1, whose normal form is their lower case, are cut into pre-tokens here, and only new
+    pre-tokens are encoded, many to a text, by the same merges without the normaliser. Each ends with a token that
+    carries the end-of-word suffix, which tells them apart again. Other words are encoded whole, one by one.
     """
 
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        import regex
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.merges = Tokenizer.from_file(path)
+        self.merges.no_truncation()
+        self.merges.no_padding()
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.pretokens = regex.compile(PRETOKEN)
+        self.letters = {b: c for c, b in byte_letters().items()}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, bytes] = {}
+
+    def one_by_one(self, words: list[bytes]) -> None:
+        coded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        self.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(words, coded))
 
     def learn(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHE_WORDS:
             self.clear()
+            self.known.clear()
             new = list(words)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            coded = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-            self.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(part, coded))
-
-    def encode(self, text: str) -> bytes:
-        words = text.encode().split()
-        try:
-            return b"".join(map(self.__getitem__, words))
-        except KeyError:
-            self.learn(set(words))
-            return b"".join(map(self.__getitem__, words))
+        single, lone, plain, other, known = [], [], [], [], self.known
+        for w in new:
+            t = w.decode()
+            if PLAIN.fullmatch(t) and not ("<" in t and any(a in t for a in self.added)):
+                t = t.lower()
+                if t.isalpha():
+                    single.append(w)
+                    lone.append(t)
+                else:
+                    plain.append((w, self.pretokens.findall(t)))
+            else:
+                other.append(w)
+        for at in range(0, len(other), 4096):
+            self.one_by_one(other[at : at + 4096])
+        parts = [p for p in set(lone).union(*(cut for _, cut in plain)) if p not in known]
+        groups = [parts[at : at + 200] for at in range(0, len(parts), 200)]
+        as_letters = lambda p: p if p.isascii() else p.encode().decode("latin-1").translate(self.letters)
+        for group, e in zip(groups, self.merges.encode_batch_fast([" ".join(map(as_letters, g)) for g in groups], add_special_tokens=False)):
+            ids = np.asarray(e.ids, "<u4")
+            coded, stops = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            assert len(stops) == len(group)
+            known.update(zip(group, map(coded.__getitem__, map(slice, [0, *stops], stops))))
+        self.update(zip(single, map(known.__getitem__, lone)))
+        self.update((w, b"".join([known[p] for p in cut])) for w, cut in plain)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        cut = [t.encode().split() for t in texts]
+        self.learn(set().union(*cut))
+        return [b"".join(map(self.__getitem__, words)) for words in cut]
 
 
 @lru_cache(maxsize=2)
@@ -82,15 +129,15 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int
     schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long"
 
     def run(batches):
+        gc.disable()  # the memory has no cycles, and its many small objects make collections slow
         ids, end = word_ids(tokenizer), np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             keys, rows = batch.column(0), []
-            # words that the batch has and the memory lacks are learnt together, a few MB of text at a time
-            for at in range(0, batch.num_rows, 256):
-                texts = batch.column(1).slice(at, 256).to_pylist()
-                ids.learn(set(b" ".join(t.encode() for t in texts).split()))
-                for i, t in enumerate(texts, at):
-                    coded = ids.encode(t) + end
+            # a few MB of text at a time
+            for at, to in blocks(pa.compute.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)):
+                texts = batch.column(1).slice(at, to - at).to_pylist()
+                for i, coded in enumerate(ids.encode(texts), at):
+                    coded += end
                     for k, start in enumerate(range(0, len(coded), step)):
                         part = coded[start : start + step]
                         rows.append((i, k, start // 4, len(part) // 4, zlib.crc32(part)))
