@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from eligo.llm.bpe import op4_bpe_trie
 from eligo.llm.chat import ORACLE as CHAT_ORACLE
 from eligo.llm.chat import op10_chat_examples
 from eligo.llm.fingerprints import op1_fingerprints
+from eligo.llm.licenses import op9_license_scan
 from eligo.llm.neardup import op5_near_duplicates
 from eligo.llm.packing import op7_best_fit_packing
 from eligo.llm.quality import op2_quality_rules
@@ -22,7 +24,9 @@ QUERIES = {
     "op6_url_filter": op6_url_filter,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_toxicity": op8_toxicity,
+    "op9_license_scan": op9_license_scan,
     "op10_chat_examples": op10_chat_examples,
+    "pipeline": corpus_pipeline.run,
 }
 
 URL_PARTS = """
@@ -33,6 +37,7 @@ URL_PARTS = """
 """
 
 ORACLES: dict[str, str] = {
+    "op9_license_scan": op9_license_scan,
     "op10_chat_examples": CHAT_ORACLE,
     "op6_url_filter": f"""
 WITH parts AS ({URL_PARTS}),
