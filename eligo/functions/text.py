@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Line ends as Python's splitlines() knows them (fixed values).
-LINE_END = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+LINE_END = "\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+
+
+#: Decimal digits of other scripts, and what they mean.
+DIGITS = [chr(c) for c in range(128, 0x10000) if unicodedata.category(chr(c)) == "Nd"]
+MEANT = [str(unicodedata.decimal(c)) for c in DIGITS]
 
 
 def strip(text: Column) -> Column:
@@ -143,6 +149,6 @@ def parent_statements(docs: DataFrame, key: str = "doc_id", text: str = "text")
         F.min("pos").alias("pos"), F.max("section").alias("section"), F.max("number").alias("number"), F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("rows")
     )
     statement = strip(F.array_join(F.transform("rows", lambda r: r["line"]), "\n"))
-    parts = parts.filter("number is not null").select(key, "pos", "section", F.col("number").cast("int").alias("number"), statement.alias("statement")).filter("statement <> ''")
+    parts = parts.filter("number is not null").select(key, "pos", "section", F.translate("number", "".join(DIGITS), "".join(MEANT)).try_cast("int").alias("number"), statement.alias("statement")).filter("statement <> ''")
     seq = F.row_number().over(Window.partitionBy(key).orderBy("pos"))
     return parts.select(key, seq.alias("seq"), statement_id(F.col("section"), F.col("number")).alias("statement_id"), "section", "number", "statement")
