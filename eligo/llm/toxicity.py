@@ -126,7 +126,7 @@ def sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
     return docs.join(keys, docs["doc_id"] == keys["key"]).select("key", "toxic", run("text").alias("features"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2_000, most_features: int = 1_000, clean_weight: float = 10.0) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 1_500, most_features: int = 1_000, clean_weight: float = 10.0) -> Model:
     rows = sample(docs, labels, sample_rows).toArrow().sort_by("key")
     toxic = rows["toxic"].to_numpy() == 1
     if not toxic.any() or toxic.all() or len(toxic) < 20:
@@ -136,14 +136,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2_000, most_featu
     flat, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(toxic)), np.diff(ends))
     half = np.asarray([xxhash.xxh32_intdigest(str(k)) % 2 == 0 for k in rows["key"].to_pylist()])
     of_fit = half[owner]
-    seen = [np.bincount(flat[of_fit & (toxic[owner] == g)], minlength=BUCKETS) for g in (False, True)]
     size = [max(1, int((half & (toxic == g)).sum())) for g in (False, True)]
-    total = seen[0] + seen[1]
+    bad = np.bincount(flat[of_fit & toxic[owner]], minlength=BUCKETS)
+    some = np.flatnonzero(bad >= 4).astype(np.int32)
+    bad = bad[some].astype(float)
+    good = np.bincount(flat[of_fit & ~toxic[owner]], minlength=BUCKETS)[some].astype(float)
+    seen, total = (good, bad), good + bad
     expected = [total * (n / sum(size)) for n in size]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = 2 * sum(np.where(o > 0, o * np.log(o / e), 0.0) for o, e in zip(seen, expected))
-    telling = np.flatnonzero((gain > 18) & (seen[1] > 3 * expected[1]))
-    telling = np.sort(telling[np.argsort(-gain[telling], kind="stable")][:most_features])
+    gain = 2 * sum(np.where(o > 0, o * np.log(np.maximum(o, 1) / e), 0.0) for o, e in zip(seen, expected))
+    keep = np.flatnonzero((gain > 18) & (bad > 3 * expected[1]))
+    telling = np.sort(some[keep[np.argsort(-gain[keep], kind="stable")][:most_features]])
     if not len(telling):
         return Model({}, [], 1.0)
     at = np.searchsorted(telling, flat)
