@@ -11,6 +11,11 @@ probe sequence (optimal densification). Bins are taken in bands; equal bands put
    several groups, all pairs of members from different groups are confirmed too. After this no pair that shares a
    bucket is unverified unless its documents are in one group already.
 
+Before sets are read, pairs are dropped that cannot reach the similarity: a set's shingles fall into 1024 classes, and
+the parity of each class is kept. Where two sets differ in the parity of c classes, at least c shingles are in one of
+them only, which bounds their similarity from above. This loses no link, and it is tested inside the join on the
+buckets, so a large group of texts that are almost similar enough does not turn into a table of its pairs.
+
 With ``bands`` of ``rows`` bins a pair of similarity 0.8 shares no bucket with probability (1 - 0.8^6)^48 < 5e-7.
 
 Defined results: null and empty texts have an empty set and link with nothing; fewer words than a shingle are one
@@ -23,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eligo.llm.common import checkpointed, table, text_of
@@ -103,13 +108,28 @@ class Sketcher:
         return mixed((mixed(low) * self.weights).sum(axis=1, dtype=np.uint64) + self.salt).view(np.int64)
 
 
+PARITIES = 16  # longs of 64 classes
+
+
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """Parities of how many hashes each class has."""
+    odd = np.bincount((hashes & np.uint64(64 * PARITIES - 1)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
+def may_link(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) -> Column:
+    """False only for sets whose sizes or parities rule out ``percent`` similarity."""
+    apart = sum((F.bit_count(pa_[k].bitwiseXOR(pb[k])) for k in range(PARITIES)), F.lit(0))
+    return (100 + percent) * F.greatest(apart.cast("long"), F.abs(na - nb)) <= (100 - percent) * (na + nb)
+
+
 def sketches(docs: DataFrame, width: int, bands: int, rows: int, key: str, text: str) -> DataFrame:
-    """id, n (set size), d0 and d1 (digest of the set), keys (bucket of each band; none for an empty set)."""
+    """id, n (set size), d0 and d1 (digest of the set), p (parities), keys (bucket of each band; none for an empty set)."""
 
     def run(batches):
         sketcher = Sketcher(bands, rows)
         for batch in batches:
-            n, d0, d1, keys, sizes = [], [], [], [], [0]
+            n, d0, d1, odd, keys, sizes = [], [], [], [], [], [0]
             for at in range(0, batch.num_rows, 256):
                 for t in batch.column(1).slice(at, 256).to_pylist():
                     hashes = shingles(t, width)
@@ -117,14 +137,17 @@ def sketches(docs: DataFrame, width: int, bands: int, rows: int, key: str, text:
                     n.append(len(hashes))
                     d0.append((digest >> 64) - (1 << 63))
                     d1.append((digest & ((1 << 64) - 1)) - (1 << 63))
+                    odd.append(parities(hashes))
                     if len(hashes):
                         keys.append(sketcher.keys(hashes))
                     sizes.append(bands * len(keys))
             flat = np.concatenate(keys) if keys else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d0, pa.int64()), pa.array(d1, pa.int64()), lists], names=["id", "n", "d0", "d1", "keys"])
+            odd = np.concatenate(odd) if odd else np.empty(0, np.int64)
+            even = pa.ListArray.from_arrays(pa.array(range(0, len(odd) + 1, PARITIES), pa.int32()), pa.array(odd, pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d0, pa.int64()), pa.array(d1, pa.int64()), even, lists], names=["id", "n", "d0", "d1", "p", "keys"])
 
-    return docs.select(docs[key].cast("long").alias("id"), text_of(docs, text).alias("text")).mapInArrow(run, "id long, n long, d0 long, d1 long, keys array<long>")
+    return docs.select(docs[key].cast("long").alias("id"), text_of(docs, text).alias("text")).mapInArrow(run, "id long, n long, d0 long, d1 long, p array<long>, keys array<long>")
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -143,9 +166,10 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
 def confirmed(pairs: DataFrame, texts: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets have at least ``percent`` similarity.
 
-    A pair whose set sizes alone rule it out is dropped before any set is read."""
-    sized = pairs.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
-    sized = sized.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b")
+    A pair that sizes or parities rule out is dropped before any set is read."""
+    one, two = (sizes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("p").alias(f"p{x}")) for x in "ab")
+    sized = pairs.join(one, "a").join(two, "b")
+    sized = sized.filter(may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)).select("a", "b")
     sized = checkpointed(sized)
     wanted = sized.select(F.col("a").alias("id")).unionAll(sized.select(F.col("b").alias("id"))).distinct()
     sets = shingle_sets(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]), width)
@@ -167,7 +191,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     shared = checkpointed(banded.join(hubs, "key").select("key", "id", "hub"))
 
     texts = docs.select(docs[key].cast("long").alias("id"), text_of(docs, text).alias("text"))
-    sizes = some.select("id", "n").dropDuplicates(["id"])
+    sizes = some.select("id", "n", "p").dropDuplicates(["id"])
     stars = shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
     links = checkpointed(confirmed(stars, texts, sizes, width, percent))
     groups = checkpointed(components(links))
@@ -176,9 +200,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     named = shared.join(groups, "id", "left").select("key", "id", "hub", F.coalesce("component", "id").alias("component"))
     mixed_keys = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).filter("lo < hi and members > 2").select("key")
     left = named.join(mixed_keys, "key", "left_semi").join(sizes, "id").filter("id <> hub")
-    x, y = (left.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "component", "n"))) for s in "xy")
-    fits = (F.col("component_x") < F.col("component_y")) & (100 * F.least("n_x", "n_y") >= percent * F.greatest("n_x", "n_y"))
-    rest = x.join(y, "key").filter(fits).select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
+    x, y = (left.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "component", "n", "p"))) for s in "xy")
+    fits = (F.col("component_x") < F.col("component_y")) & may_link(F.col("n_x"), F.col("p_x"), F.col("n_y"), F.col("p_y"), percent)
+    rest = x.join(y, (x["key"] == y["key"]) & fits).select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
     more = checkpointed(confirmed(rest, texts, sizes, width, percent))
     if more.take(1):
         groups = checkpointed(components(links.unionAll(more)))
