@@ -71,3 +71,14 @@ def rebuilt(rule: Column, exclude: Column, flipped: Column, cohorts: Column) ->
 def collapsed(results: Column) -> Column:
     """Of several mapping results the first one's rule text and the last one's tree."""
     return F.struct(F.try_element_at(results, F.lit(1))["input_rule"].alias("input_rule"), F.try_element_at(results, F.lit(-1))["rule_tree"].alias("rule_tree"))
+
+
+def category_union(rows: DataFrame, categories: str, always: list[str]) -> DataFrame:
+    """One row: the distinct categories of all rows' lists and those that always apply, sorted."""
+    found = rows.select(F.explode(categories).alias("c")).agg(F.collect_set("c").alias("found"))
+    return found.select(F.sort_array(F.array_union("found", F.array(*map(F.lit, always)))).alias("categories"))
+
+
+def with_any(rows: DataFrame, column: str, wanted: list[str]) -> DataFrame:
+    """Rows whose list has any of ``wanted``."""
+    return rows.filter(F.arrays_overlap(column, F.array(*map(F.lit, wanted))))

@@ -142,3 +142,10 @@ def annotated(base: DataFrame, edits: DataFrame, keys: list[str], column: str) -
     """``base`` with a column (Notes, Checked) replaced by its latest edit; ``edits``: keys, version, column."""
     latest = edits.groupBy(*keys).agg(F.max_by(column, "version").alias("edited_"))
     return base.join(latest, keys, "left").withColumn(column, F.coalesce("edited_", column)).drop("edited_")
+
+
+def validated(edits: DataFrame, code: str = "OverrideCode") -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) edits: code that cannot be parsed is held back with its Error."""
+    tried = edits.withColumn("parsed_", parsed(F.col(code)))
+    wrong = F.col(code).isNotNull() & (F.col(code) != "") & F.col("parsed_.error").isNotNull()
+    return tried.filter(~wrong).drop("parsed_"), tried.filter(wrong).withColumn("Error", F.col("parsed_.error")).drop("parsed_")

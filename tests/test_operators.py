@@ -146,3 +146,15 @@ def test_flat_report(spark):
     data = [("P", "I-01", "INCLUSION", "r", "R"), (None, None, None, "s", "S")]
     got = [r["report"] for r in files.flat_report(spark.createDataFrame(data, "original_input_rule string, original_input_rule_id string, section string, input_rule string, rule_reformat string")).collect()]
     assert got[0].startswith("--- Parent [I-01] ---\nSection: INCLUSION\nOriginal text:\nP\n\nInput rule:\nr\n") and got[1] == "Input rule:\ns\nMapped rule:\nS\n\n"
+
+
+def test_small_operators(spark):
+    from eligo.functions.criteria import type_help
+
+    edits = spark.createDataFrame([(1, "Other"), (2, "Othe"), (3, None), (4, "")], "k int, OverrideCode string")
+    good, bad = review.validated(edits)
+    assert rows(good.select("k")) == [(1,), (3,), (4,)] and rows(bad.select("k")) == [(2,)]
+    lists = spark.createDataFrame([(["b", "a"],), (["c"],)], "c array<string>")
+    assert nesting.category_union(lists, "c", ["z"]).first()["categories"] == ["a", "b", "c", "z"]
+    assert nesting.with_any(lists, "c", ["a", "x"]).count() == 1
+    assert type_help({"treatment"}).startswith("PriorTreatment: treatment [number_of_prior_lines]")
