@@ -37,7 +37,6 @@ URL_PARTS = """
 """
 
 ORACLES: dict[str, str] = {
-    "op9_license_scan": op9_license_scan,
     "op10_chat_examples": CHAT_ORACLE,
     "op6_url_filter": f"""
 WITH parts AS ({URL_PARTS}),
