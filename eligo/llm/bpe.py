@@ -4,8 +4,10 @@ The last token of a word's prefix determines the encoding of that prefix: token
 ``p`` exactly if ``t`` is a suffix of ``p`` and the last token of the rest can stand before ``t`` without the two
 being merged across their border. So one state per trie node, its last token, holds the encoding of every prefix.
 The distinct words of a block of texts, sorted by bytes, are the trie in depth-first order: the walk keeps the states
-of the current path, drops those below the common prefix with the next word and computes each node once. Words are
-then read off backwards. Texts are joined from their words' ids; a worker remembers a bounded number of words.
+of the current path, drops those below the common prefix with the next word and computes each node once. Besides its
+last token a node has the longest suffix that begins some token, from which its candidates follow, longest first.
+Words are then read off backwards. Texts are joined from their words' ids; a worker remembers a bounded number of
+words.
 
 Defined results: null and empty texts have no ids and decode to the empty text; added tokens in a text keep their own
 id, as the tokenizer does by default; ids that form no valid UTF-8 decode with replacement characters.
@@ -13,17 +15,19 @@ id, as the tokenizer does by default; ids that form no valid UTF-8 decode with r
 
 from __future__ import annotations
 
+import gc
 import json
 import re
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from eligo.llm.common import table, text_of, tokenizer_path
+from eligo.llm.common import blocks, byte_letters, table, text_of, tokenizer_path
 
 #: White space as the pre-tokenizer's pattern understands it (fixed values).
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -32,14 +36,7 @@ PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + BLANK + r"\p{L}\p
 #: A coarser cut of a text that never parts a pre-token: runs with their leading space, and white space.
 UNIT = " ?[^" + BLANK + "]+|[" + BLANK + "]+(?![^" + BLANK + "])|[" + BLANK + "]+"
 #: Units whose ids a Python worker remembers.
-CACHE_UNITS = 400_000
-
-
-def byte_letters() -> dict[str, int]:
-    """The printable letter that stands for each byte in byte-level vocabularies, reversed."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+CACHE_UNITS = 700_000
 
 
 class TrieBpe:
@@ -65,20 +62,29 @@ class TrieBpe:
             self.merged[pair] = k
         by_bytes = {as_bytes(t): i for t, i in vocab.items()}
         self.ids = [by_bytes[t] for t in self.text]
-        self.longest = max(map(len, self.text))
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.out = {i: t for t, i in by_bytes.items()} | {i: c.encode() for c, i in self.added.items()}
         self.pretoken = regex.compile(PRETOKEN)
         self.unit = re.compile(UNIT)
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.memory: dict[str, bytes] = {}
-        self.joins: dict[tuple[int, int], bool] = {}
+        self.joins: dict[int, bool] = {}
+        self.packed = [i.to_bytes(4, "little") for i in self.ids]
         # a token counts only if its own bytes encode to it
         self.whole = [True] * len(self.text)
         for k in range(256, len(self.text)):
             a, b = self.parts[k]
             self.whole[k] = self.whole[a] and self.whole[b] and self.stands(a, b, k)
 
+        # beginnings of tokens, numbered; from one to the next by a byte; tokens that end each, filled as needed
+        self.begins: dict[bytes, int] = {b"": 0}
+        for t in self.text:
+            for n in range(1, len(t) + 1):
+                self.begins.setdefault(t[:n], len(self.begins))
+        self.begin_text = list(self.begins)
+        self.next: dict[int, int] = {}
+        self.ending: list[list[tuple[int, int]] | None] = [None] * len(self.begins)
+
     def stands(self, a: int, b: int, below: int) -> bool:
         """Whether no merge numbered under ``below`` joins the border between tokens ``a`` and ``b``.
 
@@ -96,36 +102,53 @@ class TrieBpe:
                 below, b = b + 1, self.parts[b][0]
 
     def meets(self, a: int, b: int) -> bool:
-        pair = (a, b)
-        known = self.joins.get(pair)
-        if known is None:
-            if len(self.joins) > 1_000_000:
-                self.joins.clear()
-            known = self.joins[pair] = self.stands(a, b, 1 << 30)
+        if len(self.joins) > 2_000_000:
+            self.joins.clear()
+        known = self.joins[a << 20 | b] = self.stands(a, b, 1 << 30)
         return known
 
+    def step(self, at: int, byte: int) -> int:
+        """The longest beginning of a token that ends beginning ``at`` followed by ``byte``."""
+        t = self.begin_text[at] + bytes([byte])
+        while t not in self.begins:
+            t = t[1:]
+        to = self.next[at << 8 | byte] = self.begins[t]
+        if self.ending[to] is None:
+            ends = (self.number.get(t[k:]) for k in range(len(t)))
+            self.ending[to] = [(k, len(self.text[k])) for k in ends if k is not None and self.whole[k]]
+        return to
+
     def walk(self, words: list[bytes]):
-        """(word, token numbers) for sorted distinct words: a depth-first walk of their trie."""
-        number, text, whole, longest, meets = self.number, self.text, self.whole, self.longest, self.meets
-        before, last = b"", [-1]
+        """(word, ids as bytes) for sorted distinct words: a depth-first walk of their trie."""
+        forward, ending, joins, text, packed = self.next.get, self.ending, self.joins.get, self.text, self.packed
+        before, last, state = b"", [-1], [0]
         for word in words:
             n = 0
             for x, y in zip(before, word):
                 if x != y:
                     break
                 n += 1
-            del last[n + 1 :]
-            for end in range(n + 1, len(word) + 1):
-                for start in range(max(0, end - longest), end):
-                    k = number.get(word[start:end])
-                    if k is not None and whole[k] and (start == 0 or meets(last[start], k)):
-                        last.append(k)
+            del last[n + 1 :], state[n + 1 :]
+            at = state[n]
+            for end, byte in enumerate(word[n:], n + 1):
+                to = forward(at << 8 | byte)
+                at = self.step(at, byte) if to is None else to
+                state.append(at)
+                for k, size in ending[at]:
+                    if size == end:
                         break
+                    a = last[end - size]
+                    met = joins(a << 20 | k)
+                    if self.meets(a, k) if met is None else met:
+                        break
+                last.append(k)
             before, at, tokens = word, len(word), []
             while at:
-                tokens.append(last[at])
-                at -= len(text[last[at]])
-            yield word, tokens[::-1]
+                k = last[at]
+                tokens.append(packed[k])
+                at -= len(text[k])
+            tokens.reverse()
+            yield word, b"".join(tokens)
 
     def learn(self, units: set[str]) -> None:
         memory = self.memory
@@ -133,21 +156,32 @@ class TrieBpe:
         if len(memory) + len(new) > CACHE_UNITS:
             memory.clear()
             new = list(units)
-        cut = [[p.encode() for p in self.pretoken.findall(u)] for u in new]
-        known = {w: np.asarray([self.ids[k] for k in tokens], "<i4").tobytes() for w, tokens in self.walk(sorted({w for c in cut for w in c}))}
-        memory.update((u, b"".join([known[w] for w in c])) for u, c in zip(new, cut))
+        whole, parted = [], []
+        for u in new:
+            if u.isalpha() or u[0] == " " and u[1:].isalpha():
+                whole.append((u, u.encode()))
+            else:
+                parted.append((u, [p.encode() for p in self.pretoken.findall(u)]))
+        known = dict(self.walk(sorted({w for _, w in whole}.union(*(c for _, c in parted)))))
+        memory.update((u, known[w]) for u, w in whole)
+        memory.update((u, b"".join([known[w] for w in c])) for u, c in parted)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        cut = []
-        for t in texts:
-            if self.special and self.special.search(t):
-                cut.append([x for k, part in enumerate(self.special.split(t)) for x in ([self.added[part]] if k % 2 else self.unit.findall(part))])
+        findall, special = self.unit.findall, self.special
+        cut, odd = [], {}
+        for i, t in enumerate(texts):
+            if special and special.search(t):
+                odd[i] = [self.added[part] if k % 2 else findall(part) for k, part in enumerate(special.split(t))]
+                cut.append([u for part in odd[i] if type(part) is list for u in part])
             else:
-                cut.append(self.unit.findall(t))
-        self.learn({u for c in cut for u in c if type(u) is str})
+                cut.append(findall(t))
+        self.learn(set().union(*cut))
         get = self.memory.__getitem__
-        return [b"".join(map(get, c)) if not c or not any(type(u) is int for u in c) else b"".join(np.asarray([u], "<i4").tobytes() if type(u) is int else get(u) for u in c) for c in cut]
+        out = [b"".join(map(get, c)) for c in cut]
+        for i, parts in odd.items():
+            out[i] = b"".join(p.to_bytes(4, "little") if type(p) is int else b"".join(map(get, p)) for p in parts)
+        return out
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.out.__getitem__, ids)).decode("utf-8", "replace")
@@ -158,24 +192,13 @@ def coder(path: str) -> TrieBpe:
     return TrieBpe(path)
 
 
-def blocks(lengths: np.ndarray, most: int = 2_000_000):
-    """Ranges of rows that hold about ``most`` units of length each."""
-    at, held = 0, 0
-    for i, n in enumerate(lengths.tolist()):
-        held += n or 0
-        if held >= most:
-            yield at, i + 1
-            at, held = i + 1, 0
-    if at < len(lengths):
-        yield at, len(lengths)
-
-
 def encode(text: Column, tokenizer: str | None = None) -> Column:
     """array<int> of the text's ids."""
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
 
     @arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
+        gc.disable()  # the memory has no cycles, and its many small objects make collections slow
         bpe, sizes, parts = coder(path), [0], []
         lengths = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         for at, to in blocks(lengths):
