@@ -41,6 +41,8 @@ RULES = (
 )
 #: Hosts that the block list names (fixed values).
 BLOCKED = ("adult-x.example.com", "ads-track.example.com", "casino-win.example.net", "cheap-pills.example.net", "free-bets.example.net", "spam-farm.example.org")
+#: The top-level domains of the given pages.
+TOPS = ("com", "net", "org")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FOUND = "struct<rule: string, verdict: string>"
 #: Codes of an entry: its list (rules first) and its verdict.
@@ -61,6 +63,11 @@ def entry_rows(spark: SparkSession, rules=RULES, blocked=BLOCKED) -> DataFrame:
     return spark.createDataFrame(rows, "host string, path string, origin string, verdict string")
 
 
+def under_tops(hosts=BLOCKED, tops=TOPS) -> tuple[str, ...]:
+    """``hosts`` under each of the top-level domains ``tops``: a block list that pins none."""
+    return tuple(sorted({f"{h.rpartition('.')[0]}.{t}" for h in hosts for t in tops}))
+
+
 def digest_file(entries: DataFrame, most_bytes: int = 256 << 20) -> str | None:
     """The name under which executors find the array of ``entries``; None if it would be larger than ``most_bytes``."""
     sized = entries.agg(F.count("*").alias("n"), F.sum(F.octet_length("host") + F.octet_length("path") + 24).alias("b")).first()
@@ -173,5 +180,6 @@ def judge_by_join(rows: DataFrame, entries: DataFrame) -> DataFrame:
     return out.select(*rows.columns, rule.alias("rule"), verdict.alias("verdict"))
 
 
-def op6_url_filter(spark, sf_dir) -> DataFrame:
-    return judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+def op6_url_filter(spark, sf_dir, entries: DataFrame | None = None) -> DataFrame:
+    """The verdicts of ``pages``; ``entries`` is any table like that of :func:`entry_rows`, by default the list that the SQL names."""
+    return judge(table(spark, sf_dir, "pages").select("page_id", "url"), entries=entries).select("page_id", "host", "path", "rule", "verdict")

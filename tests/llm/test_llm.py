@@ -278,6 +278,16 @@ def test_url_filter(spark):
     assert urlfilter.judge(df.limit(0)).count() == 0
 
 
+def test_url_list_as_a_table_pins_no_top_level_domain(spark, tmp_path):
+    names = [h.split(".")[0] for h in urlfilter.BLOCKED]
+    urls = [f"http://m.{n}.example.{t}/a" for n in names for t in ("com", "net", "org")]
+    clean = ["http://example.com/a", "http://m.xadult-x.example.com/a", "http://adult-x.com/a", "http://adult-x.example.com.x/a"]
+    frame(spark, list(enumerate(urls + clean)), "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    entries = urlfilter.entry_rows(spark, (), urlfilter.under_tops())
+    for got in (urlfilter.op6_url_filter(spark, str(tmp_path), entries), urlfilter.judge(spark.read.parquet(str(tmp_path / "pages.parquet")), entries=entries, most_bytes=1)):
+        assert {r["page_id"]: r["verdict"] for r in got.collect()} == {i: "block" if i < len(urls) else "allow" for i in range(len(urls + clean))}
+
+
 # -- 7 ---------------------------------------------------------------------------------------------------------------
 def test_packing(spark, awkward, empty):
     from tokenizers import Tokenizer
