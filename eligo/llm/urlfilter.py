@@ -166,11 +166,12 @@ def judge_by_join(rows: DataFrame, entries: DataFrame) -> DataFrame:
 
     A url's probes differ, so no key gathers many rows but by an entry that many urls fit; adaptive execution splits
     that one."""
-    lengths = [r[0] for r in entries.select(F.length("path")).distinct().limit(4096).collect()]
+    lengths = entries.select(F.length("path").alias("n")).distinct()
     labels = F.split("host", r"\.")
     tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
-    heads = F.transform(F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length("path")), lambda n: F.substring("path", F.lit(1), n))
-    pairs = rows.select("host", "path").distinct().filter("host <> ''").select("host", "path", F.explode(tails).alias("tail")).select("host", "path", "tail", F.explode(heads).alias("head"))
+    urls = rows.select("host", "path").distinct().filter("host <> ''")
+    cut = urls.select("host", "path", F.explode(F.sequence(F.lit(0), F.length("path"))).alias("n")).join(lengths, "n", "left_semi")
+    pairs = cut.select("host", "path", F.explode(tails).alias("tail"), F.substring("path", F.lit(1), F.col("n")).alias("head"))
     named = entries.select(F.col("host").alias("tail"), F.col("path").alias("head"), "origin", "verdict")
     rank = F.struct((F.col("origin") == "rule").alias("rule"), (F.length("tail") + F.length("head")).alias("n"), F.length("head").alias("p"), (F.col("verdict") == "allow").alias("allow"), F.concat("tail", "head").alias("entry"))
     best = pairs.join(named, ["tail", "head"]).groupBy("host", "path").agg(F.max(rank).alias("best"))

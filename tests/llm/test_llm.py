@@ -288,6 +288,14 @@ def test_url_list_as_a_table_pins_no_top_level_domain(spark, tmp_path):
         assert {r["page_id"]: r["verdict"] for r in got.collect()} == {i: "block" if i < len(urls) else "allow" for i in range(len(urls + clean))}
 
 
+def test_url_join_takes_every_path_length(spark):
+    entry = "repeat('x', cast(id as int))"
+    entries = spark.range(1, 8200).selectExpr("'a.org' as host", f"'/' || {entry} as path", "'rule' as origin", "'block' as verdict")
+    rows = spark.range(1, 13).selectExpr("id as page_id", "'http://a.org/' || repeat('x', cast(683 * id as int)) as url")
+    got = {r[0]: r[1] for r in urlfilter.judge(rows, entries=entries, most_bytes=1).selectExpr("page_id", "length(rule)").collect()}
+    assert got == {i: len("a.org/") + 683 * i for i in range(1, 13)}
+
+
 # -- 7 ---------------------------------------------------------------------------------------------------------------
 def test_packing(spark, awkward, empty):
     from tokenizers import Tokenizer
