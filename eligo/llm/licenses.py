@@ -5,7 +5,10 @@ Texts and templates are words (runs without ASCII white space, lower case, witho
 ``k + window - 1`` words that a text shares with a template shares a fingerprint with it. The templates' fingerprints
 are an inverted index, small and fixed, that each task holds. A fingerprint found in a text gives a template and a
 diagonal (place in the text minus place in the template); diagonals within ``band`` of each other are one candidate.
-A candidate is aligned: the longest chain of equal words within the band around its diagonal. Reported are candidates
+A notice of at most ``short`` words need not share such a run. Its fingerprints are single words: one more than may be
+missing, so a text that matches enough of it holds one of them in place.
+A candidate is aligned, unless too few of the template's words occur in its part of the text at all: the longest chain
+of equal words within the band around its diagonal. Reported are candidates
 that match at least ``least`` of the template's words; of overlapping ones the one with most words matched.
 
 Each text is scanned whole, in its task; nothing is gathered.
@@ -16,7 +19,9 @@ key are scanned like any other; only the key and text are read; an empty table g
 
 from __future__ import annotations
 
+import math
 import re
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +32,7 @@ from pyspark.sql import functions as F
 from eligo.llm.common import WORD, table, text_of
 
 #: Short public license notices (fixed values): license, template, text.
-TEMPLATES = (
+NOTICES = (
     ("MIT", "line", "Released under the MIT License."),
     ("MIT", "grant", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"),
     ("Apache-2.0", "line", "Licensed under the Apache License, Version 2.0."),
@@ -40,7 +45,13 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "line", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-4.0", "line", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "line", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("All-rights-reserved", "line", "All rights reserved."),
 )
+#: Public licenses whose whole texts are templates.
+BODIES = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "CC-BY-SA-4.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0")
+TEMPLATES = NOTICES + tuple((n, "body", (Path(__file__).parent / "license_texts" / f"{n}.txt").read_text("utf-8")) for n in BODIES)
+#: Function words, the last to stand for a short notice.
+COMMON = ("a", "all", "is", "of", "the", "this", "under", "work")
 MIX = np.uint64(0x9E3779B97F4A7C15)
 ENDS = re.compile(r"^\W+|\W+$")
 CACHE_WORDS = 400_000
@@ -80,12 +91,23 @@ def winnowed(h: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray
     return grams[places], places
 
 
-class Index:
-    """The templates' inverted index."""
+def needed(n: int, least: float) -> int:
+    """The least number of matched words that is a share ``least`` of ``n``."""
+    m = math.ceil(least * n)
+    return m if m - 1 < least * n else m - 1
 
-    def __init__(self, templates, k: int, window: int):
-        self.words = [word_hashes(text) for _, _, text in templates]
-        found = [(f, t, p) for t, h in enumerate(self.words) for f, p in zip(*winnowed(h, k, window))]
+
+def anchors(text: str, least: float) -> list[int]:
+    """Places of a short notice's words of which at least one is in every match: the longest, function words last."""
+    words = [ENDS.sub("", w.decode().lower()) for w in text.encode().split()]
+    missing = len(words) - needed(len(words), least)
+    return sorted(range(len(words)), key=lambda p: (words[p] in COMMON, -len(words[p]), p))[: missing + 1]
+
+
+class Prints:
+    """An inverted index: (print, template, place) in order."""
+
+    def __init__(self, found: list[tuple[int, int, int]]):
         found.sort()
         self.prints = np.asarray([f for f, _, _ in found], np.uint64)
         self.template = np.asarray([t for _, t, _ in found], np.int64)
@@ -97,10 +119,47 @@ class Index:
         return [(int(self.template[j]), int(places[i]) - int(self.place[j])) for i in np.flatnonzero(hi > lo) for j in range(lo[i], hi[i])]
 
 
+class Index:
+    """The templates' words, fingerprints of the long ones and anchors of the short ones."""
+
+    def __init__(self, templates, k: int, window: int, least: float, short: int):
+        self.k, self.window, self.least = k, window, least
+        self.words = [word_hashes(text) for _, _, text in templates]
+        self.needed = [needed(len(w), least) for w in self.words]
+        brief = [t for t, w in enumerate(self.words) if len(w) <= short]
+        self.long = Prints([(f, t, p) for t, h in enumerate(self.words) if t not in brief for f, p in zip(*winnowed(h, k, window))])
+        self.short = Prints([(self.words[t][p], t, p) for t in brief for p in anchors(templates[t][2], least)])
+
+    def hits(self, h: np.ndarray) -> list[tuple[int, int]]:
+        return self.long.hits(*winnowed(h, self.k, self.window)) + self.short.hits(h, np.arange(len(h)))
+
+
+def aligned_wide(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
+    """:func:`aligned` by whole rows, for wide bands; (matched, start, end) are the digits of one number."""
+    width, base, bits = high - low + 1, max(low, 0), 21
+    most, one = (1 << bits) - 1, 1 << 2 * bits
+    at = np.arange(low, high + len(template))
+    inside = (at >= 0) & (at < len(text))
+    row, at = np.zeros(width + 1, np.int64), at - base
+    for i, w in enumerate(template):
+        c = np.flatnonzero(inside[i : i + width])
+        c = c[text[c + (i + low)] == w]
+        j, now = at[c + i], row[1:].copy()
+        grown = np.where(row[c] > 0, (row[c] & ~most) + one, one + ((most - j) << bits)) + (most - j - 1)
+        now[c] = np.maximum(now[c], grown)
+        np.maximum.accumulate(now, out=row[:-1])
+    best = int(row.max())
+    if not best:
+        return 0, 0, 0
+    return best >> 2 * bits, base + most - (best >> bits & most), base + most - (best & most)
+
+
 def aligned(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
     """(matched words, first word, word after the last) of the longest chain of equal words, of template word i with
     text words i + low to i + high. Ties go to the shorter, then the earlier span."""
     width = high - low + 1
+    if width > 64 and width + len(template) < 1 << 21:
+        return aligned_wide(template, text, low, high)
     none = (0, 0, 0)  # matched, minus start, minus end: larger is better
     row = [none] * width
     for i, w in enumerate(template.tolist()):
@@ -117,46 +176,51 @@ def aligned(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tupl
     return m, -start, -end
 
 
-def matches(text: str, index: Index, names, k: int, window: int, band: int, least: float) -> list[tuple]:
-    """(license, template, matched, coverage, start, end) of a text, in order; start and end in code points."""
-    h = word_hashes(text)
-    hits = index.hits(*winnowed(h, k, window))
-    if not hits:
-        return []
-    candidates, groups = [], {}
-    for t, d in sorted(set(hits)):
+def candidates(h: np.ndarray, index: Index, band: int) -> list[tuple]:
+    """(matched, coverage, first word, word after the last, template) of all candidates that match enough."""
+    found, groups = [], {}
+    for t, d in sorted(set(index.hits(h))):
         groups.setdefault(t, []).append(d)
     for t, diagonals in groups.items():
+        words, need = index.words[t], index.needed[t]
         low = high = diagonals[0]
         for d in [*diagonals[1:], None]:
             if d is not None and d - high <= band:
                 high = d
                 continue
-            m, start, end = aligned(index.words[t], h, low - band, high + band)
-            if m >= least * len(index.words[t]):
-                candidates.append((m, m / len(index.words[t]), start, end, t))
+            part = h[max(low - band, 0) : high + band + len(words)]
+            if len(part) >= need and np.count_nonzero(np.isin(words, part)) >= need:
+                m, start, end = aligned(words, h, low - band, high + band)
+                if m >= need:
+                    found.append((m, m / len(words), start, end, t))
             low = high = d
-    if not candidates:
+    return found
+
+
+def matches(text: str, index: Index, names, band: int) -> list[tuple]:
+    """(license, template, matched, coverage, start, end) of a text, in order; start and end in code points."""
+    found = candidates(word_hashes(text), index, band)
+    if not found:
         return []
     spans = [x.span() for x in re.finditer(WORD, text)]
     out, taken = [], []
-    for m, share, start, end, t in sorted(candidates, key=lambda c: (-c[0], -c[1], c[2], c[4])):
+    for m, share, start, end, t in sorted(found, key=lambda c: (-c[0], -c[1], c[2], c[4])):
         if all(end <= a or start >= b for a, b in taken):
             taken.append((start, end))
             out.append((names[t][0], names[t][1], m, share, spans[start][0], spans[end - 1][1]))
     return sorted(out, key=lambda x: x[4])
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, k: int = 3, window: int = 2, band: int = 8, least: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, templates=TEMPLATES, k: int = 3, window: int = 2, band: int = 8, least: float = 0.8, short: int = 15, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per match: key, license, template, matched_words, coverage, start, end."""
 
     def run(batches):
-        index = Index(templates, k, window)
+        index = Index(templates, k, window, least, short)
         for batch in batches:
             rows = []
             for at in range(0, batch.num_rows, 256):
                 for i, t in enumerate(batch.column(1).slice(at, 256).to_pylist(), at):
-                    rows += [(i, *m) for m in matches(t, index, templates, k, window, band, least)]
+                    rows += [(i, *m) for m in matches(t, index, templates, band)]
             columns = list(zip(*rows)) or [()] * 7
             types = [pa.string(), pa.string(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(columns[0], pa.int64())), *(pa.array(c, t) for c, t in zip(columns[1:], types))], names=[key, "license", "template", "matched_words", "coverage", "start", "end"])

@@ -401,6 +401,51 @@ def test_license_scan(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_license_candidates_miss_no_variant():
+    index = licenses.Index(licenses.TEMPLATES, 3, 2, 0.8, 15)
+    rng, texts = random.Random(7), ["Released under an MIT License.", "All rights reserved.", "released x under y the z mit w license"]
+    for _, kind, text in licenses.TEMPLATES:
+        cut = text.split()
+        for _ in range(12 if kind != "body" else 1):
+            lost = set(rng.sample(range(len(cut)), len(cut) // 5))
+            texts.append(words(9, 1) + " " + " ".join(w if p not in lost else rng.choice(["", "qq"]) for p, w in enumerate(cut)) + " " + words(9, 2))
+    checked = set()
+    for text in texts:
+        h = licenses.word_hashes(text)
+        got = {t for *_, t in licenses.candidates(h, index, 8)}
+        for t, w in enumerate(index.words):
+            # brute force: the band around the place where the template would begin if nothing were lost before it
+            if len(w) <= 700 and any(licenses.aligned(w, h, d - 8, d + 8)[0] >= 0.8 * len(w) for d in range(-8, min(len(h), 60), 4)):
+                checked.add(t)
+                assert t in got, (licenses.TEMPLATES[t][:2], text)
+    assert checked >= {t for t, (_, kind, _) in enumerate(licenses.TEMPLATES) if kind != "body"}
+
+
+def test_wide_alignment_equals_the_row_by_row_one():
+    rng = np.random.default_rng(5)
+    cases = [(rng.integers(0, 9, 30).astype(np.uint64), rng.integers(0, 9, n).astype(np.uint64), low) for n in (0, 5, 40, 90) for low in (-70, -20, 0, 15)]
+    wide = [licenses.aligned_wide(a, b, low, low + 80) for a, b, low in cases]
+    for (a, b, low), got in zip(cases, wide):
+        none, row = (0, 0, 0), [(0, 0, 0)] * 81
+        for i, w in enumerate(a.tolist()):
+            now, left = [], none
+            for c in range(81):
+                j, best = i + low + c, max(row[c + 1] if c < 80 else none, left)
+                if 0 <= j < len(b) and int(b[j]) == w:
+                    best = max(best, (row[c][0] + 1, row[c][1] if row[c][0] else -j, -(j + 1)))
+                now.append(left := best)
+            row = now
+        assert got == (max(row)[0], -max(row)[1], -max(row)[2])
+
+
+def test_license_bodies_and_reserved_rights(spark):
+    body = {n: t for n, kind, t in licenses.TEMPLATES if kind == "body"}
+    rows = [(1, "(c) 2020 x. All rights reserved. " + words(20, 1)), (2, "Released under an MIT License."), *((10 + k, words(30, k) + " " + t) for k, t in enumerate(body.values()))]
+    got = Counter((r["doc_id"], r["license"], r["template"]) for r in licenses.scan(frame(spark, rows)).collect())
+    assert got[1, "All-rights-reserved", "line"] == got[2, "MIT", "line"] == 1
+    assert all(got[10 + k, n, "body"] == 1 for k, n in enumerate(body))
+
+
 # -- 10 --------------------------------------------------------------------------------------------------------------
 def test_chat_examples(spark):
     rng = random.Random(4)
