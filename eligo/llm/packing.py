@@ -21,6 +21,7 @@ repeated rows are packed as often as they occur; an empty table gives no rows; e
 from __future__ import annotations
 
 import gc
+import heapq
 import os
 import re
 import zlib
@@ -174,70 +175,103 @@ def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], lengths: np.ndarray, size: int, effort: int = 200) -> list[list[int]]:
+class Rooms:
+    """Bins by what they hold: for each piece length (0: any bin) the largest room of an active bin with such a piece."""
+
+    def __init__(self, size: int):
+        self.most = np.zeros(size + 1, np.int64)
+        self.heaps: list[list[tuple[int, int, int]]] = [[] for _ in range(size + 1)]
+        self.version: dict[int, int] = {}  # of active bins; entries of other versions are dead
+
+    def add(self, k: int, room: int, lengths: set[int], version: int) -> None:
+        self.version[k] = version
+        for y in (0, *lengths):
+            heapq.heappush(self.heaps[y], (-room, k, version))
+            if room > self.most[y]:
+                self.most[y] = room
+
+    def remove(self, k: int, lengths: set[int]) -> None:
+        del self.version[k]
+        for y in (0, *lengths):
+            heap = self.heaps[y]
+            while heap and self.version.get(heap[0][1]) != heap[0][2]:
+                heapq.heappop(heap)
+            self.most[y] = -heap[0][0] if heap else 0
+
+    def best(self, totals: np.ndarray) -> tuple[int, int, int] | None:
+        """(gain, total, length taken back) of the exchange that moves most, for sorted ``totals`` that can be given."""
+        ys = np.flatnonzero(self.most)
+        at = np.searchsorted(totals, ys + self.most[ys], "right") - 1
+        gain = np.where(at >= 0, totals[at] - ys, 0)
+        if not len(gain) or gain.max() <= 0:
+            return None
+        c = int(gain.argmax())
+        return int(gain[c]), int(totals[at[c]]), int(ys[c])
+
+
+def improve(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[list[int]]:
     """Local search on the underfull bins: moves, one-for-one and two-for-one exchanges that raise the sum of
-    squared fills, until no bin more than needed is left or no exchange helps. ``effort`` bounds the search, not
-    what is packed: so many bins are worked on, emptiest first, each against so many partners, fullest first."""
+    squared fills, until no bin more than needed is left or no exchange helps.
+
+    A sweep takes the bins emptiest first. A bin gives to bins that are at least as full until it is empty or no
+    exchange is left, then rests; the last sweep is one without any exchange."""
     need = -(-int(lengths.sum()) // size)
     n = lengths.tolist()
     fill = [sum(n[i] for i in b) for b in bins]
     alive = sum(1 for b in bins if b)
-    stuck: set[int] = set()
-    works = 0
-    while alive > need and works < effort:
-        works += 1
-        open_bins = [k for k in range(len(bins)) if bins[k] and fill[k] < size]
-        tries = [k for k in open_bins if k not in stuck]
-        if not tries:
-            break
-        source = min(tries, key=lambda k: (fill[k], k))
-        others = sorted((k for k in open_bins if k != source and fill[k] >= fill[source]), key=lambda k: -fill[k])[:effort]
-        moved = False
-        for k in others:
-            if step(bins, fill, n, source, k, size):
-                moved = True
-                if not bins[source]:
-                    break
-        if moved:
-            stuck.clear()
-        else:
-            stuck.add(source)
-        if not bins[source]:
-            alive -= 1
+    version = 0
+    moved = True
+    while alive > need and moved:
+        moved, rooms, queue = False, Rooms(size), []
+        held = {k: {n[i] for i in b} for k, b in enumerate(bins) if b and fill[k] < size}
+        for k in held:
+            rooms.add(k, size - fill[k], held[k], version)
+            queue.append((fill[k], k))
+        heapq.heapify(queue)
+        while queue and alive > need:
+            was, a = heapq.heappop(queue)
+            if a not in rooms.version or was != fill[a]:
+                continue
+            rooms.remove(a, held[a])
+            while bins[a] and (found := rooms.best(totals_of(bins[a], n))):
+                gain, total, taken = found
+                b = rooms.heaps[taken][0][1]
+                rooms.remove(b, held[b])
+                exchange(bins, n, a, b, total, taken)
+                fill[b] += gain
+                fill[a] -= gain
+                moved, version = True, version + 1
+                if fill[b] < size:
+                    held[b] = {n[i] for i in bins[b]}
+                    rooms.add(b, size - fill[b], held[b], version)
+                    heapq.heappush(queue, (fill[b], b))
+            alive -= not bins[a]
     return [b for b in bins if b]
 
 
-def step(bins: list[list[int]], fill: list[int], n: list[int], a: int, b: int, size: int) -> bool:
-    """The largest gain that moves tokens from the emptier bin ``a`` to the fuller bin ``b``: a move, then an
-    exchange of one or two pieces of ``a`` for one shorter piece of ``b``."""
-    room = size - fill[b]
-    by_len: dict[int, int] = {}
-    for i in bins[b]:
-        by_len.setdefault(n[i], i)
-    best: tuple[int, tuple[int, ...], int | None] = (0, (), None)
-    source = sorted(bins[a], key=lambda i: -n[i])
-    for i in source:
-        if n[i] <= room and n[i] > best[0]:
-            best = (n[i], (i,), None)
-    if best[0] < room:
-        distinct = list({n[i]: i for i in source}.items())
-        twos = [(x + y, (i, j)) for p, (x, i) in enumerate(distinct) for y, j in distinct[p + 1 :]]
-        for total, given in [(x, (i,)) for x, i in distinct] + twos:
-            for y, j in by_len.items():
-                if best[0] < total - y <= room:
-                    best = (total - y, given, j)
-    gain, given, taken = best
-    if not gain:
-        return False
+def totals_of(members: list[int], n: list[int]) -> np.ndarray:
+    """The sums of one and of two of a bin's pieces, in order, each once."""
+    kinds, count = np.unique([n[i] for i in members], return_counts=True)
+    twos = kinds[:, None] + kinds[None, :]
+    return np.unique(np.concatenate([kinds, twos[np.triu_indices(len(kinds), 1)], 2 * kinds[count > 1]]))
+
+
+def exchange(bins: list[list[int]], n: list[int], a: int, b: int, total: int, taken: int) -> None:
+    """One or two pieces of ``a`` that sum to ``total`` go to ``b``, for a piece of length ``taken`` (0: none) of it."""
+    by_len: dict[int, list[int]] = {}
+    for i in bins[a]:
+        by_len.setdefault(n[i], []).append(i)
+    if total in by_len:
+        given = by_len[total][:1]
+    else:
+        given = next([own[0], other[-1]] for x, own in by_len.items() if (other := by_len.get(total - x)) and (other is not own or len(own) > 1))
+    back = [next(i for i in bins[b] if n[i] == taken)] if taken else []
     for i in given:
         bins[a].remove(i)
-        bins[b].append(i)
-    if taken is not None:
-        bins[b].remove(taken)
-        bins[a].append(taken)
-    fill[b] += gain
-    fill[a] -= gain
-    return True
+    for i in back:
+        bins[b].remove(i)
+    bins[a] += back
+    bins[b] += given
 
 
 def pack(rows: DataFrame, max_tokens: int = 4096, group_rows: int = 60_000, keys: tuple[str, ...] = ("doc_id", "piece"), length: str = "length") -> DataFrame:

@@ -337,6 +337,16 @@ def test_local_search_improves_and_loses_nothing():
     assert better
 
 
+def test_local_search_saves_hundreds_of_bins():
+    e, n = 20, 500
+    half, quarter = 2048, 1024
+    lengths = np.repeat([half + e, quarter + 2 * e, quarter + e, quarter - 2 * e], [6 * n, 6 * n, 6 * n, 12 * n])
+    before = packing.best_fit(lengths, 4096)
+    after = packing.improve([list(b) for b in before], lengths, 4096)
+    assert sorted(i for b in after for i in b) == list(range(len(lengths))) and all(lengths[b].sum() <= 4096 for b in after)
+    assert len(before) == 11 * n and len(before) - len(after) > 200
+
+
 # -- 8 ---------------------------------------------------------------------------------------------------------------
 def test_toxicity_on_held_out_rows(spark, empty):
     rng = random.Random(9)
