@@ -1,8 +1,8 @@
 """Best-fit packing of documents into sequences, improved by swap-based local search.
 
 A document's tokens (and an end token) are cut into pieces of at most ``max_tokens``; only longer documents are
-cut. Full pieces are sequences of their own. The others are dealt by a hash of their key into groups of about
-``group_rows`` pieces, so a task holds a bounded number of (key, length) rows however large the corpus is, and
+cut. Full pieces are sequences of their own. The others are dealt by a hash of their row into groups of about
+``group_rows`` pieces, also those that share one key, so a task holds a bounded number of (key, length) rows however large the corpus is, and
 each group is packed on its own:
 
 1. best fit in descending length, then
@@ -294,8 +294,9 @@ def pack(rows: DataFrame, max_tokens: int = 4096, group_rows: int = 60_000, keys
                 at += int(n[i])
         return frame.iloc[order].assign(sequence_id=np.asarray(sequence, "int64"), offset=np.asarray(offset, "int64"))
 
-    group = F.pmod(F.xxhash64(*(F.col(k) for k in keys)), F.lit(groups)).cast("int")
-    short = rows.select(*names).filter(F.col(length) < max_tokens).withColumn("pack_group", group)
+    # the row number of the checkpointed rows parts those that are equal in every column
+    group = F.pmod(F.xxhash64(*names, "row"), F.lit(groups)).cast("int")
+    short = rows.select(*names, F.monotonically_increasing_id().alias("row")).filter(F.col(length) < max_tokens).select(*names, group.alias("pack_group"))
     packed = short.groupBy("pack_group").applyInPandas(one, schema)
     # a full piece is a sequence of its own; ids below zero cannot meet those of the groups
     full = rows.select(*names).filter(F.col(length) >= max_tokens)

@@ -347,6 +347,13 @@ def test_local_search_saves_hundreds_of_bins():
     assert len(before) == 11 * n and len(before) - len(after) > 200
 
 
+def test_packing_deals_rows_of_one_key_to_many_groups(spark):
+    rows = spark.range(0, 2000, 1, 4).selectExpr("cast(null as long) as doc_id", "0 as piece", "10L as length")
+    got = packing.pack(packing.checkpointed(rows), 4096, group_rows=100).collect()
+    groups = Counter(r["sequence_id"] >> 32 for r in got)
+    assert len(got) == 2000 and len(groups) == 20 and max(groups.values()) < 200
+
+
 # -- 8 ---------------------------------------------------------------------------------------------------------------
 def test_toxicity_on_held_out_rows(spark, empty):
     rng = random.Random(9)
