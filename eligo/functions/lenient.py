@@ -9,6 +9,7 @@ import ast
 import json
 import operator
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -38,6 +39,11 @@ def arithmetic(text: str):
         raise ValueError(f"no arithmetic: {text}") from e
 
 
+@lru_cache(maxsize=256)
+def token(pattern: str) -> re.Pattern:
+    return re.compile(r"\s*(" + pattern + ")")
+
+
 class Scanner:
     """A cursor over a text. Regular tokens are taken by pattern, so a grammar is a few lines on top of it."""
 
@@ -45,13 +51,15 @@ class Scanner:
         self.text, self.at = text, 0
 
     def fail(self, what: str):
+        """An error with its place, the lines up to it and a mark under it."""
         line = self.text.count("\n", 0, self.at)
         column = self.at - (self.text.rfind("\n", 0, self.at) + 1)
-        raise ValueError(f"line {line + 1}, column {column + 1}: {what}")
+        shown = "\n".join(self.text.split("\n")[max(0, line - 2) : line + 1])
+        raise ValueError(f"line {line + 1}, column {column + 1}: {what}\n{shown}\n{' ' * column}^")
 
     def take(self, pattern: str) -> str | None:
         """The next token if it fits, after white space."""
-        m = re.compile(r"\s*(" + pattern + ")").match(self.text, self.at)
+        m = token(pattern).match(self.text, self.at)
         if m:
             self.at = m.end()
             return m[1]
@@ -62,11 +70,11 @@ class Scanner:
         return self.fail(f"expected {what}") if got is None else got
 
     def sees(self, pattern: str) -> bool:
-        return re.compile(r"\s*(?:" + pattern + ")").match(self.text, self.at) is not None
+        return token(pattern).match(self.text, self.at) is not None
 
     def string(self) -> str | None:
         """A double-quoted string with backslash escapes; the end of the text may stand for the closing quote."""
-        body = self.take(r'"(?:\\.|[^"\\])*(?:"|\\?\Z)')
+        body = self.take(r'"[^"\\]*(?:\\(?s:.)[^"\\]*)*(?:"|\\?\Z)')
         if body is None:
             return None
         body = body[1:-1] if len(body) > 1 and body.endswith('"') and not re.search(r'(?<!\\)(?:\\\\)*\\"\Z', body) else body[1:]
@@ -113,6 +121,8 @@ def lenient_object(s: Scanner):
     def member():
         key = s.string() if s.sees('"') else s.fail("expected a key")
         if not s.take(":"):
+            if lone:  # one may stand for itself; which of two is meant cannot be told
+                s.fail("expected a colon")
             lone.append(key)
             return
         value = lenient_value(s)
@@ -148,10 +158,26 @@ def fold(text: str) -> str:
     return SUM.sub(one, text)
 
 
+#: What a walk over JSON of another shape than it expects raises.
+UNREADABLE = (ValueError, RecursionError, TypeError, KeyError, AttributeError)
+
+
+def or_null(one):
+    """``one`` with null for null and for what it cannot read."""
+
+    def tried(text):
+        try:
+            return None if text is None else one(text)
+        except UNREADABLE:
+            return None
+
+    return tried
+
+
 def _texts(one):
     @arrow_udf("string")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else one(t) for t in texts.to_pylist()], pa.string())
+        return pa.array(list(map(or_null(one), texts.to_pylist())), pa.string())
 
     return run
 
@@ -164,9 +190,9 @@ def _results(one):
             try:
                 values.append(None if t is None else one(t))
                 errors.append(None)
-            except (ValueError, RecursionError) as e:
+            except UNREADABLE as e:
                 values.append(None)
-                errors.append(str(e))
+                errors.append(str(e) or type(e).__name__)
         return pa.StructArray.from_arrays([pa.array(values, pa.string()), pa.array(errors, pa.string())], ["json", "error"])
 
     return run

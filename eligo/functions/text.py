@@ -5,7 +5,7 @@ from __future__ import annotations
 import unicodedata
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Line ends as Python's splitlines() knows them (fixed values).
@@ -113,10 +113,6 @@ def exclude_after_flip(exclude: Column, flipped: Column) -> Column:
     return F.when(flipped, False).otherwise(exclude)
 
 
-def effective_code(override: Column, code: Column) -> Column:
-    return F.coalesce(F.nullif(override, F.lit("")), code)
-
-
 def truthy(flag: Column) -> Column:
     """Whether a flag cell says yes: true, t, 1, yes or y in any case; blank and null do not."""
     cell = F.lower(strip(flag.cast("string")))
@@ -126,10 +122,15 @@ def truthy(flag: Column) -> Column:
 
 def warn_instead_of_not(expression: Column, flagged: list[str]) -> Column:
     """``NOT(R)`` as ``WARN_IF(R)`` where the parentheses hold one flagged rule and at most its parameters."""
-    if not flagged:
-        return expression
-    names = "|".join(sorted(flagged, key=lambda r: (-len(r), r)))
-    return F.regexp_replace(expression, rf"\bNOT(\s*)\((?=\s*(?:{names})\s*(?:\[[^\]]*\]\s*)?\))", "WARN_IF$1(")
+    return warn_by_names(expression, F.array(*map(F.lit, flagged))) if flagged else expression
+
+
+def warn_by_names(expression: Column, flagged: Column) -> Column:
+    """The same with an array column of flagged rules, so that each row can have its own."""
+    plain = F.transform(flagged, lambda r: F.regexp_replace(r, r"([^\w])", r"\\$1"))
+    names = F.array_join(F.array_sort(plain, lambda a, b: F.length(b) - F.length(a)), "|")
+    pattern = F.concat(F.lit(r"\bNOT(\s*)\((?=\s*(?:"), names, F.lit(r")\s*(?:\[[^\]]*\]\s*)?\))"))
+    return F.when(F.size(flagged) > 0, F.regexp_replace(expression, pattern, F.lit("WARN_IF$1("))).otherwise(expression)
 
 
 def parent_statements(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -137,18 +138,27 @@ def parent_statements(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
     A line that begins with ``inclusion criteria`` or ``exclusion criteria`` opens a section, a line that begins with
     a number and ``.`` or ``)`` opens a statement, other lines belong to the open one. What precedes the first header
-    and lines without an open statement are left out. Documents are spread by key; a document's lines are one group."""
-    rows = docs.select(key, F.posexplode(lines(F.col(text))).alias("pos", "line"))
-    head = F.lower(strip(F.col("line")))
-    section = F.when(head.startswith("inclusion criteria"), "INCLUSION").when(head.startswith("exclusion criteria"), "EXCLUSION")
-    number = F.regexp_extract("line", r"(?U)^(\d+)[.)]\s+", 1)
-    rows = rows.select(key, "pos", "line", section.alias("opens"), F.when(section.isNull() & (number != ""), number).alias("number"))
-    order = Window.partitionBy(key).orderBy("pos")
-    rows = rows.select("*", F.last("opens", ignorenulls=True).over(order).alias("section"), F.sum((F.col("opens").isNotNull() | F.col("number").isNotNull()).cast("int")).over(order).alias("part"))
-    parts = rows.filter("section is not null and opens is null").groupBy(key, "part").agg(
-        F.min("pos").alias("pos"), F.max("section").alias("section"), F.max("number").alias("number"), F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("rows")
-    )
-    statement = strip(F.array_join(F.transform("rows", lambda r: r["line"]), "\n"))
-    parts = parts.filter("number is not null").select(key, "pos", "section", F.translate("number", "".join(DIGITS), "".join(MEANT)).try_cast("int").alias("number"), statement.alias("statement")).filter("statement <> ''")
-    seq = F.row_number().over(Window.partitionBy(key).orderBy("pos"))
-    return parts.select(key, seq.alias("seq"), statement_id(F.col("section"), F.col("number")).alias("statement_id"), "section", "number", "statement")
+    and lines without an open statement are left out. Each row is cut by itself, with array functions: nothing is
+    shuffled, and rows that share a key or have none stay apart. A null text has no statements."""
+    rows = docs.select(F.col(key), lines(F.col(text)).alias("lines"))
+
+    def opening(line: Column, at: Column) -> Column:
+        head = F.lower(strip(line))
+        section = F.when(head.startswith("inclusion criteria"), "INCLUSION").when(head.startswith("exclusion criteria"), "EXCLUSION")
+        number = F.nullif(F.regexp_extract(line, r"(?U)^(\d+)[.)]\s+", 1), F.lit(""))
+        return F.struct(at.alias("at"), section.alias("section"), F.when(section.isNull(), number).alias("number"))
+
+    opens = F.filter(F.transform("lines", opening), lambda o: o["section"].isNotNull() | o["number"].isNotNull())
+    rows = rows.withColumn("opens", opens)
+    rows = rows.withColumn("sections", F.filter("opens", lambda o: o["section"].isNotNull()))
+
+    def statement(o: Column, k: Column) -> Column:
+        end = F.coalesce(F.try_element_at("opens", k + 2)["at"], F.size("lines"))
+        section = F.try_element_at(F.filter("sections", lambda s: s["at"] < o["at"]), F.lit(-1))["section"]
+        body = strip(F.array_join(F.slice("lines", o["at"] + 1, end - o["at"]), "\n"))
+        number = F.translate(o["number"], "".join(DIGITS), "".join(MEANT)).try_cast("int")
+        return F.struct(section.alias("section"), number.alias("number"), body.alias("statement"), o["number"].isNotNull().alias("numbered"))
+
+    found = F.filter(F.transform("opens", statement), lambda p: p["numbered"] & p["section"].isNotNull() & (p["statement"] != ""))
+    parts = rows.select(key, F.posexplode(found).alias("at", "part"))
+    return parts.select(key, (F.col("at") + 1).alias("seq"), statement_id(F.col("part.section"), F.col("part.number")).alias("statement_id"), "part.section", "part.number", "part.statement")

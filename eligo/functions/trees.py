@@ -1,6 +1,8 @@
 """Rule trees: AND, OR and NOT over rules with parameters, held as JSON text so that 3 and 3.0 stay apart.
 
-Trees nest without bound, which no Spark type expresses, so the walks are Arrow UDFs over the raw JSON."""
+Trees nest without bound, which no Spark type expresses, so the walks are Arrow UDFs over the raw JSON. A tree that
+cannot be read (no JSON, or nested deeper than Python follows) fails no task: its result is null, and
+:func:`unreadable` says why."""
 
 from __future__ import annotations
 
@@ -11,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from eligo.functions.lenient import _results, _texts
+from eligo.functions.lenient import _results, _texts, or_null
 
 GROUPS = ("AND", "OR")
 
@@ -113,6 +115,11 @@ def rendered(tree: Column) -> Column:
     return _results(lambda t: _shown(json.loads(t)))(tree)
 
 
+def unreadable(tree: Column) -> Column:
+    """Why a tree cannot be read; null if it can."""
+    return _results(lambda t: str(bool(_named(json.loads(t)))))(tree)["error"]
+
+
 def normalised(tree: Column) -> Column:
     return _texts(lambda t: json.dumps(_normal(json.loads(t)), ensure_ascii=False))(tree)
 
@@ -127,17 +134,18 @@ def rule_names(tree: Column) -> Column:
 
     @arrow_udf("array<string>")
     def run(trees: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else sorted(_named(json.loads(t))) for t in trees.to_pylist()], pa.list_(pa.string()))
+        return pa.array(list(map(or_null(lambda t: sorted(_named(json.loads(t)))), trees.to_pylist())), pa.list_(pa.string()))
 
     return run(tree)
 
 
 def is_hollow(tree: Column) -> Column:
-    """Whether nothing but groups is in the tree; true for null."""
+    """Whether nothing but groups is in the tree; true for null, null for a tree that cannot be read."""
 
     @arrow_udf("boolean")
     def run(trees: pa.Array) -> pa.Array:
-        return pa.array([t is None or not t.strip() or _hollow(json.loads(t)) for t in trees.to_pylist()], pa.bool_())
+        one = or_null(lambda t: not t.strip() or _hollow(json.loads(t)))
+        return pa.array([t is None or one(t) for t in trees.to_pylist()], pa.bool_())
 
     return run(tree)
 
