@@ -1,6 +1,7 @@
 """The rule catalogue: a wide sheet of (category, warn flag) column pairs as a long table, and lookups against it.
 
-A catalogue has a few hundred rules. Lookups broadcast it only after its size was checked; a larger one is joined."""
+A catalogue has a few hundred rules. Lookups broadcast it, or put its names into the plan, only after its size was
+checked; a larger one is joined."""
 
 from __future__ import annotations
 
@@ -8,9 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eligo.functions.text import strip, truthy
+from eligo.sources.shared import checkpointed
 
 #: Rows up to which a lookup table may be broadcast.
 BROADCAST_ROWS = 100_000
+#: Names up to which a set may be a constant of the plan.
+LITERAL_NAMES = 5_000
 
 
 def small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -42,7 +46,7 @@ def warn_flags(long: DataFrame) -> DataFrame:
 
 def of_categories(long: DataFrame, wanted: list[str]) -> DataFrame:
     """The catalogue of some categories; an unknown one is an error."""
-    known = {r[0] for r in long.select("category").distinct().limit(10_000).collect()}
+    known = {r[0] for r in long.filter(F.col("category").isin(wanted)).select("category").distinct().collect()}
     if missing := sorted(set(wanted) - known):
         raise ValueError(f"unknown categories: {missing}")
     return long.filter(F.col("category").isin(wanted))
@@ -53,11 +57,29 @@ def unknown_rules(used: DataFrame, long: DataFrame, rule: str = "rule") -> DataF
     return used.join(small(rules(long).withColumnRenamed("rule", rule)), rule, "left_anti")
 
 
-def with_new_rules(rows: DataFrame, long: DataFrame, names: Column, key: str) -> DataFrame:
+def with_names(rows: DataFrame, known: DataFrame, names: Column, column: str, among: bool, most: int = LITERAL_NAMES) -> DataFrame:
+    """``rows`` with ``column``: the sorted distinct ``names`` (an array column) that are among the rules of ``known``,
+    or that are not. Each row is looked up by itself, whatever its key.
+
+    Up to ``most`` rules are a constant that array functions compare with, without a shuffle. More are joined by a row
+    number that a checkpoint fixes."""
+    known = known.select("rule").filter("rule is not null").distinct()
+    first = [r[0] for r in known.limit(most + 1).collect()]
+    if len(first) <= most:
+        set_ = F.array(*map(F.lit, sorted(first))).cast("array<string>")
+        return rows.withColumn(column, F.sort_array((F.array_intersect if among else F.array_except)(names, set_)))
+    kept = rows.columns
+    numbered = checkpointed(rows.select(F.struct(*(rows[c] for c in kept)).alias("row"), names.alias("names")).withColumn("number", F.monotonically_increasing_id()))
+    named = numbered.select("number", F.explode("names").alias("rule")).join(known, "rule", "left_semi" if among else "left_anti")
+    lists = named.groupBy("number").agg(F.sort_array(F.collect_set("rule")).alias("found"))
+    found = F.when(F.col("names").isNotNull(), F.coalesce("found", F.array().cast("array<string>")))
+    out = numbered.join(lists, "number", "left")
+    return out.select(*(F.col("row").getField(c).alias(c) for c in kept if c != column), found.alias(column))
+
+
+def with_new_rules(rows: DataFrame, long: DataFrame, names: Column) -> DataFrame:
     """``rows`` with new_rules: sorted names (an array column) that the catalogue lacks."""
-    named = rows.select(key, F.explode(names).alias("rule"))
-    new = unknown_rules(named, long).groupBy(key).agg(F.sort_array(F.collect_set("rule")).alias("new_rules"))
-    return rows.join(new, key, "left").withColumn("new_rules", F.coalesce("new_rules", F.array().cast("array<string>")))
+    return with_names(rows, long, F.coalesce(names, F.array().cast("array<string>")), "new_rules", among=False)
 
 
 def with_warn(rows: DataFrame, long: DataFrame, rule: str = "rule") -> DataFrame:

@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from eligo.operators.catalogue import small
+from eligo.sources.shared import checkpointed
+
 
 def unit(vector: Column) -> Column:
     """The vector at length 1, in doubles."""
@@ -20,17 +23,25 @@ def unit(vector: Column) -> Column:
     return F.transform(v, lambda x: x / norm)
 
 
-def similar_pairs(old: DataFrame, new: DataFrame, key: str, least: float = 0.9, digits: int = 9) -> DataFrame:
-    """key, i, j, similarity of pairs above ``least``. Both sides: key, pos, vector.
-
-    Vectors are normalised once per row; the similarity is rounded so that it orders alike everywhere."""
-    a = old.select(key, F.col("pos").alias("i"), unit(F.col("vector")).alias("u"))
-    b = new.select(key, F.col("pos").alias("j"), unit(F.col("vector")).alias("v"))
+def similar_pairs(old: DataFrame, new: DataFrame, key: str, least: float = 0.9, digits: int = 9, tile: int = 2_000) -> DataFrame:
+    """key, i, j, similarity of pairs above ``least``. Both sides: key, pos, vector, and text if there is one: rows
+    with an empty or null text are left out, as nothing can match them.
+
+    Vectors are normalised once per row; the similarity is rounded so that it orders alike everywhere. Within a key all
+    pairs are compared, since no bound on the cosine spares any; the rows of a key are dealt to tiles of about ``tile``
+    rows a side, and each pair of tiles meets in a task of its own, so a large key spreads over many."""
+    a, b = ((f.filter(F.length("text") > 0) if "text" in f.columns else f).filter(F.col(key).isNotNull()) for f in (old, new))
+    count = lambda f: f.groupBy(key).agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
+    tiles = small(count(a).withColumnRenamed("tiles", "across").join(count(b).withColumnRenamed("tiles", "down"), key))
+    deal = lambda n: F.pmod(F.xxhash64("pos"), F.col(n)).cast("int")
+    all_ = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = a.select(key, "pos", unit(F.col("vector")).alias("u")).join(tiles, key).select(key, F.col("pos").alias("i"), "u", deal("across").alias("x"), all_("down").alias("y"))
+    b = b.select(key, "pos", unit(F.col("vector")).alias("v")).join(tiles, key).select(key, F.col("pos").alias("j"), "v", deal("down").alias("y"), all_("across").alias("x"))
     dot = F.aggregate(F.zip_with("u", "v", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-    return a.join(b, key).select(key, "i", "j", F.round(dot, digits).alias("similarity")).filter(F.col("similarity") > least)
+    return a.join(b, [key, "x", "y"]).select(key, "i", "j", F.round(dot, digits).alias("similarity")).filter(F.col("similarity") > least)
 
 
-def greedy_matches(pairs: DataFrame, key: str, keep=lambda df: df.checkpoint()) -> DataFrame:
+def greedy_matches(pairs: DataFrame, key: str, keep=checkpointed) -> DataFrame:
     """One-to-one matches: the best pair first (ties: least i, then j), then the best of what is left.
 
     A pair that is the best of both its rows is in that result whatever else is, so each round accepts all of these at
@@ -69,7 +80,7 @@ def diff_report(diff: DataFrame, key: str, same: float = 0.999) -> DataFrame:
     entry = (
         F.when(F.col("new_text").isNull(), F.concat(head, F.lit("Removed\n- "), F.col("old_text")))
         .when(F.col("old_text").isNull(), F.concat(head, F.lit("Added\n+ "), F.col("new_text")))
-        .when(F.col("similarity") >= same, F.concat(head, F.lit("matched ("), share, F.lit(")\n  "), F.col("old_text")))
+        .when(F.col("similarity") >= same, F.concat(head, F.lit("matched ("), share, F.lit(")\n  "), F.col("new_text")))
         .otherwise(F.concat(head, F.lit("Modified ("), share, F.lit(")\n- "), F.col("old_text"), F.lit("\n+ "), F.col("new_text")))
     )
     rows = diff.select(key, "place", entry.alias("entry"))
@@ -99,6 +110,11 @@ def indel_ratio(a: Column, b: Column) -> Column:
     return run(a, b)
 
 
+def unchanged(a: Column, b: Column, least: float = 95.0) -> Column:
+    """Whether a rewritten text still says what it said: an indel ratio of at least ``least``; null texts do not."""
+    return F.coalesce(indel_ratio(a, b) >= least, F.lit(False))
+
+
 def character_diff(a: Column, b: Column) -> Column:
     """array<string>: a unified difference of two texts, a character to a line."""
 

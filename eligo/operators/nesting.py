@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eligo.functions.criteria import NODES
-from eligo.operators.catalogue import small
 
 
 def flattened(grouped: DataFrame, parent: list[str], children: str = "curations") -> DataFrame:
@@ -35,10 +34,6 @@ def last_wins(rows: DataFrame, key: str, value: str, order: str) -> DataFrame:
     return rows.groupBy(key).agg(F.max_by(value, order).alias(value))
 
 
-def looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    return rows.join(small(table), key, "left")
-
-
 def stacked(frames: list[DataFrame]) -> DataFrame:
     """Rows of all frames, columns matched by name, missing ones null."""
     if not frames:

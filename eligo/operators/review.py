@@ -3,6 +3,7 @@ user chose (deselected options, sort keys, page)."""
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field, replace
 from math import ceil
 
@@ -32,8 +33,19 @@ def back_filled(rows: DataFrame, derived: bool = False) -> DataFrame:
     return rows.withColumns(missing) if missing else rows
 
 
-def keeps(column: str, deselected: list) -> Column:
+@dataclass(frozen=True)
+class AllBut:
+    """Every option of a facet is deselected but those in ``kept``."""
+
+    kept: tuple = ()
+
+
+def keeps(column: str, deselected: list | AllBut) -> Column:
     """Whether a row passes a facet: its value is not deselected. Null is an option like any other."""
+    if isinstance(deselected, AllBut):
+        values = [v for v in deselected.kept if v is not None]
+        chosen = F.coalesce(F.col(column).isin(values), F.lit(False)) if values else F.lit(False)
+        return chosen | F.col(column).isNull() if None in deselected.kept else chosen
     values = [v for v in deselected if v is not None]
     passes = F.coalesce(~F.col(column).isin(values), F.lit(True)) if values else F.lit(True)
     return passes & F.col(column).isNotNull() if None in deselected else passes
@@ -59,17 +71,18 @@ class Review:
     page: int = 0
 
     def toggled(self, column: str, option) -> Review:
-        chosen = list(self.deselected.get(column, []))
-        chosen = [o for o in chosen if o != option] if option in chosen else [*chosen, option]
+        now = self.deselected.get(column, [])
+        listed = list(now.kept if isinstance(now, AllBut) else now)
+        listed = [o for o in listed if o != option] if option in listed else [*listed, option]
+        chosen = AllBut(tuple(listed)) if isinstance(now, AllBut) else listed
         return replace(self, deselected={**self.deselected, column: chosen})
 
     def all_selected(self, column: str) -> Review:
         return replace(self, deselected={**self.deselected, column: []})
 
     def none_selected(self, column: str) -> Review:
-        """Deselects every option; the options of a facet are few, and at most 10,000 are read."""
-        found = [r[0] for r in self.rows.select(column).distinct().limit(10_000).collect()]
-        return replace(self, deselected={**self.deselected, column: found})
+        """Deselects every option, however many there are; options toggled afterwards are shown again."""
+        return replace(self, deselected={**self.deselected, column: AllBut()})
 
     def sorted_by(self, column: str) -> Review:
         """One more click on a column: ascending, then descending, then not sorted; back to the first page."""
@@ -85,7 +98,7 @@ class Review:
     def filtered(self) -> DataFrame:
         out = self.rows
         for column, values in self.deselected.items():
-            if values:
+            if values or isinstance(values, AllBut):
                 out = out.filter(keeps(column, values))
         return out
 
@@ -101,12 +114,20 @@ class Review:
         """The page with that number, clamped to those there are."""
         return replace(self, page=max(0, min(page, self.pages() - 1)))
 
+    def typed_page(self, number: str) -> Review:
+        """The page whose number (from 1) was typed; what is no number changes nothing."""
+        return self.at(int(number) - 1) if number.strip().isdecimal() else self
+
+    def typed_size(self, size: str) -> Review:
+        """Another page size, back on the first page; what is no positive number changes nothing."""
+        return replace(self, size=int(size), page=0) if size.strip().isdecimal() and int(size) > 0 else self
+
     def shown(self) -> DataFrame:
         return self.ordered().offset(self.page * self.size).limit(self.size)
 
     def checked(self, code: str = "Code") -> DataFrame:
         """The page's rows with Error: why their code cannot be parsed, null if it can. Only the page is parsed."""
-        return self.shown().checkpoint().withColumn("Error", parsed(F.col(code))["error"])
+        return self.shown().withColumn("Error", parsed(F.col(code))["error"])
 
 
 def page_list(page: int, pages: int, around: int = 7) -> list[int | None]:
@@ -127,6 +148,39 @@ def moved(columns: list[str], name: str, before: str | None) -> list[str]:
     return [*rest[:at], name, *rest[at:]]
 
 
+@dataclass(frozen=True)
+class Columns:
+    """Which of a table's columns are shown, and in what order; each method gives a changed choice."""
+
+    declared: tuple[str, ...]
+    shown: tuple[str, ...]
+
+    def moved(self, name: str, before: str | None) -> Columns:
+        return replace(self, shown=tuple(moved(list(self.shown), name, before)))
+
+    def toggled(self, name: str) -> Columns:
+        """A shown column hidden, or a hidden one put back where the declared order has it."""
+        if name not in self.declared:
+            raise ValueError(f"no column {name}")
+        if name in self.shown:
+            return replace(self, shown=tuple(c for c in self.shown if c != name))
+        after = self.declared[self.declared.index(name) + 1 :]
+        return replace(self, shown=tuple(moved([*self.shown, name], name, next((c for c in after if c in self.shown), None))))
+
+    def reset(self) -> Columns:
+        return replace(self, shown=self.declared)
+
+    def saved(self) -> str:
+        return json.dumps(self.shown)
+
+    def restored(self, saved: str) -> Columns:
+        """A saved choice; columns that are no longer declared are left out."""
+        return replace(self, shown=tuple(c for c in json.loads(saved) if c in self.declared))
+
+    def of(self, rows: DataFrame) -> DataFrame:
+        return rows.select(*(F.col(f"`{c}`") for c in self.shown))
+
+
 def overlaid(base: DataFrame, edits: DataFrame, keys: list[str]) -> DataFrame:
     """``base`` (keys, LlmCode, ...) under the latest edit of each key.
 

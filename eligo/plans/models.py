@@ -7,6 +7,7 @@ anything reads them, so retries and new plans never ask twice. Without a client
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,3 +43,21 @@ def answered(rows: DataFrame, cache: DataFrame, model: str, system: Column, user
         asked(misses, client).write.mode("append").parquet(store)
         known = known.unionByName(rows.sparkSession.read.schema(ANSWERS).parquet(store)).dropDuplicates(["prompt_sha"])
     return keyed.drop("system_", "user_").join(known, "prompt_sha", "left")
+
+
+@dataclass(frozen=True)
+class Asker:
+    """Where a workflow's answers come from: a cache of known ones, and a client with a table for new ones if there is
+    one."""
+
+    cache: DataFrame
+    model: str = "m"
+    client: Client | None = None
+    store: str | None = None
+
+    def key(self, stage: str, user: Column) -> Column:
+        return prompt_key(self.model, F.lit(stage), user)
+
+    def ask(self, rows: DataFrame, stage: str, user: Column) -> DataFrame:
+        """``rows`` with response to the stage's prompt about ``user``; null where nobody answers."""
+        return answered(rows, self.cache, self.model, F.lit(stage), user, self.client, self.store).drop("prompt_sha")

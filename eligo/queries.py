@@ -5,13 +5,14 @@ expression on both sides, so that each query's work grows with its tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eligo.functions import criteria, lenient, text, trees
 from eligo.operators import catalogue, compare, nesting, review
 from eligo.plans import curation, models
 from eligo.sources import files
+from eligo.sources.shared import checkpointed, fresh_dir
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -108,25 +109,11 @@ def review_round_trip(spark, sf_dir):
     rows = t(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("TrialId"), F.expr("nullif(c_mktsegment, 'MACHINERY')").alias("Cohort"), F.concat("c_name", F.lit('\n"q"')).alias("Description"), (F.col("c_nationkey") % 2 == 0).alias("Checked")
     )
-    at = scratch(spark, "review")
+    at = fresh_dir(spark, "review")
     files.write_review(rows, at)
     return files.read_review(spark, at).select("TrialId", "Cohort", "Description", "Checked", "Notes")
 
 
-def scratch(spark: SparkSession, what: str) -> str:
-    """A new path in the shared checkpoint folder."""
-    import tempfile
-    import uuid
-
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(at or 'file://' + tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/{what}-{uuid.uuid4().hex}"
-
-
-def checkpoints(spark: SparkSession) -> None:
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(scratch(spark, "checkpoints"))
-
-
 # -- text ------------------------------------------------------------------------------------------------------------
 TAGGED_SQL = """SELECT conv_id, string_agg(CASE role WHEN 'assistant' THEN 'EXCLUDE ' ELSE 'INCLUDE ' END || text, chr(10) ORDER BY turn) AS v FROM conversations GROUP BY 1"""
 PIECES_SQL = f"""SELECT conv_id, list_filter(list_transform(string_split(regexp_replace(v, '(?m)^(INCLUDE|EXCLUDE)', chr(1) || '\\1', 'g'), chr(1)), lambda x: trim(x, ' ' || chr(10))), lambda x: x <> '') AS pieces FROM ({TAGGED_SQL})"""
@@ -150,9 +137,13 @@ def batch_by_count(spark, sf_dir):
     return tagged(spark, sf_dir).select("conv_id", F.posexplode(text.batches_by_count(F.col("v"), 3)).alias("batch", "piece"))
 
 
-@query()
+@query(f"""WITH RECURSIVE texts AS ({PIECES_SQL}),
+words AS (SELECT conv_id, i AS k, pieces[i] AS piece, len(list_filter(regexp_split_to_array(pieces[i], '\\s+'), lambda x: x <> '')) AS n FROM (SELECT conv_id, pieces, unnest(range(1, len(pieces) + 1)) AS i FROM texts)),
+filled AS (SELECT conv_id, CAST(0 AS BIGINT) AS k, 0 AS batch, CAST(0 AS BIGINT) AS n, CAST(NULL AS VARCHAR) AS piece FROM texts
+UNION ALL SELECT f.conv_id, w.k, CASE WHEN f.n + w.n < 120 THEN f.batch ELSE f.batch + 1 END, CASE WHEN f.n + w.n < 120 THEN f.n + w.n ELSE w.n END, w.piece FROM filled f JOIN words w ON w.conv_id = f.conv_id AND w.k = f.k + 1)
+SELECT conv_id, CAST(batch AS INTEGER) AS batch, coalesce(string_agg(piece, chr(10) ORDER BY k), '') AS piece FROM filled GROUP BY conv_id, batch""")
 def batch_by_words(spark, sf_dir):
-    """T5: pieces filled greedily under a number of words (checked against a loop in the tests)."""
+    """T5: pieces filled greedily under a number of words."""
     return tagged(spark, sf_dir).select("conv_id", F.posexplode(text.batches_by_words(F.col("v"), 120)).alias("batch", "piece"))
 
 
@@ -181,13 +172,14 @@ def code_blocks(spark, sf_dir):
     return rows.select("conv_id", "turn", text.code_blocks(v, "json").alias("body"), text.many_lines(F.col("text")).alias("many"))
 
 
-@query("""SELECT c_custkey, replace(c_name, '#', '_') AS trial_id, replace(c_name, '#', '_') || '_out.json' AS path, c_mktsegment AS title FROM customer""")
+@query("""SELECT c_custkey, replace(c_name, '#', '_') AS trial_id, CASE WHEN c_custkey % 2 = 0 THEN 'a/b/' || replace(c_name, '#', '_') || '_out.json' ELSE replace(c_name, '#', '_') || '.json' END AS path, c_mktsegment AS title FROM customer""")
 def trial_ids(spark, sf_dir):
     """Id and title lines of a text, and a path that takes the id."""
     rows = t(spark, sf_dir, "customer")
     v = F.concat(F.lit("Trial Title: "), "c_mktsegment", F.lit("\r\n trial id :  "), F.replace("c_name", F.lit("#"), F.lit("  ")), F.lit(" \nTrial ID: second"))
     id_ = text.document_id(v)
-    return rows.select("c_custkey", id_.alias("trial_id"), F.concat(id_, F.lit("_out.json")).alias("path"), text.header_value(v, "Trial Title").alias("title"))
+    path = F.when(F.col("c_custkey") % 2 == 0, F.lit("a/b/out.json")).otherwise(F.concat(id_, F.lit(".json")))
+    return rows.select("c_custkey", id_.alias("trial_id"), files.prefixed_path(path, id_).alias("path"), text.header_value(v, "Trial Title").alias("title"))
 
 
 @query("""SELECT event_id, props || '''' || chr(10) || '[x]' AS v FROM events""")
@@ -276,7 +268,7 @@ def tree_new_rules(spark, sf_dir):
     rows = t(spark, sf_dir, "part")
     known = rows.select(F.upper(F.split_part("p_type", F.lit(" "), F.lit(1))).alias("rule")).distinct()
     rows = rows.selectExpr("p_partkey", f"{TREE} AS tree")
-    out = catalogue.with_new_rules(rows, known, trees.rule_names(F.col("tree")), "p_partkey")
+    out = catalogue.with_new_rules(rows, known, trees.rule_names(F.col("tree")))
     return out.filter(F.size("new_rules") == 2).select("p_partkey", F.array_join("new_rules", ",").alias("names"))
 
 
@@ -328,11 +320,11 @@ CRITERION = """'And { Age(age=' || p_size || ', operator=">="), Not { Infection(
 @query("""SELECT p_partkey, CAST(p_size AS BIGINT) AS age, p_brand AS infection, p_type AS reason, CAST(-p_size AS BIGINT) AS days, 1 AS n_and, 1 AS n_age, 1 AS n_other, 1 AS n_timing, true AS same, p_partkey % 4 = 0 AS failed FROM part""")
 def criterion_trees(spark, sf_dir):
     """Criteria read, written, read again and counted; a bad one keeps its error."""
-    rows = t(spark, sf_dir, "part").selectExpr("p_partkey", f"{CRITERION} AS code").withColumn("node", criteria.parsed(F.col("code"))["json"])
-    again = criteria.parsed(criteria.written(F.col("node")))["json"]
-    bad = criteria.parsed(F.when(F.col("p_partkey") % 4 == 0, F.replace("code", F.lit("Age("), F.lit("Aged("))).otherwise(F.col("code")))
+    rows = t(spark, sf_dir, "part").selectExpr("p_partkey", f"{CRITERION} AS code").withColumn("first", criteria.analysed(F.col("code")))
+    bad = criteria.parsed(F.when(F.col("p_partkey") % 4 == 0, F.replace("code", F.lit("Age("), F.lit("Aged("))))
+    rows = rows.select("p_partkey", F.col("first.json").alias("node"), "first.types", criteria.parsed(F.col("first.code"))["json"].alias("again"), bad.alias("bad"))
     at = lambda path: F.get_json_object("node", path)
-    rows = nesting.type_counts(rows.withColumn("again", again).withColumn("bad", bad), criteria.node_types(F.col("node")))
+    rows = nesting.type_counts(rows, F.col("types"))
     return rows.select(
         "p_partkey",
         at("$.criteria[0].age").cast("long").alias("age"),
@@ -345,6 +337,35 @@ def criterion_trees(spark, sf_dir):
     )
 
 
+TYPED = """CASE p_partkey % 10 WHEN 0 THEN 'Age(age=' || p_size || ', operator=">=")' WHEN 1 THEN 'Age(age="abc", operator=">=")' WHEN 2 THEN 'Age(age=1.5, operator=">=")'
+WHEN 3 THEN 'TreatmentOption(treatment=Medication())' WHEN 4 THEN 'TreatmentOption(treatment=Medication(medications=["' || p_brand || '"]))' WHEN 5 THEN 'PriorTreatment(treatment="' || p_brand || '")'
+WHEN 6 THEN 'Metastases(location=[1])' WHEN 7 THEN 'TreatmentOption(treatment=Surgery(treatment="x"))' WHEN 8 THEN 'LabValue(measurement="m", unit="u", value=' || p_size || ', operator="near")' ELSE 'Other(description=null)' END"""
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 10 WHEN 0 THEN '{"type": "Age", "description": "", "age": ' || p_size || ', "operator": ">="}'
+WHEN 4 THEN '{"type": "TreatmentOption", "description": "", "treatment": {"type": "Medication", "medications": ["' || p_brand || '"]}}'
+WHEN 8 THEN '{"type": "LabValue", "description": "", "measurement": "m", "unit": "u", "value": ' || p_size || '.0, "operator": "near"}' END AS node,
+CASE p_partkey % 10 WHEN 1 THEN 'age of Age cannot be "abc"' WHEN 2 THEN 'age of Age cannot be 1.5' WHEN 3 THEN 'Medication needs medications' WHEN 5 THEN 'treatment of PriorTreatment cannot be "' || p_brand || '"'
+WHEN 6 THEN 'location of Metastases cannot be [1]' WHEN 7 THEN 'Surgery has no treatment' WHEN 9 THEN 'Other needs description' END AS error FROM part""")
+def criterion_types(spark, sf_dir):
+    """Fields and their types are checked; what is refused keeps its error."""
+    got = criteria.parsed(F.col("code"))
+    rows = t(spark, sf_dir, "part").selectExpr("p_partkey", f"{TYPED} AS code").withColumn("got", got)
+    return rows.select("p_partkey", F.col("got.json").alias("node"), F.nullif(F.regexp_extract("got.error", r"column \d+: (.*)", 1), F.lit("")).alias("error"))
+
+
+@query("""SELECT event_id, CASE event_id % 5 WHEN 0 THEN '"a' || '\\' || 'n' || user_id || '"' WHEN 4 THEN '{"k": 1}' END AS v,
+CASE event_id % 5 WHEN 1 THEN 'line 2, column 10: expected a colon' WHEN 2 THEN 'line 1, column 2: expected a key' WHEN 3 THEN 'deep' END AS error,
+event_id % 5 NOT IN (0, 4) AS no_names, event_id % 5 = 4 AS named FROM events""")
+def malformed_json(spark, sf_dir):
+    """Escaped line ends, two lone keys, wrong and very deep JSON: errors are values, in trees too."""
+    v = F.expr("""CASE event_id % 5 WHEN 0 THEN concat('"a\\\\', chr(10), user_id, '"') WHEN 1 THEN concat('{"A",', chr(10), '      "B"', '}') WHEN 2 THEN '{a: 1}' WHEN 3 THEN repeat('[', 20000) ELSE '{"k": 1}' END""")
+    rows = t(spark, sf_dir, "events").select("event_id", v.alias("v")).withColumn("got", lenient.lenient_json(F.col("v")))
+    error = F.when(F.col("event_id") % 5 == 3, F.when(F.col("got.error").isNotNull(), "deep")).otherwise(F.nullif(F.regexp_extract("got.error", r"^(line \d+, column \d+: [^\n]*)\n[^^]*\^$", 1), F.lit("")))
+    names = trees.rule_names(F.when(F.col("event_id") % 5 == 0, F.lit('"x"')).otherwise(F.col("v")))
+    return rows.select("event_id", F.col("got.json").alias("v"), error.alias("error"), names.isNull().alias("no_names"), (F.coalesce(F.element_at(names, 1), F.lit("")) == "k").alias("named"))
+
+
 # -- joins and nesting -----------------------------------------------------------------------------------------------
 @query("""SELECT o_orderkey, coalesce(string_agg(l_linenumber || ':' || l_quantity, ',' ORDER BY l_linenumber, l_linenumber || ':' || l_quantity), '') AS children, count(l_linenumber) AS n
 FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
@@ -438,23 +459,38 @@ def cosine_pairs(spark, sf_dir):
     return compare.similar_pairs(*sides(spark, sf_dir), "cohort", 0.3, digits=6)
 
 
-@query()
+MATCH_SQL = f"""WITH RECURSIVE scored AS (SELECT cohort, i, j, round(similarity, 9) AS similarity FROM ({PAIRS_SQL.replace(", 6) AS", ", 9) AS")}) WHERE similarity > 0.2),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY cohort ORDER BY similarity DESC, i, j) AS k FROM scored),
+tried AS (SELECT DISTINCT cohort, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS us, CAST([] AS BIGINT[]) AS vs, false AS hit, CAST(NULL AS BIGINT) AS i, CAST(NULL AS BIGINT) AS j, CAST(NULL AS DOUBLE) AS similarity FROM ranked
+UNION ALL SELECT cohort, k, CASE WHEN free THEN list_append(us, i) ELSE us END, CASE WHEN free THEN list_append(vs, j) ELSE vs END, free, i, j, similarity
+FROM (SELECT t.cohort, r.k, t.us, t.vs, NOT list_contains(t.us, r.i) AND NOT list_contains(t.vs, r.j) AS free, r.i, r.j, r.similarity FROM tried t JOIN ranked r ON r.cohort = t.cohort AND r.k = t.k + 1)),
+matches AS (SELECT cohort, i, j, similarity FROM tried WHERE hit)"""
+DIFF_SQL = f"""{MATCH_SQL},
+olds AS (SELECT e.label AS cohort, e.vec_id AS i, 'text ' || e.vec_id AS old_text, m.j, m.similarity FROM embeddings e LEFT JOIN matches m ON e.label = m.cohort AND e.vec_id = m.i WHERE e.vec_id % 2 = 0),
+news AS (SELECT e.label AS cohort, e.vec_id AS j, 'text ' || e.vec_id AS new_text, m.i FROM embeddings e LEFT JOIN matches m ON e.label = m.cohort AND e.vec_id = m.j WHERE e.vec_id % 2 = 1),
+slots AS (SELECT o.cohort, coalesce(sum(CASE WHEN o.j IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY o.cohort ORDER BY o.i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS slot, CASE WHEN o.j IS NULL THEN 0 ELSE 2 END AS kind, o.i AS spot, o.i AS old_pos, o.old_text, o.j AS new_pos, n.new_text, o.similarity
+FROM olds o LEFT JOIN news n ON n.cohort = o.cohort AND n.j = o.j
+UNION ALL SELECT * FROM (SELECT cohort, coalesce(sum(CASE WHEN i IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY cohort ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 1 AS kind, j, CASE WHEN i IS NOT NULL THEN i END AS old, NULL, j, new_text, NULL FROM news) WHERE old IS NULL),
+placed AS (SELECT cohort, CAST(row_number() OVER (PARTITION BY cohort ORDER BY slot, kind, spot) AS INTEGER) AS place, old_pos, old_text, new_pos, new_text, similarity FROM slots)"""
+
+
+@query(f"{MATCH_SQL} SELECT * FROM matches")
 def greedy_match(spark, sf_dir):
-    """Greedy one-to-one matches (checked against a sequential pass in the tests)."""
-    checkpoints(spark)
+    """Greedy one-to-one matches, by a sequential pass in the SQL."""
     return compare.greedy_matches(compare.similar_pairs(*sides(spark, sf_dir), "cohort", 0.2), "cohort")
 
 
-@query()
+@query(f"{DIFF_SQL} SELECT * FROM placed")
 def ordered_diff(spark, sf_dir):
-    """Both sides in one order (invariants in the tests)."""
-    checkpoints(spark)
+    """Both sides in one order."""
     old, new = sides(spark, sf_dir)
     matches = compare.greedy_matches(compare.similar_pairs(old, new, "cohort", 0.2), "cohort")
     return compare.ordered_diff(old, new, matches, "cohort")
 
 
-@query()
+@query(f"""{DIFF_SQL} SELECT cohort, string_agg(place || '. ' || CASE WHEN new_text IS NULL THEN 'Removed' || chr(10) || '- ' || old_text WHEN old_text IS NULL THEN 'Added' || chr(10) || '+ ' || new_text
+WHEN similarity >= 0.999 THEN 'matched (' || printf('%.1f', 100 * similarity) || '%)' || chr(10) || '  ' || new_text
+ELSE 'Modified (' || printf('%.1f', 100 * similarity) || '%)' || chr(10) || '- ' || old_text || chr(10) || '+ ' || new_text END, chr(10) ORDER BY place) AS report FROM placed GROUP BY cohort""")
 def diff_report(spark, sf_dir):
     """The difference as text."""
     return compare.diff_report(ordered_diff(spark, sf_dir), "cohort")
@@ -470,23 +506,125 @@ def text_distance(spark, sf_dir):
 
 
 # -- workflows -------------------------------------------------------------------------------------------------------
+def answers(rows: DataFrame, stage: str, user: Column, response: Column) -> DataFrame:
+    """A cache of answers to a stage's prompts, made from the rows that will ask them."""
+    return rows.select(models.prompt_key("m", F.lit(stage), user).alias("prompt_sha"), response.alias("response"))
+
+
+def listed(*texts: str) -> Column:
+    return F.expr(" || ".join(texts))
+
+
 @query("""SELECT conv_id, CAST(k AS INTEGER) AS rule_seq, 'rule ' || turn || CASE k WHEN 0 THEN ' a' ELSE ' b' END AS input_rule, k = 1 AND turn % 2 = 0 AS exclude, turn FROM conversations, (SELECT unnest(range(0, 2)) AS k) WHERE role = 'assistant'""")
 def replayed_rules(spark, sf_dir):
-    """Answers replayed from a cache by prompt digest, read as atomic rules, flips applied."""
+    """Answers replayed from a cache by prompt digest, read as atomic rules, flips applied."""
     rows = t(spark, sf_dir, "conversations").filter("role = 'assistant'").select("conv_id", "turn", F.concat("conv_id", F.lit("/"), "turn").alias("user"))
     answer = F.concat(F.lit('```json[{"input_rule": "rule '), "turn", F.lit(' a", "exclude": false}, {"input_rule": "rule '), "turn", F.lit(' b", "exclude": true, "flipped": '), (F.col("turn") % 2 == 1).cast("string"), F.lit("}]```"))
-    cache = rows.select(models.prompt_key("m", F.lit("s"), F.col("user")).alias("prompt_sha"), answer.alias("response"))
-    got = models.answered(rows, cache, "m", F.lit("s"), F.col("user"))
+    got = models.Asker(answers(rows, "s", F.col("user"), answer)).ask(rows, "s", F.col("user"))
     return curation.atomic_rules(got, ["conv_id", "turn"]).select("conv_id", "rule_seq", "input_rule", "exclude", "turn")
 
 
-@query("""SELECT p_partkey, CASE WHEN p_size % 5 = 0 THEN '' WHEN p_size % 5 = 1 THEN 'AND(NEW_RULE, NOT(PROMO))' ELSE 'AND(ECONOMY[' || p_size || '], ' || CASE WHEN upper(split_part(p_type, ' ', 1)) IN ('PROMO', 'SMALL') THEN 'WARN_IF(' ELSE 'NOT(' END || upper(split_part(p_type, ' ', 1)) || '))' END AS rule_reformat,
-CASE WHEN p_size % 5 = 1 THEN 'NEW_RULE' ELSE '' END AS new_rules FROM part""")
+@query("""WITH raw AS (SELECT c_custkey, c_custkey % 5 AS k, c_mktsegment AS seg FROM customer),
+rules AS (
+SELECT c_custkey, 0 AS spot, 'age over ' || k AS input_rule, false AS exclude, false AS flipped, NULL AS cohorts, NULL AS error, k FROM raw WHERE k <> 4
+UNION ALL SELECT c_custkey, 1, 'no ' || seg, k <> 1, k = 1, 'c1', CASE WHEN k = 2 THEN 'flip: no list of rules' END, k FROM raw WHERE k <> 4
+UNION ALL SELECT c_custkey, 2, CASE WHEN k = 3 THEN 'any of:' || chr(10) || '- p' || chr(10) || '- q' ELSE 'p ' || c_custkey END, false, false, NULL, CASE WHEN k = 3 THEN 'promote: no list of texts' END, k FROM raw WHERE k <> 4
+UNION ALL SELECT c_custkey, 3, 'q', false, false, NULL, NULL, k FROM raw WHERE k NOT IN (3, 4)
+UNION ALL SELECT c_custkey, 0, 'text ' || c_custkey, false, false, NULL, 'tag: no list of rules', k FROM raw WHERE k = 4)
+SELECT c_custkey, CAST(spot AS INTEGER) AS rule_seq, input_rule, exclude, flipped, cohorts, error FROM rules""")
+def prepared_rules(spark, sf_dir):
+    """Texts sanitised, tagged, sub-points promoted, exclusions turned; what a stage cannot read
+    stays as it was, with an error."""
+    rows = t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", (F.col("c_custkey") % 5).alias("k"), F.concat(F.lit("text "), "c_custkey").alias("text"))
+    tagged = listed("""'[{"input_rule": "age over ' || k || '", "exclude": false}, {"input_rule": "' || c_mktsegment || ' ' || c_custkey || '", "exclude": true, "cohorts": ["c1"]}, '""", """'{"input_rule": "any of:\\\\n- p' || CASE WHEN k = 3 THEN '' ELSE ' ' || c_custkey END || '\\\\n- q", "exclude": false}]'""")
+    many = listed("'any of:\\n- p' || CASE WHEN k = 3 THEN '' ELSE ' ' || c_custkey END || '\\n- q'")
+    turned = listed("""'[{"input_rule": "no ' || c_mktsegment || '", "exclude": true, "flipped": ' || CASE WHEN k = 1 THEN 'true' ELSE 'false' END || '}]'""")
+    cache = (
+        answers(rows, "sanitise", F.col("text"), F.concat(F.lit("```text\n"), "text", F.lit("\n```")))
+        .unionAll(answers(rows, "tag", F.col("text"), F.when(F.col("k") == 4, "none").otherwise(F.concat(F.lit("```json"), tagged, F.lit("```")))))
+        .unionAll(answers(rows, "promote", many, F.when(F.col("k") == 3, F.lit('{"x": 1}')).otherwise(listed("""'["p ' || c_custkey || '", "q"]'"""))))
+        .unionAll(answers(rows, "flip", F.concat_ws(" ", "c_mktsegment", "c_custkey"), F.when(F.col("k") == 2, "none").otherwise(turned)))
+    )
+    out = curation.prepared(rows.select("c_custkey", "text"), ["c_custkey"], models.Asker(checkpointed(cache)))
+    rule = F.when(F.try_element_at("errors", F.lit(-1)) == "flip: no list of rules", F.concat(F.lit("no "), F.split_part("input_rule", F.lit(" "), F.lit(1)))).otherwise(F.col("input_rule"))
+    return out.select("c_custkey", "rule_seq", rule.alias("input_rule"), "exclude", "flipped", F.array_join("cohorts", ",").alias("cohorts"), F.try_element_at("errors", F.lit(-1)).alias("error"))
+
+
+@query("""WITH kinds AS (SELECT p_partkey, p_partkey % 7 AS k, p_size, upper(split_part(p_type, ' ', 1)) AS word FROM part)
+SELECT p_partkey, CASE WHEN k NOT IN (0, 1) THEN 'kind' END AS category,
+CASE k WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN '' WHEN 3 THEN 'AND(NEW_RULE, NOT(PROMO))' WHEN 4 THEN '' ELSE 'AND(ECONOMY[' || p_size || '.0], ' || CASE WHEN word IN ('PROMO', 'SMALL') THEN 'WARN_IF(' ELSE 'NOT(' END || word || '))' END AS rule_reformat,
+CASE WHEN k = 3 THEN 'NEW_RULE' ELSE '' END AS new_rules, CASE WHEN k <> 6 THEN 0.5 END AS confidence,
+CASE k WHEN 0 THEN 'category: not a list of one object' WHEN 1 THEN 'category: the rule was changed' WHEN 4 THEN 'mapping: no rule in the answer' WHEN 6 THEN 'confidence: not a list of one object' ELSE '' END AS errors FROM kinds""")
 def mapping_workflow(spark, sf_dir):
-    """Hollow trees blanked, trees rendered, new rules found, negations of flagged rules rewritten."""
-    rows = t(spark, sf_dir, "part")
-    words = rows.select(F.upper(F.split_part("p_type", F.lit(" "), F.lit(1))).alias("rule")).unionByName(spark.range(1).select(F.explode(F.array(F.lit("ECONOMY"), F.lit("PROMO"))).alias("rule")))
-    known = words.select(F.lit("c").alias("category"), F.lit(0).alias("category_pos"), F.lit(0).alias("row_pos"), "rule", F.col("rule").isin("PROMO", "SMALL").alias("warn")).distinct()
-    tree = """CASE p_size % 5 WHEN 0 THEN '{"AND": [{"OR": []}]}' WHEN 1 THEN '{"AND": [{"NEW_RULE": []}, {"NOT": {"PROMO": []}}]}' ELSE '{"AND": [{"ECONOMY": [' || p_size || ']}, {"NOT": {"' || upper(split_part(p_type, ' ', 1)) || '": []}}]}' END"""
-    out = curation.mapped(rows.selectExpr("p_partkey", f"{tree} AS rule_tree"), known, "p_partkey")
-    return out.select("p_partkey", "rule_reformat", F.array_join("new_rules", ",").alias("new_rules"))
+    """Category, mapping, hollow trees blanked, rendering, new rules, warnings and
+    confidence, each with its guard; answers that no parser reads are repaired first."""
+    rows = t(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") % 7).alias("k"), "p_size", F.upper(F.split_part("p_type", F.lit(" "), F.lit(1))).alias("word"), F.concat(F.lit("rule about part "), "p_partkey").alias("input_rule"))
+    words = rows.select(F.col("word").alias("rule")).distinct().unionByName(rows.select(F.explode(F.array(F.lit("ECONOMY"), F.lit("PROMO"))).alias("rule")).distinct()).distinct()
+    known = words.select(F.lit("c").alias("category"), F.lit(0).alias("category_pos"), F.lit(0).alias("row_pos"), "rule", F.col("rule").isin("PROMO", "SMALL").alias("warn"))
+    filed = listed("""CASE k WHEN 0 THEN '[{"a": ["kind"]}, {"b": ["kind"]}]' WHEN 1 THEN '[{"quite another text": ["kind"]}]' WHEN 5 THEN '<<' || input_rule ELSE '[{"' || input_rule || '": ["kind"]}]' END""")
+    good = listed("""'{"input_rule": "m", "rule_tree": {"AND": [{"ECONOMY": [' || p_size || '.0]}, {"NOT": {"' || word || '": []}}]}}'""")
+    trees_ = F.when(F.col("k") == 2, '[{"input_rule": "m", "rule_tree": {"AND": [{"OR": []}]}}]').when(F.col("k") == 3, '[{"input_rule": "m", "rule_tree": {"X": []}}, {"input_rule": "n", "rule_tree": {"AND": [{"NEW_RULE": []}, {"NOT": {"PROMO": []}}]}}]').when(F.col("k") == 4, "[]").when(F.col("k") == 5, good).otherwise(F.concat(F.lit("["), good, F.lit("]")))
+    cache = (
+        answers(rows, "category", F.col("input_rule"), filed)
+        .unionAll(answers(rows, "repair", F.concat(F.lit("<<"), "input_rule"), listed("""'```json[{"' || input_rule || '": ["kind"]}]```'""")))
+        .unionAll(answers(rows, "mapping", F.concat("input_rule", F.lit("\nkind")), trees_))
+    )
+    cache = checkpointed(cache)
+    found = curation.mapping_workflow(rows, known, models.Asker(cache), confidence=False)
+    found = checkpointed(found)
+    sure = answers(found, "confidence", F.concat_ws("\n", "input_rule", "rule_reformat"), F.when(F.col("k") == 6, "[]").otherwise('[{"confidence_level": 0.5, "confidence_explanation": "e"}]'))
+    out = curation.confident(found, models.Asker(sure))
+    return out.select("p_partkey", F.try_element_at("categories", F.lit(1)).alias("category"), "rule_reformat", F.array_join("new_rules", ",").alias("new_rules"), F.col("confidence_level").alias("confidence"), F.array_join("errors", "; ").alias("errors"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 1 THEN 'EXCLUDE ' ELSE 'INCLUDE ' END || 'part ' || p_partkey AS rule_text, CASE WHEN p_partkey % 4 IN (0, 1) THEN p_size END AS age,
+CASE WHEN p_partkey % 4 = 0 THEN 1 WHEN p_partkey % 4 = 1 THEN 1 END AS n_age, CASE WHEN p_partkey % 4 IN (0, 1) THEN CAST(p_partkey AS VARCHAR) || '.1' END AS rule_id,
+CASE p_partkey % 4 WHEN 2 THEN 'curate: empty code' WHEN 3 THEN 'types: no object of types' ELSE '' END AS error FROM part""")
+def typed_workflow(spark, sf_dir):
+    """Rules directed, filed under types, curated as criterion code, cleaned, checked and
+    tabulated."""
+    rows = t(spark, sf_dir, "part").select("p_partkey", "p_size", (F.col("p_partkey") % 4).alias("k"), F.concat(F.lit("part "), "p_partkey").alias("input_rule"), (F.col("p_partkey") % 4 == 1).alias("exclude"))
+    asked = text.directed(F.col("input_rule"), F.col("exclude"))
+    kinds = F.when(F.col("k") == 3, "none").otherwise(F.concat(F.lit('{"'), asked, F.lit('": ["Age"]}')))
+    code = F.when(F.col("k") == 2, "```python\nfrom x import y\n```").otherwise(F.concat(F.lit("```python\nfrom x import y\ncriteria: List[BaseCriterion] = [\nAge(age="), "p_size", F.lit(', operator=">=")\n]\n```')))
+    cache = answers(rows, "types", asked, kinds).unionAll(answers(rows, "curate", F.concat_ws("\n", asked, F.when(F.col("k") != 3, "Age").otherwise("")), code))
+    done = curation.typed(rows, models.Asker(cache)).filter("k <> 3 or size(errors) > 0")
+    table = curation.tabulated(done.filter("node is not null").selectExpr("cast(p_partkey as string) AS TrialId", "'c' AS Cohort", "0 AS pos", "node", "p_partkey"))
+    out = done.select("p_partkey", "rule_text", F.try_element_at("errors", F.lit(1)).alias("error")).join(table.select("p_partkey", F.get_json_object("node", "$.age").cast("int").alias("age"), F.col("Age").alias("n_age"), F.col("RuleId").alias("rule_id")), "p_partkey", "left")
+    return out.select("p_partkey", "rule_text", F.when(F.col("rule_id").isNotNull(), F.col("age")).alias("age"), "n_age", "rule_id", F.coalesce("error", F.lit("")).alias("error"))
+
+
+@query(f"""{DIFF_SQL},
+kept AS (SELECT label AS cohort, 'text ' || vec_id AS description, vec_id AS n FROM embeddings WHERE vec_id % 2 = 0)
+SELECT p.cohort, p.old_text AS description, k.n, p.new_text AS mapped_text, coalesce(p.similarity, 0.0) AS similarity, CASE WHEN p.new_text IS NOT NULL THEN 'R' || p.new_pos END AS mapped_rule
+FROM placed p LEFT JOIN kept k ON k.cohort = p.cohort AND k.description = p.old_text""")
+def review_merge(spark, sf_dir):
+    """Curated rows merged with the mapped rules of their cohort by the ordered difference."""
+    old, new = sides(spark, sf_dir)
+    table = old.select(F.col("cohort").alias("Cohort"), F.col("text").alias("Description"), F.col("pos").alias("n"))
+    diff = checkpointed(ordered_diff(spark, sf_dir)).withColumnRenamed("cohort", "Cohort")
+    rules = new.select(F.col("cohort").alias("Cohort"), "text", F.concat(F.lit("R"), "pos").alias("rule"), F.lit(1).alias("order"))
+    rules = rules.unionByName(rules.withColumns({"rule": F.lit("earlier"), "order": F.lit(0)}))
+    out = curation.merged_mappings(table, diff, rules)
+    return out.select(F.col("Cohort").alias("cohort"), F.col("Description").alias("description"), "n", F.col("MappedText").alias("mapped_text"), F.col("Similarity").alias("similarity"), F.col("MappedRule").alias("mapped_rule"))
+
+
+@query("""SELECT c_custkey, -2 AS place, 'trial_id' || chr(9) || 'T_' || c_custkey AS line FROM customer UNION ALL SELECT c_custkey, -1, 'title' || chr(9) || c_mktsegment FROM customer
+UNION ALL SELECT c_custkey, k, 'criterion' || chr(9) || 'I-0' || k || chr(9) || c_name || chr(9) || 'R' FROM customer, (SELECT unnest(range(1, 3)) AS k)""")
+def reformatted_table(spark, sf_dir):
+    """The reformatted table with its head rows."""
+    rows = t(spark, sf_dir, "customer")
+    docs = rows.select("c_custkey", F.concat(F.lit("Trial ID: T "), "c_custkey", F.lit("\nTrial Title:  "), "c_mktsegment", F.lit("\n")).alias("text"))
+    lines = rows.select("c_custkey", F.explode(F.sequence(F.lit(1), F.lit(2))).alias("at"), "c_name")
+    lines = lines.select("c_custkey", "at", files.criterion_line(F.concat(F.lit("I-0"), "at"), F.col("c_name"), F.array(F.lit("R"))).alias("line"))
+    return files.reformatted(docs, lines, "c_custkey")
+
+
+@query("""SELECT o_orderkey, '{"o_orderkey":' || o_orderkey || ',"section":' || CASE WHEN o_orderstatus = 'P' THEN 'null' ELSE '"' || o_orderstatus || '"' END || ',"curations":[' || coalesce(string_agg('{"input_rule":"' || l_returnflag || l_linenumber || '"}', ',' ORDER BY l_linenumber, l_returnflag || l_linenumber), '') || ']}' AS record
+FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_orderstatus""")
+def grouped_records(spark, sf_dir):
+    """Grouped rows as JSON records, children without what their parent says."""
+    rows = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("seq"), F.concat("l_returnflag", "l_linenumber").alias("input_rule"), F.lit("x").alias("section"))
+    parents = t(spark, sf_dir, "orders").select("o_orderkey", F.expr("nullif(o_orderstatus, 'P')").alias("section"))
+    record = files.json_records(nesting.grouped(parents, rows, "o_orderkey", "seq"))
+    return record.select(F.get_json_object("record", "$.o_orderkey").cast("long").alias("o_orderkey"), "record")

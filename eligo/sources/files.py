@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eligo.functions.criteria import parsed
-from eligo.functions.text import document_id, unescaped
+from eligo.functions.text import document_id, header_value, unescaped
 from eligo.operators.review import back_filled, schema
 
 CRITERIA = "$.protocolSection.eligibilityModule.eligibilityCriteria"
@@ -34,8 +34,9 @@ def read_protocols(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """The wide catalogue with row_pos; rows keep the file's order."""
-    wide = spark.read.csv(path, header=True)
+    """The wide catalogue with row_pos; rows keep the file's order. A catalogue is a small sheet: it is read in one
+    piece, so that the order holds and cells may have line ends."""
+    wide = spark.read.csv(path, header=True, multiLine=True)
     return wide.withColumn("row_pos", F.monotonically_increasing_id())
 
 
@@ -82,8 +83,21 @@ def write_counts(rows: DataFrame, path: str) -> None:
     rows.write.mode("errorifexists").csv(path, sep="\t", header=True, nullValue="", emptyValue="", quote='"', escape='"')
 
 
+#: Fields of a curation that its parent already says (fixed values).
+REDUNDANT = ("original_input_rule", "original_input_rule_id", "section")
+
+
+def json_records(rows: DataFrame, children: str = "curations") -> DataFrame:
+    """record: each row as JSON text; in grouped rows the children without what their parent says."""
+    if children in rows.columns:
+        kept = [f.name for f in rows.schema[children].dataType.elementType.fields if f.name not in REDUNDANT]
+        rows = rows.withColumn(children, F.transform(children, lambda c: F.struct(*(c[k].alias(k) for k in kept))))
+    return rows.select(F.to_json(F.struct(*(F.col(f"`{c}`") for c in rows.columns)), {"ignoreNullFields": "false"}).alias("record"))
+
+
 def write_json(rows: DataFrame, path: str) -> None:
-    rows.write.mode("errorifexists").json(path)
+    """Grouped or flat rows, a record to a line; an existing path is never overwritten."""
+    json_records(rows).withColumnRenamed("record", "value").write.mode("errorifexists").text(path)
 
 
 def required(column: Column, what: str) -> Column:
@@ -122,6 +136,24 @@ def criterion_line(rule_id: Column, rule: Column, parts: Column) -> Column:
     return F.concat_ws("\t", F.lit("criterion"), tsv_cell(rule_id), tsv_cell(rule), F.transform(parts, tsv_cell))
 
 
+def reformatted(docs: DataFrame, lines: DataFrame, key: str) -> DataFrame:
+    """key, place, line of the reformatted table: ``trial_id`` and ``title`` head each document's criterion lines.
+
+    ``docs``: key, text; ``lines``: key, at, line."""
+    values = (("trial_id", document_id(F.col("text"))), ("title", header_value(F.col("text"), "Trial Title")))
+    heads = [F.concat_ws("\t", F.lit(name), tsv_cell(F.coalesce(v, F.lit("")))) for name, v in values]
+    head = docs.select(key, F.posexplode(F.array(*heads)).alias("at", "line"))
+    return head.select(key, (F.col("at") - 2).cast("long").alias("place"), "line").unionByName(lines.select(key, F.col("at").cast("long").alias("place"), "line"))
+
+
+def prefixed_path(path: Column, trial_id: Column) -> Column:
+    """:func:`prefixed` for a column of paths."""
+    name = F.substring_index(path, "/", -1)
+    folder = path.substr(F.lit(1), F.length(path) - F.length(name))
+    same = F.coalesce(trial_id, F.lit("")) == ""
+    return F.when(same | name.startswith(trial_id), path).otherwise(F.concat(folder, trial_id, F.lit("_"), name))
+
+
 def prefixed(path: str, trial_id: str | None) -> str:
     """The path with the trial's id before its file name; as it is without an id or if it has it already."""
     at = PurePosixPath(path)
