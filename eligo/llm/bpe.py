@@ -7,17 +7,19 @@ The distinct words of a block of texts, sorted by bytes, are the trie in depth-f
 of the current path, drops those below the common prefix with the next word and computes each node once. Besides its
 last token a node has the longest suffix that begins some token, from which its candidates follow, longest first.
 Words are then read off backwards. Texts are joined from their words' ids; a worker remembers a bounded number of
-words.
+words. Decoding takes the ids' byte strings from the vocabulary, a batch at once.
 
 Defined results: null and empty texts have no ids and decode to the empty text; added tokens in a text keep their own
-id, as the tokenizer does by default; ids that form no valid UTF-8 decode with replacement characters.
+id, as the tokenizer does by default; ids that form no valid UTF-8 decode with replacement characters. Both functions
+work on a column, so rows with a null key, repeated rows and extra columns stay as they are, and an empty table gives
+no rows. Texts are coded about two million bytes at a time; a longer one is coded whole, in one piece.
 """
 
 from __future__ import annotations
 
-import gc
 import json
 import re
+import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -27,16 +29,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from eligo.llm.common import blocks, byte_letters, table, text_of, tokenizer_path
+from eligo.llm.common import blocks, byte_letters, collector_off, table, text_of, tokenizer_path
 
 #: White space as the pre-tokenizer's pattern understands it (fixed values).
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: The public byte-level pre-tokenizer pattern (fixed value).
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + BLANK + r"\p{L}\p{N}]+|[" + BLANK + r"]+(?![^" + BLANK + r"])|[" + BLANK + r"]+"
-#: A coarser cut of a text that never parts a pre-token: runs with their leading space, and white space.
-UNIT = " ?[^" + BLANK + "]+|[" + BLANK + "]+(?![^" + BLANK + "])|[" + BLANK + "]+"
-#: Units whose ids a Python worker remembers.
-CACHE_UNITS = 700_000
+#: Pre-tokens whose ids a Python worker remembers.
+CACHE_WORDS = 700_000
+
+
+def kind(letter: str) -> str:
+    """The characters of one general category under 0x10000, as ranges of a character class."""
+    own = [c for c in range(0x10000) if unicodedata.category(chr(c))[0] == letter]
+    starts = [c for c, before in zip(own, [-2, *own]) if c != before + 1]
+    stops = [c for c, after in zip(own, [*own[1:], -2]) if c + 1 != after]
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(starts, stops))
+
+
+@lru_cache(maxsize=1)
+def basic_pretoken() -> re.Pattern:
+    """The pre-tokenizer's cut for texts of characters under 0x10000, spelled out for the quicker standard library."""
+    letter, number = kind("L"), kind("N")
+    return re.compile(f" ?[{letter}]+|'(?:s|t|re|ve|m|ll|d)| ?[{number}]+| ?[^{BLANK}{letter}{number}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
 
 
 class TrieBpe:
@@ -63,13 +78,14 @@ class TrieBpe:
         by_bytes = {as_bytes(t): i for t, i in vocab.items()}
         self.ids = [by_bytes[t] for t in self.text]
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.out = {i: t for t, i in by_bytes.items()} | {i: c.encode() for c, i in self.added.items()}
+        out = {i: t for t, i in by_bytes.items()} | {i: c.encode() for c, i in self.added.items()}
+        self.out = pa.array([out.get(i) for i in range(max(out) + 1)], pa.large_binary())
         self.pretoken = regex.compile(PRETOKEN)
-        self.unit = re.compile(UNIT)
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.memory: dict[str, bytes] = {}
         self.joins: dict[int, bool] = {}
         self.packed = [i.to_bytes(4, "little") for i in self.ids]
+        self.sizes = [len(t) for t in self.text]
         # a token counts only if its own bytes encode to it
         self.whole = [True] * len(self.text)
         for k in range(256, len(self.text)):
@@ -119,8 +135,8 @@ class TrieBpe:
         return to
 
     def walk(self, words: list[bytes]):
-        """(word, ids as bytes) for sorted distinct words: a depth-first walk of their trie."""
-        forward, ending, joins, text, packed = self.next.get, self.ending, self.joins.get, self.text, self.packed
+        """The ids, as bytes, of each of the sorted distinct words: a depth-first walk of their trie."""
+        forward, ending, joins, sizes, packed = self.next.get, self.ending, self.joins.get, self.sizes, self.packed
         before, last, state = b"", [-1], [0]
         for word in words:
             n = 0
@@ -146,45 +162,50 @@ class TrieBpe:
             while at:
                 k = last[at]
                 tokens.append(packed[k])
-                at -= len(text[k])
+                at -= sizes[k]
             tokens.reverse()
-            yield word, b"".join(tokens)
-
-    def learn(self, units: set[str]) -> None:
-        memory = self.memory
-        new = [u for u in units if u not in memory]
-        if len(memory) + len(new) > CACHE_UNITS:
-            memory.clear()
-            new = list(units)
-        whole, parted = [], []
-        for u in new:
-            if u.isalpha() or u[0] == " " and u[1:].isalpha():
-                whole.append((u, u.encode()))
-            else:
-                parted.append((u, [p.encode() for p in self.pretoken.findall(u)]))
-        known = dict(self.walk(sorted({w for _, w in whole}.union(*(c for _, c in parted)))))
-        memory.update((u, known[w]) for u, w in whole)
-        memory.update((u, b"".join([known[w] for w in c])) for u, c in parted)
+            yield b"".join(tokens)
+
+    def learn(self, words: set[str]) -> None:
+        new = words.difference(self.memory)
+        if len(self.memory) + len(new) > CACHE_WORDS:
+            self.memory.clear()
+            new = words
+        new = sorted(new)  # by code points, which is the order of their bytes
+        self.memory.update(zip(new, self.walk([w.encode() for w in new])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        findall, special = self.unit.findall, self.special
-        cut, odd = [], {}
+        basic, full, special = basic_pretoken().findall, self.pretoken.findall, self.special
+        cut, added = [], {}
         for i, t in enumerate(texts):
             if special and special.search(t):
-                odd[i] = [self.added[part] if k % 2 else findall(part) for k, part in enumerate(special.split(t))]
-                cut.append([u for part in odd[i] if type(part) is list for u in part])
+                added[i] = [self.added[part] if k % 2 else full(part) for k, part in enumerate(special.split(t))]
+                cut.append([w for part in added[i] if type(part) is list for w in part])
             else:
-                cut.append(findall(t))
-        self.learn(set().union(*cut))
+                cut.append(basic(t) if t.isascii() or len(t.encode("utf-16-le")) == 2 * len(t) else full(t))
+        words = set().union(*cut)
+        self.learn(words)
         get = self.memory.__getitem__
         out = [b"".join(map(get, c)) for c in cut]
-        for i, parts in odd.items():
+        for i, parts in added.items():
             out[i] = b"".join(p.to_bytes(4, "little") if type(p) is int else b"".join(map(get, p)) for p in parts)
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.out.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: pa.Array, ends: np.ndarray) -> pa.Array:
+        """The texts of rows of ids; row k holds ``ids[ends[k]:ends[k + 1]]``."""
+        tokens = self.out.take(ids)
+        if tokens.null_count:
+            raise ValueError("an id that the vocabulary does not have")
+        _, offsets, data = tokens.buffers()
+        stops = np.frombuffer(offsets, np.int64, len(tokens) + 1)[ends]
+        texts = pa.Array.from_buffers(pa.large_string(), len(ends) - 1, [None, pa.py_buffer(stops), data or pa.py_buffer(b"")])
+        try:
+            texts.validate(full=True)
+            return texts.cast(pa.string())
+        except pa.ArrowInvalid:  # some row is no valid UTF-8
+            raw = memoryview(data)
+            return pa.array([bytes(raw[a:b]).decode("utf-8", "replace") for a, b in zip(stops, stops[1:])], pa.string())
 
 
 @lru_cache(maxsize=2)
@@ -198,13 +219,13 @@ def encode(text: Column, tokenizer: str | None = None) -> Column:
 
     @arrow_udf("array<int>")
     def run(texts: pa.Array) -> pa.Array:
-        gc.disable()  # the memory has no cycles, and its many small objects make collections slow
         bpe, sizes, parts = coder(path), [0], []
         lengths = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        for at, to in blocks(lengths):
-            for coded in bpe.encode([t or "" for t in texts.slice(at, to - at).to_pylist()]):
-                sizes.append(len(coded) // 4)
-                parts.append(coded)
+        with collector_off():
+            for at, to in blocks(lengths):
+                for coded in bpe.encode([t or "" for t in texts.slice(at, to - at).to_pylist()]):
+                    sizes.append(len(coded) // 4)
+                    parts.append(coded)
         values = pa.array(np.frombuffer(b"".join(parts), "<i4"), pa.int32())
         return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes), pa.int32()), values)
 
@@ -212,16 +233,18 @@ def encode(text: Column, tokenizer: str | None = None) -> Column:
 
 
 def decode(ids: Column, tokenizer: str | None = None) -> Column:
-    """The text that ids stand for, added tokens included."""
+    """The text that ids stand for, added tokens included; null for null."""
     path = tokenizer or tokenizer_path("byte_bpe_50k.json")
 
     @arrow_udf("string")
     def run(arrays: pa.Array) -> pa.Array:
-        bpe, out = coder(path), []
-        for k in range(len(arrays)):
-            row = arrays[k].values
-            out.append(None if row is None else bpe.decode(row.to_numpy().tolist()))
-        return pa.array(out, pa.string())
+        bpe, parts = coder(path), []
+        lengths = pa.compute.fill_null(pa.compute.list_value_length(arrays), 0).to_numpy(zero_copy_only=False)
+        for at, to in blocks(lengths):
+            part = arrays.slice(at, to - at)
+            parts.append(bpe.decode(part.flatten(), np.concatenate(([0], np.cumsum(lengths[at:to], dtype=np.int64)))))
+        texts = pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+        return pa.compute.if_else(arrays.is_valid(), texts, None) if arrays.null_count else texts
 
     return run(ids)
 

@@ -2,39 +2,36 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
 import os
-import tempfile
-import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eligo.sources.shared import checkpointed, fresh_dir, shared_dir  # noqa: F401
+
 #: ASCII white space; a word is a maximal run of anything else.
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; one is set only where none is (tests)."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        known = spark.sparkContext._jsc.sc().getCheckpointDir()
-        at = known.get() if known.isDefined() else "file://" + tempfile.mkdtemp(prefix="spark-")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(at)
-    return at
-
+def written(df: DataFrame, what: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again: later reads take only the columns they need, from
+    as many tasks as the bytes are worth. Its lineage ends there."""
+    at = fresh_dir(df.sparkSession, what)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder; its lineage ends there, so lost executors cost nothing."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
 
+def file_system(uri: str):
+    """(file system, path) of a shared folder's URI, for tasks that write files of their own there."""
+    from pyarrow import fs
 
-def fresh_dir(spark: SparkSession, what: str) -> str:
-    """A new path inside the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:") :]
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +65,18 @@ def blocks(lengths: np.ndarray, most: int = 2_000_000):
         yield at, len(lengths)
 
 
+@contextlib.contextmanager
+def collector_off():
+    """Python's cycle collector rests meanwhile: it is slow over large memories of many small objects without cycles."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in byte-level vocabularies, reversed."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
