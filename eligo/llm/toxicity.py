@@ -5,16 +5,23 @@ x holds which sparse features a text has: its words and their first four and fiv
 severity is its expected grade, the sum of P(grade > j); it is toxic where that reaches a cut.
 
 The model is fitted on a bounded sample: ``sample_rows`` toxic labelled rows and four times as many clean ones, those
-with the least hash of their key. Features enter if the sample shows by a likelihood ratio test that toxic rows have
-them more often. Labels only say toxic or not, so toxic rows are graded 1 to 3 by thirds of how many of the features typical
-of toxic rows they hold. Half of the sample fits the weights, the other half the cut: the one that loses least, a
-clean row flagged counting as ``clean_weight`` missed toxic ones; where several do, the middle between them.
-
-Whole texts are scored, each in one pass in its task; only the sample's features reach the driver.
-
-Defined results: null and empty texts have no features and the lowest severity; without labels of both classes
-nothing is toxic and severity is 0; repeated rows are judged alike; rows with a null key are judged like any other;
-extra columns are kept, with ``severity``, ``grade`` and ``toxic`` replaced; an empty table gives no rows.
+with the least hash of their key. Half of the sample fits the weights, the other half the cut: the one that loses
+least, a clean row flagged counting as ``clean_weight`` missed toxic ones; where several do, the middle between them.
+Features enter if the fitting half shows by a likelihood ratio test that toxic rows have them more often; all that do
+enter. They are counted in Spark, and only they, with the sampled rows that hold them, reach the driver, as a sparse
+matrix: its size follows the sample, not the texts' length.
+
+Labels only say toxic or not. Toxic rows are graded 1 to 3 by thirds of how many telling features they hold, which are
+the features that the model weighs: the order of the grades is partly its own input, and no label says that the thirds
+are right. So severity orders documents by how much in them points to toxic text; it is no measured harm. Grades from
+what the model does not see (occurrences, occurrences to a word) were tried and part toxic from clean rows worse.
+
+Whole texts are scored, each in one pass in its task; a very long text's features are held in its task only.
+
+Defined results: null and empty texts have no features and the lowest severity; with fewer than ``least_rows``
+labelled rows, or those of one class only, nothing is toxic and severity is 0; repeated rows are judged alike; rows
+with a null key are judged like any other; extra columns are kept, with ``severity``, ``grade`` and ``toxic``
+replaced; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from eligo.llm.common import blocks, table, text_of
+from eligo.llm.common import blocks, checkpointed, table, text_of
 
 BUCKETS = 1 << 22
 EDGE = "".join(map(chr, range(33, 48))) + ":;<=>?@[\\]^_`{|}~¡¿«»…—–“”‘’"
@@ -75,23 +82,49 @@ class Model:
         return sum((1 / (1 + np.exp(t - eta)) for t in self.thresholds), np.zeros(len(eta)))
 
 
-def fit_ordinal(x: np.ndarray, grade: np.ndarray, grades: int, rounds: int = 400, ridge: float = 2e-3) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ascending thresholds of a proportional odds model, by accelerated gradient steps."""
-    n, k = x.shape
+@dataclass
+class Sparse:
+    """Zeros and ones: (row[i], column[i]) are the ones."""
+
+    row: np.ndarray
+    column: np.ndarray
+    rows: int
+    columns: int
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, w[self.column], self.rows)
+
+    def back(self, v: np.ndarray) -> np.ndarray:
+        """The transposed matrix times ``v``."""
+        return np.bincount(self.column, v[self.row], self.columns)
+
+    def of_rows(self, keep: np.ndarray) -> Sparse:
+        ones = keep[self.row]
+        return Sparse((np.cumsum(keep) - 1)[self.row[ones]], self.column[ones], int(keep.sum()), self.columns)
+
+
+def gradient(params: np.ndarray, x: Sparse, above: np.ndarray, weight: np.ndarray, ridge: float) -> np.ndarray:
+    """Of the weighted negative log-likelihood with a ridge on the weights. ``params``: weights, the first threshold,
+    and what gives the steps between thresholds by softplus."""
+    k = x.columns
+    t = params[k] + np.concatenate([[0.0], np.cumsum(np.log1p(np.exp(params[k + 1 :])))])
+    p = 1 / (1 + np.exp(np.clip(t - x.times(params[:k])[:, None], -30, 30)))
+    err = weight[:, None] * (p - above)
+    by_t = -err.sum(0)
+    steps = np.cumsum(by_t[::-1])[::-1][1:] / (1 + np.exp(-params[k + 1 :]))
+    return np.concatenate([x.back(err.sum(1)) + ridge * params[:k], [by_t.sum()], steps])
+
+
+def fit_ordinal(x: Sparse, grade: np.ndarray, grades: int, rounds: int = 400, ridge: float = 2e-3) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and ascending thresholds of a proportional odds model, by accelerated gradient steps. Grades weigh alike."""
+    k = x.columns
     above = grade[:, None] > np.arange(grades - 1)
     weight = (1 / np.maximum(1, np.bincount(grade, minlength=grades)))[grade]
-    weight = (weight / weight.sum())[:, None]
-    x = x.astype(np.float32, copy=False)
-    params = np.concatenate([np.zeros(k), [0.0], np.ones(grades - 2)])  # weights, first threshold, steps between thresholds
+    weight = weight / weight.sum()
+    params = np.concatenate([np.zeros(k), [0.0], np.ones(grades - 2)])
     first, second = np.zeros_like(params), np.zeros_like(params)
     for step in range(1, rounds + 1):
-        gaps = np.log1p(np.exp(params[k + 1 :]))
-        t = params[k] + np.concatenate([[0.0], np.cumsum(gaps)])
-        p = 1 / (1 + np.exp(np.clip(t - (x @ params[:k].astype(np.float32)).astype(float)[:, None], -30, 30)))
-        err = weight * (p - above)
-        by_t = -err.sum(0)
-        grad_gaps = np.cumsum(by_t[::-1])[::-1][1:] / (1 + np.exp(-params[k + 1 :]))
-        grad = np.concatenate([x.T @ err.sum(1).astype(np.float32) + ridge * params[:k], [by_t.sum()], grad_gaps])
+        grad = gradient(params, x, above, weight, ridge)
         first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad * grad
         params = params - 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-9)
     gaps = np.log1p(np.exp(params[k + 1 :]))
@@ -111,7 +144,8 @@ def best_cut(severity: np.ndarray, toxic: np.ndarray, clean_weight: float) -> fl
 
 
 def sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
-    """toxic and features of the sampled rows of ``docs`` (doc_id, text)."""
+    """key, toxic and feature of every sampled row of ``docs`` (doc_id, text): a row for each feature, checkpointed.
+    Of rows that share a key the one with the least text is taken."""
     named = labels.filter("doc_id is not null and toxic in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("key")).agg(F.max("toxic").alias("toxic"))
     parts = [named.filter(F.col("toxic") == g).orderBy(F.xxhash64("key", F.lit(3)), "key").limit(n) for g, n in ((0, 4 * sample_rows), (1, sample_rows))]
     keys = F.broadcast(parts[0].unionAll(parts[1]))
@@ -123,45 +157,47 @@ def sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
         flat = np.concatenate(sets) if sets else np.empty(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(flat, pa.int32()))
 
-    return docs.join(keys, docs["doc_id"] == keys["key"]).select("key", "toxic", run("text").alias("features"))
+    rows = docs.join(keys, docs["doc_id"] == keys["key"]).groupBy("key", "toxic").agg(F.min("text").alias("text"))
+    return checkpointed(rows.select("key", "toxic", F.explode_outer(run("text")).alias("feature")))
+
+
+#: The fitting half of the sample, as a condition on its rows.
+FIT_HALF = "pmod(xxhash64(key, 5), 2) = 0"
+
+
+def telling(rows: DataFrame, size: list[int]) -> DataFrame:
+    """feature: those that toxic rows of the fitting half have more often, by a likelihood ratio test.
+
+    ``size``: clean and toxic rows of that half."""
+    count = lambda g: F.count(F.when(F.col("toxic") == g, 1)).cast("double")
+    seen = rows.filter(FIT_HALF).filter("feature is not null").groupBy("feature").agg(count(0).alias("good"), count(1).alias("bad")).filter("bad >= 4")
+    expected = [(F.col("good") + F.col("bad")) * (n / sum(size)) for n in size]
+    part = lambda o, e: F.when(o > 0, o * F.log(F.greatest(o, F.lit(1.0)) / e)).otherwise(0.0)
+    gain = 2 * (part(F.col("good"), expected[0]) + part(F.col("bad"), expected[1]))
+    often = F.col("bad") * size[0] > 5 * F.col("good") * size[1]  # five times as often, whatever the classes' sizes
+    return seen.filter((gain > 18) & often).select("feature")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 1_500, most_features: int = 1_000, clean_weight: float = 10.0) -> Model:
-    rows = sample(docs, labels, sample_rows).toArrow().sort_by("key")
-    toxic = rows["toxic"].to_numpy() == 1
-    if not toxic.any() or toxic.all() or len(toxic) < 20:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2_000, clean_weight: float = 10.0, least_rows: int = 20) -> Model:
+    rows = sample(docs, labels, sample_rows)
+    heads = rows.select("key", "toxic", F.expr(FIT_HALF).alias("fit")).distinct().toArrow().sort_by("key")
+    key, toxic, half = heads["key"].to_numpy(), heads["toxic"].to_numpy() == 1, np.asarray(heads["fit"].to_pylist(), bool)
+    size = [int((half & (toxic == g)).sum()) for g in (False, True)]
+    if not all(size) or len(toxic) < least_rows:
         return Model({}, [], 1.0)
-    lists = rows["features"].combine_chunks()
-    ends = lists.offsets.to_numpy()
-    flat, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(toxic)), np.diff(ends))
-    half = np.asarray([xxhash.xxh32_intdigest(str(k)) % 2 == 0 for k in rows["key"].to_pylist()])
-    of_fit = half[owner]
-    size = [max(1, int((half & (toxic == g)).sum())) for g in (False, True)]
-    bad = np.bincount(flat[of_fit & toxic[owner]], minlength=BUCKETS)
-    some = np.flatnonzero(bad >= 4).astype(np.int32)
-    bad = bad[some].astype(float)
-    good = np.bincount(flat[of_fit & ~toxic[owner]], minlength=BUCKETS)[some].astype(float)
-    seen, total = (good, bad), good + bad
-    expected = [total * (n / sum(size)) for n in size]
-    gain = 2 * sum(np.where(o > 0, o * np.log(np.maximum(o, 1) / e), 0.0) for o, e in zip(seen, expected))
-    keep = np.flatnonzero((gain > 18) & (bad > 3 * expected[1]))
-    telling = np.sort(some[keep[np.argsort(-gain[keep], kind="stable")][:most_features]])
-    if not len(telling):
+    hits = rows.join(telling(rows, size), "feature").select("key", "feature").toArrow().sort_by([("key", "ascending"), ("feature", "ascending")])
+    if not hits.num_rows:
         return Model({}, [], 1.0)
-    at = np.searchsorted(telling, flat)
-    hit = (at < len(telling)) & (telling[np.minimum(at, len(telling) - 1)] == flat)
-    x = np.zeros((len(toxic), len(telling)), np.float32)
-    x[owner[hit], at[hit]] = 1
-    held = x.sum(1)
+    features, column = np.unique(hits["feature"].to_numpy(), return_inverse=True)
+    x = Sparse(np.searchsorted(key, hits["key"].to_numpy()), column, len(toxic), len(features))
+    held = x.times(np.ones(x.columns))
     thirds = np.quantile(held[half & toxic], [1 / 3, 2 / 3])
     grade = np.where(toxic, 1 + (held > thirds[0]) + (held > thirds[1]), 0)
-    weights, thresholds = fit_ordinal(x[half], grade[half], 4)
-    model = Model(dict(zip(telling.tolist(), weights.tolist())), thresholds.tolist(), 0.0)
+    weights, thresholds = fit_ordinal(x.of_rows(half), grade[half], 4)
+    model = Model(dict(zip(features.tolist(), weights.tolist())), thresholds.tolist(), 0.5)
     rest = ~half
     if toxic[rest].any() and not toxic[rest].all():
-        model.cut = best_cut(model.severity(x[rest] @ weights), toxic[rest], clean_weight)
-    else:
-        model.cut = 0.5
+        model.cut = best_cut(model.severity(x.of_rows(rest).times(weights)), toxic[rest], clean_weight)
     return model
 
 
