@@ -31,8 +31,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eligo.llm.common import checkpointed, table, text_of
-from eligo.llm.graph import components
+from eligo.llm.common import table, text_of, written
+from eligo.llm.graph import stars
 
 #: Mixing constants (odd 64-bit numbers).
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -164,57 +164,68 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets have at least ``percent`` similarity.
+    """The rows of ``pairs`` (distinct a, b, ...) whose full sets have at least ``percent`` similarity, as a table.
 
-    A pair that sizes or parities rule out is dropped before any set is read."""
+    A pair that sizes or parities rule out is dropped before any set is read; so the sets of a pair are of like size,
+    and carrying one of them with each pair moves no more than the pairs' own texts are worth."""
     one, two = (sizes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("p").alias(f"p{x}")) for x in "ab")
     sized = pairs.join(one, "a").join(two, "b")
-    sized = sized.filter(may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)).select("a", "b")
-    sized = checkpointed(sized)
-    wanted = sized.select(F.col("a").alias("id")).unionAll(sized.select(F.col("b").alias("id"))).distinct()
-    sets = shingle_sets(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]), width)
+    sized = written(sized.filter(may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)).select(*pairs.columns), "pairs")
+    wanted = sized.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = written(shingle_sets(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]), width), "sets")
     both = sized.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
-    both = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).alias("same"), (F.size("sa") + F.size("sb")).alias("total"))
-    return both.filter(100 * F.col("same") >= percent * (F.col("total") - F.col("same"))).select("a", "b")
+    both = both.select(*pairs.columns, F.size(F.array_intersect("sa", "sb")).alias("same"), (F.size("sa") + F.size("sb")).alias("total"))
+    return written(both.filter(100 * F.col("same") >= percent * (F.col("total") - F.col("same"))).select(*pairs.columns), "links")
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 48, rows: int = 6, key: str = "doc_id", text: str = "text") -> DataFrame:
+def across_groups(shared: DataFrame, groups: DataFrame, sizes: DataFrame, percent: int, tile: int) -> DataFrame:
+    """Distinct (a, b, ca, cb): pairs that share a bucket, are in different groups ca < cb and may be similar enough.
+
+    ``shared``: key, id, hub, ``groups``: id, component. Pairs with a bucket's hub have been tried. A bucket's members
+    are dealt to tiles of about ``tile`` members, and each pair of tiles meets in a task of its own."""
+    named = written(shared.join(groups, "id", "left").select("key", "id", "hub", F.coalesce("component", "id").alias("component")), "named")
+    several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).filter("lo < hi and members > 2")
+    several = written(several.select("key", F.ceil(F.col("members") / tile).cast("int").alias("tiles")), "several")
+    left = written(named.filter("id <> hub").join(several, "key").join(sizes, "id").select("key", "tiles", "id", "component", "n", "p"), "left")
+    mine, any_ = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    x, y = (left.select("key", "tiles", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "component", "n", "p")), mine.alias(f"t{s}"), any_.alias(f"t{o}")) for s, o in ("xy", "yx"))
+    fits = (F.col("component_x") < F.col("component_y")) & may_link(F.col("n_x"), F.col("p_x"), F.col("n_y"), F.col("p_y"), percent)
+    pairs = x.join(y, (x["key"] == y["key"]) & (x["tx"] == y["tx"]) & (x["ty"] == y["ty"]) & fits)
+    return pairs.select(F.col("id_x").alias("a"), F.col("id_y").alias("b"), F.col("component_x").alias("ca"), F.col("component_y").alias("cb")).distinct()
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 48, rows: int = 6, key: str = "doc_id", text: str = "text", tile: int = 2_000) -> DataFrame:
     """key, n_shingles, component_id (least key of the group), kept (key = component_id) for each row of ``docs``."""
-    sk = checkpointed(sketches(docs, width, bands, rows, key, text))
-    some = sk.filter("n > 0 and id is not null")
-    copies = some.groupBy("d0", "d1").agg(F.min("id").alias("rep"), F.count("*").alias("rows"), F.max("id").alias("last"))
-    copies = checkpointed(copies.filter("rows > 1").select("d0", "d1", "rep"))
-    meta = some.select("id", "n", "d0", "d1").join(copies, ["d0", "d1"], "left")
-    others = meta.filter("rep <> id").select("id", "rep")
-    banded = some.join(others.select("id"), "id", "left_anti").select("id", F.explode("keys").alias("key"))
-    hubs = banded.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("members")).filter("members > 1").select("key", "hub")
-    shared = checkpointed(banded.join(hubs, "key").select("key", "id", "hub"))
+    sk = written(sketches(docs, width, bands, rows, key, text), "sketches")
+    some = F.col("id").isNotNull() & (F.col("n") > 0)
+    copies = sk.filter(some).groupBy("d0", "d1").agg(F.min("id").alias("rep"), F.count("*").alias("rows"))
+    copies = written(copies.filter("rows > 1").select("d0", "d1", "rep"), "copies")
+    # a node is a set, under the least key that has it; only its row keeps the bucket keys
+    node = F.when(some, F.coalesce("rep", "id")).otherwise(F.col("id"))
+    nodes = sk.join(copies, ["d0", "d1"], "left").select("id", "n", "p", node.alias("node"), F.when(some & (node == F.col("id")), F.col("keys")).alias("keys"))
+    nodes = written(nodes, "nodes")
+    banded = nodes.filter("node = id").select("id", F.explode("keys").alias("key"))
+    hubs = banded.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last")
+    hubs = written(hubs.select("key", "hub"), "hubs")
+    shared = written(banded.join(hubs, "key"), "shared")
 
     texts = docs.select(docs[key].cast("long").alias("id"), text_of(docs, text).alias("text"))
-    sizes = some.select("id", "n", "p").dropDuplicates(["id"])
-    stars = shared.filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    links = checkpointed(confirmed(stars, texts, sizes, width, percent))
-    groups = checkpointed(components(links))
+    sizes = nodes.filter("keys is not null").select("id", "n", "p").dropDuplicates(["id"])
+    candidates = shared.filter("hub < id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    groups = stars(confirmed(candidates, texts, sizes, width, percent)).select(F.col("b").alias("id"), F.col("a").alias("component"))
 
     # members of buckets that still hold several groups: every pair across groups that no star has tried
-    named = shared.join(groups, "id", "left").select("key", "id", "hub", F.coalesce("component", "id").alias("component"))
-    mixed_keys = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).filter("lo < hi and members > 2").select("key")
-    left = named.join(mixed_keys, "key", "left_semi").join(sizes, "id").filter("id <> hub")
-    x, y = (left.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "component", "n", "p"))) for s in "xy")
-    fits = (F.col("component_x") < F.col("component_y")) & may_link(F.col("n_x"), F.col("p_x"), F.col("n_y"), F.col("p_y"), percent)
-    rest = x.join(y, (x["key"] == y["key"]) & fits).select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b")).distinct()
-    more = checkpointed(confirmed(rest, texts, sizes, width, percent))
-    if more.take(1):
-        groups = checkpointed(components(links.unionAll(more)))
-
-    final = sk.select("id", "n", "d0", "d1").join(copies, ["d0", "d1"], "left")
-    final = final.select("id", "n", F.when(F.col("n") > 0, F.col("rep")).alias("rep")).withColumn("node", F.coalesce("rep", "id"))
-    final = final.join(groups.select(F.col("id").alias("node"), "component"), "node", "left")
-    component = F.coalesce("component", "node")
+    more = confirmed(across_groups(shared, groups, sizes, percent, tile), texts, sizes, width, percent)
+    merged = stars(written(more.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "merged"))
+    merged = merged.select(F.col("b").alias("component"), F.col("a").alias("least"))
+
+    final = nodes.select("id", "n", "node").join(groups.withColumnRenamed("id", "node"), "node", "left")
+    final = final.withColumn("component", F.coalesce("component", "node")).join(merged, "component", "left")
+    component = F.coalesce("least", "component")
     return final.select(
         F.col("id").alias(key),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), component).alias("component_id"),
+        component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
 
