@@ -5,22 +5,25 @@ cut. Full pieces are sequences of their own. The others are dealt by a hash of t
 ``group_rows`` pieces, also those that share one key, so a task holds a bounded number of (key, length) rows however large the corpus is, and
 each group is packed on its own:
 
-1. best fit in descending length, then
+1. in the rows' order, each piece goes to the fullest bin that has room (best fit as the pieces arrive);
 2. local search over the underfull bins: move a piece, or exchange one for one or two for one, from the emptiest
    bin into a fuller one. Each step raises the sum of squared fills; a bin that becomes empty is dropped. It stops
-   when the number of bins is the lower bound ceil(tokens / max_tokens), or when no step is left.
+   when the number of bins is the lower bound ceil(tokens / max_tokens), or when no step is left;
+3. if bins are left over the bound, the pieces of the underfull ones are packed anew, longest first, and searched
+   again, as long as that saves bins.
 
-A group wastes less than one sequence over its lower bound in practice, so the loss against one global packing is
-about one sequence in ``group_rows / pieces per sequence``.
+``moves`` tells how many steps the search took in a piece's group. Of 60,000 pieces as the tables have them the first
+packing is 0.6 % over the bound, the search's 0.05 %. Groups lose little against one global packing: a fraction of a
+sequence each.
 
 Defined results: a null or empty text is a piece that holds only the end token; a null key packs like any other;
 repeated rows are packed as often as they occur; an empty table gives no rows; extra columns are ignored by
-:func:`pieces` and kept by :func:`pack`.
+:func:`pieces` and kept by :func:`pack`, whatever their names, but for those of its results. A very long text is coded
+whole, in one piece of work.
 """
 
 from __future__ import annotations
 
-import gc
 import heapq
 import os
 import re
@@ -34,7 +37,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eligo.llm.common import blocks, byte_letters, checkpointed, table, text_of, tokenizer_path
+from eligo.llm.common import blocks, byte_letters, checkpointed, collector_off, table, text_of, tokenizer_path
 
 #: Distinct words whose ids a Python worker remembers; past it the memory starts afresh.
 CACHE_WORDS = 700_000
@@ -130,14 +133,14 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int
     schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long"
 
     def run(batches):
-        gc.disable()  # the memory has no cycles, and its many small objects make collections slow
         ids, end = word_ids(tokenizer), np.asarray([end_id], "<u4").tobytes()
         for batch in batches:
             keys, rows = batch.column(0), []
             # a few MB of text at a time
             for at, to in blocks(pa.compute.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)):
-                texts = batch.column(1).slice(at, to - at).to_pylist()
-                for i, coded in enumerate(ids.encode(texts), at):
+                with collector_off():
+                    found = ids.encode(batch.column(1).slice(at, to - at).to_pylist())
+                for i, coded in enumerate(found, at):
                     coded += end
                     for k, start in enumerate(range(0, len(coded), step)):
                         part = coded[start : start + step]
@@ -151,12 +154,12 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int
     return docs.select(docs[key], text_of(docs, text).alias("text")).mapInArrow(run, schema)
 
 
-def best_fit(lengths: np.ndarray, size: int) -> list[list[int]]:
-    """Bins of row numbers: each row, longest first, goes to the fullest bin that has room."""
+def best_fit(lengths: np.ndarray, size: int, order: np.ndarray | None = None) -> list[list[int]]:
+    """Bins of row numbers: each row in ``order``, by default longest first, goes to the fullest bin that has room."""
     bins: list[list[int]] = []
     open_at: list[list[int]] = [[] for _ in range(size + 1)]  # bins by room left
     mask = 0  # bit r: some bin has room r
-    for i in np.argsort(-lengths, kind="stable").tolist():
+    for i in (np.argsort(-lengths, kind="stable") if order is None else order).tolist():
         n = int(lengths[i])
         fits = mask >> n
         if fits:
@@ -209,9 +212,9 @@ class Rooms:
         return int(gain[c]), int(totals[at[c]]), int(ys[c])
 
 
-def improve(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[list[int]]:
-    """Local search on the underfull bins: moves, one-for-one and two-for-one exchanges that raise the sum of
-    squared fills, until no bin more than needed is left or no exchange helps.
+def improve(bins: list[list[int]], lengths: np.ndarray, size: int) -> tuple[list[list[int]], int]:
+    """(bins, steps): local search on the underfull bins by moves, one-for-one and two-for-one exchanges that raise the
+    sum of squared fills, until no bin more than needed is left or no exchange helps.
 
     A sweep takes the bins emptiest first. A bin gives to bins that are at least as full until it is empty or no
     exchange is left, then rests; the last sweep is one without any exchange."""
@@ -219,7 +222,7 @@ def improve(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[list[
     n = lengths.tolist()
     fill = [sum(n[i] for i in b) for b in bins]
     alive = sum(1 for b in bins if b)
-    version = 0
+    version = 0  # the steps taken
     moved = True
     while alive > need and moved:
         moved, rooms, queue = False, Rooms(size), []
@@ -246,7 +249,22 @@ def improve(bins: list[list[int]], lengths: np.ndarray, size: int) -> list[list[
                     rooms.add(b, size - fill[b], held[b], version)
                     heapq.heappush(queue, (fill[b], b))
             alive -= not bins[a]
-    return [b for b in bins if b]
+    return [b for b in bins if b], version
+
+
+def searched(lengths: np.ndarray, size: int) -> tuple[list[list[int]], int]:
+    """(bins, steps) of the whole procedure; ``lengths`` in the order in which they arrive."""
+    need = -(-int(lengths.sum()) // size)
+    bins, steps = improve(best_fit(lengths, size, np.arange(len(lengths))), lengths, size)
+    while len(bins) > need:
+        full = [b for b in bins if int(lengths[b].sum()) == size]
+        rest = np.asarray(sorted(i for b in bins if int(lengths[b].sum()) < size for i in b))
+        again = [rest[b].tolist() for b in best_fit(lengths[rest], size)]
+        if len(full) + len(again) >= len(bins):
+            break
+        bins, more = improve(full + again, lengths, size)
+        steps += more
+    return bins, steps
 
 
 def totals_of(members: list[int], n: list[int]) -> np.ndarray:
@@ -274,38 +292,42 @@ def exchange(bins: list[list[int]], n: list[int], a: int, b: int, total: int, ta
     bins[b] += given
 
 
+RESULTS = ("sequence_id", "offset", "moves")
+
+
 def pack(rows: DataFrame, max_tokens: int = 4096, group_rows: int = 60_000, keys: tuple[str, ...] = ("doc_id", "piece"), length: str = "length") -> DataFrame:
-    """``rows`` with sequence_id and offset. ``rows`` are read more than once: give a checkpointed table."""
+    """``rows`` with sequence_id, offset and moves. ``rows`` are read more than once: give a checkpointed table."""
     groups = max(1, -(-rows.count() // group_rows))
-    out = [f for f in rows.schema if f.name not in ("sequence_id", "offset")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out) + ", sequence_id long, offset long"
+    out = [f for f in rows.schema if f.name not in RESULTS]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out) + ", sequence_id long, offset long, moves long"
     names = [f.name for f in out]
+    own = next(n for n in ("pack_group" + "_" * k for k in range(len(names) + 1)) if n not in names)
 
-    def one(key, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop(columns="pack_group").sort_values([length, *keys], ascending=False, kind="stable").reset_index(drop=True)
+    def one(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.drop(columns=own).sort_values(list(keys), kind="stable").reset_index(drop=True)
         n = frame[length].to_numpy()
+        bins, steps = searched(n, max_tokens)
         order, sequence, offset = [], [], []
-        for b, members in enumerate(improve(best_fit(n, max_tokens), n, max_tokens)):
+        for b, members in enumerate(bins):
             at = 0
             for i in members:
                 order.append(i)
                 sequence.append((int(key[0]) << 32) + b)
                 offset.append(at)
                 at += int(n[i])
-        return frame.iloc[order].assign(sequence_id=np.asarray(sequence, "int64"), offset=np.asarray(offset, "int64"))
+        return frame.iloc[order].assign(sequence_id=np.asarray(sequence, "int64"), offset=np.asarray(offset, "int64"), moves=steps)
 
     # the row number of the checkpointed rows parts those that are equal in every column
-    group = F.pmod(F.xxhash64(*names, "row"), F.lit(groups)).cast("int")
-    short = rows.select(*names, F.monotonically_increasing_id().alias("row")).filter(F.col(length) < max_tokens).select(*names, group.alias("pack_group"))
-    packed = short.groupBy("pack_group").applyInPandas(one, schema)
+    group = F.pmod(F.xxhash64(*names, F.monotonically_increasing_id()), F.lit(groups)).cast("int")
+    packed = rows.select(*names, group.alias(own)).filter(F.col(length) < max_tokens).groupBy(own).applyInPandas(one, schema)
     # a full piece is a sequence of its own; ids below zero cannot meet those of the groups
     full = rows.select(*names).filter(F.col(length) >= max_tokens)
-    full = full.select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    full = full.select("*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(0).cast("long").alias("moves"))
     return packed.unionByName(full)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, max_tokens: int = 4096, end_id: int = 1) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document."""
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset, moves for every piece of every document."""
     cut = pieces(docs, tokenizer or tokenizer_path("word_bpe_49k.json"), max_tokens, end_id)
     return pack(checkpointed(cut), max_tokens)
 
