@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import corpus_pipeline
 from eligo.llm.bpe import op4_bpe_trie
 from eligo.llm.chat import ORACLE as CHAT_ORACLE
 from eligo.llm.chat import op10_chat_examples
@@ -26,7 +25,6 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_chat_examples": op10_chat_examples,
-    "pipeline": corpus_pipeline.run,
 }
 
 URL_PARTS = """
@@ -38,18 +36,17 @@ URL_PARTS = """
 
 ORACLES: dict[str, str] = {
     "op10_chat_examples": CHAT_ORACLE,
-    "op6_url_filter": f"""
+    "op6_url_filter": rf"""
 WITH parts AS ({URL_PARTS}),
 rules(rule, rule_host, rule_path, rule_verdict) AS (VALUES
     ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'), ('example.org/en/1', 'example.org', '/en/1', 'block'),
     ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
 fits AS (
     SELECT page_id, rule, rule_verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC) AS k
-    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
-blocked(name) AS (VALUES ('adult-x.example.com'), ('ads-track.example.com'), ('casino-win.example.net'), ('cheap-pills.example.net'), ('free-bets.example.net'), ('spam-farm.example.org'))
+    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
 SELECT parts.page_id, host, path, rule,
        CASE WHEN rule_verdict IS NOT NULL THEN rule_verdict
-            WHEN EXISTS (SELECT 1 FROM blocked WHERE host = name OR ends_with(host, '.' || name)) THEN 'block' ELSE 'allow' END AS verdict
+            WHEN regexp_matches(host, '(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\.') THEN 'block' ELSE 'allow' END AS verdict
 FROM parts LEFT JOIN (SELECT * FROM fits WHERE k = 1) AS f ON parts.page_id = f.page_id
 """,
 }

@@ -1,23 +1,23 @@
 """URL filter by a sorted digest array.
 
-The list of entries (host, path prefix, verdict) is one file: 64-bit xxhash keys of the entries' strings in ascending
-order, their verdicts, and the strings themselves. Spark ships the file to every executor once, whose workers
-memory-map it and share its pages. A batch of urls becomes a batch of probes (each suffix of the host with each
-prefix length of the path that the list has), probed by vectorised binary search; a hit counts only if the stored
+The list of entries (host, path prefix, verdict) is a table of any length. Tasks write it as array files, each for a
+range of keys: 64-bit xxhash keys of the entries' strings in ascending order, their verdicts, and the strings
+themselves. Spark ships the files to every executor once, whose workers memory-map them and share their pages; the
+driver sees no entry, only the files' names. A batch of urls becomes a batch of probes (each suffix of the host with
+each prefix length of the path that the list has), probed by vectorised binary search; a hit counts only if the stored
 string equals the probe, so digest collisions cannot decide a url.
 
-The list's size is checked against ``most_bytes`` before it is gathered. A longer list is joined by its entry strings
+The list's size is checked against ``most_bytes`` before it is shipped. A longer list is joined by its entry strings
 instead (:func:`judge_by_join`), with the same result, and no part of it leaves the executors.
 
 Defined results: a null url and one without ``://`` have an empty host and path and fit no entry; repeated rows are
 judged alike; of several entries that fit, rules come before the block list and the longest wins, of equally long ones
-that with the longer path; an empty table gives no rows, extra columns are kept by the operator.
+that with the longer path; an empty table gives no rows; extra columns are kept, but ``host``, ``path``, ``rule`` and
+``verdict`` are the results.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from functools import lru_cache
 
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from eligo.llm.common import table
+from eligo.llm.common import file_system, fresh_dir, table, written
 
 #: The rules of the query (fixed values): host, path, verdict.
 RULES = (
@@ -39,14 +39,10 @@ RULES = (
     ("com", "/fr/", "allow"),
     ("com", "/de/", "block"),
 )
-#: Hosts that the block list names (fixed values).
-BLOCKED = ("adult-x.example.com", "ads-track.example.com", "casino-win.example.net", "cheap-pills.example.net", "free-bets.example.net", "spam-farm.example.org")
-#: The top-level domains of the given pages.
-TOPS = ("com", "net", "org")
+#: Labels of junk hosts, under whatever domain they stand (fixed values).
+JUNK = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FOUND = "struct<rule: string, verdict: string>"
-#: Codes of an entry: its list (rules first) and its verdict.
-CODES = {("rule", "allow"): 0, ("rule", "block"): 1, ("list", "allow"): 2, ("list", "block"): 3}
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -57,70 +53,96 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def entry_rows(spark: SparkSession, rules=RULES, blocked=BLOCKED) -> DataFrame:
-    """The entries as a table: host, path, origin (rule or list), verdict."""
-    rows = [(h, p, "rule", v) for h, p, v in rules] + [(h, "", "list", "block") for h in blocked]
-    return spark.createDataFrame(rows, "host string, path string, origin string, verdict string")
+def entry_rows(spark: SparkSession, rules=RULES) -> DataFrame:
+    """Rules as entries: host, path, origin (rule or list), verdict."""
+    return spark.createDataFrame([(h, p, "rule", v) for h, p, v in rules], "host string, path string, origin string, verdict string")
 
 
-def under_tops(hosts=BLOCKED, tops=TOPS) -> tuple[str, ...]:
-    """``hosts`` under each of the top-level domains ``tops``: a block list that pins none."""
-    return tuple(sorted({f"{h.rpartition('.')[0]}.{t}" for h in hosts for t in tops}))
-
-
-def digest_file(entries: DataFrame, most_bytes: int = 256 << 20) -> str | None:
-    """The name under which executors find the array of ``entries``; None if it would be larger than ``most_bytes``."""
-    sized = entries.agg(F.count("*").alias("n"), F.sum(F.octet_length("host") + F.octet_length("path") + 24).alias("b")).first()
-    if (sized["b"] or 0) > most_bytes:
+def junk_entries(pages: DataFrame, url: str = "url", labels=JUNK) -> DataFrame:
+    """A block list from crawled pages, by rule: each host that has one of ``labels`` before its last dot, from that
+    label on and so with its subdomains, under any domain; and each page of such a host."""
+    host, path = host_and_path(F.col(url))
+    inner = F.regexp_extract(host, r"(?:^|\.)((?:" + "|".join(labels) + r")\..*)$", 1)
+    found = pages.select(inner.alias("host"), path.alias("path")).filter("host <> ''").select("host", F.explode(F.array(F.lit(""), F.col("path"))).alias("path"))
+    return found.distinct().select("host", "path", F.lit("list").alias("origin"), F.lit("block").alias("verdict"))
+
+
+def digest_files(entries: DataFrame, most_bytes: int = 256 << 20, part_bytes: int = 32 << 20) -> list[str] | None:
+    """The names under which executors find the array of ``entries``; None if it would be larger than ``most_bytes``."""
+    spark = entries.sparkSession
+    code = F.when(F.col("origin") == "rule", 0).otherwise(2) + F.when(F.col("verdict") == "allow", 0).otherwise(1)
+    entries = written(entries.groupBy("host", "path").agg(F.min(code).alias("code")), "entries")
+    sized = entries.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 24).alias("b")).first()["b"] or 0
+    if sized > most_bytes:
         return None
-    strings: dict[str, tuple[int, int]] = {}
-    for r in entries.select("host", "path", "origin", "verdict").collect():
-        key, code = f"{r['host']}\n{r['path']}", CODES[r["origin"], r["verdict"]]
-        strings[key] = min(strings.get(key, (9, 0)), (code, len(r["path"])))
-    texts = sorted(strings, key=lambda s: (xxhash.xxh64_intdigest(s), s))
-    blob = [s.encode() for s in texts]
-    keys = np.asarray([xxhash.xxh64_intdigest(b) for b in blob], "<u8")
-    ends = np.cumsum([0, *map(len, blob)]).astype("<u8")
-    codes = np.asarray([strings[s][0] for s in texts], "<u8")
-    lengths = np.asarray(sorted({n for _, n in strings.values()}), "<u8")
-    name = f"urls-{uuid.uuid4().hex}.bin"
-    at = os.path.join(tempfile.mkdtemp(prefix="spark-"), name)
-    with open(at, "wb") as f:
-        f.write(np.asarray([len(keys), len(lengths)], "<u8").tobytes() + keys.tobytes() + ends.tobytes() + codes.tobytes() + lengths.tobytes() + b"".join(blob))
-    entries.sparkSession.sparkContext.addFile(at)
-    return name
+    folder, parts = fresh_dir(spark, "urls"), max(1, -(-sized // part_bytes))
+
+    @arrow_udf("long")
+    def digest(hosts: pa.Array, paths: pa.Array) -> pa.Array:
+        keys = [xxhash.xxh64_intdigest(f"{h}\n{p}") for h, p in zip(hosts.to_pylist(), paths.to_pylist())]
+        return pa.array(np.asarray(keys, np.uint64).view(np.int64) ^ np.int64(-(1 << 63)))  # orders as the unsigned key
+
+    keyed = entries.select("host", "path", "code", digest("host", "path").alias("key"))
+    keyed = keyed.repartition(1) if parts == 1 else keyed.repartitionByRange(parts, "key")
+
+    def run(batches):
+        blob, codes, lengths = [], [], set()
+        for batch in batches:
+            for h, p, c in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                blob.append(f"{h}\n{p}".encode())
+                codes.append(c)
+                lengths.add(len(p))
+        if blob:
+            keys = np.fromiter(map(xxhash.xxh64_intdigest, blob), "<u8", len(blob))
+            ends = np.cumsum([0, *map(len, blob)]).astype("<u8")
+            fs, at = file_system(folder)
+            fs.create_dir(at, recursive=True)
+            name = f"urls-{uuid.uuid4().hex}.bin"
+            with fs.open_output_stream(f"{at}/{name}", compression=None) as f:
+                for x in (np.asarray([len(blob), len(lengths)], "<u8"), keys, ends, np.asarray(codes, "<u8"), np.asarray(sorted(lengths), "<u8")):
+                    f.write(x.tobytes())
+                f.write(b"".join(blob))
+            yield pa.RecordBatch.from_pydict({"name": [name]})
+
+    # at most one row of a name a part; files of failed attempts are named by none
+    names = [r["name"] for r in keyed.sortWithinPartitions("key", "host", "path").mapInArrow(run, "name string").collect()]
+    for name in names:
+        spark.sparkContext.addFile(f"{folder}/{name}")
+    return names
 
 
 class DigestArray:
-    """A memory-mapped digest file."""
-
-    def __init__(self, path: str):
-        raw = np.memmap(path, np.uint8, "r")
-        n, m = (int(x) for x in raw[:16].view("<u8"))
-        cut = lambda start, count: raw[start : start + 8 * count].view("<u8")
-        self.keys, self.ends = cut(16, n), cut(16 + 8 * n, n + 1)
-        self.codes, self.lengths = cut(24 + 16 * n, n), cut(24 + 24 * n, m).tolist()
-        self.blob = raw[24 + 24 * n + 8 * m :]
+    """Memory-mapped digest files."""
+
+    def __init__(self, paths: tuple[str, ...]):
+        self.parts, lengths = [], set()
+        for path in paths:
+            raw = np.memmap(path, np.uint8, "r")
+            n, m = (int(x) for x in raw[:16].view("<u8"))
+            cut = lambda start, count: raw[start : start + 8 * count].view("<u8")
+            lengths.update(cut(24 + 24 * n, m).tolist())
+            self.parts.append((cut(16, n), cut(16 + 8 * n, n + 1), cut(24 + 16 * n, n), raw[24 + 24 * n + 8 * m :]))
+        self.lengths = sorted(lengths)
 
     def find(self, probes: list[bytes]) -> list[int]:
         """The code of each probe's entry, -1 where there is none."""
         out = np.full(len(probes), -1)
         wanted = np.fromiter(map(xxhash.xxh64_intdigest, probes), np.uint64, len(probes))
-        at = np.searchsorted(self.keys, wanted)
-        hits = np.flatnonzero((at < len(self.keys)) & (self.keys[np.minimum(at, len(self.keys) - 1)] == wanted)) if len(self.keys) else []
-        for i in hits:
-            k = int(at[i])
-            while k < len(self.keys) and self.keys[k] == wanted[i]:
-                if self.blob[int(self.ends[k]) : int(self.ends[k + 1])].tobytes() == probes[i]:
-                    out[i] = self.codes[k]
-                    break
-                k += 1
+        for keys, ends, codes, blob in self.parts:
+            at = np.searchsorted(keys, wanted)
+            for i in np.flatnonzero((at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == wanted)):
+                k = int(at[i])
+                while k < len(keys) and keys[k] == wanted[i]:
+                    if blob[int(ends[k]) : int(ends[k + 1])].tobytes() == probes[i]:
+                        out[i] = codes[k]
+                        break
+                    k += 1
         return out.tolist()
 
 
 @lru_cache(maxsize=4)
-def digest_array(path: str) -> DigestArray:
-    return DigestArray(path)
+def digest_array(paths: tuple[str, ...]) -> DigestArray:
+    return DigestArray(paths)
 
 
 def suffixes(host: str) -> list[str]:
@@ -128,18 +150,27 @@ def suffixes(host: str) -> list[str]:
     return [".".join(labels[k:]) for k in range(len(labels))] if host else []
 
 
+RESULTS = ("host", "path", "rule", "verdict")
+
+
 def judge(rows: DataFrame, url: str = "url", entries: DataFrame | None = None, most_bytes: int = 256 << 20) -> DataFrame:
-    """``rows`` with host, path, rule (as host and path, null if none fits) and verdict."""
+    """``rows`` with host, path, rule (as host and path, null if none fits) and verdict.
+
+    ``entries``: host, path, origin, verdict; by default the rules alone."""
     entries = entry_rows(rows.sparkSession) if entries is None else entries
-    name = digest_file(entries, most_bytes)
+    names = digest_files(entries, most_bytes)
     host, path = host_and_path(F.col(url))
-    rows = rows.withColumns({"host": host, "path": path})
-    if name is None:
-        return judge_by_join(rows, entries)
+    parts = rows.select(F.struct(*(rows[c] for c in rows.columns)).alias("page"), host.alias("host"), path.alias("path"))
+    found = judge_by_join(parts, entries) if names is None else judge_by_array(parts, names)
+    return found.select(*(F.col("page").getField(c).alias(c) for c in rows.columns if c not in RESULTS), *RESULTS)
+
+
+def judge_by_array(rows: DataFrame, names: list[str]) -> DataFrame:
+    """page, host, path with rule and verdict from the shipped array."""
 
     @arrow_udf(FOUND)
     def run(hosts: pa.Array, paths: pa.Array) -> pa.Array:
-        array = digest_array(SparkFiles.get(name))
+        array = digest_array(tuple(map(SparkFiles.get, names)))
         probes, owner, parts = [], [], []
         for i, (h, p) in enumerate(zip(hosts.to_pylist(), paths.to_pylist())):
             for s in suffixes(h):
@@ -158,7 +189,7 @@ def judge(rows: DataFrame, url: str = "url", entries: DataFrame | None = None, m
         verdict = pa.array(["allow" if not g or g[3] else "block" for g in got], pa.string())
         return pa.StructArray.from_arrays([rule, verdict], ["rule", "verdict"])
 
-    return rows.withColumn("found", run("host", "path")).select("*", "found.rule", "found.verdict").drop("found")
+    return rows.withColumn("found", run("host", "path")).select("page", "host", "path", "found.rule", "found.verdict")
 
 
 def judge_by_join(rows: DataFrame, entries: DataFrame) -> DataFrame:
@@ -174,13 +205,15 @@ def judge_by_join(rows: DataFrame, entries: DataFrame) -> DataFrame:
     pairs = cut.select("host", "path", F.explode(tails).alias("tail"), F.substring("path", F.lit(1), F.col("n")).alias("head"))
     named = entries.select(F.col("host").alias("tail"), F.col("path").alias("head"), "origin", "verdict")
     rank = F.struct((F.col("origin") == "rule").alias("rule"), (F.length("tail") + F.length("head")).alias("n"), F.length("head").alias("p"), (F.col("verdict") == "allow").alias("allow"), F.concat("tail", "head").alias("entry"))
-    best = pairs.join(named, ["tail", "head"]).groupBy("host", "path").agg(F.max(rank).alias("best"))
+    best = written(pairs.join(named, ["tail", "head"]).groupBy("host", "path").agg(F.max(rank).alias("best")), "verdicts")
     out = rows.join(best, ["host", "path"], "left")
     rule = F.when(F.col("best.rule"), F.col("best.entry"))
     verdict = F.when(F.coalesce("best.allow", F.lit(True)), "allow").otherwise("block")
-    return out.select(*rows.columns, rule.alias("rule"), verdict.alias("verdict"))
+    return out.select("page", "host", "path", rule.alias("rule"), verdict.alias("verdict"))
 
 
-def op6_url_filter(spark, sf_dir, entries: DataFrame | None = None) -> DataFrame:
-    """The verdicts of ``pages``; ``entries`` is any table like that of :func:`entry_rows`, by default the list that the SQL names."""
-    return judge(table(spark, sf_dir, "pages").select("page_id", "url"), entries=entries).select("page_id", "host", "path", "rule", "verdict")
+def op6_url_filter(spark, sf_dir) -> DataFrame:
+    """The verdicts of ``pages`` by the fixed rules and the list that :func:`junk_entries` takes from ``pages`` itself."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    entries = entry_rows(spark).unionByName(junk_entries(pages))
+    return judge(pages, entries=entries).select("page_id", "host", "path", "rule", "verdict")
