@@ -7,9 +7,13 @@ are an inverted index, small and fixed, that each task holds. A fingerprint foun
 diagonal (place in the text minus place in the template); diagonals within ``band`` of each other are one candidate.
 A notice of at most ``short`` words need not share such a run. Its fingerprints are single words: one more than may be
 missing, so a text that matches enough of it holds one of them in place.
-A candidate is aligned, unless too few of the template's words occur in its part of the text at all: the longest chain
-of equal words within the band around its diagonal. Reported are candidates
-that match at least ``least`` of the template's words; of overlapping ones the one with most words matched.
+A text is searched for a template window by window, from one hit to the next: a match has at most ``2 n + 2 band``
+words for a template of ``n``, and each window holds all matches with a hit in its first part. Its candidates are
+aligned, unless too few of the template's words occur in the window at all: the longest chain of equal words within the
+band around their diagonals. The best match is taken, what is before it searched again, and the search goes on after
+it, so any number of adjacent notices gives as many matches, in time that follows the text's length. Reported are
+those that match at least ``least`` of the template's words; of overlapping ones the one with most words matched. Two
+damaged notices side by side can join to one match, where one has the words that the other lacks.
 
 Each text is scanned whole, in its task; nothing is gathered.
 
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from pathlib import Path
 
 import numpy as np
@@ -113,10 +118,10 @@ class Prints:
         self.template = np.asarray([t for _, t, _ in found], np.int64)
         self.place = np.asarray([p for _, _, p in found], np.int64)
 
-    def hits(self, prints: np.ndarray, places: np.ndarray) -> list[tuple[int, int]]:
-        """(template, diagonal) of every common fingerprint."""
+    def hits(self, prints: np.ndarray, places: np.ndarray) -> list[tuple[int, int, int]]:
+        """(template, place in the text, diagonal) of every common fingerprint."""
         lo, hi = np.searchsorted(self.prints, prints, "left"), np.searchsorted(self.prints, prints, "right")
-        return [(int(self.template[j]), int(places[i]) - int(self.place[j])) for i in np.flatnonzero(hi > lo) for j in range(lo[i], hi[i])]
+        return [(int(self.template[j]), int(places[i]), int(places[i]) - int(self.place[j])) for i in np.flatnonzero(hi > lo) for j in range(lo[i], hi[i])]
 
 
 class Index:
@@ -130,7 +135,7 @@ class Index:
         self.long = Prints([(f, t, p) for t, h in enumerate(self.words) if t not in brief for f, p in zip(*winnowed(h, k, window))])
         self.short = Prints([(self.words[t][p], t, p) for t in brief for p in anchors(templates[t][2], least)])
 
-    def hits(self, h: np.ndarray) -> list[tuple[int, int]]:
+    def hits(self, h: np.ndarray) -> list[tuple[int, int, int]]:
         return self.long.hits(*winnowed(h, self.k, self.window)) + self.short.hits(h, np.arange(len(h)))
 
 
@@ -145,13 +150,16 @@ def aligned_wide(template: np.ndarray, text: np.ndarray, low: int, high: int) ->
         c = np.flatnonzero(inside[i : i + width])
         c = c[text[c + (i + low)] == w]
         j, now = at[c + i], row[1:].copy()
-        grown = np.where(row[c] > 0, (row[c] & ~most) + one, one + ((most - j) << bits)) + (most - j - 1)
+        grown = np.where(row[c] > 0, (row[c] & ~most) + one, one + (j << bits)) + (most - j - 1)
         now[c] = np.maximum(now[c], grown)
         np.maximum.accumulate(now, out=row[:-1])
-    best = int(row.max())
-    if not best:
-        return 0, 0, 0
-    return best >> 2 * bits, base + most - (best >> bits & most), base + most - (best & most)
+    found = {(int(x) >> 2 * bits, base + (int(x) >> bits & most), base + most - (int(x) & most)) for x in np.unique(row[row > 0])}
+    return min(found, key=tightest, default=(0, 0, 0))
+
+
+def tightest(match: tuple[int, int, int]) -> tuple[int, int, int]:
+    """Orders (matched, start, end): most words, then the shorter, then the earlier span."""
+    return -match[0], match[2] - match[1], match[1]
 
 
 def aligned(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
@@ -160,7 +168,7 @@ def aligned(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tupl
     width = high - low + 1
     if width > 64 and width + len(template) < 1 << 21:
         return aligned_wide(template, text, low, high)
-    none = (0, 0, 0)  # matched, minus start, minus end: larger is better
+    none = (0, 0, 0)  # matched, start, minus end: larger is better
     row = [none] * width
     for i, w in enumerate(template.tolist()):
         now, left = [none] * width, none
@@ -169,31 +177,58 @@ def aligned(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tupl
             best = max(row[c + 1] if c + 1 < width else none, left)
             if 0 <= j < len(text) and int(text[j]) == w:
                 m, start, _ = row[c]
-                best = max(best, (m + 1, start if m else -j, -(j + 1)))
+                best = max(best, (m + 1, start if m else j, -(j + 1)))
             now[c] = left = best
         row = now
-    m, start, end = max(row)
-    return m, -start, -end
+    return min(((m, start, -end) for m, start, end in row), key=tightest)
+
+
+def best_in(window: np.ndarray, diagonals: list[int], words: np.ndarray, need: int, band: int) -> tuple[int, int, int] | None:
+    """(matched, start, end) of the best match in a window, diagonals counted from its first word; None if none has
+    ``need`` words."""
+    if len(window) < need or np.count_nonzero(np.isin(words, window)) < need:
+        return None
+    found, low = [], diagonals[0]
+    for high, after in zip(diagonals, [*diagonals[1:], None]):
+        if after is None or after - high > band:
+            found.append(aligned(words, window, low - band, high + band))
+            low = after
+    m, start, end = min(found, key=tightest)
+    return (m, start, end) if m >= need else None
+
+
+def occurrences(h: np.ndarray, hits: list[tuple[int, int]], words: np.ndarray, need: int, band: int, lo: int, hi: int) -> list[tuple[int, int, int]]:
+    """(matched, start, end) of a template's matches in ``h[lo:hi]``, none overlapping; ``hits``: sorted (place, diagonal)."""
+    span, out = 2 * len(words) + 2 * band, []
+    k = bisect_left(hits, (lo,))
+    while k < len(hits) and hits[k][0] < hi:
+        place = hits[k][0]
+        start, stop = max(lo, place - span), min(hi, place + 2 * span)
+        near = sorted({d - start for p, d in hits[bisect_left(hits, (start,)) : bisect_left(hits, (stop,))]})
+        best = best_in(h[start:stop], near, words, need, band)
+        if best is None:
+            k = bisect_left(hits, (place + span,))
+            continue
+        m, a, b = best[0], best[1] + start, best[2] + start
+        out += occurrences(h, hits, words, need, band, start, a)
+        if a < place + span:
+            out.append((m, a, b))
+            lo = b
+        else:  # it may be cut off at the window's end: its own window comes later
+            lo = min(a, place + span)
+        k = bisect_left(hits, (lo,))
+    return out
 
 
 def candidates(h: np.ndarray, index: Index, band: int) -> list[tuple]:
     """(matched, coverage, first word, word after the last, template) of all candidates that match enough."""
-    found, groups = [], {}
-    for t, d in sorted(set(index.hits(h))):
-        groups.setdefault(t, []).append(d)
-    for t, diagonals in groups.items():
-        words, need = index.words[t], index.needed[t]
-        low = high = diagonals[0]
-        for d in [*diagonals[1:], None]:
-            if d is not None and d - high <= band:
-                high = d
-                continue
-            part = h[max(low - band, 0) : high + band + len(words)]
-            if len(part) >= need and np.count_nonzero(np.isin(words, part)) >= need:
-                m, start, end = aligned(words, h, low - band, high + band)
-                if m >= need:
-                    found.append((m, m / len(words), start, end, t))
-            low = high = d
+    by: dict[int, set] = {}
+    for t, place, d in index.hits(h):
+        by.setdefault(t, set()).add((place, d))
+    found = []
+    for t, hits in by.items():
+        words = index.words[t]
+        found += [(m, m / len(words), a, b, t) for m, a, b in occurrences(h, sorted(hits), words, index.needed[t], band, 0, len(h))]
     return found
 
 
@@ -205,8 +240,9 @@ def matches(text: str, index: Index, names, band: int) -> list[tuple]:
     spans = [x.span() for x in re.finditer(WORD, text)]
     out, taken = [], []
     for m, share, start, end, t in sorted(found, key=lambda c: (-c[0], -c[1], c[2], c[4])):
-        if all(end <= a or start >= b for a, b in taken):
-            taken.append((start, end))
+        k = bisect_left(taken, (end,))  # the last span that begins before the end
+        if not k or taken[k - 1][1] <= start:
+            taken.insert(k, (start, end))
             out.append((names[t][0], names[t][1], m, share, spans[start][0], spans[end - 1][1]))
     return sorted(out, key=lambda x: x[4])
 
