@@ -26,22 +26,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eligo.llm.common import checkpointed, fresh_dir, table, text_of
+from eligo.llm.common import checkpointed, file_system, fresh_dir, table, text_of
 
 INDEX = "page_id long, url string, archive string, offset long, length long, digest string, record_type string, refers_to long"
 READ = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def file_system(uri: str):
-    """(file system, path) of a shared folder's URI."""
-    from pyarrow import fs
-
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:") :]
-    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
-
-
 def record_uri(page_id) -> str:
     return f"urn:x-page:{'none' if page_id is None else page_id}"
 
@@ -130,10 +121,16 @@ def ranges(spans: list[tuple[int, int]], gap: int, most: int) -> list[tuple[int,
     return out
 
 
-def read(index: DataFrame, folder: str, payloads: bool = False, gap: int = 64 << 10, most: int = 4 << 20) -> DataFrame:
-    """The records that ``index`` selects, parsed; with their ``payload`` if wanted. A record whose payload does not
-    have its digest fails the task."""
-    rows = index.select("page_id", "url", "archive", "offset", "length").repartition("archive").sortWithinPartitions("archive", "offset")
+def read(index: DataFrame, folder: str, payloads: bool = False, gap: int = 64 << 10, most: int = 4 << 20, task_bytes: int = 32 << 20) -> DataFrame:
+    """The records that ``index`` (a written or checkpointed table) selects, parsed; with their ``payload`` if wanted.
+    A record whose payload does not have its digest fails the task.
+
+    A task reads neighbouring records of about ``task_bytes``; the number of tasks follows the selected bytes, not the
+    index's own size, and a long archive is read by several."""
+    rows = index.select("page_id", "url", "archive", "offset", "length")
+    tasks = -(-(rows.agg(F.sum("length")).first()[0] or 0) // task_bytes)
+    tasks = max(tasks, index.sparkSession.sparkContext.defaultParallelism)
+    rows = rows.repartition(tasks, "archive", F.floor(F.col("offset") / task_bytes)).sortWithinPartitions("archive", "offset")
 
     def run(batches):
         fs, at = file_system(folder)
