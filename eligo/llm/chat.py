@@ -17,7 +17,8 @@ their id, examples are made row by row and never held together.
 
 Defined results: null texts and roles are empty; a null conv_id is a conversation; turns are in the order of
 (turn, role, text), nulls first, so repeated rows are repeated turns; an empty table gives no rows; extra columns are
-ignored.
+ignored. A reply's example holds all turns before it, so the text of a conversation of very many turns grows with the
+square of their number; that is the method's own cost.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from eligo.llm.common import table
 
 #: Strings that mark turns (fixed values).
 CONTROL = r"\[/?INST\]|</?s>|<</?SYS>>|<</?ROLE"
-TURN = r"(?s)(<<SYS>>|\[INST\]|<s>|<<ROLE (.*?)(?<!\\)>>) (.*?) (?:<</SYS>>|\[/INST\]|</s>|<</ROLE>>)"
+TURN = r"(?s)(<<SYS>>|\[INST\]|<s>|<<ROLE ([^\\>]*+(?:\\.[^\\>]*+)*+)>>) (.*?) (?:<</SYS>>|\[/INST\]|</s>|<</ROLE>>)"
 OPEN_REPLY, CLOSE_REPLY = "<s> ", " </s>"
 SLASH = "\\"
 
