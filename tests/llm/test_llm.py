@@ -2,13 +2,17 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark import SparkFiles
 from pyspark.sql import functions as F
 
 from eligo.llm import bpe, chat, fingerprints, graph, licenses, neardup, packing, quality, toxicity, urlfilter, warc
@@ -153,6 +157,10 @@ def test_warc_round_trip(spark):
         assert (r["payload_bytes"], r["payload_digest"]) == (len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode())
         assert (r["record_type"], r["refers_to"]) == (("revisit", first[h or ""]) if revisit else ("response", None))
         assert r["payload"] == ("" if revisit else h or "") and r["url"] == u
+    again = warc.write(df.unionAll(df).unionAll(df.filter("page_id = 2")), folder + "d")
+    parts = warc.read(again, folder + "d", task_bytes=300)
+    assert Counter((r["page_id"], r["record_type"], r["refers_to"]) for r in parts.collect()) == Counter({(i, r["record_type"], r["refers_to"]): 3 if i == 2 else 2 for i, r in got.items()})
+    assert parts.rdd.getNumPartitions() > 10
     none = warc.write(df, folder + "b", min_bytes=100)
     assert none.filter("record_type = 'revisit'").count() == 1
     assert warc.read(index.filter("page_id in (1, 6)"), folder).count() == 2
@@ -180,7 +188,28 @@ def test_bpe_equals_the_library(spark, awkward):
         ids = lib.encode(t or "", add_special_tokens=False).ids
         want[(i, tuple(ids), lib.decode(ids, skip_special_tokens=False))] += 1
     assert Counter((r["doc_id"], tuple(r["ids"]), r["back"]) for r in df.collect()) == want
-    assert bpe.coder(path).decode([220, 158, 247]) == lib.decode([220, 158, 247], skip_special_tokens=False)
+    broken = bpe.coder(path).decode(pa.array([220, 158, 247, 64], pa.int32()), np.asarray([0, 3, 3, 4]))
+    assert broken.to_pylist() == [lib.decode(x, skip_special_tokens=False) for x in ([220, 158, 247], [], [64])]
+
+
+def test_bpe_cuts_every_character_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    lib, own = Tokenizer.from_file(path), bpe.TrieBpe(path)
+    blocks = ["".join(map(chr, range(k, min(k + 64, 0xD800)))) for k in range(1, 0xD800, 64)]
+    texts = [*blocks, *(" a".join(b) for b in blocks), "𝐀𝟏 x😀😀 𝐀b1😀", "a² b½ Ⅷ x'll I'S ___foo _a1b2", "ab²c 3² '²", "'sx 'tx x's x'S"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_bpe_keeps_rows_and_columns(spark, empty):
+    rows = [(None, None, 5), (1, "a b", 6), (1, "a b", 6), (2, "", 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids long").select("doc_id", "ids", bpe.encode(F.col("text")).alias("coded"))
+    got = Counter((r["doc_id"], r["ids"], r["back"]) for r in df.select("doc_id", "ids", bpe.decode(F.col("coded")).alias("back")).collect())
+    assert got == Counter({(None, 5, ""): 1, (1, 6, "a b"): 2, (2, 7, ""): 1})
+    assert empty.select(bpe.decode(bpe.encode(F.col("text")))).count() == 0
+    nulls = spark.createDataFrame([(None,), ([64],)], "ids array<int>").select(bpe.decode(F.col("ids")).alias("t"))
+    assert {r["t"] for r in nulls.collect()} == {None, "a"}
 
 
 # -- 5 ---------------------------------------------------------------------------------------------------------------
@@ -236,6 +265,25 @@ def test_parity_bound_never_drops_a_link():
                 assert 180 * max(apart, abs(len(a) - len(b))) <= 20 * (len(a) + len(b))
 
 
+def test_pairs_at_the_limit_share_a_bucket():
+    rng, sketcher = np.random.default_rng(3), neardup.Sketcher(48, 6)
+    for n in (1, 2, 5, 9, 40, 400, 1000):
+        met = 0
+        for _ in range(100):
+            same = rng.integers(0, 2**64, max(1, math.ceil(0.8 * n)), np.uint64)
+            rest = rng.integers(0, 2**64, n - len(same), np.uint64)  # similarity at least 0.8: the union holds n
+            a, b = np.unique(same), np.unique(np.concatenate([same, rest]))
+            met += bool((sketcher.keys(a) == sketcher.keys(b)).any())
+        assert met == 100, n
+
+
+def test_near_duplicates_of_one_hot_bucket_in_small_tiles(spark):
+    base = words(60, 99).split()
+    rows = [(i, " ".join(base[:57] + [f"{i}a", f"{i}b", f"{i}c"])) for i in range(120)] + [(500 + i, " ".join(base[:40] + [f"{i}d"] * 30)) for i in range(60)]
+    got = neardup.near_duplicates(frame(spark, rows), width=2, tile=9)
+    assert Counter(map(tuple, got.collect())) == brute_groups(rows, 2, 80)
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(170)] + [(k, k + 1) for k in range(400, 460)]
@@ -265,27 +313,35 @@ def brute_verdict(url):
     fits = [(len(h + p), h + p, v) for h, p, v in urlfilter.RULES if under(h) and path.startswith(p)]
     if fits:
         return (host, path, *max(fits)[1:])
-    return host, path, None, "block" if any(map(under, urlfilter.BLOCKED)) else "allow"
+    return host, path, None, "block" if set(host.split(".")[:-1]) & set(urlfilter.JUNK) else "allow"
 
 
 def test_url_filter(spark):
     urls = [None, "", "no scheme/x", "http://a.ORG/x?y", "http://a.org", "https://m.example.org/es/1", "https://example.org/en/178#t", "http://xexample.org/es/", "ftp://É.com/fr/?q", "http://com/de/x", "http://b.com/DE/", "http://u://v/w", "http://www.cheap-pills.example.net/a", "http://cheap-pills.example.net.x/a", "http://spam-farm.example.org/es/", "http:///p", "x://h?a/b", "http://.org/"]
-    df = frame(spark, [(i, u) for i, u in enumerate([*urls, *urls])], "page_id long, url string")
-    want = Counter((i, *brute_verdict(u)) for i, u in enumerate([*urls, *urls]))
-    pick = ["page_id", "host", "path", "rule", "verdict"]
-    assert Counter(map(tuple, urlfilter.judge(df).select(pick).collect())) == want
-    assert Counter(map(tuple, urlfilter.judge(df, most_bytes=1).select(pick).collect())) == want
-    assert urlfilter.judge(df.limit(0)).count() == 0
-
-
-def test_url_list_as_a_table_pins_no_top_level_domain(spark, tmp_path):
-    names = [h.split(".")[0] for h in urlfilter.BLOCKED]
-    urls = [f"http://m.{n}.example.{t}/a" for n in names for t in ("com", "net", "org")]
-    clean = ["http://example.com/a", "http://m.xadult-x.example.com/a", "http://adult-x.com/a", "http://adult-x.example.com.x/a"]
-    frame(spark, list(enumerate(urls + clean)), "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
-    entries = urlfilter.entry_rows(spark, (), urlfilter.under_tops())
-    for got in (urlfilter.op6_url_filter(spark, str(tmp_path), entries), urlfilter.judge(spark.read.parquet(str(tmp_path / "pages.parquet")), entries=entries, most_bytes=1)):
-        assert {r["page_id"]: r["verdict"] for r in got.collect()} == {i: "block" if i < len(urls) else "allow" for i in range(len(urls + clean))}
+    # columns that clash with results are replaced, all others stay
+    rows = [(i, u, "mine", i) for i, u in enumerate([*urls, *urls])]
+    df = spark.createDataFrame(rows, "page_id long, url string, host string, best long").withColumns({c: F.lit("x") for c in ("path", "rule", "verdict", "found", "tail")})
+    entries = urlfilter.entry_rows(spark).unionByName(urlfilter.junk_entries(df))
+    want = Counter((i, *brute_verdict(u), i, "x") for i, u in enumerate([*urls, *urls]))
+    pick = ["page_id", "host", "path", "rule", "verdict", "best", "found"]
+    for options in ({}, {"most_bytes": 1}):
+        got = urlfilter.judge(df, entries=entries, **options)
+        assert sorted(got.columns) == sorted(df.columns) and Counter(map(tuple, got.select(pick).collect())) == want
+        assert urlfilter.judge(df.limit(0), entries=entries, **options).count() == 0
+    assert urlfilter.judge(df, entries=entries.limit(0)).filter("verdict = 'block'").count() == 0
+
+
+def test_url_list_of_thousands_hits_under_any_domain(spark):
+    hosts = [f"m.{label}.example{k}.{top}" for label in urlfilter.JUNK for k in range(300) for top in ("com", "net", "xyz")]
+    clean = ["http://example.com/a", "http://m.xadult-x.example.com/a", "http://spam-farm/a", "http://x.spam-farm/a"]
+    rows = frame(spark, list(enumerate([*(f"http://{h}/a/{k}" for k, h in enumerate(hosts)), *clean])), "page_id long, url string")
+    entries = urlfilter.junk_entries(rows)
+    assert entries.count() == 2 * len(hosts)
+    names = urlfilter.digest_files(entries, part_bytes=40_000)
+    array = urlfilter.digest_array(tuple(map(SparkFiles.get, names)))
+    assert len(names) > 3 and sum(len(keys) for keys, *_ in array.parts) == 2 * len(hosts)
+    assert array.find([b"adult-x.example7.net\n", b"adult-x.example7.net\n/", b"nothing\n"]) == [3, -1, -1]
+    assert {r["page_id"]: r["verdict"] for r in urlfilter.judge(rows, entries=entries).collect()} == {i: "block" if i < len(hosts) else "allow" for i in range(len(hosts) + len(clean))}
 
 
 def test_url_join_takes_every_path_length(spark):
@@ -301,7 +357,7 @@ def test_packing(spark, awkward, empty):
     from tokenizers import Tokenizer
 
     lib = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
-    rows = [r for r in awkward[0] if r[0] != 9] + [(50 + k, words(30 + 17 * k, 70 + k) + " Don't<|endoftext|>ǅ İ") for k in range(40)]
+    rows = awkward[0] + [(50 + k, words(30 + 17 * k, 70 + k) + " Don't<|endoftext|>ǅ İ") for k in range(40)]
     got = packing.pack_documents(frame(spark, rows), max_tokens=512).collect()
     want = Counter()
     for i, t, *_ in rows:
@@ -310,6 +366,7 @@ def test_packing(spark, awkward, empty):
             part = ids[at : at + 512]
             want[(i, k, at, len(part), zlib.crc32(np.asarray(part, "<u4").tobytes()))] += 1
     assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == want
+    assert {r["moves"] for r in got if r["length"] < 512} != {0}
     bins = defaultdict(list)
     for r in got:
         bins[r["sequence_id"]].append((r["offset"], r["length"]))
@@ -330,7 +387,7 @@ def test_local_search_improves_and_loses_nothing():
         for _ in range(10):
             lengths = rng.integers(lo, hi, n)
             before = [list(b) for b in packing.best_fit(lengths, 100)]
-            after = packing.improve([list(b) for b in before], lengths, 100)
+            after, _ = packing.improve([list(b) for b in before], lengths, 100)
             assert sorted(i for b in after for i in b) == list(range(n)) and all(sum(lengths[i] for i in b) <= 100 for b in after)
             assert -(-int(lengths.sum()) // 100) <= len(after) <= len(before)
             better += len(after) < len(before)
@@ -342,11 +399,28 @@ def test_local_search_saves_hundreds_of_bins():
     half, quarter = 2048, 1024
     lengths = np.repeat([half + e, quarter + 2 * e, quarter + e, quarter - 2 * e], [6 * n, 6 * n, 6 * n, 12 * n])
     before = packing.best_fit(lengths, 4096)
-    after = packing.improve([list(b) for b in before], lengths, 4096)
+    after, steps = packing.improve([list(b) for b in before], lengths, 4096)
+    assert steps > 200
     assert sorted(i for b in after for i in b) == list(range(len(lengths))) and all(lengths[b].sum() <= 4096 for b in after)
     assert len(before) == 11 * n and len(before) - len(after) > 200
 
 
+def test_search_from_arrival_order_comes_near_the_bound():
+    lengths = np.clip(np.random.default_rng(4).lognormal(6, 1, 4000).astype(int), 1, 4095)
+    start = packing.best_fit(lengths, 4096, np.arange(len(lengths)))
+    after, steps = packing.searched(lengths, 4096)
+    need = -(-int(lengths.sum()) // 4096)
+    assert sorted(i for b in after for i in b) == list(range(len(lengths))) and all(lengths[b].sum() <= 4096 for b in after)
+    assert steps > 100 and len(after) < len(start) and len(after) <= need + 3
+    assert packing.searched(lengths[:0], 4096) == ([], 0)
+
+
+def test_packing_keeps_columns_of_any_name(spark):
+    rows = spark.range(300).selectExpr("id % 7 as doc_id", "0 as piece", "100L as length", "id as pack_group", "id as row", "'x' as moves")
+    got = packing.pack(packing.checkpointed(rows)).collect()
+    assert sorted((r["pack_group"], r["row"]) for r in got) == [(k, k) for k in range(300)] and len({r["sequence_id"] for r in got}) == 8
+
+
 def test_packing_deals_rows_of_one_key_to_many_groups(spark):
     rows = spark.range(0, 2000, 1, 4).selectExpr("cast(null as long) as doc_id", "0 as piece", "10L as length")
     got = packing.pack(packing.checkpointed(rows), 4096, group_rows=100).collect()
@@ -382,12 +456,77 @@ def test_toxicity_on_held_out_rows(spark, empty):
 def test_ordinal_fit_orders_grades():
     rng = np.random.default_rng(2)
     grade = rng.integers(0, 4, 400)
-    x = (rng.random((400, 6)) < 0.15 + 0.2 * grade[:, None]).astype(np.float32)
-    w, t = toxicity.fit_ordinal(x, grade, 4)
+    x = rng.random((400, 6)) < 0.15 + 0.2 * grade[:, None]
+    w, t = toxicity.fit_ordinal(toxicity.Sparse(*np.nonzero(x), *x.shape), grade, 4)
     mean = [(x[grade == g] @ w).mean() for g in range(4)]
     assert mean == sorted(mean) and list(t) == sorted(t) and (w > 0).all()
 
 
+def test_ordinal_gradient_is_that_of_the_likelihood():
+    rng = np.random.default_rng(7)
+    x, grade = rng.random((30, 5)) < 0.4, rng.integers(0, 4, 30)
+    sparse, weight, ridge = toxicity.Sparse(*np.nonzero(x), 30, 5), rng.random(30), 0.01
+    sigmoid = lambda z: 1 / (1 + math.exp(-z))
+
+    def loss(p):
+        t = [p[5], p[5] + math.log1p(math.exp(p[6])), p[5] + math.log1p(math.exp(p[6])) + math.log1p(math.exp(p[7]))]
+        out = ridge / 2 * sum(w * w for w in p[:5])
+        for i in range(30):
+            eta = sum(p[j] for j in range(5) if x[i, j])
+            for j in range(3):
+                q = sigmoid(eta - t[j])
+                out -= weight[i] * math.log(q if grade[i] > j else 1 - q)
+        return out
+
+    p = rng.normal(size=8)
+    got = toxicity.gradient(p, sparse, grade[:, None] > np.arange(3), weight, ridge)
+    for j in range(8):
+        step = np.zeros(8)
+        step[j] = 1e-5
+        assert got[j] == pytest.approx((loss(p + step) - loss(p - step)) / 2e-5, abs=1e-5)
+
+
+def test_toxicity_lexicon_and_severity_against_loops(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choices([f"w{k}" for k in range(40)], k=20) + (["badword"] * rng.randint(1, 2) + ["Worse!"] if i % 3 == 0 else []))) for i in range(400)]
+    rows += [(399, "other text"), (7, None)]
+    docs, labels = frame(spark, rows), frame(spark, [(i, 1, int(i % 3 == 0)) for i in range(400)], "doc_id long, quality int, toxic int")
+    found = toxicity.sample(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), labels, 2_000)
+    fit_half = {r["key"] for r in found.filter(toxicity.FIT_HALF).select("key").distinct().collect()}
+    texts = {}
+    for i, t in rows:
+        texts[i] = min(texts.get(i, t or ""), t or "")
+    sets = {i: toxicity.Features().of(t) for i, t in texts.items()}
+    seen = defaultdict(set)
+    for r in found.collect():
+        seen[r["key"]] |= {r["feature"]} - {None}
+    assert seen == sets
+    size = [len([i for i in fit_half if (i % 3 == 0) == g]) for g in (False, True)]
+    want = set()
+    for f in set().union(*(sets[i] for i in fit_half)):
+        n = [sum(f in sets[i] for i in fit_half if (i % 3 == 0) == g) for g in (False, True)]
+        expected = [sum(n) * s / sum(size) for s in size]
+        gain = 2 * sum(a * math.log(a / b) for a, b in zip(n, expected) if a)
+        if n[1] >= 4 and gain > 18 and n[1] * size[0] > 5 * n[0] * size[1]:
+            want.add(f)
+    assert {r["feature"] for r in toxicity.telling(found, size).collect()} == want and want
+    model = toxicity.fitted(docs, labels)
+    assert set(model.weights) == want
+    for r in toxicity.judged(docs, model).collect():
+        eta = sum(w for f, w in model.weights.items() if f in toxicity.Features().of(r["text"] or ""))
+        assert r["severity"] == pytest.approx(sum(1 / (1 + math.exp(t - eta)) for t in model.thresholds), abs=1e-9)
+        assert r["toxic"] == (r["severity"] >= model.cut)
+
+
+def test_toxicity_sample_is_bounded_and_takes_every_telling_feature(spark):
+    bad = [f"curse{k}x{k}" for k in range(1200)]
+    rows = [(i, " ".join(bad) if i % 2 else f"plain text {i}") for i in range(60)] + [(1, " ".join(bad))] * 500
+    labels = frame(spark, [(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = toxicity.fitted(frame(spark, rows), labels, sample_rows=30)
+    assert len(model.weights) > 1000
+    assert toxicity.sample(frame(spark, rows).select("doc_id", "text"), labels, 30).select("key").distinct().count() == 60
+
+
 # -- 9 ---------------------------------------------------------------------------------------------------------------
 def brute_cover(template, text):
     a, b = ([re.sub(r"^\W+|\W+$", "", w.lower()) for w in SPACES.findall(x)] for x in (template, text))
@@ -418,6 +557,26 @@ def test_license_scan(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def test_adjacent_notices_give_as_many_matches():
+    index, names = licenses.Index(licenses.TEMPLATES, 3, 2, 0.8, 15), licenses.TEMPLATES
+    for t, (license_, kind, text) in enumerate(licenses.NOTICES):
+        for n in (1, 2, 3, 5, 50):
+            got = licenses.matches(" ".join([text] * n), index, names, 8)
+            assert [(g[0], g[1], g[2]) for g in got] == [(license_, kind, len(index.words[t]))] * n
+    line = names[0][2]
+    for n in (2, 50):  # each lacks a word
+        assert len(licenses.matches("\n".join(["Released under an MIT License."] * n), index, names, 8)) == n
+    began = time.process_time()
+    assert len(licenses.matches(f"{line} " * 20_000, index, names, 8)) == 20_000
+    assert time.process_time() - began < 60
+    rng = random.Random(3)
+    for _ in range(10):
+        put = [rng.choice([None, *range(len(licenses.NOTICES))]) for _ in range(30)]
+        text = "\n".join(words(rng.randint(3, 12), k) if p is None else names[p][2] for k, p in enumerate(put))
+        got = [(g[0], g[1]) for g in licenses.matches(text, index, names, 8)]
+        assert got == [names[p][:2] for p in put if p is not None]
+
+
 def test_license_candidates_miss_no_variant():
     index = licenses.Index(licenses.TEMPLATES, 3, 2, 0.8, 15)
     rng, texts = random.Random(7), ["Released under an MIT License.", "All rights reserved.", "released x under y the z mit w license"]
@@ -449,10 +608,10 @@ def test_wide_alignment_equals_the_row_by_row_one():
             for c in range(81):
                 j, best = i + low + c, max(row[c + 1] if c < 80 else none, left)
                 if 0 <= j < len(b) and int(b[j]) == w:
-                    best = max(best, (row[c][0] + 1, row[c][1] if row[c][0] else -j, -(j + 1)))
+                    best = max(best, (row[c][0] + 1, row[c][1] if row[c][0] else j, -(j + 1)))
                 now.append(left := best)
             row = now
-        assert got == (max(row)[0], -max(row)[1], -max(row)[2])
+        assert got == min(((m, start, -end) for m, start, end in row), key=licenses.tightest)
 
 
 def test_license_bodies_and_reserved_rights(spark):
@@ -470,7 +629,7 @@ def test_chat_examples(spark):
     rows = []
     for c in range(40):
         for k in range(rng.randint(1, 7)):
-            rows.append((c, k, rng.choice(["user", "assistant", "assistant", "system", "tool>>x", None]), rng.choice([None, "".join(rng.choices(bits, k=rng.randint(0, 9)))])))
+            rows.append((c, k, rng.choice(["user", "assistant", "assistant", "system", "tool>>x", "to\\", "\\>>", "a\\\\<", None]), rng.choice([None, "".join(rng.choices(bits, k=rng.randint(0, 9)))])))
     rows += [(None, 0, "assistant", "x"), (90, None, "user", "y"), (91, 0, "user", "r"), (91, 0, "user", "r"), (92, 1, "assistant", "z" * 100_000)]
     df = frame(spark, rows, "conv_id long, turn long, role string, text string")
     made = chat.examples(df)

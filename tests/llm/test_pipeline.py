@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from eligo.llm.queries import ORACLES, QUERIES
@@ -31,6 +32,29 @@ def test_empty_table_passes(spark):
     assert docs.count() == 0
 
 
+def test_awkward_rows_pass_every_stage(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    plain = docs.filter("length(text) > 400 and lang = 'en'").limit(40).withColumn("component", F.lit("x")).withColumn("pack_group", F.lit(7))
+    two = plain.limit(2)
+    odd = two.withColumns({"doc_id": F.lit(None).cast("long"), "source": F.lit(None).cast("string")}).unionByName(plain.limit(3).withColumn("text", F.lit(None).cast("string")))
+    docs = plain.unionByName(two).unionByName(two).unionByName(odd).unionByName(odd)
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        docs.write.parquet(str(tmp_path / str(k)))
+        docs = stage(spark, spark.read.parquet(str(tmp_path / str(k))), SF)
+        if name == "near-duplicates":
+            rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+            assert len(rows) == len(set(rows)) and any(i is None for i, _ in rows) and "component" in docs.columns
+    assert docs.count() > 0
+
+
+def test_repeated_rows_stay_once(spark):
+    long_ = " ".join(f"w{k}" for k in range(50))
+    rows = [(1, long_)] * 3 + [(1, "quite another text " * 9)] + [(2, long_ + " end"), (None, long_), (None, long_), (None, None), (3, "alone")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r["doc_id"] or 0, r["text"] or "") for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()))
+    assert got == sorted([(1, long_), (1, "quite another text " * 9), (0, long_), (0, ""), (3, "alone")])
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_oracle(spark, name):
     import duckdb
