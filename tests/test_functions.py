@@ -44,6 +44,16 @@ def test_parent_statements(spark):
     assert got == [(1, 1, "I-01", "1. a\n\n  2. child"), (1, 2, "I-02", "2) b\nmore\n3.no"), (1, 3, "I-03", "٣) c"), (1, 4, "E-100", "100. d"), (1, 5, "E-01", "1. e")]
 
 
+def test_statements_of_rows_that_share_a_key(spark):
+    v = "Inclusion criteria\n1. a\n2. b"
+    df = spark.createDataFrame([(1, v), (1, v.replace(". a", ". c")), (None, v), (None, v)], "doc_id int, text string")
+    found = text.parent_statements(df)
+    assert sorted((r["doc_id"] or 0, r["seq"], r["statement"]) for r in found.collect()) == sorted([(1, 1, "1. a"), (1, 2, "2. b"), (1, 1, "1. c"), (1, 2, "2. b")] + [(0, 1, "1. a"), (0, 2, "2. b")] * 2)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    long_ = "Inclusion criteria\n" + "\n".join(f"{k}. rule\n - point" for k in range(3_000))
+    assert text.parent_statements(spark.createDataFrame([(1, long_)], "doc_id int, text string")).count() == 3_000
+
+
 def test_small_text_functions(spark):
     assert one(spark, lambda c: text.code_blocks(c, "json"), "a ```json[1,``` b ```json2]```") == "[1,2]"
     assert one(spark, lambda c: text.code_blocks(c, "json"), "plain") == "plain"
@@ -76,6 +86,7 @@ def test_warn_instead_of_not(spark):
         ('[{"a": 1]', [{"a": 1}]),
         ('"open', "open"),
         ('"a\\"b\\n"', 'a"b\n'),
+        ('"a\\\nb"', "a\nb"),
         ('{"a": 1, "a": 2} rest', {"a": 2}),
     ],
 )
@@ -84,12 +95,18 @@ def test_lenient_value(given, want):
     assert repr(lenient_value(Scanner(given))) == repr(want)
 
 
-@pytest.mark.parametrize("given", ["[1,]", "{a: 1}", "[x]", "", "[1 2", "2**99999"])
+@pytest.mark.parametrize("given", ['{"A", "B"}', "[1,]", "{a: 1}", "[x]", "", "[1 2", "2**99999"])
 def test_lenient_errors(given):
     with pytest.raises(ValueError):
         lenient_value(Scanner(given))
 
 
+def test_errors_show_their_place():
+    with pytest.raises(ValueError) as error:
+        lenient_value(Scanner('[1,\n 2,\n 3,\n  x]'))
+    assert str(error.value) == "line 4, column 4: expected a value\n 2,\n 3,\n  x]\n   ^"
+
+
 def test_arithmetic_is_safe():
     assert arithmetic("-3 + 2*(4 - 1)") == 3
     for bad in ("__import__('os')", "1/0", "a+1", "'x'*9", "9**9**9"):
@@ -130,6 +147,30 @@ def test_criteria_round_trip(spark):
     assert one(spark, lambda c: criteria.node_types(c, True), node) == sorted(["And", "Age", "If", "Sex", "Other", "Timing", "Symptom"])
 
 
+@pytest.mark.parametrize(
+    "bad",
+    ['Age(age="abc", operator=">=")', 'Age(age=1.5, operator=">=")', 'Age(age=true, operator=">=")', 'PriorTreatment(treatment="x")', "TreatmentOption(treatment=Medication())", "Metastases(location=[1])",
+     "TreatmentOption(treatment=Treatment(treatment=1))", 'Metastases(location="a", additional_details=[1])', "Other(description=null)", "TreatmentOption(treatment=IntRange())", 'Histology(histology_type="a", histology_grade=2)',
+     "LabValue(measurement=\"m\", unit=\"u\", value=inf, operator=\"<\")", "PerformanceStatus(scale=\"E\", value_range=3)", "TissueAvailability(confidence=1.0)"],
+)
+def test_criteria_have_types(spark, bad):
+    assert one(spark, criteria.parsed, bad)["json"] is None
+
+
+def test_criteria_that_fit_their_types(spark):
+    good = ['Age(age=30.0, operator="<")', "TreatmentOption(treatment=StandardOfCare())", 'PriorTreatment(treatment=SystemicTherapy(description="d"), number_of_prior_lines=IntRange(min_inclusive=1))', 'TreatmentOption(treatment=Medication(medications=["a", "b"], dosage=null))',
+            'LabValue(measurement="m", unit="u", value=3, operator="near")', 'Metastases(location="C", size_cm=2, additional_details=["a"])', "ClinicalJudgement", 'Radiotherapy(x=1)']
+    got = [one(spark, criteria.parsed, g) for g in good]
+    assert [g["json"] is not None for g in got] == [True] * 7 + [False]
+    assert json.loads(got[0]["json"])["age"] == 30 and json.loads(got[4]["json"])["value"] == 3.0
+    for code in [CODE, *good[:7], "Nope", None]:
+        a = one(spark, criteria.analysed, code)
+        node = one(spark, criteria.parsed, code)["json"]
+        assert a["json"] == node and a["code"] == one(spark, criteria.written, node) and a["types"] == (node and one(spark, criteria.node_types, node))
+    deep = "Not { " * 5_000
+    assert one(spark, criteria.parsed, deep)["json"] is None and one(spark, criteria.written, "{") is None and one(spark, criteria.node_types, "[1]") is None
+
+
 @pytest.mark.parametrize("bad", ["Aged(age=1)", "Age(age=1)", 'Age(age=1, operator="=")', "Not { Other, Other }", "And { Other", "Other(x=1)", "If { Other }", "Sex(sex=)"])
 def test_criteria_errors(spark, bad):
     got = one(spark, criteria.parsed, bad)

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from eligo.operators import catalogue, compare, nesting, review
-from eligo.plans import models
+from eligo.functions import text, trees
+from eligo.plans import curation, models
 from eligo.sources import files
 
 
@@ -89,7 +90,7 @@ def test_ordered_diff_and_report(spark):
     got = [(r["old_text"], r["new_text"]) for r in diff.orderBy("place").collect()]
     assert got == [("o0", None), ("o1", "n0"), ("o2", None), (None, "n1"), ("o3", "n2"), (None, "n3")]
     report = compare.diff_report(diff, "k").first()["report"]
-    assert report.startswith("1. Removed\n- o0\n2. matched (100.0%)\n  o1") and "5. Modified (95.0%)\n- o3\n+ n2" in report
+    assert report.startswith("1. Removed\n- o0\n2. matched (100.0%)\n  n0") and "5. Modified (95.0%)\n- o3\n+ n2" in report
 
 
 def lcs(a, b):
@@ -158,3 +159,104 @@ def test_small_operators(spark):
     assert nesting.category_union(lists, "c", ["z"]).first()["categories"] == ["a", "b", "c", "z"]
     assert nesting.with_any(lists, "c", ["a", "x"]).count() == 1
     assert type_help({"treatment"}).startswith("PriorTreatment: treatment [number_of_prior_lines]")
+
+
+def test_facet_without_options_at_any_number_of_them(spark):
+    view = review.Review(spark.range(12_000).selectExpr("id", "cast(id as string) as v"), "id").none_selected("v")
+    assert view.filtered().count() == 0
+    assert rows(view.toggled("v", "7").toggled("v", "11999").filtered().select("id")) == [(7,), (11999,)]
+    assert view.toggled("v", "7").toggled("v", "7").filtered().count() == 0 and view.all_selected("v").filtered().count() == 12_000
+    nulls = review.Review(spark.createDataFrame([(1, None), (2, True), (3, False)], "id int, v boolean"), "id")
+    assert rows(nulls.none_selected("v").toggled("v", None).filtered().select("id")) == [(1,)]
+    assert rows(nulls.toggled("v", False).filtered().select("id")) == [(1,), (2,)]
+
+
+def test_typed_pages_and_columns():
+    class Rows:
+        def count(self):
+            return 23
+
+    view = review.Review(Rows(), "id", size=5)
+    assert view.typed_page("3").page == 2 and view.typed_page("99").page == 4 and view.typed_page("x").page == 0 and view.typed_page("-1").page == 0
+    assert view.typed_page("3").typed_size("10") == review.replace(view, size=10, page=0) and view.typed_size("0") == view and view.typed_size("1.5") == view
+    columns = review.Columns(("a", "b", "c", "d"), ("a", "b", "c", "d"))
+    assert columns.toggled("b").shown == ("a", "c", "d") and columns.toggled("b").toggled("b").shown == columns.declared
+    assert columns.toggled("d").toggled("d").shown == columns.declared and columns.moved("d", "a").shown == ("d", "a", "b", "c")
+    changed = columns.moved("d", "a").toggled("b")
+    assert columns.restored(changed.saved()) == changed and changed.reset() == columns
+    assert review.Columns(("a", "c"), ()).restored(changed.saved()).shown == ("a", "c")
+    with pytest.raises(ValueError):
+        columns.toggled("x")
+
+
+def test_names_are_looked_up_by_row(spark):
+    known = spark.createDataFrame([("A",), ("B",), (None,), ("A",)], "rule string")
+    data = [(1, ["B", "X", "X"]), (1, ["Y", "A"]), (None, ["Z"]), (None, []), (2, None), (1, ["B", "X", "X"])]
+    frame = spark.createDataFrame(data, "k int, names array<string>").withColumn("number", F.lit(5))
+    for among, want in ((False, [["X"], ["Y"], ["Z"], [], None, ["X"]]), (True, [["B"], ["A"], [], [], None, ["B"]])):
+        for most in (5, 1):
+            got = catalogue.with_names(frame, known, F.col("names"), "found", among, most).collect()
+            assert sorted(map(str, ((r["k"], r["names"], r["found"], r["number"]) for r in got))) == sorted(map(str, ((k, n, w, 5) for (k, n), w in zip(data, want))))
+
+
+def test_every_flagged_rule_is_rewritten(spark):
+    long = spark.range(6_000).selectExpr("'c' as category", "0 as category_pos", "cast(id as int) as row_pos", "concat('R_', id) as rule", "true as warn")
+    frame = spark.createDataFrame([(i, '{"NOT": {"R_%d": []}}' % i) for i in (0, 5_999)], "k int, rule_tree string")
+    got = curation.mapped(frame, long)
+    assert rows(got.select("k", "rule_reformat")) == [(0, "WARN_IF(R_0)"), (5999, "WARN_IF(R_5999)")]
+    odd = spark.createDataFrame([("NOT(A.B) NOT(A_B) NOT(AxB)", ["A", "A.B"])], "v string, f array<string>")
+    assert odd.select(text.warn_by_names(F.col("v"), F.col("f"))).first()[0] == "WARN_IF(A.B) NOT(A_B) NOT(AxB)"
+
+
+def test_tiles_compare_every_pair_of_a_cohort(spark):
+    random.seed(8)
+    data = [(k % 2 if k % 9 else None, k, [random.random() - 0.5 for _ in range(3)], "" if k % 7 == 0 else f"t{k}") for k in range(90)]
+    frame = spark.createDataFrame(data, "k int, pos int, vector array<double>, text string")
+    old, new = frame.filter("pos < 50"), frame.filter("pos >= 40")
+    cosine = lambda a, b: sum(x * y for x, y in zip(a, b)) / (sum(x * x for x in a) * sum(y * y for y in b)) ** 0.5
+    want = {(a[0], a[1], b[1]) for a in data[:50] for b in data[40:] if a[0] is not None and a[0] == b[0] and a[3] and b[3] and cosine(a[2], b[2]) > 0.6}
+    for tile in (4, 1000):
+        got = compare.similar_pairs(old, new, "k", 0.6, tile=tile).collect()
+        assert {(r["k"], r["i"], r["j"]) for r in got} == want and len(got) == len(want)
+
+
+def test_unchanged_text(spark):
+    data = [("a rule about things", "a rule about things"), ("a rule about things", "A rule about thing"), ("a", "b"), (None, "a"), ("", "")]
+    got = spark.createDataFrame(data, "a string, b string").select(compare.unchanged(F.col("a"), F.col("b")).alias("u")).collect()
+    assert [r["u"] for r in got] == [True, False, False, False, True]
+
+
+def test_grouped_rules(spark):
+    docs = spark.createDataFrame([("d", "Inclusion criteria\n1. adult\n2. any of:\n - p\n - q\nExclusion criteria\n1. ill")], "doc_id string, text string")
+    known = {("sanitise", "1. adult"): "adult", ("tag", "adult"): '[{"input_rule": "adult", "exclude": false}]', ("sanitise", "1. ill"): "ill", ("tag", "ill"): '[{"input_rule": "ill", "exclude": true}]', ("flip", "ill"): '[{"input_rule": "not ill", "exclude": true, "flipped": true}]'}
+    cache = spark.createDataFrame([(s, u, r) for (s, u), r in known.items()], "s string, u string, response string")
+    cache = cache.select(models.prompt_key("m", F.col("s"), F.col("u")).alias("prompt_sha"), "response")
+    got = {r["statement_id"]: [(c["input_rule"], c["exclude"], c["flipped"], c["errors"]) for c in r["curations"]] for r in curation.grouped_rules(docs, models.Asker(cache)).collect()}
+    assert got["I-01"] == [("adult", False, False, [])] and got["E-01"] == [("not ill", False, True, [])]
+    assert [(x[0], x[3]) for x in got["I-02"]] == [("2. any of:\n - p\n - q", ["sanitise: no answer", "tag: no list of rules", "promote: no list of texts"])]
+
+
+def test_writers_and_plain_readers(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    (tmp_path / "p/a.txt").write_text("Trial ID: T 1\nTrial Title:  Some title\ntext")
+    got = files.read_protocols(spark, str(tmp_path / "p")).first()
+    assert got["trial_id"] == "T_1" and got["text"].endswith("text")
+    (tmp_path / "list.csv").write_text("T1\nT2\n")
+    assert rows(files.read_trial_list(spark, str(tmp_path / "list.csv"))) == [("T1",), ("T2",)]
+    (tmp_path / "c.csv").write_text('One,WARN_IF\n"A\nB",TRUE\nC,\nA,no\n')
+    assert [r["One"] for r in files.read_catalogue(spark, str(tmp_path / "c.csv")).orderBy("row_pos").collect()] == ["A\nB", "C", "A"]
+    counts = nesting.stacked([spark.createDataFrame([("T", 1)], "TrialId string, Age int"), spark.createDataFrame([("U", 2)], "TrialId string, Sex int")])
+    files.write_counts(counts.coalesce(1), str(tmp_path / "counts"))
+    assert sorted(next((tmp_path / "counts").glob("part*")).read_text().split("\n")) == ["", "T\t1\t", "TrialId\tAge\tSex", "U\t\t2"]
+    grouped = spark.createDataFrame([("p", [("r", "again")])], "section string, curations array<struct<input_rule: string, section: string>>")
+    files.write_json(grouped, str(tmp_path / "json"))
+    assert spark.read.text(str(tmp_path / "json")).first()[0] == '{"section":"p","curations":[{"input_rule":"r"}]}'
+    paths = spark.createDataFrame([("a/out.json", "T1"), ("a/T1_out.json", "T1"), ("o", None), ("o", "T1")], "p string, i string")
+    assert [r[0] for r in paths.select(files.prefixed_path(F.col("p"), F.col("i"))).collect()] == ["a/T1_out.json", "a/T1_out.json", "o", "T1_o"] == [files.prefixed(r["p"], r["i"]) for r in paths.collect()]
+
+
+def test_trees_that_cannot_be_read_stop_no_task(spark):
+    bad = spark.createDataFrame([("[" * 50_000,), ("{x",), (None,), ('{"A": []}',)], "v string")
+    v = F.col("v")
+    got = bad.select(trees.rule_names(v).alias("n"), trees.is_hollow(v).alias("h"), trees.normalised(v).alias("o"), trees.without_field(v, "x").alias("w"), trees.unreadable(v).isNull().alias("fine")).collect()
+    assert [tuple(r) for r in got] == [(None, None, None, None, False), (None, None, None, None, False), (None, True, None, None, True), (["A"], False, '{"A": []}', '{"A": []}', True)]
