@@ -13,7 +13,8 @@ fingerprint is the sum of its paragraphs' vectors, lane by lane, modulo 2^32:
 
 Defined results: a null text is the empty text, whose fingerprint has one empty paragraph and no sentence; equal
 rows have equal fingerprints; rows with a null key come last in the order of documents, ties go by text; one document
-alone is its own next document; an empty table gives no rows; extra columns are ignored.
+alone is its own next document; an empty table gives no rows; extra columns are ignored. The order is sorted block by
+block: rows that share a key, or have none, are one block, which its task sorts with the help of the disk.
 """
 
 from __future__ import annotations

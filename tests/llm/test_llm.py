@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import struct
 import time
 import zlib
 from collections import Counter, defaultdict
@@ -12,6 +13,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import functions as F
 
@@ -74,6 +76,31 @@ def test_fingerprints_many_blocks(spark):
     assert {r["doc_id"]: r["next"] for r in got.collect()} == dict(zip(order, [*order[1:], order[0]]))
 
 
+def spark_hash(*values, seed=42):
+    """Spark's xxhash64 of strings and whole numbers (4 bytes where given as a pair with 4), unsigned."""
+    for v in values:
+        raw = v.encode() if isinstance(v, str) else struct.pack("<i", v[0]) if isinstance(v, tuple) else struct.pack("<Q", v % 2**64)
+        seed = xxhash.xxh64_intdigest(raw, seed)
+    return seed
+
+
+def test_fingerprints_against_loops(spark, awkward):
+    texts = sorted({t or "" for _, t in awkward[0]} | {"a b. c!\nd", "\n\n", "x. x. x.", "é? ü"}, key=len)[:14]
+    got = spark.createDataFrame([(t,) for t in texts], "text string").select("text", fingerprints.fingerprint(F.col("text")).alias("f")).collect()
+    for r in got:
+        exact, marks = [0] * 16, [0] * 65
+        for p in r["text"].split("\n"):
+            d = hashlib.sha256(p.encode()).hexdigest()
+            exact = [(x + spark_hash(d, (i, 4)) % 2**32) % 2**32 for i, x in enumerate(exact)]
+        for sentence in filter(None, re.split(r"\n|(?<=[.!?]) ", r["text"])):
+            h = [spark_hash(sentence), spark_hash(sentence, (1, 4))]
+            for i in range(64):
+                low, high = h[i // 32] >> (i % 32) & 1, h[i // 32] >> (i % 32 + 32) & 1
+                marks[i] += low + (high << 32)
+            marks[64] += 1
+        assert r["f"]["exact"] == exact and r["f"]["marks"] == marks
+
+
 def test_fingerprint_algebra(spark):
     row = spark.createDataFrame([("a b. c\nd e.\n", "b d\na")], "t string, s string").select(
         fingerprints.fingerprint(F.lit("one\ntwo. three\nfour")).alias("f"), fingerprints.fingerprint(F.lit("four\none\ntwo. three")).alias("g"), fingerprints.fingerprint(F.lit("one\nfour")).alias("h")
@@ -140,6 +167,32 @@ def test_quality_verdicts(spark, empty):
     assert not grams and quality.accepted(empty, labels).count() == 0
 
 
+def test_quality_weights_and_threshold_against_loops(spark):
+    rng = random.Random(21)
+    rows = [(i, " ".join(rng.choices([f"w{k}" for k in range(60)] + ([f"b{k}" for k in range(30)] if i % 3 else []), k=rng.randint(21, 40)))) for i in range(150)]
+    docs, labels = frame(spark, rows).select("doc_id", "text"), frame(spark, [(i, int(i % 3 == 0), 0) for i in range(0, 150, 2)], "doc_id long, quality int, toxic int")
+    size, ratio = 64, quality.fit(docs, labels, 64)
+    fits = {r["key"]: (r["good"], r["fit"]) for r in quality.sample_keys(labels, 20_000).collect()}
+
+    def grams(text):
+        h = [spark_hash(w) for w in text.split()]
+        signed = lambda x: x - 2**64 if x >= 2**63 else x
+        return [signed(x) % size for x in h + [spark_hash(a, b) for a, b in zip(h, h[1:])]]
+
+    raw, good = Counter(), Counter()
+    for i, t in rows:
+        raw.update(grams(t))
+        if fits.get(i) == (1, True):
+            good.update(grams(t))
+    part = lambda c, b: math.log((c[b] + 0.5) / (sum(c.values()) + 0.5 * size))
+    assert ratio.weights == pytest.approx([part(good, b) - part(raw, b) for b in range(size)], abs=1e-5)
+    scores = {i: sum(ratio.weights[b] for b in grams(t)) / (2 * len(t.split()) - 1) for i, t in rows}
+    held = [(scores[i], g) for i, (g, fit) in fits.items() if not fit]
+    n = [sum(g == k for _, g in held) for k in (0, 1)]
+    cost = lambda cut: 20.0 * sum(x < cut for x, g in held if g) / n[1] + sum(x >= cut for x, g in held if not g) / n[0]
+    assert cost(ratio.threshold) <= min(cost(k / 100 - 10) for k in range(2001)) + 1e-9
+
+
 # -- 3 ---------------------------------------------------------------------------------------------------------------
 def test_warc_round_trip(spark):
     rows = [(1, "http://a", "<p>é</p>"), (2, "http://b", "<p>é</p>"), (0, None, "<p>é</p>"), (5, "u\r\nv", None), (4, "http://c", ""), (6, "x", "y" * 300_000), (None, "n", "<p>é</p>"), (8, "r\r\n\r\nt", "a\r\n\r\nb\r\n"), (7, "z", "y" * 300_000)]
