@@ -19,7 +19,7 @@ def _round(edges: DataFrame) -> DataFrame:
     the least of them; a node has few different smaller neighbours, since each of these has been replaced by its least."""
     least = edges.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
     dealt = least.select("u", "m", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
-    large = edges.select(F.col("a").alias("u"), "b", F.pmod(F.xxhash64("b"), F.lit(PARTS)).cast("int").alias("part")).join(dealt, ["u", "part"], "left")
+    large = edges.select(F.col("a").alias("u"), "b", F.pmod(F.xxhash64("b"), F.lit(PARTS)).cast("int").alias("part")).join(dealt.hint("merge"), ["u", "part"], "left")
     small = large.select(F.coalesce("m", "u").alias("a"), "b").withColumn("m", F.min("a").over(Window.partitionBy("b")))
     return small.select(F.explode(F.array(F.struct("m", F.col("b").alias("v")), F.struct("m", F.col("a").alias("v")))).alias("e")).select(F.col("e.m").alias("a"), F.col("e.v").alias("b")).filter("a <> b").distinct()
 

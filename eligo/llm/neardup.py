@@ -19,8 +19,9 @@ buckets, so a large group of texts that are almost similar enough does not turn
 With ``bands`` of ``rows`` bins a pair of similarity 0.8 shares no bucket with probability (1 - 0.8^6)^48 < 5e-7.
 
 Defined results: null and empty texts have an empty set and link with nothing; fewer words than a shingle are one
-shingle; rows with a null key are kept, in no group; repeated rows with one key and text share their group; extra
-columns are not read; an empty table gives no rows.
+shingle; rows with a null key are kept, in no group; repeated rows with one key and text share their group; rows of
+one key with different texts are one node, whose links are held against one of the texts; a very long text's set is
+held by one task at a time; extra columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -108,6 +109,8 @@ class Sketcher:
         return mixed((mixed(low) * self.weights).sum(axis=1, dtype=np.uint64) + self.salt).view(np.int64)
 
 
+#: Ids up to which the keys of the texts to compare are broadcast (16 bytes each); more are joined.
+BROADCAST_IDS = 2_000_000
 PARITIES = 16  # longs of 64 classes
 
 
@@ -171,7 +174,9 @@ def confirmed(pairs: DataFrame, texts: DataFrame, sizes: DataFrame, width: int,
     one, two = (sizes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("p").alias(f"p{x}")) for x in "ab")
     sized = pairs.join(one, "a").join(two, "b")
     sized = written(sized.filter(may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)).select(*pairs.columns), "pairs")
-    wanted = sized.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = written(sized.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)  # the other texts need not move to be left out
     sets = written(shingle_sets(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]), width), "sets")
     both = sized.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     both = both.select(*pairs.columns, F.size(F.array_intersect("sa", "sb")).alias("same"), (F.size("sa") + F.size("sb")).alias("total"))
@@ -182,7 +187,7 @@ def across_groups(shared: DataFrame, groups: DataFrame, sizes: DataFrame, percen
     """Distinct (a, b, ca, cb): pairs that share a bucket, are in different groups ca < cb and may be similar enough.
 
     ``shared``: key, id, hub, ``groups``: id, component. Pairs with a bucket's hub have been tried. A bucket's members
-    are dealt to tiles of about ``tile`` members, and each pair of tiles meets in a task of its own."""
+    are dealt to tiles of about ``tile`` members, and each pair of tiles meets in a task of its own (by a merge join: the dealt rows are many more than the table's size says)."""
     named = written(shared.join(groups, "id", "left").select("key", "id", "hub", F.coalesce("component", "id").alias("component")), "named")
     several = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("members")).filter("lo < hi and members > 2")
     several = written(several.select("key", F.ceil(F.col("members") / tile).cast("int").alias("tiles")), "several")
@@ -190,7 +195,7 @@ def across_groups(shared: DataFrame, groups: DataFrame, sizes: DataFrame, percen
     mine, any_ = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     x, y = (left.select("key", "tiles", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "component", "n", "p")), mine.alias(f"t{s}"), any_.alias(f"t{o}")) for s, o in ("xy", "yx"))
     fits = (F.col("component_x") < F.col("component_y")) & may_link(F.col("n_x"), F.col("p_x"), F.col("n_y"), F.col("p_y"), percent)
-    pairs = x.join(y, (x["key"] == y["key"]) & (x["tx"] == y["tx"]) & (x["ty"] == y["ty"]) & fits)
+    pairs = x.hint("merge").join(y, (x["key"] == y["key"]) & (x["tx"] == y["tx"]) & (x["ty"] == y["ty"]) & fits)
     return pairs.select(F.col("id_x").alias("a"), F.col("id_y").alias("b"), F.col("component_x").alias("ca"), F.col("component_y").alias("cb")).distinct()
 
 

@@ -7,6 +7,7 @@ anything reads them, so retries and new plans never ask twice. Without a client
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,18 +15,36 @@ from pyspark.sql import functions as F
 
 Client = Callable[[str, str], str]
 ANSWERS = "prompt_sha string, response string"
+VECTORS = "text_sha string, vector array<double>"
 
 
 def prompt_key(model: str, system: Column, user: Column) -> Column:
     return F.sha2(F.concat_ws("\x00", F.lit(model), system, user), 256)
 
 
-def asked(prompts: DataFrame, client: Client, tasks: int = 4) -> DataFrame:
-    """prompt_sha, response of distinct prompts (prompt_sha, system, user), asked by at most ``tasks`` tasks."""
+def in_time(client: Client, seconds: float) -> Client:
+    """``client`` with a time limit for each call; a call that takes longer has no answer."""
+
+    def run(system: str, user: str) -> str | None:
+        pool = ThreadPoolExecutor(1)
+        try:
+            return pool.submit(client, system, user).result(timeout=seconds)
+        except TimeoutError:
+            return None
+        finally:
+            pool.shutdown(wait=False)
+
+    return run
+
+
+def asked(prompts: DataFrame, client: Client, tasks: int = 4, seconds: float = 60.0) -> DataFrame:
+    """prompt_sha, response of distinct prompts (prompt_sha, system, user), asked by at most ``tasks`` tasks; null for a
+    prompt whose call takes more than ``seconds``."""
 
     def run(frames):
+        limited = in_time(client, seconds)
         for f in frames:
-            yield f[["prompt_sha"]].assign(response=[client(s, u) for s, u in zip(f["system"], f["user"])])
+            yield f[["prompt_sha"]].assign(response=[limited(s, u) for s, u in zip(f["system"], f["user"])])
 
     return prompts.dropDuplicates(["prompt_sha"]).repartition(tasks).mapInPandas(run, ANSWERS)
 
@@ -45,6 +64,27 @@ def answered(rows: DataFrame, cache: DataFrame, model: str, system: Column, user
     return keyed.drop("system_", "user_").join(known, "prompt_sha", "left")
 
 
+def embedded(rows: DataFrame, cache: DataFrame, text: Column, client: Callable[[list[str]], list[list[float]]] | None = None, store: str | None = None) -> DataFrame:
+    """``rows`` with vector: the embedding of ``text`` from ``cache`` (text_sha, vector); null where there is none.
+
+    With a client the texts that the cache lacks are embedded a batch at a time, each distinct text once, and appended
+    to the Parquet table ``store``, which is read back."""
+    keyed = rows.withColumns({"text_sha": F.sha2(text.cast("binary"), 256), "text_": text})
+    known = cache.select("text_sha", "vector").dropDuplicates(["text_sha"])
+    if client is not None:
+        if store is None:
+            raise ValueError("a client needs a table for its vectors")
+
+        def run(frames):
+            for f in frames:
+                yield f[["text_sha"]].assign(vector=client(f["text_"].tolist()))
+
+        misses = keyed.filter("text_sha is not null").join(known, "text_sha", "left_anti").select("text_sha", "text_").dropDuplicates(["text_sha"])
+        misses.mapInPandas(run, VECTORS).write.mode("append").parquet(store)
+        known = known.unionByName(rows.sparkSession.read.schema(VECTORS).parquet(store)).dropDuplicates(["text_sha"])
+    return keyed.drop("text_").join(known, "text_sha", "left").drop("text_sha")
+
+
 @dataclass(frozen=True)
 class Asker:
     """Where a workflow's answers come from: a cache of known ones, and a client with a table for new ones if there is

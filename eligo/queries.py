@@ -114,6 +114,50 @@ def review_round_trip(spark, sf_dir):
     return files.read_review(spark, at).select("TrialId", "Cohort", "Description", "Checked", "Notes")
 
 
+@query("""SELECT c_custkey, c_acctbal < 0 AS owes FROM customer WHERE c_acctbal < 0 IS TRUE OR c_acctbal IS NULL""")
+def boolean_facet(spark, sf_dir):
+    """all options of a boolean facet deselected, two shown again."""
+    rows = t(spark, sf_dir, "customer").select("c_custkey", (F.col("c_acctbal") < 0).alias("owes"))
+    return review.Review(rows, "c_custkey").none_selected("owes").toggled("owes", True).toggled("owes", None).filtered()
+
+
+@query("""SELECT p_partkey, p_partkey % 3 = 1 AS refused FROM part""")
+def validated_edits(spark, sf_dir):
+    """Edits whose code cannot be parsed are held back, empty ones are not."""
+    code = "CASE p_partkey % 3 WHEN 0 THEN 'Other(reason=\"' || p_brand || '\")' WHEN 1 THEN 'Other(reason=' || p_size || ')' ELSE '' END AS OverrideCode"
+    good, bad = review.validated(t(spark, sf_dir, "part").selectExpr("p_partkey", code))
+    return good.select("p_partkey", F.lit(False).alias("refused")).unionByName(bad.select("p_partkey", F.col("Error").isNotNull().alias("refused")))
+
+
+# -- files -----------------------------------------------------------------------------------------------------------
+@query("""SELECT CAST(p_partkey AS VARCHAR) AS trial_id, CASE WHEN p_partkey % 4 > 0 THEN p_brand END AS reason, p_partkey % 4 = 0 AS failed FROM part""")
+def criteria_files(spark, sf_dir):
+    """Curated criteria written as lines of JSON and read again; bad rows keep their error."""
+    code = F.concat(F.when(F.col("p_partkey") % 4 > 0, "Other").otherwise("Others"), F.lit('(reason="'), "p_brand", F.lit('")'))
+    at = fresh_dir(spark, "criteria")
+    files.write_json(t(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("trial_id"), F.lit("c").alias("cohort"), F.lit(0).alias("pos"), code.alias("code")), at)
+    good, bad = files.read_criteria(spark, at)
+    none = F.lit(None).cast("string")
+    return good.select("trial_id", F.get_json_object("node", "$.reason").alias("reason"), F.lit(False).alias("failed")).unionByName(bad.select("trial_id", none.alias("reason"), F.col("error").isNotNull().alias("failed")))
+
+
+@query("""SELECT c_custkey AS id, c_mktsegment AS segment, NULL AS size FROM customer UNION ALL SELECT p_partkey, NULL, CAST(p_size AS VARCHAR) FROM part""")
+def count_table_file(spark, sf_dir):
+    """Stacked frames as a tab-separated table, nulls as empty cells."""
+    at = fresh_dir(spark, "counts")
+    files.write_counts(nesting.stacked([t(spark, sf_dir, "customer").selectExpr("c_custkey AS id", "c_mktsegment AS segment"), t(spark, sf_dir, "part").selectExpr("p_partkey AS id", "p_size AS size")]), at)
+    back = spark.read.csv(at, sep="\t", header=True)
+    return back.select(F.col("id").cast("long").alias("id"), F.nullif("segment", F.lit("")).alias("segment"), F.nullif("size", F.lit("")).alias("size"))
+
+
+@query("""SELECT 'T' || o_orderkey AS trial_id FROM orders""")
+def trial_list_file(spark, sf_dir):
+    """A list of trials without a head."""
+    at = fresh_dir(spark, "trials")
+    t(spark, sf_dir, "orders").select(F.concat(F.lit("T"), "o_orderkey")).write.csv(at)
+    return files.read_trial_list(spark, at)
+
+
 # -- text ------------------------------------------------------------------------------------------------------------
 TAGGED_SQL = """SELECT conv_id, string_agg(CASE role WHEN 'assistant' THEN 'EXCLUDE ' ELSE 'INCLUDE ' END || text, chr(10) ORDER BY turn) AS v FROM conversations GROUP BY 1"""
 PIECES_SQL = f"""SELECT conv_id, list_filter(list_transform(string_split(regexp_replace(v, '(?m)^(INCLUDE|EXCLUDE)', chr(1) || '\\1', 'g'), chr(1)), lambda x: trim(x, ' ' || chr(10))), lambda x: x <> '') AS pieces FROM ({TAGGED_SQL})"""
@@ -443,6 +487,20 @@ def criterion_lines(spark, sf_dir):
     return t(spark, sf_dir, "events").select("event_id", line.alias("line"))
 
 
+@query("""SELECT user_id FROM events GROUP BY 1 HAVING count(*) FILTER (WHERE event_type IN ('purchase', 'refund')) > 0""")
+def lists_with_any(spark, sf_dir):
+    """Rows whose list has any of the wanted values."""
+    lists = t(spark, sf_dir, "events").groupBy("user_id").agg(F.collect_set("event_type").alias("types"))
+    return nesting.with_any(lists, "types", ["purchase", "refund"]).select("user_id")
+
+
+@query("""SELECT string_agg(DISTINCT c, ',' ORDER BY c) AS categories FROM (SELECT event_type AS c FROM events WHERE event_id % 3 = 0 UNION ALL SELECT 'always')""")
+def category_union(spark, sf_dir):
+    """The categories of all rows and those that always apply."""
+    lists = t(spark, sf_dir, "events").filter("event_id % 3 = 0").select(F.array("event_type").alias("c"))
+    return nesting.category_union(lists, "c", ["always"]).select(F.array_join("categories", ",").alias("categories"))
+
+
 # -- comparison ------------------------------------------------------------------------------------------------------
 def sides(spark, sf_dir):
     rows = t(spark, sf_dir, "embeddings").select(F.col("label").alias("cohort"), F.col("vec_id").alias("pos"), F.col("embedding").alias("vector"), F.concat(F.lit("text "), "vec_id").alias("text"))
@@ -474,6 +532,15 @@ UNION ALL SELECT * FROM (SELECT cohort, coalesce(sum(CASE WHEN i IS NOT NULL THE
 placed AS (SELECT cohort, CAST(row_number() OVER (PARTITION BY cohort ORDER BY slot, kind, spot) AS INTEGER) AS place, old_pos, old_text, new_pos, new_text, similarity FROM slots)"""
 
 
+@query(f"""SELECT * FROM ({PAIRS_SQL}) WHERE similarity > 0.3 AND i % 7 <> 0 AND j % 7 <> 0""")
+def embedded_pairs(spark, sf_dir):
+    """Texts with vectors from a cache; empty texts match nothing."""
+    cache = t(spark, sf_dir, "embeddings").select(F.sha2(F.concat(F.lit("text "), "vec_id").cast("binary"), 256).alias("text_sha"), F.col("embedding").cast("array<double>").alias("vector"))
+    text_ = F.when(F.col("pos") % 7 == 0, "").otherwise(F.col("text"))
+    old, new = (models.embedded(side.drop("vector").withColumn("text", text_), cache, F.col("text")) for side in sides(spark, sf_dir))
+    return compare.similar_pairs(old, new, "cohort", 0.3, digits=6)
+
+
 @query(f"{MATCH_SQL} SELECT * FROM matches")
 def greedy_match(spark, sf_dir):
     """Greedy one-to-one matches, by a sequential pass in the SQL."""

@@ -260,3 +260,20 @@ def test_trees_that_cannot_be_read_stop_no_task(spark):
     v = F.col("v")
     got = bad.select(trees.rule_names(v).alias("n"), trees.is_hollow(v).alias("h"), trees.normalised(v).alias("o"), trees.without_field(v, "x").alias("w"), trees.unreadable(v).isNull().alias("fine")).collect()
     assert [tuple(r) for r in got] == [(None, None, None, None, False), (None, None, None, None, False), (None, True, None, None, True), (["A"], False, '{"A": []}', '{"A": []}', True)]
+
+
+def test_embeddings_are_asked_once(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "ab"), (2, "abc"), (3, "ab"), (4, None)], "id int, text string")
+    none = spark.createDataFrame([], models.VECTORS)
+    store = str(tmp_path / "vectors")
+    assert {r["vector"] for r in models.embedded(frame, none, F.col("text")).collect()} == {None}
+    got = models.embedded(frame, none, F.col("text"), client=lambda texts: [[float(len(x))] for x in texts], store=store)
+    assert rows(got.select("id", F.col("vector")[0])) == [(1, 2.0), (2, 3.0), (3, 2.0), (4, None)]
+    assert spark.read.parquet(store).count() == 2
+
+
+def test_calls_that_take_too_long_have_no_answer():
+    import time
+
+    slow = models.in_time(lambda s, u: time.sleep(0.5) or "late", 0.05)
+    assert slow("s", "u") is None and models.in_time(lambda s, u: s + u, 5)("s", "u") == "su"
