@@ -13,6 +13,7 @@ from eligo.functions import criteria, text, trees
 from eligo.functions.lenient import first_parse
 from eligo.operators import catalogue, compare, nesting
 from eligo.plans.models import Asker
+from eligo.sources.shared import checkpointed
 
 RULES = "array<struct<input_rule:string,exclude:boolean,flipped:boolean,cohorts:array<string>>>"
 NO_TEXTS = "array<string>"
@@ -32,9 +33,9 @@ def read_answers(rows: DataFrame, asker: Asker) -> DataFrame:
     """``rows`` (with response) with answer: the response as JSON text, null if it cannot be read.
 
     A response that none of the parsers reads is handed to the repair stage, and its answer goes through the same
-    parsers; only such rows are asked about."""
+    parsers; only such rows are asked about. The rows are checkpointed, so that a chain of stages runs each once."""
     read = lambda c: first_parse(text.code_blocks(F.col(c), "json"))["json"]
-    rows = rows.withColumn("answer", read("response"))
+    rows = checkpointed(rows.withColumn("answer", read("response")))
     lost = F.col("answer").isNull() & F.col("response").isNotNull()
     again = asker.ask(rows.filter(lost).withColumnRenamed("response", "broken"), "repair", F.col("broken"))
     again = again.withColumn("answer", read("response")).withColumn("response", F.col("broken"))
