@@ -48,5 +48,32 @@ SELECT parts.page_id, host, path, rule,
        CASE WHEN rule_verdict IS NOT NULL THEN rule_verdict
             WHEN regexp_matches(host, '(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\.') THEN 'block' ELSE 'allow' END AS verdict
 FROM parts LEFT JOIN (SELECT * FROM fits WHERE k = 1) AS f ON parts.page_id = f.page_id
+""",
+    "op3_warc": r"""
+WITH made AS (
+    SELECT page_id, coalesce(html, '') AS payload, CAST(CAST(unhex(sha1(coalesce(html, ''))) AS BIT) AS VARCHAR) AS bits,
+           min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+    FROM pages)
+SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(1 + list_sum(list_transform(range(0, 5), lambda j: CAST(substr(bits, CAST(5 * k + j + 1 AS BIGINT), 1) AS BIGINT) * (16 >> CAST(j AS INTEGER)))) AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM made
+""",
+    "op5_near_duplicates": r"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) = 1 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM cut WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS same FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2)
+    JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * same >= 80 * (p.n + q.n - same)),
+reach AS (SELECT DISTINCT doc_id AS x, doc_id AS y FROM documents UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+groups AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT cut.doc_id, coalesce(n, 0) AS n_shingles, component_id, cut.doc_id = component_id AS kept
+FROM cut LEFT JOIN sizes ON sizes.doc_id = cut.doc_id JOIN groups ON groups.x = cut.doc_id
 """,
 }
