@@ -109,6 +109,11 @@ def directed(rule: Column, exclude: Column) -> Column:
     return F.concat(F.when(exclude, "EXCLUDE ").otherwise("INCLUDE "), rule)
 
 
+def direction_error(rule: Column, exclude: Column) -> Column:
+    """Why a rule has no direction: its text or its flag is missing; null if it has one."""
+    return F.when(exclude.isNull(), "the exclusion flag is no boolean").when(rule.isNull(), "the rule is no text")
+
+
 def exclude_after_flip(exclude: Column, flipped: Column) -> Column:
     return F.when(flipped, False).otherwise(exclude)
 

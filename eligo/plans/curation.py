@@ -112,8 +112,14 @@ def categorised(rows: DataFrame, asker: Asker) -> DataFrame:
 
 
 def with_trees(rows: DataFrame, asker: Asker) -> DataFrame:
-    """``rows`` with rule_tree: of several results the last one's tree; a single object counts as a list of one."""
-    asked = F.concat_ws("\n", F.col("input_rule"), F.array_join(F.coalesce("categories", _none()), ","))
+    """``rows`` with rule_tree: of several results the last one's tree; a single object counts as a list of one.
+
+    Where rows have an exclude flag, the model is asked about the directed rule, and a missing flag is an error."""
+    rule = F.col("input_rule")
+    if "exclude" in rows.columns:
+        rows = refused(rows, "mapping", text.direction_error(rule, F.col("exclude")))
+        rule = text.directed(rule, F.col("exclude"))
+    asked = F.concat_ws("\n", rule, F.array_join(F.coalesce("categories", _none()), ","))
     rows = read_answers(asker.ask(rows, "mapping", asked), asker)
     results = F.from_json("answer", "array<struct<input_rule:string,rule_tree:string>>")
     rows = rows.withColumn("result", nesting.collapsed(results))

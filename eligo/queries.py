@@ -158,6 +158,51 @@ def trial_list_file(spark, sf_dir):
     return files.read_trial_list(spark, at)
 
 
+def one_file_each(rows: DataFrame, at: str) -> str:
+    """``rows`` (name, value) written as texts, a file each."""
+    rows.repartition("name").write.partitionBy("name").text(at)
+    return at
+
+
+@query("""SELECT n_nationkey, 'I-' || n_name || chr(10) || '[x]' AS text FROM nation""")
+def trial_files(spark, sf_dir):
+    """Registry records, a file each."""
+    record = F.concat(F.lit('{"protocolSection": {"eligibilityModule": {"eligibilityCriteria": "I-'), "n_name", F.lit('\\n\\\\[x\\\\]"}}}'))
+    at = one_file_each(t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("name"), record.alias("value")), fresh_dir(spark, "records"))
+    return files.read_trials(spark, at).select(F.regexp_extract("path", r"name=(\d+)", 1).cast("int").alias("n_nationkey"), "text")
+
+
+@query("""SELECT 'T_' || n_nationkey AS trial_id, 'Trial ID: T ' || n_nationkey || chr(10) || n_name AS text FROM nation""")
+def protocol_files(spark, sf_dir):
+    """Plain protocols, a file each."""
+    body = F.concat(F.lit("Trial ID: T "), "n_nationkey", F.lit("\n"), "n_name")
+    at = one_file_each(t(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("name"), body.alias("value")), fresh_dir(spark, "protocols"))
+    return files.read_protocols(spark, at).select("trial_id", text.strip(F.col("text")).alias("text"))
+
+
+@query("""SELECT n_nationkey, c_mktsegment AS cohort, CAST(row_number() OVER (PARTITION BY n_nationkey, c_mktsegment ORDER BY c_custkey) - 1 AS INTEGER) AS pos, c_name AS description, CASE WHEN c_custkey % 2 = 0 THEN 'R' || c_custkey END AS rule_reformat
+FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def mapping_files(spark, sf_dir):
+    """Mappings by cohort, a file for each trial; the text stands in for a missing description."""
+    rule = F.struct(F.col("c_custkey"), F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).alias("description"), F.col("c_name").alias("input_rule"), F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("R"), "c_custkey")).alias("rule_reformat"))
+    lists = t(spark, sf_dir, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.sort_array(F.collect_list(rule)).alias("rules"))
+    lists = lists.groupBy(F.col("c_nationkey").alias("name")).agg(F.map_from_entries(F.collect_list(F.struct("c_mktsegment", "rules"))).alias("by_cohort"))
+    at = one_file_each(lists.select("name", F.to_json("by_cohort").alias("value")), fresh_dir(spark, "mappings"))
+    return files.read_mappings(spark, at).select(F.regexp_extract("path", r"name=(\d+)", 1).cast("int").alias("n_nationkey"), "cohort", "pos", "description", "rule_reformat")
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN '' ELSE '--- Parent [' || o_orderkey || '] ---' || chr(10) || 'Section: ' || o_orderstatus || chr(10) || 'Original text:' || chr(10) || o_orderpriority || chr(10) || chr(10) END ||
+'Input rule:' || chr(10) || 'rule ' || o_custkey || chr(10) || 'Mapped rule:' || chr(10) || 'R' || chr(10) || chr(10) AS report FROM orders""")
+def flat_reports(spark, sf_dir):
+    """Mapped rules as text, with their parent if there is one."""
+    has = F.col("o_orderstatus") != "P"
+    rows = t(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(has, F.col("o_orderkey").cast("string")).alias("original_input_rule_id"), F.when(has, F.col("o_orderpriority")).alias("original_input_rule"), F.when(has, F.col("o_orderstatus")).alias("section"),
+        F.concat(F.lit("rule "), "o_custkey").alias("input_rule"), F.lit("R").alias("rule_reformat"),
+    )
+    return files.flat_report(rows).select("o_orderkey", "report")
+
+
 # -- text ------------------------------------------------------------------------------------------------------------
 TAGGED_SQL = """SELECT conv_id, string_agg(CASE role WHEN 'assistant' THEN 'EXCLUDE ' ELSE 'INCLUDE ' END || text, chr(10) ORDER BY turn) AS v FROM conversations GROUP BY 1"""
 PIECES_SQL = f"""SELECT conv_id, list_filter(list_transform(string_split(regexp_replace(v, '(?m)^(INCLUDE|EXCLUDE)', chr(1) || '\\1', 'g'), chr(1)), lambda x: trim(x, ' ' || chr(10))), lambda x: x <> '') AS pieces FROM ({TAGGED_SQL})"""
@@ -381,6 +426,28 @@ def criterion_trees(spark, sf_dir):
     )
 
 
+ONCE = ("And", "Age", "Not", "Infection", "If", "Sex", "Other", "Timing")
+LLM_CODE = r"""'And(description="")\n{\n    Age(description="",\n        age=' || p_size || ',\n        operator=">="),\n    Not(description="")\n    {\n        Infection(description="",\n            infection="' || p_brand || '")\n    },\n    If(description="")\n    {\n        Sex(description="",\n            sex="male")\n    }\n    then {\n        Other(description="")\n    }\n    else {\n        Timing(description="",\n            window_days=IntRange(min_inclusive=-' || p_size || '))\n        {\n            Other(description="",\n                reason="' || p_type || '")\n        }\n    }\n}'"""
+
+
+@query(f"""SELECT CAST(p_size AS VARCHAR) AS "TrialId", p_brand AS "Cohort", CAST(k AS INTEGER) AS "RuleNum", p_size || '.' || k AS "RuleId", '' AS "Description",
+{", ".join(f'{int(n in ONCE)} AS "{n}"' for n in criteria.NODES)}, replace({LLM_CODE}, '\\n', chr(10)) AS "LlmCode"
+FROM (SELECT *, row_number() OVER (PARTITION BY p_size, p_brand ORDER BY p_partkey) AS k FROM part)""")
+def review_table(spark, sf_dir):
+    """The whole review table of typed criteria, a column for each node type."""
+    rows = t(spark, sf_dir, "part").selectExpr("cast(p_size as string) AS TrialId", "p_brand AS Cohort", "p_partkey AS pos", f"{CRITERION} AS code")
+    out = curation.tabulated(rows.withColumn("node", criteria.parsed(F.col("code"))["json"]))
+    return out.select("TrialId", "Cohort", "RuleNum", "RuleId", "Description", *criteria.NODES, "LlmCode")
+
+
+@query("""SELECT event_id, props || chr(92) || '"' || chr(10) AS reason, 'OtherCriterion(' || chr(10) || '    description = "",' || chr(10) || '    reason = "' || user_id || '"' || chr(10) || ')' AS python FROM events""")
+def criterion_escapes(spark, sf_dir):
+    """Quotes, backslashes and line ends survive writing and reading; the form for people."""
+    rows = t(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(F.lit("Other").alias("type"), F.lit("").alias("description"), F.concat("props", F.lit('\\"\n')).alias("reason"))).alias("node"), F.to_json(F.struct(F.lit("Other").alias("type"), F.lit("").alias("description"), F.col("user_id").cast("string").alias("reason"))).alias("plain"))
+    again = criteria.parsed(criteria.written(F.col("node")))["json"]
+    return rows.select("event_id", F.get_json_object(again, "$.reason").alias("reason"), criteria.python_text(F.col("plain")).alias("python"))
+
+
 TYPED = """CASE p_partkey % 10 WHEN 0 THEN 'Age(age=' || p_size || ', operator=">=")' WHEN 1 THEN 'Age(age="abc", operator=">=")' WHEN 2 THEN 'Age(age=1.5, operator=">=")'
 WHEN 3 THEN 'TreatmentOption(treatment=Medication())' WHEN 4 THEN 'TreatmentOption(treatment=Medication(medications=["' || p_brand || '"]))' WHEN 5 THEN 'PriorTreatment(treatment="' || p_brand || '")'
 WHEN 6 THEN 'Metastases(location=[1])' WHEN 7 THEN 'TreatmentOption(treatment=Surgery(treatment="x"))' WHEN 8 THEN 'LabValue(measurement="m", unit="u", value=' || p_size || ', operator="near")' ELSE 'Other(description=null)' END"""
