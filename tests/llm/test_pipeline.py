@@ -1,12 +1,16 @@
 """The pipeline and the registered corpus queries on the smallest tables."""
 
+import math
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from eligo.llm import quality, toxicity
+from eligo.llm.common import tokenizer_path
 from eligo.llm.queries import ORACLES, QUERIES
+from test_llm import SPACES, base_rules, brute_groups, spark_hash
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no tables")
@@ -25,6 +29,53 @@ def test_stages(spark, tmp_path):
     assert docs.select("doc_id").distinct().count() == before
 
 
+def test_stages_against_brute_force(spark, tmp_path):
+    """Each stage's decisions from loops over whole texts; only the fitted numbers are taken from the operators."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    docs, stages = spark.read.parquet(f"{SF}/documents.parquet"), dict(corpus_pipeline.STAGES)
+    rows = lambda df: {r["doc_id"]: r["text"] or "" for r in df.select("doc_id", "text").collect()}
+
+    def after(name):
+        stages[name](spark, docs, SF).write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    ratio, texts = quality.fit(docs.select("doc_id", "text"), labels), rows(docs)
+    size, want = len(ratio.weights), set()
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    for i, t in texts.items():
+        h = [spark_hash(w) for w in SPACES.findall(t)]
+        grams = [signed(x) % size for x in h + [spark_hash(a, b) for a, b in zip(h, h[1:])]]
+        if not base_rules(t)[-1] and sum(ratio.weights[b] for b in grams) / max(1, len(grams)) >= ratio.threshold:
+            want.add(i)
+    docs = after("quality rules")
+    assert set(rows(docs)) == want
+
+    model, texts = toxicity.fitted(docs, labels), rows(docs)
+    severity = lambda eta: sum(1 / (1 + math.exp(t - eta)) for t in model.thresholds)
+    want = {i for i, t in texts.items() if severity(sum(w for f, w in model.weights.items() if f in toxicity.Features().of(t))) < model.cut}
+    docs = after("toxicity")
+    assert set(rows(docs)) == want
+
+    texts = rows(docs)
+    want = {i for (i, _, _, kept), _ in brute_groups(list(texts.items()), 5, 80).items() if kept}
+    docs = after("near-duplicates")
+    assert set(rows(docs)) == want
+
+    from tokenizers import Tokenizer
+
+    lib, texts = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json")), rows(docs)
+    want, bins = set(), {}
+    for i, t in texts.items():
+        n = len(lib.encode(t, add_special_tokens=False).ids) + 1
+        want |= {(i, k, at, min(4096, n - at)) for k, at in enumerate(range(0, n, 4096))}
+    got = after("packing").collect()
+    assert {(r["doc_id"], r["piece"], r["start"], r["length"]) for r in got} == want and len(got) == len(want)
+    for r in got:
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert all(sum(n for _, n in b) <= 4096 and all(at == sum(n for _, n in sorted(b)[:k]) for k, (at, _) in enumerate(sorted(b))) for b in bins.values())
+    assert len(bins) <= -(-sum(n for *_, n in want) // 4096) + 1
+
+
 def test_empty_table_passes(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
