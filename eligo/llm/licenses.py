@@ -183,18 +183,34 @@ def aligned(template: np.ndarray, text: np.ndarray, low: int, high: int) -> tupl
     return min(((m, start, -end) for m, start, end in row), key=tightest)
 
 
+def equal_words(words: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in the template, diagonal) of every pair of equal words, in the order of diagonals."""
+    order = np.argsort(window, kind="stable")
+    lo, hi = (np.searchsorted(window[order], words, side) for side in ("left", "right"))
+    count = hi - lo
+    place = np.repeat(np.arange(len(words)), count)
+    within = np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count)
+    diagonal = order[np.repeat(lo, count) + within] - place
+    by = np.argsort(diagonal, kind="stable")
+    return place[by], diagonal[by]
+
+
 def best_in(window: np.ndarray, diagonals: list[int], words: np.ndarray, need: int, band: int) -> tuple[int, int, int] | None:
     """(matched, start, end) of the best match in a window, diagonals counted from its first word; None if none has
-    ``need`` words."""
+    ``need`` words. Diagonals within ``band`` of each other are aligned together, if their band holds equals of enough
+    of the template's words at all."""
     if len(window) < need or np.count_nonzero(np.isin(words, window)) < need:
         return None
+    place, at = equal_words(words, window)
     found, low = [], diagonals[0]
     for high, after in zip(diagonals, [*diagonals[1:], None]):
         if after is None or after - high > band:
-            found.append(aligned(words, window, low - band, high + band))
+            inside = place[np.searchsorted(at, low - band, "left") : np.searchsorted(at, high + band, "right")]
+            if len(inside) >= need and len(np.unique(inside)) >= need:
+                found.append(aligned(words, window, low - band, high + band))
             low = after
-    m, start, end = min(found, key=tightest)
-    return (m, start, end) if m >= need else None
+    best = min(found, key=tightest, default=(0, 0, 0))
+    return best if best[0] >= need else None
 
 
 def occurrences(h: np.ndarray, hits: list[tuple[int, int]], words: np.ndarray, need: int, band: int, lo: int, hi: int) -> list[tuple[int, int, int]]:
