@@ -77,6 +77,34 @@ def collector_off():
             gc.enable()
 
 
+class Remembered(dict):
+    """What a worker remembers of words: about ``most`` bytes of them, no word of over ``longest`` characters."""
+
+    #: Bytes that Python's own objects add to each word and its value.
+    OBJECTS = 180
+
+    def __init__(self, most: int = 160 << 20, longest: int = 256):
+        super().__init__()
+        self.most, self.longest, self.held = most, longest, 0
+
+    def all(self, words: set[str], learn):
+        """A lookup that knows every one of ``words``; ``learn`` gives the values of a list of new ones."""
+        new = [w for w in words if w not in self]
+        found = dict(zip(new, learn(new))) if new else {}
+        short = {w: v for w, v in found.items() if len(w) <= self.longest}
+        size = sum(len(w) + len(v) for w, v in short.items()) + self.OBJECTS * len(short)
+        if self.held + size > self.most:
+            found = {w: self[w] for w in words if w in self} | found
+            self.clear()
+            self.held = 0
+        if size <= self.most:
+            self.update(short)
+            self.held += size
+            if len(short) == len(found) == len(new):
+                return self.__getitem__
+        return lambda w: found[w] if w in found else self[w]
+
+
 def byte_letters() -> dict[str, int]:
     """The printable letter that stands for each byte in byte-level vocabularies, reversed."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]

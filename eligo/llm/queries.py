@@ -9,6 +9,7 @@ from eligo.llm.fingerprints import op1_fingerprints
 from eligo.llm.licenses import op9_license_scan
 from eligo.llm.neardup import op5_near_duplicates
 from eligo.llm.packing import op7_best_fit_packing
+from eligo.llm.piece import op11_piece_rounds
 from eligo.llm.quality import op2_quality_rules
 from eligo.llm.toxicity import op8_toxicity
 from eligo.llm.urlfilter import op6_url_filter
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_license_scan": op9_license_scan,
     "op10_chat_examples": op10_chat_examples,
+    "op11_piece_rounds": op11_piece_rounds,
 }
 
 URL_PARTS = """
