@@ -11,6 +11,7 @@ from eligo.llm.neardup import op5_near_duplicates
 from eligo.llm.packing import op7_best_fit_packing
 from eligo.llm.piece import op11_piece_rounds
 from eligo.llm.quality import op2_quality_rules
+from eligo.llm.resample import op12_importance_resampling
 from eligo.llm.toxicity import op8_toxicity
 from eligo.llm.urlfilter import op6_url_filter
 from eligo.llm.warc import op3_warc
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_chat_examples": op10_chat_examples,
     "op11_piece_rounds": op11_piece_rounds,
+    "op12_importance_resampling": op12_importance_resampling,
 }
 
 URL_PARTS = """
