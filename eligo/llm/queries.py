@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from eligo.llm.audit import ORACLE as AUDIT_ORACLE
+from eligo.llm.audit import op13_filter_audit
 from eligo.llm.bpe import op4_bpe_trie
 from eligo.llm.chat import ORACLE as CHAT_ORACLE
 from eligo.llm.chat import op10_chat_examples
@@ -29,6 +31,7 @@ QUERIES = {
     "op10_chat_examples": op10_chat_examples,
     "op11_piece_rounds": op11_piece_rounds,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 URL_PARTS = """
@@ -40,6 +43,7 @@ URL_PARTS = """
 
 ORACLES: dict[str, str] = {
     "op10_chat_examples": CHAT_ORACLE,
+    "op13_filter_audit": AUDIT_ORACLE,
     "op6_url_filter": rf"""
 WITH parts AS ({URL_PARTS}),
 rules(rule, rule_host, rule_path, rule_verdict) AS (VALUES
