@@ -141,17 +141,24 @@ def updated(key, frames, state: GroupState):
     yield changes[changes["n"] != 0]
 
 
+#: State in RocksDB, on the executors' disks; a commit writes what has changed, not the store.
+ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 @contextlib.contextmanager
 def on_disk(spark: SparkSession):
-    """Streams that start meanwhile keep their state in RocksDB, on the executors' disks, unless the session says where."""
-    name = "spark.sql.streaming.stateStore.providerClass"
-    was = spark.conf.get(name)
-    if was.endswith("HDFSBackedStateStoreProvider"):
-        spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    """Streams that start meanwhile keep their state as :data:`ON_DISK` says."""
+    before = {name: spark.conf.get(name, None) for name in ON_DISK}
+    for name, value in ON_DISK.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(name, was)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def counters(spark: SparkSession, path: str, labels: DataFrame, batches: int = 4, key: str = "doc_id", text: str = "text", part: str = "source") -> DataFrame:
