@@ -2,22 +2,21 @@
 
 1. quality rules (operator 2): rejected documents go;
 2. toxicity (operator 8): toxic documents go;
-3. near-duplicates by MinHash (operator 5; five words, similarity 0.8): the least doc_id of each group stays;
+3. near-duplicates by MinHash (operator 5; five words, similarity 0.8): of each group the row with the least doc_id stays;
 4. best-fit packing (operator 7) of what is left, one row per piece.
 
 Each stage reads all rows that the stage before it kept, and returns them with the columns of ``documents``; the last
-returns the packing. Null and repeated rows have each operator's defined results. Of rows that repeat a doc_id with its
-text one stays; rows with a null doc_id are in no near-duplicate group, but of those with equal texts one stays too. An
-empty table passes through.
+returns the packing. Null and repeated rows have each operator's defined results. Near-duplicates are found among
+texts, whatever their keys: of rows that repeat a doc_id with its text one stays, a row never goes because another row
+of its doc_id is a copy, and of a group whose rows all lack a doc_id one stays. An empty table passes through.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eligo.llm import neardup, packing, quality, toxicity
-from eligo.llm.common import fresh_dir, table, written
+from eligo.llm.common import fresh_dir, table
 
 #: No SQL: the verdicts rest on fitted models, hashed sketches and a tokenizer.
 ORACLE_SQL = None
@@ -33,13 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = neardup.near_duplicates(docs)
-    kept = docs.join(found.filter("not kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-    repeated = written(docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("twice")), "repeated")
-    if repeated.isEmpty():
-        return kept
-    same = kept["doc_id"].eqNullSafe(repeated["twice"])
-    return kept.join(repeated, same, "left_anti").unionByName(kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return neardup.one_of_each(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,10 +18,14 @@ buckets, so a large group of texts that are almost similar enough does not turn
 
 With ``bands`` of ``rows`` bins a pair of similarity 0.8 shares no bucket with probability (1 - 0.8^6)^48 < 5e-7.
 
+Nodes are sets, whatever the keys of the rows that have them: a set's node is the least number of a row with it. Rows
+learn their group from their set, and a group learns its least key from its rows.
+
 Defined results: null and empty texts have an empty set and link with nothing; fewer words than a shingle are one
-shingle; rows with a null key are kept, in no group; repeated rows with one key and text share their group; rows of
-one key with different texts are one node, whose links are held against one of the texts; a very long text's set is
-held by one task at a time; extra columns are not read; an empty table gives no rows.
+shingle; repeated rows with one key and text share their group; rows of one key with different texts are judged each by
+its own text, so they may be in different groups; rows with a null key are linked like others and are kept only if no
+row of their group has a key, one of each such group; a very long text's set is held by one task at a time; extra
+columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -109,8 +113,12 @@ class Sketcher:
         return mixed((mixed(low) * self.weights).sum(axis=1, dtype=np.uint64) + self.salt).view(np.int64)
 
 
-#: Ids up to which the keys of the texts to compare are broadcast (16 bytes each); more are joined.
+#: Keys up to which those of the texts to compare are broadcast (16 bytes each); more are joined.
 BROADCAST_IDS = 2_000_000
+#: Tasks to which the rows of a large group, and the pairs of a large star's centre, are dealt.
+PARTS = 16
+#: Pairs from which a star's centre is dealt; a larger number where there are very many pairs.
+MANY_PAIRS = 10_000
 PARITIES = 16  # longs of 64 classes
 
 
@@ -127,19 +135,20 @@ def may_link(na: Column, pa_: Column, nb: Column, pb: Column, percent: int) -> C
 
 
 def sketches(docs: DataFrame, width: int, bands: int, rows: int, key: str, text: str) -> DataFrame:
-    """id, n (set size), d0 and d1 (digest of the set), p (parities), keys (bucket of each band; none for an empty set)."""
+    """id, h (hash of the text), n (set size), d0 and d1 (digest of the set), p (parities), keys (bucket of each band;
+    none for an empty set)."""
 
     def run(batches):
         sketcher = Sketcher(bands, rows)
         for batch in batches:
             n, d0, d1, odd, keys, sizes = [], [], [], [], [], [0]
             for at in range(0, batch.num_rows, 256):
-                for t in batch.column(1).slice(at, 256).to_pylist():
+                for t in batch.column(2).slice(at, 256).to_pylist():
                     hashes = shingles(t, width)
-                    digest = xxhash.xxh3_128_intdigest(hashes.tobytes())
+                    high, low = digest(hashes)
                     n.append(len(hashes))
-                    d0.append((digest >> 64) - (1 << 63))
-                    d1.append((digest & ((1 << 64) - 1)) - (1 << 63))
+                    d0.append(high)
+                    d1.append(low)
                     odd.append(parities(hashes))
                     if len(hashes):
                         keys.append(sketcher.keys(hashes))
@@ -148,37 +157,82 @@ def sketches(docs: DataFrame, width: int, bands: int, rows: int, key: str, text:
             lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int64()))
             odd = np.concatenate(odd) if odd else np.empty(0, np.int64)
             even = pa.ListArray.from_arrays(pa.array(range(0, len(odd) + 1, PARITIES), pa.int32()), pa.array(odd, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(d0, pa.int64()), pa.array(d1, pa.int64()), even, lists], names=["id", "n", "d0", "d1", "p", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(d0, pa.int64()), pa.array(d1, pa.int64()), even, lists], names=["id", "h", "n", "d0", "d1", "p", "keys"])
+
+    body = text_of(docs, text)
+    return docs.select(docs[key].cast("long").alias("id"), F.xxhash64(body).alias("h"), body.alias("text")).mapInArrow(run, "id long, h long, n long, d0 long, d1 long, p array<long>, keys array<long>")
+
 
-    return docs.select(docs[key].cast("long").alias("id"), text_of(docs, text).alias("text")).mapInArrow(run, "id long, n long, d0 long, d1 long, p array<long>, keys array<long>")
+def digest(hashes: np.ndarray) -> tuple[int, int]:
+    """A set's digest as two signed 64-bit numbers."""
+    both = xxhash.xxh3_128_intdigest(hashes.tobytes())
+    return (both >> 64) - (1 << 63), (both & ((1 << 64) - 1)) - (1 << 63)
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
-    """id, shingles of (id, text) rows."""
+    """d0, d1, shingles of rows of text."""
 
     def run(batches):
         for batch in batches:
-            sets = [shingles(t, width).view(np.int64) for t in batch.column(1).to_pylist()]
-            flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
+            sets = [shingles(t, width) for t in batch.column(0).to_pylist()]
+            flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, sets)]), pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "shingles"])
+            high, low = zip(*map(digest, sets)) if sets else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(high, pa.int64()), pa.array(low, pa.int64()), lists], names=["d0", "d1", "shingles"])
+
+    return docs.select("text").mapInArrow(run, "d0 long, d1 long, shingles array<long>")
+
+
+def spread(right: DataFrame, parts: int = PARTS) -> DataFrame:
+    """``right`` once for each part, to meet left rows that are dealt to ``parts``."""
+    return right.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+
+
+def dealt(column: str, parts: int = PARTS) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(parts)).cast("int")
+
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+def with_centres(pairs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(``pairs`` with part, the centres that have many of them): 0, or from 1 on for pairs of a centre with many.
 
+    There are at most a million such centres, so they may be broadcast."""
+    least = max(MANY_PAIRS, pairs.count() // 1_000_000)
+    many = written(pairs.groupBy("a").count().filter(F.col("count") >= least).select("a", F.lit(True).alias("many")), "centres")
+    if many.isEmpty():
+        return pairs.withColumn("part", F.lit(0)), None
+    return pairs.join(F.broadcast(many), "a", "left").withColumn("part", F.when(F.col("many"), 1 + dealt("b")).otherwise(0)).drop("many"), many
 
-def confirmed(pairs: DataFrame, texts: DataFrame, sizes: DataFrame, width: int, percent: int) -> DataFrame:
+
+def met(pairs: DataFrame, many: DataFrame | None, facts: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """``pairs`` (a, b, part, ...) with facts (id, ...) of both sides; ``columns``: the names that they get, before an a
+    or b. A centre with many pairs is met in several tasks."""
+    one, two = (facts.select(F.col("id").alias(x), *(F.col(c).alias(f"{to}{x}") for c, to in columns.items())) for x in "ab")
+    parted = one.withColumn("part", F.lit(0))
+    if many is not None:
+        again = spread(one.join(F.broadcast(many.select("a")), "a", "left_semi")).withColumn("part", 1 + F.col("part"))
+        parted = parted.unionByName(again)
+    return pairs.join(parted, ["a", "part"]).join(two, "b")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """The rows of ``pairs`` (distinct a, b, ...) whose full sets have at least ``percent`` similarity, as a table.
+    ``texts``: id, text; ``nodes``: id, key (the id of a text with the set), d0, d1, n, p.
 
     A pair that sizes or parities rule out is dropped before any set is read; so the sets of a pair are of like size,
     and carrying one of them with each pair moves no more than the pairs' own texts are worth."""
-    one, two = (sizes.select(F.col("id").alias(x), F.col("n").alias(f"n{x}"), F.col("p").alias(f"p{x}")) for x in "ab")
-    sized = pairs.join(one, "a").join(two, "b")
+    parted, many = with_centres(pairs)
+    sized = met(parted, many, nodes, {"n": "n", "p": "p"})
     sized = written(sized.filter(may_link(F.col("na"), F.col("pa"), F.col("nb"), F.col("pb"), percent)).select(*pairs.columns), "pairs")
-    wanted = written(sized.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "wanted")
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)  # the other texts need not move to be left out
-    sets = written(shingle_sets(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"]), width), "sets")
-    both = sized.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
+    wanted = sized.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    wanted = written(nodes.join(wanted, "id", "left_semi").select("id", F.coalesce("key", F.lit(0)).alias("key"), F.col("key").isNull().alias("none"), "d0", "d1"), "wanted")
+    keys = wanted.select("key", "none").distinct()
+    if keys.count() <= BROADCAST_IDS:
+        keys = F.broadcast(keys)  # the other texts need not move to be left out
+    texts = texts.select(F.coalesce("id", F.lit(0)).alias("key"), F.col("id").isNull().alias("none"), "text").join(keys, ["key", "none"], "left_semi")
+    sets = shingle_sets(texts, width).join(wanted.select("id", "d0", "d1"), ["d0", "d1"]).dropDuplicates(["id"])
+    sets = written(sets.select("id", "shingles"), "sets")
+    parted, many = with_centres(sized)
+    both = met(parted, many, sets, {"shingles": "s"})
     both = both.select(*pairs.columns, F.size(F.array_intersect("sa", "sb")).alias("same"), (F.size("sa") + F.size("sb")).alias("total"))
     return written(both.filter(100 * F.col("same") >= percent * (F.col("total") - F.col("same"))).select(*pairs.columns), "links")
 
@@ -199,40 +253,70 @@ def across_groups(shared: DataFrame, groups: DataFrame, sizes: DataFrame, percen
     return pairs.select(F.col("id_x").alias("a"), F.col("id_y").alias("b"), F.col("component_x").alias("ca"), F.col("component_y").alias("cb")).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 48, rows: int = 6, key: str = "doc_id", text: str = "text", tile: int = 2_000) -> DataFrame:
-    """key, n_shingles, component_id (least key of the group), kept (key = component_id) for each row of ``docs``."""
-    sk = written(sketches(docs, width, bands, rows, key, text), "sketches")
-    some = F.col("id").isNotNull() & (F.col("n") > 0)
-    copies = sk.filter(some).groupBy("d0", "d1").agg(F.min("id").alias("rep"), F.count("*").alias("rows"))
-    copies = written(copies.filter("rows > 1").select("d0", "d1", "rep"), "copies")
-    # a node is a set, under the least key that has it; only its row keeps the bucket keys
-    node = F.when(some, F.coalesce("rep", "id")).otherwise(F.col("id"))
-    nodes = sk.join(copies, ["d0", "d1"], "left").select("id", "n", "p", node.alias("node"), F.when(some & (node == F.col("id")), F.col("keys")).alias("keys"))
-    nodes = written(nodes, "nodes")
-    banded = nodes.filter("node = id").select("id", F.explode("keys").alias("key"))
+def grouped_rows(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 48, rows: int = 6, key: str = "doc_id", text: str = "text", tile: int = 2_000) -> DataFrame:
+    """id (the key), h (xxhash64 of the text, null as empty), n (set size), least (the group's least key), first (whether
+    the row is its group's first, by key, null last) for each row of ``docs``; rows with an empty set are groups of their
+    own."""
+    sk = sketches(docs, width, bands, rows, key, text).withColumn("row", F.monotonically_increasing_id())
+    sk = written(sk, "sketches")
+    some = sk.filter("n > 0")
+    copies = some.groupBy("d0", "d1").agg(F.min("row").alias("node"), F.count("*").alias("rows"))
+    copies = written(copies.filter("rows > 1").select("d0", "d1", "node"), "copies")
+    # of the rows that share a set all but one leave their bucket keys behind
+    found = some.withColumn("part", dealt("row")).join(spread(copies), ["d0", "d1", "part"], "left")
+    own = F.coalesce(F.col("node") == F.col("row"), F.lit(True))
+    found = written(found.select("row", "id", "h", "n", "d0", "d1", F.coalesce("node", "row").alias("node"), F.when(own, F.col("p")).alias("p"), F.when(own, F.col("keys")).alias("keys")), "rows")
+    nodes = found.filter("row = node").select(F.col("row").alias("id"), F.col("id").alias("key"), "d0", "d1", "n", "p")
+    banded = found.filter("row = node").select(F.col("row").alias("id"), F.explode("keys").alias("key"))
     hubs = banded.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last")
     hubs = written(hubs.select("key", "hub"), "hubs")
     shared = written(banded.join(hubs, "key"), "shared")
 
     texts = docs.select(docs[key].cast("long").alias("id"), text_of(docs, text).alias("text"))
-    sizes = nodes.filter("keys is not null").select("id", "n", "p").dropDuplicates(["id"])
     candidates = shared.filter("hub < id").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
-    groups = stars(confirmed(candidates, texts, sizes, width, percent)).select(F.col("b").alias("id"), F.col("a").alias("component"))
+    groups = stars(confirmed(written(candidates, "candidates"), texts, nodes, width, percent)).select(F.col("b").alias("id"), F.col("a").alias("component"))
 
     # members of buckets that still hold several groups: every pair across groups that no star has tried
-    more = confirmed(across_groups(shared, groups, sizes, percent, tile), texts, sizes, width, percent)
+    across = written(across_groups(shared, groups, nodes.select("id", "n", "p"), percent, tile), "across")
+    more = confirmed(across, texts, nodes, width, percent)
     merged = stars(written(more.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "merged"))
-    merged = merged.select(F.col("b").alias("component"), F.col("a").alias("least"))
-
-    final = nodes.select("id", "n", "node").join(groups.withColumnRenamed("id", "node"), "node", "left")
-    final = final.withColumn("component", F.coalesce("component", "node")).join(merged, "component", "left")
-    component = F.coalesce("least", "component")
-    return final.select(
-        F.col("id").alias(key),
-        F.col("n").alias("n_shingles"),
-        component.alias("component_id"),
-        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
-    )
+    merged = merged.select(F.col("b").alias("component"), F.col("a").alias("end"))
+
+    # from nodes to rows: a node may be that of very many rows, and so may a group
+    part = dealt("row")
+    out = found.select("row", "id", "h", "n", "node", part.alias("part"))
+    out = out.join(spread(groups.withColumnRenamed("id", "node")), ["node", "part"], "left").withColumn("component", F.coalesce("component", "node"))
+    out = out.join(spread(merged), ["component", "part"], "left").select("row", "id", "h", "n", "part", F.coalesce("end", "component").alias("component"))
+    out = written(out, "grouped")
+    order = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("row"))
+    leasts = out.groupBy("component").agg(F.min(order).alias("top"), F.count("*").alias("rows")).filter("rows > 1").select("component", "top")
+    out = out.join(spread(written(leasts, "leasts")), ["component", "part"], "left")
+    least, first = F.when(F.col("top").isNull(), F.col("id")).otherwise(F.col("top.id")), F.coalesce(F.col("top.row") == F.col("row"), F.lit(True))
+    out = out.select("id", "h", "n", least.alias("least"), first.alias("first"))
+    return out.unionByName(sk.filter("n = 0").select("id", "h", "n", F.col("id").alias("least"), F.lit(True).alias("first")))
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 48, rows: int = 6, key: str = "doc_id", text: str = "text", tile: int = 2_000) -> DataFrame:
+    """key, n_shingles, component_id (least key of the group), kept (key = component_id) for each row of ``docs``."""
+    found = grouped_rows(docs, width, percent, bands, rows, key, text, tile)
+    kept = F.when(F.col("id").isNotNull(), F.col("id") == F.col("least")).otherwise(F.col("least").isNull() & F.col("first"))
+    return found.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("least").alias("component_id"), kept.alias("kept"))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **more) -> DataFrame:
+    """``docs`` with one row of each group, its first; of rows that repeat a key and a text one counts.
+
+    Rows are told apart by key and text, so a row never leaves because another row of its key is a copy."""
+    found = written(grouped_rows(docs, key=key, text=text, **more), "found")
+    names = {"key_": F.coalesce(docs[key].cast("long"), F.lit(0)), "none_": docs[key].isNull(), "h_": F.xxhash64(text_of(docs, text))}
+    rows = found.groupBy(F.coalesce("id", F.lit(0)).alias("key_"), F.col("id").isNull().alias("none_"), F.col("h").alias("h_"))
+    rows = rows.agg(F.max("first").alias("stays"), F.count("*").alias("rows"))
+    gone, twice = written(rows.filter("not stays").select(*names), "gone"), written(rows.filter("stays and rows > 1").select(*names), "twice")
+    left = docs.withColumns(names).join(gone, list(names), "left_anti")
+    if twice.isEmpty():
+        return left.select(*docs.columns)
+    once = left.join(twice, list(names), "left_semi").dropDuplicates(list(names))
+    return left.join(twice, list(names), "left_anti").unionByName(once).select(*docs.columns)
 
 
 def op5_near_duplicates(spark, sf_dir) -> DataFrame:

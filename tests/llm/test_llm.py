@@ -271,7 +271,7 @@ def brute_groups(rows, width, percent):
     for _, t, *_ in rows:
         w = SPACES.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
         sets.append({tuple(w[i : i + width]) for i in range(len(w) - width + 1)} if len(w) >= width else {tuple(w)} if w else set())
-    parent = {r[0]: r[0] for r in rows}
+    parent = list(range(len(rows)))
 
     def find(x):
         while parent[x] != x:
@@ -282,14 +282,22 @@ def brute_groups(rows, width, percent):
         for b in range(a):
             m = len(sets[a] & sets[b])
             if m and 100 * m >= percent * len(sets[a] | sets[b]):
-                x, y = find(rows[a][0]), find(rows[b][0])
+                x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
-    return Counter((r[0], len(s), find(r[0]), find(r[0]) == r[0]) for r, s in zip(rows, sets))
+    groups = defaultdict(list)
+    for k in range(len(rows)):
+        groups[find(k)].append(k)
+    out = Counter()
+    for own in groups.values():
+        keys = [rows[k][0] for k in own if rows[k][0] is not None]
+        for at, k in enumerate(own):
+            out[(rows[k][0], len(sets[k]), min(keys, default=None), at == 0 if not keys else rows[k][0] == min(keys))] += 1
+    return out
 
 
 def test_near_duplicates(spark, awkward, empty):
     rng = random.Random(5)
-    rows = [r for r in awkward[0] if r[0] is not None]
+    rows = list(awkward[0])
     for g in range(6):
         base = words(80 if g else 3, 50 + g).split()
         for k in range(14):
@@ -303,7 +311,56 @@ def test_near_duplicates(spark, awkward, empty):
         assert Counter(map(tuple, got.collect())) == brute_groups(rows, width, 80)
     assert neardup.near_duplicates(empty).count() == 0
     alone = neardup.near_duplicates(frame(spark, [(None, "a b c"), (None, "a b c")])).collect()
-    assert [(r["component_id"], r["kept"]) for r in alone] == [(None, True)] * 2
+    assert sorted((r["component_id"], r["kept"]) for r in alone) == [(None, False), (None, True)]
+
+
+def damaged(text, seed, n=2):
+    rng, out = random.Random(seed), text.split()
+    for _ in range(n):
+        out[rng.randrange(len(out))] = f"x{rng.randint(0, 999)}"
+    return " ".join(out)
+
+
+def keys_and_texts():
+    """Keys with several texts, texts with several keys, null keys, in every order."""
+    a, b, c, d = (words(90, 700 + k) for k in range(4))
+    rows = [(5, a), (5, b), (7, damaged(b, 1)), (1, c), (2, d), (2, c), (3, "alone"), (None, damaged(d, 2)), (None, damaged(d, 2)), (None, "only without a key " * 9), (None, "only without a key " * 9), (2, c), (9, damaged(c, 3)), (9, damaged(a, 4)), (4, ""), (4, None), (4, "")]
+    return [rows, rows[::-1], random.Random(2).sample(rows, len(rows))]
+
+
+def test_near_duplicates_of_repeated_keys(spark):
+    for rows in keys_and_texts():
+        got = neardup.near_duplicates(frame(spark, rows), width=2)
+        assert Counter(map(tuple, got.collect())) == brute_groups(rows, 2, 80)
+
+
+def test_near_duplicates_by_every_join(spark, monkeypatch):
+    """Wanted keys above the broadcast bound, centres of many pairs."""
+    monkeypatch.setattr(neardup, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(neardup, "MANY_PAIRS", 3)
+    base = words(70, 44)
+    rows = [(k if k % 9 else None, damaged(base, k)) for k in range(60)] + keys_and_texts()[0]
+    got = neardup.near_duplicates(frame(spark, rows).repartition(3), width=2, tile=7)
+    assert Counter(map(tuple, got.collect())) == brute_groups(rows, 2, 80)
+
+
+def test_one_of_each_group(spark):
+    for rows in keys_and_texts():
+        got = Counter((r["doc_id"], r["text"]) for r in neardup.one_of_each(frame(spark, rows).withColumn("component", F.lit(1))).collect())
+        groups = defaultdict(list)
+        for k, r in enumerate(rows):
+            w = SPACES.findall((r[1] or "").lower())
+            groups[k if not w else None].append((r, {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()))
+        near, left = [], list(groups.pop(None))
+        while left:
+            own = [left.pop()]
+            for r, s in own:
+                own += (more := [x for x in left if 100 * len(s & x[1]) >= 80 * len(s | x[1])])
+                left = [x for x in left if x not in more]
+            near.append(min((r[0] is None, r[0] or 0) for r, _ in own))
+        kept = Counter((i is None, i or 0) for (i, t), n in got.items() for _ in range(n) if (t or "").strip())
+        assert kept == Counter(near)
+        assert set(got) <= set(rows) and {r for r in rows if not (r[1] or "").strip()} <= set(got) | {(i, {"": None, None: ""}.get(t, t)) for i, t in got}
 
 
 def test_parity_bound_never_drops_a_link():
