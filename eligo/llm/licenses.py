@@ -5,8 +5,8 @@ Texts and templates are words (runs without ASCII white space, lower case, witho
 ``k + window - 1`` words that a text shares with a template shares a fingerprint with it. The templates' fingerprints
 are an inverted index, small and fixed, that each task holds. A fingerprint found in a text gives a template and a
 diagonal (place in the text minus place in the template); diagonals within ``band`` of each other are one candidate.
-A notice of at most ``short`` words need not share such a run. Its fingerprints are single words: one more than may be
-missing, so a text that matches enough of it holds one of them in place.
+A notice of at most ``short`` words need not share such a run. Its fingerprint is its first deciding word or, without
+one, as many single words as may be missing and one more, so a text that matches enough of it holds one of them in place.
 A text is searched for a template window by window, from one hit to the next: a match has at most ``2 n + 2 band``
 words for a template of ``n``, and each window holds all matches with a hit in its first part. Its candidates are
 aligned, unless too few of the template's words occur in the window at all: the longest chain of equal words within the
@@ -15,6 +15,9 @@ it, so any number of adjacent notices gives as many matches, in time that follow
 those that match at least ``least`` of the template's words; of overlapping ones the one with most words matched. Two
 damaged notices side by side can join to one match, where one has the words that the other lacks.
 
+Licenses differ in few words. A match of a template counts only if its span holds all of the template's deciding words
+and no qualifier (Lesser, NonCommercial, another license's name) more often than the template itself.
+
 Each text is scanned whole, in its task; nothing is gathered.
 
 Defined results: null and empty texts have no matches; repeated rows give their matches once each; rows with a null
@@ -51,7 +54,66 @@ NOTICES = (
     ("CC-BY-4.0", "line", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "line", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("All-rights-reserved", "line", "All rights reserved."),
+    ("Apache", "line", "Released under the Apache License."),
+    ("BSD", "line", "Released under the BSD License."),
+    ("MPL-2.0", "line", "Licensed under the Mozilla Public License, Version 2.0."),
+    ("GPL-2.0", "line", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", "line", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "line", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("AGPL-3.0", "line", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("GPL-2.0", "header", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "header", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "header", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "header", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("CC-BY-4.0", "short", "Licensed under CC BY 4.0."),
+    ("CC-BY-SA-4.0", "short", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-ND-4.0", "short", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", "short", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "short", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-4.0", "long", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-ND-4.0", "long", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "long", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "long", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
 )
+#: Words that decide between licenses (fixed values): a match of the template holds all of them.
+DECIDING = {
+    ("MIT", "line"): "mit",
+    ("Apache", "line"): "apache",
+    ("Apache-2.0", "line"): "apache 2.0",
+    ("Apache-2.0", "header"): "apache 2.0",
+    ("BSD", "line"): "bsd",
+    ("MPL-2.0", "line"): "mozilla 2.0",
+    ("MPL-2.0", "header"): "mozilla 2.0",
+    ("GPL-2.0", "line"): "gnu general 2",
+    ("GPL-3.0", "line"): "gnu general 3",
+    ("LGPL-2.1", "line"): "lesser gnu 2.1",
+    ("LGPL-3.0", "line"): "lesser gnu 3",
+    ("AGPL-3.0", "line"): "affero gnu 3",
+    ("GPL-2.0", "header"): "gnu general 2",
+    ("GPL-3.0", "header"): "gnu general 3",
+    ("LGPL-2.1", "header"): "lesser gnu 2.1",
+    ("LGPL-3.0", "header"): "lesser gnu 3",
+    ("AGPL-3.0", "header"): "affero gnu 3",
+    ("CC-BY-4.0", "short"): "cc by 4.0",
+    ("CC-BY-SA-4.0", "short"): "by-sa cc 4.0",
+    ("CC-BY-ND-4.0", "short"): "by-nd cc 4.0",
+    ("CC-BY-NC-4.0", "line"): "by-nc cc 4.0",
+    ("CC-BY-NC-SA-4.0", "short"): "by-nc-sa cc 4.0",
+    ("CC-BY-NC-ND-4.0", "short"): "by-nc-nd cc 4.0",
+    ("CC-BY-4.0", "line"): "attribution creative 4.0",
+    ("CC-BY-SA-4.0", "line"): "attribution-sharealike creative 4.0",
+    ("CC-BY-ND-4.0", "long"): "attribution-noderivatives creative 4.0",
+    ("CC-BY-NC-4.0", "long"): "attribution-noncommercial creative 4.0",
+    ("CC-BY-NC-SA-4.0", "long"): "attribution-noncommercial-sharealike creative 4.0",
+    ("CC-BY-NC-ND-4.0", "long"): "attribution-noncommercial-noderivatives creative 4.0",
+    ("All-rights-reserved", "line"): "reserved rights",
+}
+#: Words that make a notice that of another license (fixed values): a match has none more often than its template.
+QUALIFIERS = (
+    "affero", "apache", "bsd", "gnu", "lesser", "library", "mit", "mozilla", "noderivatives", "noderivs", "noncommercial", "sharealike",
+    "by-nc", "by-nd", "by-sa", "by-nc-nd", "by-nc-sa", "attribution-noderivatives", "attribution-noncommercial", "attribution-sharealike",
+    "attribution-noncommercial-noderivatives", "attribution-noncommercial-sharealike",
+)
 #: Public licenses whose whole texts are templates.
 BODIES = ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "CC-BY-SA-4.0", "GPL-2.0", "GPL-3.0", "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0")
 TEMPLATES = NOTICES + tuple((n, "body", (Path(__file__).parent / "license_texts" / f"{n}.txt").read_text("utf-8")) for n in BODIES)
@@ -102,9 +164,12 @@ def needed(n: int, least: float) -> int:
     return m if m - 1 < least * n else m - 1
 
 
-def anchors(text: str, least: float) -> list[int]:
-    """Places of a short notice's words of which at least one is in every match: the longest, function words last."""
+def anchors(text: str, least: float, deciding: list[str]) -> list[int]:
+    """Places of a short notice's words of which at least one is in every match: a deciding word, or else the longest,
+    function words last."""
     words = [ENDS.sub("", w.decode().lower()) for w in text.encode().split()]
+    if deciding:
+        return [p for p, w in enumerate(words) if w == deciding[0]]
     missing = len(words) - needed(len(words), least)
     return sorted(range(len(words)), key=lambda p: (words[p] in COMMON, -len(words[p]), p))[: missing + 1]
 
@@ -133,7 +198,19 @@ class Index:
         self.needed = [needed(len(w), least) for w in self.words]
         brief = [t for t, w in enumerate(self.words) if len(w) <= short]
         self.long = Prints([(f, t, p) for t, h in enumerate(self.words) if t not in brief for f, p in zip(*winnowed(h, k, window))])
-        self.short = Prints([(self.words[t][p], t, p) for t in brief for p in anchors(templates[t][2], least)])
+        deciding = [DECIDING.get((license_, kind), "").split() for license_, kind, _ in templates]
+        self.short = Prints([(self.words[t][p], t, p) for t in brief for p in anchors(templates[t][2], least, deciding[t])])
+        self.deciding = [word_hashes(" ".join(d)) for d in deciding]
+        self.qualifiers = word_hashes(" ".join(QUALIFIERS))
+        self.own = [self.qualified(w) for w in self.words]
+
+    def qualified(self, words: np.ndarray) -> np.ndarray:
+        """How often each qualifier occurs."""
+        return (words[:, None] == self.qualifiers).sum(0) if len(words) < 1_000 else np.array([np.count_nonzero(words == q) for q in self.qualifiers])
+
+    def decided(self, t: int, span: np.ndarray) -> bool:
+        """Whether a matched span's words leave no other license than the template's."""
+        return bool(np.isin(self.deciding[t], span).all() and (self.qualified(span) <= self.own[t]).all())
 
     def hits(self, h: np.ndarray) -> list[tuple[int, int, int]]:
         return self.long.hits(*winnowed(h, self.k, self.window)) + self.short.hits(h, np.arange(len(h)))
@@ -244,7 +321,7 @@ def candidates(h: np.ndarray, index: Index, band: int) -> list[tuple]:
     found = []
     for t, hits in by.items():
         words = index.words[t]
-        found += [(m, m / len(words), a, b, t) for m, a, b in occurrences(h, sorted(hits), words, index.needed[t], band, 0, len(h))]
+        found += [(m, m / len(words), a, b, t) for m, a, b in occurrences(h, sorted(hits), words, index.needed[t], band, 0, len(h)) if index.decided(t, h[a:b])]
     return found
 
 
