@@ -141,6 +141,8 @@ def updated(key, frames, state: GroupState):
     yield changes[changes["n"] != 0]
 
 
+#: Rows to a partition of the state from which it is kept on disk; below, it takes tens of MB of memory at most.
+DISK_ROWS = 1_000_000
 #: State in RocksDB, on the executors' disks; a commit writes what has changed, not the store.
 ON_DISK = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -149,11 +151,13 @@ ON_DISK = {
 
 
 @contextlib.contextmanager
-def on_disk(spark: SparkSession):
-    """Streams that start meanwhile keep their state as :data:`ON_DISK` says."""
-    before = {name: spark.conf.get(name, None) for name in ON_DISK}
-    for name, value in ON_DISK.items():
-        spark.conf.set(name, value)
+def on_disk(spark: SparkSession, rows: int):
+    """Streams that start meanwhile keep their state as :data:`ON_DISK` says, if it may become large; else as the session
+    says. The results are the same."""
+    large = rows > DISK_ROWS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    before = {name: spark.conf.get(name, None) for name in ON_DISK} if large else {}
+    for name in before:
+        spark.conf.set(name, ON_DISK[name])
     try:
         yield
     finally:
@@ -181,7 +185,7 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, batches: int = 4
         batch.groupBy(*KINDS).agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{at}/changes/{number}")
         done.append(number)
 
-    with on_disk(spark):
+    with on_disk(spark, rows):
         query = changes.writeStream.foreachBatch(put).option("checkpointLocation", f"{at}/progress").outputMode("update").trigger(availableNow=True).start()
     query.awaitTermination()
     found = spark.read.schema(CHANGES).parquet(*(f"{at}/changes/{k}" for k in sorted(set(done))))

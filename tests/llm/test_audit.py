@@ -70,6 +70,7 @@ def test_every_order_of_arrival(spark, tmp_path, order):
 def test_large_groups_and_joined_labels(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(audit, "BROADCAST_LABELS", 0)
     monkeypatch.setattr(audit, "GROUP_ROWS", 7)
+    monkeypatch.setattr(audit, "DISK_ROWS", 1)
     copy = " ".join(f"w{k}" for k in range(60))
     rows = [(k, copy, f"s{k % 3}") for k in range(900, 300, -1)] + [(None, copy, "s0")] * 50 + [(301, copy, "s9")] * 3 + [(5, "A long text. " * 20_000, "s1")]
     held(spark, tmp_path, rows, [(k, k % 2, k % 3 == 0 and 1 or 0) for k in range(300, 900, 7)], files=4, batches=4)
@@ -89,6 +90,8 @@ def test_one_file_and_no_rows(spark, tmp_path):
 def test_session_keeps_its_state_store(spark):
     name = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(name)
-    with audit.on_disk(spark):
+    with audit.on_disk(spark, 10**9):
         assert "RocksDB" in spark.conf.get(name)
+    with audit.on_disk(spark, 1_000):
+        assert spark.conf.get(name) == before
     assert spark.conf.get(name) == before
