@@ -6,8 +6,8 @@ being merged across their border. So one state per trie node, its last token, ho
 The distinct words of a block of texts, sorted by bytes, are the trie in depth-first order: the walk keeps the states
 of the current path, drops those below the common prefix with the next word and computes each node once. Besides its
 last token a node has the longest suffix that begins some token, from which its candidates follow, longest first.
-Words are then read off backwards. Texts are joined from their words' ids; a worker remembers a bounded number of
-words. Decoding takes the ids' byte strings from the vocabulary, a batch at once.
+Words are then read off backwards. Texts are joined from their words' ids; a worker remembers words up to a
+bound in bytes. Decoding takes the ids' byte strings from the vocabulary, a batch at once.
 
 Defined results: null and empty texts have no ids and decode to the empty text; added tokens in a text keep their own
 id, as the tokenizer does by default; ids that form no valid UTF-8 decode with replacement characters. Both functions
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import json
 import re
-import unicodedata
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -29,35 +29,61 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from eligo.llm.common import blocks, byte_letters, collector_off, table, text_of, tokenizer_path
+from eligo.llm.common import Remembered, blocks, byte_letters, collector_off, table, text_of, tokenizer_path
 
 #: White space as the pre-tokenizer's pattern understands it (fixed values).
 BLANK = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: The public byte-level pre-tokenizer pattern (fixed value).
-PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + BLANK + r"\p{L}\p{N}]+|[" + BLANK + r"]+(?![^" + BLANK + r"])|[" + BLANK + r"]+"
-#: Pre-tokens whose ids a Python worker remembers.
-CACHE_WORDS = 700_000
+#: The public byte-level pre-tokenizer's contractions (fixed values).
+SHORTENED = "'(?:s|t|re|ve|m|ll|d)"
+#: Bytes of a word from which a walk's states lie in arrays, which take less room than lists.
+HUGE_WORD = 1_000_000
 
 
-def kind(letter: str) -> str:
-    """The characters of one general category under 0x10000, as ranges of a character class."""
-    own = [c for c in range(0x10000) if unicodedata.category(chr(c))[0] == letter]
-    starts = [c for c, before in zip(own, [-2, *own]) if c != before + 1]
-    stops = [c for c, after in zip(own, [*own[1:], -2]) if c + 1 != after]
-    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(starts, stops))
+@lru_cache(maxsize=1)
+def letters_and_numbers() -> dict[str, list[tuple[int, int]]]:
+    """Ranges of the characters that the tokenizers library takes as letters (L) and numbers (N), asked of its own
+    pre-tokenizer, since Unicode versions differ. Neighbouring characters of one kind come as one pre-token."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    cut = ByteLevel(add_prefix_space=False).pre_tokenize_str
+    points = [c for c in range(0x80, 0x110000) if not 0xD800 <= c < 0xE000]
+    runs = [(points[a], points[b - 1]) for _, (a, b) in cut("".join(map(chr, points)))] + [(c, c) for c in range(0x80) if c != 32]
+    out: dict[str, list[tuple[int, int]]] = {"L": [], "N": []}
+    for first, last in sorted(runs):
+        ends = [b for _, (_, b) in cut(f"a{chr(first)}1")]
+        kind = "L" if ends == [2, 3] else "N" if ends == [1, 3] else None
+        if kind:
+            out[kind] += [(first, last)] if first > 0xFFFF or last <= 0xFFFF else [(first, 0xFFFF), (0x10000, last)]
+    return out
+
+
+def ranges(kind: str, beyond: bool) -> str:
+    """A kind's characters from 0x10000 on, or below, as ranges of a character class."""
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in letters_and_numbers()[kind] if (a > 0xFFFF) == beyond)
 
 
 @lru_cache(maxsize=1)
 def basic_pretoken() -> re.Pattern:
-    """The pre-tokenizer's cut for texts of characters under 0x10000, spelled out for the quicker standard library."""
-    letter, number = kind("L"), kind("N")
-    return re.compile(f" ?[{letter}]+|'(?:s|t|re|ve|m|ll|d)| ?[{number}]+| ?[^{BLANK}{letter}{number}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
+    """The pre-tokenizer's cut for texts of characters under 0x10000."""
+    letter, number = ranges("L", False), ranges("N", False)
+    return re.compile(f" ?[{letter}]+|{SHORTENED}| ?[{number}]+| ?[^{BLANK}{letter}{number}]+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
+
+
+@lru_cache(maxsize=1)
+def full_pretoken() -> re.Pattern:
+    """The same for all texts, slower."""
+    letter, number, far_letter, far_number = (ranges(k, beyond) for beyond in (False, True) for k in "LN")
+    other = f"(?![{far_letter}{far_number}])[^{BLANK}{letter}{number}]"
+    return re.compile(f" ?(?:[{letter}]|[{far_letter}])+|{SHORTENED}| ?(?:[{number}]|[{far_number}])+| ?(?:{other})+|[{BLANK}]+(?![^{BLANK}])|[{BLANK}]+")
+
+
+def pretokens(text: str) -> list[str]:
+    near = text.isascii() or len(text.encode("utf-16-le")) == 2 * len(text)
+    return (basic_pretoken() if near else full_pretoken()).findall(text)
 
 
 class TrieBpe:
     def __init__(self, path: str):
-        import regex
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
@@ -80,9 +106,8 @@ class TrieBpe:
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         out = {i: t for t, i in by_bytes.items()} | {i: c.encode() for c, i in self.added.items()}
         self.out = pa.array([out.get(i) for i in range(max(out) + 1)], pa.large_binary())
-        self.pretoken = regex.compile(PRETOKEN)
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
-        self.memory: dict[str, bytes] = {}
+        self.memory = Remembered()
         self.joins: dict[int, bool] = {}
         self.packed = [i.to_bytes(4, "little") for i in self.ids]
         self.sizes = [len(t) for t in self.text]
@@ -137,7 +162,8 @@ class TrieBpe:
     def walk(self, words: list[bytes]):
         """The ids, as bytes, of each of the sorted distinct words: a depth-first walk of their trie."""
         forward, ending, joins, sizes, packed = self.next.get, self.ending, self.joins.get, self.sizes, self.packed
-        before, last, state = b"", [-1], [0]
+        row = (lambda x: array("i", x)) if max(map(len, words), default=0) > HUGE_WORD else list
+        before, last, state = b"", row([-1]), row([0])
         for word in words:
             n = 0
             for x, y in zip(before, word):
@@ -166,27 +192,22 @@ class TrieBpe:
             tokens.reverse()
             yield b"".join(tokens)
 
-    def learn(self, words: set[str]) -> None:
-        new = words.difference(self.memory)
-        if len(self.memory) + len(new) > CACHE_WORDS:
-            self.memory.clear()
-            new = words
-        new = sorted(new)  # by code points, which is the order of their bytes
-        self.memory.update(zip(new, self.walk([w.encode() for w in new])))
+    def learn(self, words: list[str]) -> list[bytes]:
+        order = sorted(words)  # by code points, which is the order of their bytes
+        found = dict(zip(order, self.walk([w.encode() for w in order])))
+        return [found[w] for w in words]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        basic, full, special = basic_pretoken().findall, self.pretoken.findall, self.special
+        special = self.special
         cut, added = [], {}
         for i, t in enumerate(texts):
             if special and special.search(t):
-                added[i] = [self.added[part] if k % 2 else full(part) for k, part in enumerate(special.split(t))]
+                added[i] = [self.added[part] if k % 2 else pretokens(part) for k, part in enumerate(special.split(t))]
                 cut.append([w for part in added[i] if type(part) is list for w in part])
             else:
-                cut.append(basic(t) if t.isascii() or len(t.encode("utf-16-le")) == 2 * len(t) else full(t))
-        words = set().union(*cut)
-        self.learn(words)
-        get = self.memory.__getitem__
+                cut.append(pretokens(t))
+        get = self.memory.all(set().union(*cut), self.learn)
         out = [b"".join(map(get, c)) for c in cut]
         for i, parts in added.items():
             out[i] = b"".join(p.to_bytes(4, "little") if type(p) is int else b"".join(map(get, p)) for p in parts)

@@ -255,6 +255,28 @@ def test_bpe_cuts_every_character_as_the_library_does():
     assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_bpe_knows_the_library_s_letters_and_numbers():
+    """Every character before a contraction, a digit and a comma; with and without an emoji or an added token in the text."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    lib, own = Tokenizer.from_file(path), bpe.TrieBpe(path)
+    points = [c for c in range(0x32400) if not 0xD800 <= c < 0xE000]
+    for form in ("{0}'t{0}1{0},\n", "😀 {0}'t{0}1{0},\n", "<|endoftext|>{0}'t{0}1 {0}\n"):
+        texts = [("😀" if form[0] == "😀" else "").join(form.format(chr(c)) for c in points[k : k + 64]) for k in range(0, len(points), 64)]
+        if form[0] != "😀":  # the quick pattern, where no character is far
+            texts = [t for t in texts if ord(max(t)) < 0x10000] + texts[-600:]
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_bpe_of_a_huge_word():
+    own = bpe.TrieBpe(tokenizer_path("byte_bpe_50k.json"))
+    before = own.memory.held
+    ids = np.frombuffer(own.encode(["ab" * 2_000_000 + " c"])[0], "<u4")
+    assert own.decode(pa.array(ids.astype(np.int32)), np.asarray([0, len(ids)])).to_pylist() == ["ab" * 2_000_000 + " c"]
+    assert own.memory.held - before < 1_000
+
+
 def test_bpe_keeps_rows_and_columns(spark, empty):
     rows = [(None, None, 5), (1, "a b", 6), (1, "a b", 6), (2, "", 7)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids long").select("doc_id", "ids", bpe.encode(F.col("text")).alias("coded"))
