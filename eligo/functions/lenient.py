@@ -78,7 +78,11 @@ class Scanner:
         if body is None:
             return None
         body = body[1:-1] if len(body) > 1 and body.endswith('"') and not re.search(r'(?<!\\)(?:\\\\)*\\"\Z', body) else body[1:]
-        return re.sub(r"\\(u[0-9a-fA-F]{4}|x[0-9a-fA-F]{2}|.)", lambda m: json_escape(m[1]), body, flags=re.S)
+        body = re.sub(r"\\(u[0-9a-fA-F]{4}|x[0-9a-fA-F]{2}|.)", lambda m: json_escape(m[1]), body, flags=re.S)
+        try:
+            return whole(body)
+        except ValueError as e:
+            return self.fail(str(e))
 
     def many(self, close: str, item, implied: str | None = None) -> list:
         """Items up to ``close``, comma separated; ``implied`` is a lookahead that stands for a missing close."""
@@ -134,28 +138,91 @@ def lenient_object(s: Scanner):
     return lone[-1] if lone else pairs
 
 
-def repaired(text: Column) -> Column:
-    """Four repairs of near-JSON, in order: a lone key in braces, a rule written as "R[]", a key chain that ends in a
-    list, a key chain that ends in a string."""
-    text = F.regexp_replace(text, r'\{\s*("\w+")\s*\}', "$1")
-    text = F.regexp_replace(text, r'("\w+")\s*:\s*("\w+)\[\]"', '$1: { $2": [] }')
-    text = F.regexp_replace(text, r'("\w+")\s*:\s*("\w+")\s*:\s*(\[[^\]]*\])', "$1: { $2: $3 }")
-    return F.regexp_replace(text, r'("\w+")\s*:\s*("\w+")\s*:\s*("\w+")', "$1: { $2: $3 }")
+#: A string, a mark, white space, or a run of anything else up to the next mark.
+PIECE = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\]:,]|\s+|[^\s{}\[\]:,"][^{}\[\]:,"]*|"', re.S)
+NUMBER = re.compile(r"-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?")
+
+
+def is_string(piece: str | None) -> bool:
+    return piece is not None and len(piece) > 1 and piece[0] == piece[-1] == '"'
+
+
+def mended(text: str, shapes: bool = True, sums: bool = True) -> str:
+    """Near-JSON with what models get wrong put right; strings are never looked into, but for a rule's empty brackets.
+
+    ``shapes``: a lone key in braces is the key; a value followed by a colon begins an object of its own, which ends where
+    the value's own value ends; a value "R[]" is a rule without parameters. ``sums``: bare arithmetic becomes its value,
+    if it has one."""
+    pieces = PIECE.findall(text)
+    solid = [k for k, p in enumerate(pieces) if not p.isspace()]
+    follows = dict(zip(solid, solid[1:]))
+    out, owed, before, skip = [], [0], None, -1
+    for k, p in enumerate(pieces):
+        if k <= skip:
+            continue
+        if p.isspace():
+            out.append(p)
+            continue
+        after = follows.get(k)
+        if p == "{" and shapes and after is not None and is_string(pieces[after]) and pieces[follows.get(after, k)] == "}":
+            out.append(pieces[after])
+            skip = follows[after]
+        elif p in ("{", "["):
+            owed.append(0)
+            out.append(p)
+        elif p in (",", "}", "]"):
+            out.append("}" * owed[-1])
+            owed[-1] = 0
+            if p != "," and len(owed) > 1:
+                owed.pop()
+            out.append(p)
+        elif shapes and before == ":" and is_string(p) and after is not None and pieces[after] == ":":
+            owed[-1] += 1
+            out.append("{" + p)
+        elif shapes and before == ":" and is_string(p) and p.endswith('[]"') and len(p) > 4:
+            out.append(f'{{{p[:-3]}": []}}')
+        elif sums and before in (":", "[", ",") and p[0] != '"':
+            out.append(folded(p))
+        else:
+            out.append(p)
+        before = pieces[skip] if k < skip else p
+    return "".join(out) + "}" * owed[-1]
+
+
+def folded(run: str) -> str:
+    """A bare run by its value, if it is arithmetic that has a finite one; white space after it stays."""
+    body = run.rstrip()
+    if NUMBER.fullmatch(body):
+        return run
+    try:
+        return json.dumps(arithmetic(body), allow_nan=False) + run[len(body) :]
+    except ValueError:
+        return run
 
 
-SUM = re.compile(r"([:\[,]\s*)([\d.\s+\-*/()%]+\d)(\s*)(?=[,\]}])")
+def refuse(constant: str):
+    raise ValueError(f"{constant} is no JSON")
 
 
-def fold(text: str) -> str:
-    """Unquoted arithmetic after ``: [ ,`` and before ``, ] }`` by its value; what has no value stays."""
+def strict(text: str):
+    return json.loads(text, parse_constant=refuse)
 
-    def one(m: re.Match) -> str:
-        try:
-            return f"{m[1]}{arithmetic(m[2])}{m[3]}"
-        except ValueError:
-            return m[0]
 
-    return SUM.sub(one, text)
+def as_json(value) -> str:
+    """A value as JSON; an error for numbers and characters that JSON text cannot hold."""
+    return whole(json.dumps(value, ensure_ascii=False, allow_nan=False))
+
+
+def whole(text: str) -> str:
+    """The text, halves of a character that meet joined; an error if a half stands alone."""
+    try:
+        text.encode()
+        return text
+    except UnicodeEncodeError:
+        try:
+            return text.encode("utf-16-le", "surrogatepass").decode("utf-16-le")
+        except UnicodeDecodeError as e:
+            raise ValueError("half of a character stands alone") from e
 
 
 #: What a walk over JSON of another shape than it expects raises.
@@ -177,7 +244,7 @@ def or_null(one):
 def _texts(one):
     @arrow_udf("string")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array(list(map(or_null(one), texts.to_pylist())), pa.string())
+        return pa.array(list(map(or_null(lambda t: whole(one(t))), texts.to_pylist())), pa.string())
 
     return run
 
@@ -188,7 +255,7 @@ def _results(one):
         values, errors = [], []
         for t in texts.to_pylist():
             try:
-                values.append(None if t is None else one(t))
+                values.append(None if t is None else whole(one(t)))
                 errors.append(None)
             except UNREADABLE as e:
                 values.append(None)
@@ -198,33 +265,36 @@ def _results(one):
     return run
 
 
+def repaired(text: Column) -> Column:
+    """Near-JSON with lone keys, empty rules and key chains put right."""
+    return _texts(lambda t: mended(t, sums=False))(text)
+
+
 def arithmetic_folded(text: Column) -> Column:
-    return _texts(fold)(text)
+    """Near-JSON with bare arithmetic by its value."""
+    return _texts(lambda t: mended(t, shapes=False))(text)
 
 
 def lenient_json(text: Column) -> Column:
     """struct<json, error>: the value as canonical JSON. Text after the value is ignored, the last of equal keys wins."""
-    return _results(lambda t: json.dumps(lenient_value(Scanner(t)), ensure_ascii=False))(text)
+    return _results(lambda t: as_json(lenient_value(Scanner(t))))(text)
+
+
+#: The readers of a text, the strictest first.
+READERS = (strict, lambda t: strict(mended(t)), lambda t: lenient_value(Scanner(t)))
 
 
 def first_parse(text: Column) -> Column:
-    """struct<json, error> of the first that parses: the text itself, its repaired form, its lenient reading.
+    """struct<json, error> of the first that parses: the text itself, its mended form, its lenient reading.
 
-    One UDF tries them in turn, since Spark runs every UDF of an expression for every row; repairs come in natively."""
+    One UDF tries them in turn, since Spark runs every UDF of an expression for every row."""
 
-    @arrow_udf(PARSED)
-    def run(texts: pa.Array, fixed: pa.Array) -> pa.Array:
-        values, errors = [], []
-        for t, f in zip(texts.to_pylist(), fixed.to_pylist()):
-            value = error = None
-            for read in (lambda: json.loads(t), lambda: json.loads(fold(f)), lambda: lenient_value(Scanner(t))):
-                try:
-                    value, error = (None, None) if t is None else (json.dumps(read(), ensure_ascii=False), None)
-                    break
-                except (ValueError, RecursionError) as e:
-                    error = str(e)
-            values.append(value)
-            errors.append(error)
-        return pa.StructArray.from_arrays([pa.array(values, pa.string()), pa.array(errors, pa.string())], ["json", "error"])
+    def read(t):
+        for k, reader in enumerate(READERS):
+            try:
+                return as_json(reader(t))
+            except (ValueError, RecursionError):
+                if k + 1 == len(READERS):
+                    raise
 
-    return run(text, repaired(text))
+    return _results(read)(text)

@@ -88,6 +88,7 @@ def many_lines(text: Column) -> Column:
 
 def unescaped(text: Column) -> Column:
     """Backslash escapes of quotes, newline, tab, angle and square brackets undone, in this order."""
+    # fixed values: what is undone, in its order
     pairs = [("\\'", "'"), ('\\"', '"'), ("\\n", "\n"), ("\\t", "\t"), ("\\>", ">"), ("\\<", "<"), ("\\[", "["), ("\\]", "]")]
     return reduce(lambda t, p: F.replace(t, F.lit(p[0]), F.lit(p[1])), pairs, text)
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from eligo.functions.lenient import _results, _texts, or_null
+from eligo.functions.lenient import _results, _texts, as_json, or_null, whole
 
 GROUPS = ("AND", "OR")
 
@@ -121,12 +121,12 @@ def unreadable(tree: Column) -> Column:
 
 
 def normalised(tree: Column) -> Column:
-    return _texts(lambda t: json.dumps(_normal(json.loads(t)), ensure_ascii=False))(tree)
+    return _texts(lambda t: as_json(_normal(json.loads(t))))(tree)
 
 
 def without_field(tree: Column, field: str) -> Column:
     """The JSON without ``field`` at any depth, as canonical text; equal trees have equal text."""
-    return _texts(lambda t: json.dumps(_without(json.loads(t), field), ensure_ascii=False))(tree)
+    return _texts(lambda t: as_json(_without(json.loads(t), field)))(tree)
 
 
 def rule_names(tree: Column) -> Column:
@@ -134,7 +134,7 @@ def rule_names(tree: Column) -> Column:
 
     @arrow_udf("array<string>")
     def run(trees: pa.Array) -> pa.Array:
-        return pa.array(list(map(or_null(lambda t: sorted(_named(json.loads(t)))), trees.to_pylist())), pa.list_(pa.string()))
+        return pa.array(list(map(or_null(lambda t: [whole(n) for n in sorted(_named(json.loads(t)))]), trees.to_pylist())), pa.list_(pa.string()))
 
     return run(tree)
 

@@ -382,17 +382,22 @@ def record_field(spark, sf_dir):
     return t(spark, sf_dir, "events").select("event_id", files.criteria_field(v).cast("long").alias("k"))
 
 
-@query("""SELECT event_id, '{"rule": {"R": [' || (user_id + 2) || ']}, "b": {"NOT": "X"}, "c": "D"}' AS v FROM events""")
+@query("""SELECT event_id, CASE event_id % 7 WHEN 1 THEN NULL WHEN 2 THEN NULL WHEN 3 THEN '{"a": {"K": "' || chr(128512) || user_id || '"}}' WHEN 4 THEN '{"a": {"NOT": {"R": []}}, "s": "1 + 1, { \\"K\\" }"}'
+ELSE '{"rule": {"R": [' || (user_id + 2) || ']}, "b": {"NOT": "X"}, "c": "D"}' END AS v FROM events""")
 def json_repair(spark, sf_dir):
-    """Near-JSON read by the chain of parsers."""
-    v = F.concat(F.lit('{"rule": "R": ['), "user_id", F.lit(' + 2], "b": "NOT": "X", "c": { "D" }}'))
+    """Near-JSON read by the chain of parsers; NaN and half a character are refused, two halves joined."""
+    chain = F.concat(F.lit('{"rule": "R": ['), "user_id", F.lit(' + 2], "b": "NOT": "X", "c": { "D" }}'))
+    part = F.pmod("event_id", F.lit(7))
+    v = F.when(part == 1, '{"a": NaN}').when(part == 2, '{"a": "\\ud83d"}').when(part == 3, F.concat(F.lit('{"a": "K": "\\ud83d\\ude00'), "user_id", F.lit('"}')))
+    v = v.when(part == 4, '{"a": "NOT": "R[]", "s": "1 + 1, { \\"K\\" }"}').otherwise(chain)
     return t(spark, sf_dir, "events").select("event_id", lenient.first_parse(v)["json"].alias("v"))
 
 
-@query("""SELECT event_id, '{"a": {"K": ' || user_id * 3 || '}, "b": [' || user_id || ', "Z"]}' AS v FROM events""")
+@query("""SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN '{"a": {"K": ' || user_id * 3 || '}, "b": [' || user_id || ', "Z' || chr(128512) || '"]}' END AS v FROM events""")
 def json_lenient(spark, sf_dir):
-    """Chained keys, arithmetic, a lone key, a missing brace."""
-    v = F.concat(F.lit('{"a": "K": '), "user_id", F.lit('*3, "b": ['), "user_id", F.lit(', {"Z"}]} rest'))
+    """Chained keys, arithmetic, a lone key, a missing brace, characters in two halves and half of one."""
+    end = F.when(F.col("event_id") % 5 == 0, ', {"Z\\ud83d"}]} rest').otherwise(', {"Z\\ud83d\\ude00"}]} rest')
+    v = F.concat(F.lit('{"a": "K": '), "user_id", F.lit('*3, "b": ['), "user_id", end)
     return t(spark, sf_dir, "events").select("event_id", lenient.lenient_json(v)["json"].alias("v"))
 
 
@@ -440,12 +445,14 @@ def review_table(spark, sf_dir):
     return out.select("TrialId", "Cohort", "RuleNum", "RuleId", "Description", *criteria.NODES, "LlmCode")
 
 
-@query("""SELECT event_id, props || chr(92) || '"' || chr(10) AS reason, 'OtherCriterion(' || chr(10) || '    description = "",' || chr(10) || '    reason = "' || user_id || '"' || chr(10) || ')' AS python FROM events""")
+@query("""SELECT event_id, props || chr(92) || '"' || chr(10) AS reason, 'OtherCriterion(' || chr(10) || '    description = "",' || chr(10) || '    reason = "' || user_id || '"' || chr(10) || ')' AS python, CASE WHEN event_id % 3 <> 0 THEN chr(128512) || user_id END AS face FROM events""")
 def criterion_escapes(spark, sf_dir):
     """Quotes, backslashes and line ends survive writing and reading; the form for people."""
     rows = t(spark, sf_dir, "events").select("event_id", F.to_json(F.struct(F.lit("Other").alias("type"), F.lit("").alias("description"), F.concat("props", F.lit('\\"\n')).alias("reason"))).alias("node"), F.to_json(F.struct(F.lit("Other").alias("type"), F.lit("").alias("description"), F.col("user_id").cast("string").alias("reason"))).alias("plain"))
     again = criteria.parsed(criteria.written(F.col("node")))["json"]
-    return rows.select("event_id", F.get_json_object(again, "$.reason").alias("reason"), criteria.python_text(F.col("plain")).alias("python"))
+    halves = F.concat(F.lit('Other(reason="\\ud83d'), F.when(F.col("event_id") % 3 == 0, "").otherwise("\\ude00"), F.get_json_object("plain", "$.reason"), F.lit('")'))
+    face = F.get_json_object(criteria.parsed(halves)["json"], "$.reason")
+    return rows.select("event_id", F.get_json_object(again, "$.reason").alias("reason"), criteria.python_text(F.col("plain")).alias("python"), face.alias("face"))
 
 
 TYPED = """CASE p_partkey % 10 WHEN 0 THEN 'Age(age=' || p_size || ', operator=">=")' WHEN 1 THEN 'Age(age="abc", operator=">=")' WHEN 2 THEN 'Age(age=1.5, operator=">=")'

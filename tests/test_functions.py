@@ -115,7 +115,7 @@ def test_arithmetic_is_safe():
 
 
 def test_repairs(spark):
-    assert one(spark, lenient.repaired, '[{ "K" }, "a": "R[]", "b": "R": [1], "c": "NOT": "S"]') == '["K", "a": { "R": [] }, "b": { "R": [1] }, "c": { "NOT": "S" }]'
+    assert one(spark, lenient.repaired, '[{ "K" }, "a": "R[]", "b": "R": [1], "c": "NOT": "S"]') == '["K", "a": {"R": []}, "b": {"R": [1]}, "c": {"NOT": "S"}]'
     assert one(spark, lenient.arithmetic_folded, '{"a": 5 + 5, "b": [2*3, "1+1"], "c": 1/0}') == '{"a": 10, "b": [6, "1+1"], "c": 1/0}'
     got = one(spark, lenient.first_parse, '{"a": "b": ["x"], "c": 1+1}')
     assert json.loads(got["json"]) == {"a": {"b": ["x"]}, "c": 2}
@@ -123,6 +123,43 @@ def test_repairs(spark):
     assert one(spark, lenient.first_parse, None) == (None, None)
 
 
+@pytest.mark.parametrize(
+    "given, want",
+    [
+        ('{"a": "b": "c": {"d": "e": 1}, "f": 2}', '{"a": {"b": {"c": {"d": {"e": 1}}}}, "f": 2}'),
+        ('{"a": "b": "c"', '{"a": {"b": "c"}'),
+        ('{"a": "b": [1, "x": "y": 2]}', '{"a": {"b": [1, "x": {"y": 2}]}}'),
+        ('[ {"only"} , { "x" : 1 } ]', '[ "only" , { "x" : 1 } ]'),
+        ('{"a": "{ \\"K\\" }, 1 + 1", "b": "x: y"}', '{"a": "{ \\"K\\" }, 1 + 1", "b": "x: y"}'),
+        ('{"a": 2 * (3 + 4) , "b": [-1, 1e5, 0.50, 7 // 2]}', '{"a": 14 , "b": [-1, 1e5, 0.50, 3]}'),
+        ('{"a": 1/0, "b": 9**9, "c": 1e308 * 10, "d": NaN, "e": word}', '{"a": 1/0, "b": 9**9, "c": 1e308 * 10, "d": NaN, "e": word}'),
+        ('{"a": "[]", "b": "R[]"}', '{"a": "[]", "b": {"R": []}}'),
+        ('} ] , "', '} ] , "'),
+        ("", ""),
+    ],
+)
+def test_mended(given, want):
+    assert lenient.mended(given) == want
+
+
+def test_nothing_that_cannot_be_written_stops_a_task(spark):
+    """Halves of characters, NaN and infinity beside a good row, in every reader and writer."""
+    half, both = "\\ud83d", "\\ud83d\\ude00"
+    rows = ['{"a": "%s"}' % half, '{"a": "%s"}' % both, '{"a": NaN}', '{"a": 1e999}', '{"a": -Infinity}', '{"%s": ["%s"]}' % (half, half), '{"a": 1}', None]
+    df = spark.createDataFrame([(r,) for r in rows], "v string").coalesce(1)
+    good = [None, '{"a": "😀"}', None, None, None, None, '{"a": 1}', None]
+    for read in (lenient.first_parse, lenient.lenient_json):
+        got = [r["x"] for r in df.select(read(F.col("v")).alias("x")).collect()]
+        assert [g["json"] for g in got] == good and [g["error"] is None for g in got] == [g is not None for g in good[:-1]] + [True]
+    for f in (lenient.repaired, lenient.arithmetic_folded, trees.normalised, trees.rule_names, trees.blank_if_hollow, lambda c: trees.rendered(c)["json"], lambda c: trees.without_field(c, "b"), criteria.written, criteria.python_text):
+        assert df.select(f(F.col("v")).alias("x")).count() == len(rows) and len(df.select(f(F.col("v")).alias("x")).collect()) == len(rows)
+    texts = ['Other(reason="%s")' % half, 'Other(reason="%s")' % both, "Age(age=1e999)", 'Age(age="%s")' % half]
+    df = spark.createDataFrame([(x,) for x in texts], "v string").coalesce(1)
+    for read in (criteria.parsed, criteria.analysed):
+        got = [r["x"] for r in df.select(read(F.col("v")).alias("x")).collect()]
+        assert [g["json"] is not None for g in got] == [False, True, False, False] and json.loads(got[1]["json"])["reason"] == "😀"
+
+
 def test_trees(spark):
     show = lambda v: one(spark, trees.rendered, v)["json"]
     assert show('{"AND": [{"A": []}, {"NOT": {"B": [3.0, 1, "x"]}}, "C[]"]}') == "AND(A, NOT(B[3.0, 1, 'x']), C)"
