@@ -77,6 +77,16 @@ def collector_off():
             gc.enable()
 
 
+_TURN: list[dict] = []
+
+
+def take_turns(memory: dict) -> None:
+    """``memory`` is what this worker remembers from now on; what another operator has left in the same worker goes."""
+    if _TURN and _TURN[0] is not memory:
+        _TURN[0].clear()
+    _TURN[:] = [memory]
+
+
 class Remembered(dict):
     """What a worker remembers of words: about ``most`` bytes of them, no word of over ``longest`` characters."""
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eligo.llm.common import table, text_of, written
+from eligo.llm.common import table, take_turns, text_of, written
 from eligo.llm.graph import stars
 
 #: Mixing constants (odd 64-bit numbers).
@@ -139,6 +139,7 @@ def sketches(docs: DataFrame, width: int, bands: int, rows: int, key: str, text:
     none for an empty set)."""
 
     def run(batches):
+        take_turns(WORDS)
         sketcher = Sketcher(bands, rows)
         for batch in batches:
             n, d0, d1, odd, keys, sizes = [], [], [], [], [], [0]
@@ -173,6 +174,7 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """d0, d1, shingles of rows of text."""
 
     def run(batches):
+        take_turns(WORDS)
         for batch in batches:
             sets = [shingles(t, width) for t in batch.column(0).to_pylist()]
             flat = np.concatenate(sets).view(np.int64) if sets else np.empty(0, np.int64)

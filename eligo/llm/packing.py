@@ -37,10 +37,10 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eligo.llm.common import blocks, byte_letters, checkpointed, collector_off, table, text_of, tokenizer_path
+from eligo.llm.common import blocks, byte_letters, checkpointed, collector_off, table, take_turns, text_of, tokenizer_path
 
 #: Distinct words whose ids a Python worker remembers; past it the memory starts afresh.
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
 
 
 #: Words whose pre-tokens can be counted without the tokenizer: printable Latin-1.
@@ -81,6 +81,10 @@ class WordIds(dict):
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
 
+    def clear(self) -> None:
+        super().clear()
+        self.known.clear()
+
     def one_by_one(self, words: list[bytes]) -> None:
         coded = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
         self.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(words, coded))
@@ -89,7 +93,6 @@ class WordIds(dict):
         new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHE_WORDS:
             self.clear()
-            self.known.clear()
             new = list(words)
         single, lone, plain, other, known = [], [], [], [], self.known
         for w in new:
@@ -134,6 +137,7 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int
 
     def run(batches):
         ids, end = word_ids(tokenizer), np.asarray([end_id], "<u4").tobytes()
+        take_turns(ids)
         for batch in batches:
             keys, rows = batch.column(0), []
             # a few MB of text at a time
