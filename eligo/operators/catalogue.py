@@ -82,6 +82,32 @@ def with_new_rules(rows: DataFrame, long: DataFrame, names: Column) -> DataFrame
     return with_names(rows, long, F.coalesce(names, F.array().cast("array<string>")), "new_rules", among=False)
 
 
+OFFERS = "array<struct<category: string, hint: string, rules: array<string>>>"
+
+
+def with_offers(rows: DataFrame, long: DataFrame, categories: Column, hints: dict[str, str], column: str, most: int = LITERAL_NAMES) -> DataFrame:
+    """``rows`` with ``column``: for each of ``categories`` (an array column), in its order, the category, its hint and
+    the catalogue's rules in their order; null rules for a category that the catalogue lacks.
+
+    Up to ``most`` rules are a constant of the plan; more are joined by a row number that a checkpoint fixes."""
+    place = F.struct("row_pos", "rule")
+    by_category = long.filter("category is not null").groupBy("category").agg(F.transform(F.sort_array(F.collect_list(place)), lambda r: r["rule"]).alias("rules"))
+    told = F.map_from_arrays(F.array(*map(F.lit, hints)).cast("array<string>"), F.array(*map(F.lit, hints.values())).cast("array<string>"))
+    if long.limit(most + 1).count() <= most:
+        known = {r["category"]: r["rules"] for r in by_category.collect()}
+        names = F.array(*map(F.lit, known)).cast("array<string>")
+        lists = F.array(*(F.array(*map(F.lit, v)) for v in known.values())).cast("array<array<string>>")
+        offer = lambda c: F.struct(c.alias("category"), F.try_element_at(told, c).alias("hint"), F.try_element_at(F.map_from_arrays(names, lists), c).alias("rules"))
+        return rows.withColumn(column, F.transform(categories, offer).cast(OFFERS))
+    kept = [c for c in rows.columns if c != column]
+    numbered = checkpointed(rows.select(F.struct(*(rows[c] for c in kept)).alias("row"), categories.alias("categories")).withColumn("number", F.monotonically_increasing_id()))
+    each = numbered.select("number", F.posexplode("categories").alias("at", "category")).join(by_category, "category", "left")
+    offer = F.struct("category", F.try_element_at(told, F.col("category")).alias("hint"), "rules")
+    lists = each.groupBy("number").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", offer.alias("offer")))), lambda r: r["offer"]).cast(OFFERS).alias("offers"))
+    found = F.when(F.col("categories").isNotNull(), F.coalesce("offers", F.array().cast(OFFERS)))
+    return numbered.join(lists, "number", "left").select(*(F.col("row").getField(c).alias(c) for c in kept), found.alias(column))
+
+
 def with_warn(rows: DataFrame, long: DataFrame, rule: str = "rule") -> DataFrame:
     """``rows`` with warn: the rule's flag, false for rules that the catalogue lacks."""
     flags = small(warn_flags(long).withColumnRenamed("rule", rule))

@@ -61,6 +61,7 @@ def prepared(rows: DataFrame, keys: list[str], asker: Asker, body: str = "text")
     (a list of texts, nothing else); an exclusion is turned round where that reads better. A rule that a stage cannot
     answer for stays as it was before, with an error. ``keys`` name the texts and should be unique; ``rule_seq``
     orders the rules of a text by the places from which the stages took them."""
+    asker = asker.prepared()
     clean = asker.ask(rows.select(*keys, F.col(body).alias("raw")), "sanitise", F.col("raw"))
     clean = clean.select(*keys, text.strip(F.regexp_replace(F.coalesce("response", "raw"), r"(?m)^```\w*[ \t]*$", "")).alias("clean"), F.when(F.col("response").isNull(), "no answer").alias("e0"))
     tagged = read_answers(asker.ask(clean, "tag", F.col("clean")), asker)
@@ -111,20 +112,34 @@ def categorised(rows: DataFrame, asker: Asker) -> DataFrame:
     return refused(rows.withColumn("error", error).withColumn("categories", F.when(F.col("error").isNull(), F.map_values("one")[0])), "category", F.col("error")).drop("one", "error", "answer", "response")
 
 
-def with_trees(rows: DataFrame, asker: Asker) -> DataFrame:
+def mapping_prompt(rule: Column, offered: Column) -> Column:
+    """What the mapping stage asks: the rule, then what the catalogue offers for each of its categories."""
+    return F.concat_ws("\n", rule, F.array_join(F.transform(offered, lambda o: F.concat_ws("\n", F.concat(F.lit("# "), o["category"]), o["hint"], F.array_join(o["rules"], "\n"))), "\n"))
+
+
+def with_trees(rows: DataFrame, asker: Asker, long_catalogue: DataFrame, hints: dict[str, str] | None = None) -> DataFrame:
     """``rows`` with rule_tree: of several results the last one's tree; a single object counts as a list of one.
 
-    Where rows have an exclude flag, the model is asked about the directed rule, and a missing flag is an error."""
+    The model is offered the catalogue's rules of the row's categories, in the order of its answer; a category that the
+    catalogue lacks is an error, and the row is not asked about. Where rows have an exclude flag, the model is asked
+    about the directed rule, and a missing flag is an error."""
     rule = F.col("input_rule")
     if "exclude" in rows.columns:
         rows = refused(rows, "mapping", text.direction_error(rule, F.col("exclude")))
         rule = text.directed(rule, F.col("exclude"))
-    asked = F.concat_ws("\n", rule, F.array_join(F.coalesce("categories", _none()), ","))
-    rows = read_answers(asker.ask(rows, "mapping", asked), asker)
+    rows = catalogue.with_offers(rows, long_catalogue, F.coalesce("categories", _none()), hints or {}, "offers")
+    unknown = F.array_join(F.transform(F.filter("offers", lambda o: o["rules"].isNull()), lambda o: o["category"]), ", ")
+    rows = refused(rows, "mapping", F.when(unknown != "", F.concat(F.lit("no category "), unknown)))
+    lost = F.exists("offers", lambda o: o["rules"].isNull())
+    asked = F.when(~lost, mapping_prompt(rule, F.col("offers")))
+    rows = rows.withColumn("asked", asked).drop("offers")
+    wrong = rows.filter("asked is null").drop("asked").withColumns({"rule_tree": F.lit(None).cast("string"), "mapped_text": F.lit(None).cast("string")})
+    rows = read_answers(asker.ask(rows.filter("asked is not null"), "mapping", F.col("asked")), asker).drop("asked")
     results = F.from_json("answer", "array<struct<input_rule:string,rule_tree:string>>")
     rows = rows.withColumn("result", nesting.collapsed(results))
     error = F.when(F.col("answer").isNull(), "no answer that can be read").when(F.col("result.rule_tree").isNull(), "no rule in the answer")
-    return refused(rows.withColumn("rule_tree", F.col("result.rule_tree")).withColumn("mapped_text", F.col("result.input_rule")), "mapping", error).drop("result", "answer", "response")
+    rows = refused(rows.withColumn("rule_tree", F.col("result.rule_tree")).withColumn("mapped_text", F.col("result.input_rule")), "mapping", error).drop("result", "answer", "response")
+    return rows.unionByName(wrong)
 
 
 def mapped(rows: DataFrame, long_catalogue: DataFrame, tree: str = "rule_tree") -> DataFrame:
@@ -151,35 +166,69 @@ def confident(rows: DataFrame, asker: Asker) -> DataFrame:
     return rows.withColumn("confidence_level", F.col("one.confidence_level")).withColumn("confidence_explanation", F.col("one.confidence_explanation")).drop("one", "answer", "response")
 
 
-def mapping_workflow(rules: DataFrame, long_catalogue: DataFrame, asker: Asker, confidence: bool = True) -> DataFrame:
+def mapping_workflow(rules: DataFrame, long_catalogue: DataFrame, asker: Asker, confidence: bool = True, hints: dict[str, str] | None = None) -> DataFrame:
     """``rules`` (input_rule, ...) in seven stages: category, mapping, blank if hollow, render, new rules, warnings and,
-    if wanted, confidence. A row whose category stage failed is not mapped."""
+    if wanted, confidence. A row whose category stage failed is not mapped. ``hints``: what the mapping prompt says
+    about a category."""
+    asker = asker.prepared()
     rows = categorised(rules, asker)
     wrong = F.size("errors") > 0
-    tried = with_trees(rows.filter(~wrong), asker)
+    tried = with_trees(rows.filter(~wrong), asker, long_catalogue, hints)
     rows = tried.unionByName(rows.filter(wrong), allowMissingColumns=True)
     rows = mapped(rows, long_catalogue)
     rows = rows.withColumn("errors", F.when(F.col("render_error").isNotNull(), F.concat("errors", F.array(F.concat(F.lit("render: "), F.col("render_error"))))).otherwise(F.col("errors"))).drop("render_error")
     return confident(rows, asker) if confidence else rows
 
 
+#: Node types that every curation may need, whatever a rule is about (fixed values).
+ESSENTIAL = ("And", "Or", "Not", "If")
+
+
+def curate_prompt(rule: Column, types: Column, instructions: Column | str | None = None) -> Column:
+    """What the curate stage asks: the language's types that the row's types call for, the rule, its types, and what a
+    user adds."""
+    types = F.coalesce(types, _none())
+    more = F.lit(instructions or None) if isinstance(instructions, str | None) else F.nullif(instructions, F.lit(""))
+    return F.concat_ws("\n", criteria.schema_help(F.array_union(types, F.array(*map(F.lit, ESSENTIAL)))), rule, F.array_join(types, ","), more)
+
+
+def curated(rows: DataFrame, asker: Asker, instructions: Column | str | None = None, errors: bool = False) -> DataFrame:
+    """``rows`` (rule_text, types) with code and read, the parser's struct: the model's answer, cleaned and parsed."""
+    out = asker.ask(rows, "curate", curate_prompt(F.col("rule_text"), F.col("types"), instructions), errors)
+    out = out.withColumn("code", text.bare_criteria(text.code_blocks(F.col("response"), "python")))
+    return out.withColumn("read", criteria.parsed(F.nullif(F.col("code"), F.lit(""))))
+
+
 def typed(rows: DataFrame, asker: Asker, instructions: str = "") -> DataFrame:
     """``rows`` (input_rule, exclude) with rule_text, code, node and errors: directed, filed under criterion types,
     curated as criterion code, cleaned and checked. Empty code and code that does not parse are errors; a row without
     types is not curated."""
+    asker = asker.prepared()
     out = rows.withColumn("rule_text", text.directed(F.col("input_rule"), F.coalesce("exclude", F.lit(False))))
     out = read_answers(asker.ask(out, "types", F.col("rule_text")), asker)
     kinds = F.from_json("answer", "map<string,array<string>>")
     out = out.withColumn("types", F.flatten(F.map_values(kinds)))
     out = refused(out, "types", F.when(F.col("types").isNull(), "no object of types")).drop("answer", "response")
     wrong = out.filter(F.size("errors") > 0)
-    out = asker.ask(out.filter(F.size("errors") == 0), "curate", F.concat_ws("\n", F.col("rule_text"), F.array_join(F.coalesce("types", _none()), ","), F.lit(instructions or None)))
-    out = out.withColumn("code", text.bare_criteria(text.code_blocks(F.col("response"), "python")))
-    out = out.withColumn("read", criteria.parsed(F.nullif(F.col("code"), F.lit(""))))
+    out = curated(out.filter(F.size("errors") == 0), asker, instructions)
     out = refused(out, "curate", F.when(F.coalesce("code", F.lit("")) == "", "empty code").otherwise(F.col("read.error")))
     return out.withColumn("node", F.col("read.json")).drop("read", "response").unionByName(wrong, allowMissingColumns=True)
 
 
+def recurated(rows: DataFrame, asker: Asker, instructions: Column | str | None = None, code: str = "LlmCode") -> DataFrame:
+    """``rows`` (rule_text, types, ``code``) asked about again, with a user's instructions: Proposed, the new code as the
+    language writes it, or null with Error saying why there is none; ``code`` keeps the old one.
+
+    The instructions are part of the prompt's key, so other instructions are another question. A call that misses the
+    asker's deadline is ended and is an error of its row, as is an answer that does not parse."""
+    kept = rows.withColumnRenamed(code, "old_")
+    out = curated(kept, asker.prepared(), instructions, errors=True)
+    late = F.when(F.col("call_error") == "late", F.lit("the model took too long")).otherwise(F.coalesce("call_error", F.lit("no answer")))
+    error = F.when(F.col("response").isNull(), late).when(F.coalesce("code", F.lit("")) == "", "empty code").otherwise(F.col("read.error"))
+    out = out.withColumns({"Error": error, "Proposed": F.when(error.isNull(), criteria.written(F.col("read.json")))})
+    return out.drop("code", "read", "response", "call_error").withColumnRenamed("old_", code)
+
+
 def tabulated(rows: DataFrame, trial: str = "TrialId", cohort: str = "Cohort", order: str = "pos") -> DataFrame:
     """Typed criteria (node: JSON) as review rows: numbers, description, a counter per node type, code."""
     out = nesting.numbered(rows, [trial, cohort], order, trial)

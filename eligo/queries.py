@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from eligo.functions import criteria, lenient, text, trees
 from eligo.operators import catalogue, compare, nesting, review
 from eligo.plans import curation, models
-from eligo.sources import files
+from eligo.sources import files, records
 from eligo.sources.shared import checkpointed, fresh_dir
 
 QUERIES: dict = {}
@@ -691,33 +691,150 @@ def prepared_rules(spark, sf_dir):
     return out.select("c_custkey", "rule_seq", rule.alias("input_rule"), "exclude", "flipped", F.array_join("cohorts", ",").alias("cohorts"), F.try_element_at("errors", F.lit(-1)).alias("error"))
 
 
-@query("""WITH kinds AS (SELECT p_partkey, p_partkey % 7 AS k, p_size, upper(split_part(p_type, ' ', 1)) AS word FROM part)
-SELECT p_partkey, CASE WHEN k NOT IN (0, 1) THEN 'kind' END AS category,
-CASE k WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN '' WHEN 3 THEN 'AND(NEW_RULE, NOT(PROMO))' WHEN 4 THEN '' ELSE 'AND(ECONOMY[' || p_size || '.0], ' || CASE WHEN word IN ('PROMO', 'SMALL') THEN 'WARN_IF(' ELSE 'NOT(' END || word || '))' END AS rule_reformat,
+@query("""WITH kinds AS (SELECT p_partkey, p_partkey % 8 AS k, p_size, upper(split_part(p_type, ' ', 1)) AS word FROM part)
+SELECT p_partkey, CASE WHEN k = 7 THEN 'none' WHEN k NOT IN (0, 1) THEN 'kind' END AS category,
+CASE k WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN '' WHEN 3 THEN 'AND(NEW_RULE, NOT(PROMO))' WHEN 4 THEN '' WHEN 7 THEN '' ELSE 'AND(ECONOMY[' || p_size || '.0], ' || CASE WHEN word IN ('PROMO', 'SMALL') THEN 'WARN_IF(' ELSE 'NOT(' END || word || '))' END AS rule_reformat,
 CASE WHEN k = 3 THEN 'NEW_RULE' ELSE '' END AS new_rules, CASE WHEN k <> 6 THEN 0.5 END AS confidence,
-CASE k WHEN 0 THEN 'category: not a list of one object' WHEN 1 THEN 'category: the rule was changed' WHEN 4 THEN 'mapping: no rule in the answer' WHEN 6 THEN 'confidence: not a list of one object' ELSE '' END AS errors FROM kinds""")
+CASE k WHEN 0 THEN 'category: not a list of one object' WHEN 1 THEN 'category: the rule was changed' WHEN 4 THEN 'mapping: no rule in the answer' WHEN 6 THEN 'confidence: not a list of one object' WHEN 7 THEN 'mapping: no category none' ELSE '' END AS errors FROM kinds""")
 def mapping_workflow(spark, sf_dir):
-    """Category, mapping, hollow trees blanked, rendering, new rules, warnings and
-    confidence, each with its guard; answers that no parser reads are repaired first."""
-    rows = t(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") % 7).alias("k"), "p_size", F.upper(F.split_part("p_type", F.lit(" "), F.lit(1))).alias("word"), F.concat(F.lit("rule about part "), "p_partkey").alias("input_rule"))
+    """Category, mapping with the catalogue's rules of the category, hollow trees
+    blanked, rendering, new rules, warnings and confidence, each with its guard; answers that no parser reads are repaired
+    first."""
+    rows = t(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") % 8).alias("k"), "p_size", F.upper(F.split_part("p_type", F.lit(" "), F.lit(1))).alias("word"), F.concat(F.lit("rule about part "), "p_partkey").alias("input_rule"))
     words = rows.select(F.col("word").alias("rule")).distinct().unionByName(rows.select(F.explode(F.array(F.lit("ECONOMY"), F.lit("PROMO"))).alias("rule")).distinct()).distinct()
-    known = words.select(F.lit("c").alias("category"), F.lit(0).alias("category_pos"), F.lit(0).alias("row_pos"), "rule", F.col("rule").isin("PROMO", "SMALL").alias("warn"))
-    filed = listed("""CASE k WHEN 0 THEN '[{"a": ["kind"]}, {"b": ["kind"]}]' WHEN 1 THEN '[{"quite another text": ["kind"]}]' WHEN 5 THEN '<<' || input_rule ELSE '[{"' || input_rule || '": ["kind"]}]' END""")
+    known = words.select(F.lit("kind").alias("category"), F.lit(0).alias("category_pos"), F.lit(0).alias("row_pos"), "rule", F.col("rule").isin("PROMO", "SMALL").alias("warn"))
+    hints = {"kind": "Kinds are capitals."}
+    filed = listed("""CASE k WHEN 0 THEN '[{"a": ["kind"]}, {"b": ["kind"]}]' WHEN 1 THEN '[{"quite another text": ["kind"]}]' WHEN 5 THEN '<<' || input_rule WHEN 7 THEN '[{"' || input_rule || '": ["none"]}]' ELSE '[{"' || input_rule || '": ["kind"]}]' END""")
     good = listed("""'{"input_rule": "m", "rule_tree": {"AND": [{"ECONOMY": [' || p_size || '.0]}, {"NOT": {"' || word || '": []}}]}}'""")
     trees_ = F.when(F.col("k") == 2, '[{"input_rule": "m", "rule_tree": {"AND": [{"OR": []}]}}]').when(F.col("k") == 3, '[{"input_rule": "m", "rule_tree": {"X": []}}, {"input_rule": "n", "rule_tree": {"AND": [{"NEW_RULE": []}, {"NOT": {"PROMO": []}}]}}]').when(F.col("k") == 4, "[]").when(F.col("k") == 5, good).otherwise(F.concat(F.lit("["), good, F.lit("]")))
+    offered = catalogue.with_offers(rows, known, F.array(F.lit("kind")), hints, "offers")
     cache = (
         answers(rows, "category", F.col("input_rule"), filed)
         .unionAll(answers(rows, "repair", F.concat(F.lit("<<"), "input_rule"), listed("""'```json[{"' || input_rule || '": ["kind"]}]```'""")))
-        .unionAll(answers(rows, "mapping", F.concat("input_rule", F.lit("\nkind")), trees_))
+        .unionAll(answers(offered, "mapping", curation.mapping_prompt(F.col("input_rule"), F.col("offers")), trees_))
     )
-    cache = checkpointed(cache)
-    found = curation.mapping_workflow(rows, known, models.Asker(cache), confidence=False)
+    found = curation.mapping_workflow(rows, known, models.Asker(cache), confidence=False, hints=hints)
     found = checkpointed(found)
     sure = answers(found, "confidence", F.concat_ws("\n", "input_rule", "rule_reformat"), F.when(F.col("k") == 6, "[]").otherwise('[{"confidence_level": 0.5, "confidence_explanation": "e"}]'))
     out = curation.confident(found, models.Asker(sure))
     return out.select("p_partkey", F.try_element_at("categories", F.lit(1)).alias("category"), "rule_reformat", F.array_join("new_rules", ",").alias("new_rules"), F.col("confidence_level").alias("confidence"), F.array_join("errors", "; ").alias("errors"))
 
 
+@query("""WITH cells AS (SELECT DISTINCT p_brand, p_size, p_type FROM part),
+lists AS (SELECT p_brand, string_agg(p_type, chr(10) ORDER BY p_size, p_type) AS rules FROM cells GROUP BY p_brand),
+asked AS (SELECT p_partkey, p_brand, 'Brand#' || (p_partkey % 70) AS other FROM part)
+SELECT p_partkey, CASE WHEN o.p_brand IS NOT NULL THEN sha256('rule ' || p_partkey || chr(10) || '# ' || a.other || CASE WHEN a.other = 'Brand#11' THEN chr(10) || 'Mind the first.' ELSE '' END || chr(10) || o.rules
+|| chr(10) || '# ' || a.p_brand || CASE WHEN a.p_brand = 'Brand#11' THEN chr(10) || 'Mind the first.' ELSE '' END || chr(10) || l.rules) END AS prompt_sha
+FROM asked a JOIN lists l ON l.p_brand = a.p_brand LEFT JOIN lists o ON o.p_brand = a.other""")
+def catalogue_prompts(spark, sf_dir):
+    """Mapping prompts with the catalogue's rules and hints of a row's categories, in the order of the answer; a
+    category that the catalogue lacks gives no prompt."""
+    part = t(spark, sf_dir, "part")
+    known = part.select(F.col("p_brand").alias("category"), F.lit(0).alias("category_pos"), F.col("p_size").alias("row_pos"), F.col("p_type").alias("rule"), F.lit(False).alias("warn")).distinct()
+    rows = part.select("p_partkey", F.array(F.concat(F.lit("Brand#"), F.col("p_partkey") % 70), "p_brand").alias("categories"))
+    rows = catalogue.with_offers(rows, known, F.col("categories"), {"Brand#11": "Mind the first."}, "offers")
+    prompt = curation.mapping_prompt(F.concat(F.lit("rule "), "p_partkey"), F.col("offers"))
+    return rows.select("p_partkey", F.when(~F.exists("offers", lambda o: o["rules"].isNull()), F.sha2(prompt, 256)).alias("prompt_sha"))
+
+
+def help_text(*types: str) -> str:
+    """What a prompt says about the language for a rule of some types, as plain text for the SQL."""
+    kinds = [t.lower() for t in (*types, "And", "Or", "Not", "If")]
+    nodes = [n for n in criteria.NODES if any(k in n.lower() for k in kinds)]
+    values = [v for v in criteria.VALUES if any(v in criteria.REACHED[n] for n in nodes)]
+    tables = criteria.NODES | criteria.VALUES
+    return "\n".join([criteria.help_line("All", criteria.COMMON), *(criteria.help_line(n, tables[n]) for n in [*values, *nodes])])
+
+
+@query(f"""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN '{help_text("labv")}' WHEN 1 THEN '{help_text("CURRENTTREAT")}' WHEN 2 THEN '{help_text()}' ELSE '{help_text("Performance")}' END || chr(10)
+|| 'rule ' || p_partkey || chr(10) || CASE p_partkey % 4 WHEN 0 THEN 'labv' WHEN 1 THEN 'CURRENTTREAT' WHEN 3 THEN 'Performance' ELSE '' END || CASE WHEN p_size > 25 THEN chr(10) || 'mind ' || p_size ELSE '' END AS prompt FROM part""")
+def curate_prompts(spark, sf_dir):
+    """The language's types that a row's types call for, with the value types that these reach, and a user's
+    instructions, in the prompt."""
+    kinds = F.expr("CASE p_partkey % 4 WHEN 0 THEN array('labv') WHEN 1 THEN array('CURRENTTREAT') WHEN 3 THEN array('Performance') ELSE array() END").cast("array<string>")
+    more = F.when(F.col("p_size") > 25, F.concat(F.lit("mind "), "p_size"))
+    return t(spark, sf_dir, "part").select("p_partkey", curation.curate_prompt(F.concat(F.lit("rule "), "p_partkey"), kinds, more).alias("prompt"))
+
+
+def recurating(system: str, user: str) -> str:
+    """A client that answers by a rule's size: good code, code that does not parse, no code, or nothing in time."""
+    import time
+
+    size = int(user.rpartition("size ")[2].split("\n")[0])
+    if size == 7:
+        time.sleep(30)
+    if size == 8:
+        raise RuntimeError("busy")
+    return ["```python\nAge(age=%d, operator=\">=\")\n```" % size, "```python\nAge(age=\"x\", operator=\">=\")\n```", "```python\nimport x\n```"][size % 3]
+
+
+@query("""SELECT p_partkey, 'old ' || p_partkey AS code, CASE WHEN p_size % 3 = 0 THEN p_size END AS age,
+CASE WHEN p_size = 7 THEN 'the model took too long' WHEN p_size = 8 THEN 'failed: busy' WHEN p_size % 3 = 1 THEN 'age of Age cannot be "x"' WHEN p_size % 3 = 2 THEN 'empty code' END AS error FROM part""")
+def recurate(spark, sf_dir):
+    """Rules asked about again with instructions and a deadline: answered, refused, failed and late; the old code is
+    kept, and each prompt is asked once however many rows have it."""
+    rows = t(spark, sf_dir, "part").select("p_partkey", F.concat(F.lit("size "), "p_size").alias("rule_text"), F.array(F.lit("Age")).alias("types"), F.concat(F.lit("old "), "p_partkey").alias("LlmCode"))
+    none = spark.createDataFrame([], "prompt_sha string, response string")
+    out = curation.recurated(rows, models.Asker(none, client=recurating, store=fresh_dir(spark, "answers"), seconds=1.0), "be exact")
+    error = F.when(F.col("Error").startswith("line "), F.regexp_extract("Error", r"column \d+: ([^\n]*)", 1)).otherwise(F.col("Error"))
+    return out.select("p_partkey", F.col("LlmCode").alias("code"), F.regexp_extract("Proposed", r"age=(\d+)", 1).try_cast("int").alias("age"), error.alias("error"))
+
+
+def registry(spark: SparkSession) -> str:
+    """A small server of records on the driver, for queries that fetch: its URL. Ids divisible by 5 are unknown, every
+    seventh is busy at first, and every eleventh answers with something else than JSON."""
+    import json
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    seen: dict[str, int] = {}
+
+    class Records(BaseHTTPRequestHandler):
+        protocol_version = "HTTP/1.1"
+
+        def do_GET(self):
+            name = self.path.rpartition("/")[2]
+            n, seen[name] = int(name[1:]), seen.get(name, 0) + 1
+            status = 404 if n % 5 == 0 else 503 if n % 7 == 0 and seen[name] == 1 else 200
+            text_ = f"Inclusion Criteria:\n1. record {n}"
+            body = b"<html>" if n % 11 == 0 else json.dumps({"protocolSection": {"eligibilityModule": {"eligibilityCriteria": text_}}}).encode()
+            self.send_response(status)
+            self.send_header("Content-Length", str(len(body)))
+            self.send_header("Connection", "close")
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *_):
+            pass
+
+    host = spark.conf.get("spark.driver.host", "127.0.0.1")
+    ThreadingHTTPServer.request_queue_size = 256
+    server = ThreadingHTTPServer((host, 0), Records)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    return f"http://{host}:{server.server_address[1]}/studies/{{id}}"
+
+
+@query("""WITH n AS (SELECT c_custkey AS n FROM customer)
+SELECT 'T' || n AS id, CASE WHEN n % 5 = 0 THEN 404 ELSE 200 END AS status, CASE WHEN n % 5 <> 0 AND n % 7 = 0 THEN 2 ELSE 1 END AS attempts,
+CASE WHEN n % 5 <> 0 AND n % 11 <> 0 THEN 'Inclusion Criteria:' || chr(10) || '1. record ' || n END AS criteria,
+CASE WHEN n % 5 = 0 THEN 'status 404' WHEN n % 11 = 0 THEN 'the answer is no JSON' END AS error FROM n""")
+def fetched_records(spark, sf_dir):
+    """Registry records over HTTP, a request per id; busy servers are asked again, other answers are error rows."""
+    ids = t(spark, sf_dir, "customer").select(F.concat(F.lit("T"), "c_custkey").alias("id"))
+    # fetched once and written: a plan that is read twice must not ask twice
+    got = checkpointed(records.fetched(ids, registry(spark), wait=0.01))
+    body = F.when(F.col("body").isNotNull(), files.criteria_field(F.col("body")))
+    return got.select("id", "status", "attempts", body.alias("criteria"), "error")
+
+
+@query("""SELECT 'Inclusion Criteria:' || chr(10) || '1. record ' || c_custkey AS criteria FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey % 11 <> 0""")
+def saved_records(spark, sf_dir):
+    """Fetched records saved as lines of JSON and read back."""
+    ids, at = t(spark, sf_dir, "customer").select(F.concat(F.lit("T"), "c_custkey").alias("id")), fresh_dir(spark, "records")
+    records.save(records.fetched(ids, registry(spark), wait=0.01), at)
+    return spark.read.text(at).select(files.criteria_field(F.col("value")).alias("criteria"))
+
+
 @query("""SELECT p_partkey, CASE p_partkey % 4 WHEN 1 THEN 'EXCLUDE ' ELSE 'INCLUDE ' END || 'part ' || p_partkey AS rule_text, CASE WHEN p_partkey % 4 IN (0, 1) THEN p_size END AS age,
 CASE WHEN p_partkey % 4 = 0 THEN 1 WHEN p_partkey % 4 = 1 THEN 1 END AS n_age, CASE WHEN p_partkey % 4 IN (0, 1) THEN CAST(p_partkey AS VARCHAR) || '.1' END AS rule_id,
 CASE p_partkey % 4 WHEN 2 THEN 'curate: empty code' WHEN 3 THEN 'types: no object of types' ELSE '' END AS error FROM part""")
@@ -728,8 +845,8 @@ def typed_workflow(spark, sf_dir):
     asked = text.directed(F.col("input_rule"), F.col("exclude"))
     kinds = F.when(F.col("k") == 3, "none").otherwise(F.concat(F.lit('{"'), asked, F.lit('": ["Age"]}')))
     code = F.when(F.col("k") == 2, "```python\nfrom x import y\n```").otherwise(F.concat(F.lit("```python\nfrom x import y\ncriteria: List[BaseCriterion] = [\nAge(age="), "p_size", F.lit(', operator=">=")\n]\n```')))
-    cache = answers(rows, "types", asked, kinds).unionAll(answers(rows, "curate", F.concat_ws("\n", asked, F.when(F.col("k") != 3, "Age").otherwise("")), code))
-    done = curation.typed(rows, models.Asker(cache)).filter("k <> 3 or size(errors) > 0")
+    cache = answers(rows, "types", asked, kinds).unionAll(answers(rows, "curate", curation.curate_prompt(asked, F.array(F.lit("Age"))), code))
+    done = curation.typed(rows, models.Asker(cache))
     table = curation.tabulated(done.filter("node is not null").selectExpr("cast(p_partkey as string) AS TrialId", "'c' AS Cohort", "0 AS pos", "node", "p_partkey"))
     out = done.select("p_partkey", "rule_text", F.try_element_at("errors", F.lit(1)).alias("error")).join(table.select("p_partkey", F.get_json_object("node", "$.age").cast("int").alias("age"), F.col("Age").alias("n_age"), F.col("RuleId").alias("rule_id")), "p_partkey", "left")
     return out.select("p_partkey", "rule_text", F.when(F.col("rule_id").isNotNull(), F.col("age")).alias("age"), "n_age", "rule_id", F.coalesce("error", F.lit("")).alias("error"))

@@ -33,3 +33,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder; its lineage ends there, so lost executors cost nothing."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def file_system(uri: str):
+    """(file system, path) of a shared folder's URI, for tasks that read or write files of their own there."""
+    from pyarrow import fs
+
+    if uri.startswith("file:/") and not uri.startswith("file://"):
+        uri = "file://" + uri[len("file:") :]
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)

@@ -115,14 +115,14 @@ def test_indel_ratio(spark):
 
 def test_model_cache(spark, tmp_path):
     frame = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "id int, user string")
-    cache = spark.createDataFrame([("x", "y")], models.ANSWERS)
+    cache = spark.createDataFrame([("x", "y")], "prompt_sha string, response string")
     replay = models.answered(frame, cache, "m", F.lit("s"), F.col("user"))
     assert {r["response"] for r in replay.collect()} == {None}
     store = str(tmp_path / "answers")
     got = models.answered(frame, cache, "m", F.lit("s"), F.col("user"), client=lambda s, u: f"{s}:{u}", store=store)
     assert rows(got.select("id", "response")) == [(1, "s:a"), (2, "s:b"), (3, "s:a")]
-    assert spark.read.parquet(store).count() == 2
-    again = models.answered(frame, spark.read.parquet(store), "m", F.lit("s"), F.col("user"))
+    assert models.Store(store).read(spark).count() == 2
+    again = models.answered(frame, models.Store(store).answers(spark), "m", F.lit("s"), F.col("user"))
     assert rows(again.select("id", "response")) == rows(got.select("id", "response"))
 
 
@@ -150,15 +150,12 @@ def test_flat_report(spark):
 
 
 def test_small_operators(spark):
-    from eligo.functions.criteria import type_help
-
     edits = spark.createDataFrame([(1, "Other"), (2, "Othe"), (3, None), (4, "")], "k int, OverrideCode string")
     good, bad = review.validated(edits)
     assert rows(good.select("k")) == [(1,), (3,), (4,)] and rows(bad.select("k")) == [(2,)]
     lists = spark.createDataFrame([(["b", "a"],), (["c"],)], "c array<string>")
     assert nesting.category_union(lists, "c", ["z"]).first()["categories"] == ["a", "b", "c", "z"]
     assert nesting.with_any(lists, "c", ["a", "x"]).count() == 1
-    assert type_help({"treatment"}).startswith("PriorTreatment: treatment [number_of_prior_lines]")
 
 
 def test_facet_without_options_at_any_number_of_them(spark):
@@ -272,8 +269,148 @@ def test_embeddings_are_asked_once(spark, tmp_path):
     assert spark.read.parquet(store).count() == 2
 
 
-def test_calls_that_take_too_long_have_no_answer():
+def test_schema_help_follows_the_types(spark):
+    from eligo.functions import criteria
+
+    shown = lambda *kinds: [line.split(":")[0] for line in spark.createDataFrame([(list(kinds),)], "t array<string>").select(criteria.schema_help(F.col("t")).alias("h")).first()["h"].split("\n")]
+    assert shown("LABVALUE") == ["All", "LabValue"]
+    assert shown("performance") == ["All", "IntRange", "PerformanceStatus"]
+    assert shown("PriorTreat") == ["All", *criteria.VALUES, "PriorTreatment"]
+    assert shown("nothing") == ["All"] and shown() == ["All"]
+
+
+def asking(at, answer=lambda s, u: f"{s}:{u}"):
+    """A client that notes each of its calls in a folder."""
+    import uuid
+    from pathlib import Path
+
+    def client(system, user):
+        Path(at, f"{user}-{uuid.uuid4().hex}").touch()
+        return answer(system, user)
+
+    return client
+
+
+def calls(at):
+    return sorted(p.name.rsplit("-", 1)[0] for p in at.iterdir())
+
+
+def test_prompts_are_asked_once_in_any_number_of_runs(spark, tmp_path):
+    (seen := tmp_path / "seen").mkdir()
+    frame = spark.createDataFrame([(k, f"p{k % 5}") for k in range(40)], "id int, user string")
+    cache = spark.createDataFrame([], "prompt_sha string, response string")
+    store = str(tmp_path / "store")
+    for _ in range(3):
+        got = models.answered(frame, cache, "m", F.lit("s"), F.col("user"), client=asking(seen), store=store)
+        assert {(r["user"], r["response"]) for r in got.collect()} == {(f"p{k}", f"s:p{k}") for k in range(5)}
+        got.count()
+    assert calls(seen) == [f"p{k}" for k in range(5)]
+    models.Store(store).compacted(spark)
+    assert models.Store(store).answers(spark).count() == 5
+    more = models.answered(frame.unionByName(spark.createDataFrame([(99, "p9")], frame.schema)), cache, "m", F.lit("s"), F.col("user"), client=asking(seen), store=store)
+    assert more.filter("response is null").count() == 0 and calls(seen) == [f"p{k}" for k in (*range(5), 9)]
+
+
+def test_a_late_call_is_ended_and_never_hides_an_answer(spark, tmp_path):
     import time
 
-    slow = models.in_time(lambda s, u: time.sleep(0.5) or "late", 0.05)
-    assert slow("s", "u") is None and models.in_time(lambda s, u: s + u, 5)("s", "u") == "su"
+    (seen := tmp_path / "seen").mkdir()
+    frame = spark.createDataFrame([(1, "quick"), (2, "slow"), (3, "bad")], "id int, user string")
+    cache, store = spark.createDataFrame([], "prompt_sha string, response string"), str(tmp_path / "store")
+
+    def answer(system, user):
+        if user == "slow":
+            time.sleep(60)
+        if user == "bad":
+            raise ValueError("no")
+        return "first"
+
+    ask = lambda f: {r["user"]: (r["response"], r["call_error"]) for r in models.answered(frame, cache, "m", F.lit("s"), F.col("user"), client=asking(seen, f), store=store, seconds=1.0).collect()}
+    began = time.time()
+    assert ask(answer) == {"quick": ("first", None), "slow": (None, "late"), "bad": (None, "failed: no")}
+    assert time.time() - began < 50
+    assert ask(lambda s, u: "second") == {"quick": ("first", None), "slow": ("second", None), "bad": ("second", None)}
+    assert ask(answer) == {"quick": ("first", None), "slow": ("second", None), "bad": ("second", None)}
+    assert calls(seen) == ["bad", "bad", "quick", "slow", "slow"]
+
+
+def test_a_client_that_dies_is_an_error_of_its_row():
+    import os
+
+    call = models.Caller(lambda s, u: os._exit(3) if u == "die" else s + u, 20)
+    assert call("a", "b") == ("ab", None) and call("a", "die") == (None, "failed: the client's process ended") and call("c", "d") == ("cd", None)
+    call.cancel()
+
+
+def test_a_task_that_is_run_again_asks_only_the_rest(tmp_path):
+    """A task that dies after some commits, in a session that tries tasks again."""
+    import subprocess
+    import sys
+
+    script = f"""
+import os, sys
+sys.path.insert(0, {str(__import__("pathlib").Path(__file__).resolve().parents[1])!r})
+from pathlib import Path
+from pyspark import TaskContext
+from pyspark.sql import SparkSession, functions as F
+from eligo.plans import models
+import uuid
+spark = SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "file://{tmp_path}/shared").config("spark.python.worker.reuse", "false").getOrCreate()
+spark.sparkContext.setLogLevel("OFF")
+models.COMMIT_PROMPTS = 1
+seen, died = Path("{tmp_path}/seen"), Path("{tmp_path}/died")
+seen.mkdir()
+def client(s, u):
+    Path(seen, u + "-" + uuid.uuid4().hex).touch()
+    return u
+real = models.Caller.__call__
+def once(self, s, u):
+    out = real(self, s, u)
+    if u == "p13" and not died.exists():
+        died.touch()
+        os._exit(1)
+    return out
+models.Caller.__call__ = once
+from pyspark import cloudpickle
+cloudpickle.register_pickle_by_value(models)
+frame = spark.range(20).select(F.concat(F.lit("p"), "id").alias("user"))
+prompts = frame.select(models.prompt_key("m", F.lit("s"), F.col("user")).alias("prompt_sha"), F.lit("s").alias("system"), "user")
+models.Store("file://{tmp_path}/store").fill(prompts, client, tasks=1)
+print("answers", models.Store("file://{tmp_path}/store").answers(spark).count(), died.exists())
+"""
+    done = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, timeout=240)
+    assert "answers 20 True" in done.stdout, done.stderr[-3000:]
+    assert sorted(calls(tmp_path / "seen")) == sorted([*(f"p{k}" for k in range(20)), "p13"])
+
+
+def test_offers_by_both_ways(spark):
+    from eligo.operators import catalogue
+
+    long = spark.createDataFrame([("c", 0, 2, "B", False), ("c", 0, 1, "A", False), ("d", 1, 1, "A", False), (None, 2, 1, "X", False)], "category string, category_pos int, row_pos int, rule string, warn boolean")
+    df = spark.createDataFrame([(1, ["d", "c"]), (1, ["x"]), (None, []), (2, None), (3, ["c", "c"])], "number int, offers array<string>")
+    want = [(1, [("d", None, ["A"]), ("c", "h", ["A", "B"])]), (1, [("x", None, None)]), (None, []), (2, None), (3, [("c", "h", ["A", "B"])] * 2)]
+    for most in (100, 0):
+        got = catalogue.with_offers(df.withColumnRenamed("offers", "cats"), long, F.col("cats"), {"c": "h"}, "found", most).select("number", "found").collect()
+        assert sorted(((r["number"], r["found"] and [tuple(o) for o in r["found"]] if r["found"] != [] else []) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_records_are_written_whole_or_not_at_all(spark, tmp_path):
+    from eligo.sources import records
+
+    at, schema = str(tmp_path / "out"), records.SCHEMA
+    good = [(f"T{k}", 200, 1, '{"n": %d, "s": "é"}' % k, None) for k in range(6)] + [("T9", 404, 1, None, "status 404")]
+    records.save(spark.createDataFrame(good, schema).repartition(3), at)
+    assert sorted(r["n"] for r in spark.read.json(at).collect()) == list(range(6))
+    before = sorted(p.name for p in (tmp_path / "out").iterdir())
+    with pytest.raises(Exception):
+        records.save(spark.createDataFrame([*good, ("T7", 200, 1, "{broken", None)], schema).coalesce(1), at)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == before
+
+
+def test_fetch_gives_errors_as_values(spark):
+    from eligo.sources import records
+
+    assert records.fetch("http://127.0.0.1:1/x", attempts=2, wait=0.01)[:3] == (None, 2, None)
+    ids = spark.createDataFrame([("a",), (None,), ("a",)], "id string")
+    got = sorted((r["id"] or "", r["status"], r["attempts"], r["body"]) for r in records.fetched(ids, "http://127.0.0.1:1/{id}", attempts=1).collect())
+    assert got == [("", None, 0, None), ("a", None, 1, None)]
