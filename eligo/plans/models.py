@@ -12,6 +12,7 @@ noted with its error and asked again by the next run, and never hides an answer.
 from __future__ import annotations
 
 import multiprocessing
+import os
 import time
 import uuid
 from collections.abc import Callable
@@ -41,8 +42,14 @@ class Caller:
         self.client, self.seconds, self.child, self.pipe = client, seconds, None, None
 
     def _serve(self, pipe) -> None:
+        # the task's own connections stay the task's: if it dies, nothing here keeps them open
+        os.closerange(3, pipe.fileno())
+        os.closerange(pipe.fileno() + 1, os.sysconf("SC_OPEN_MAX"))
         while True:
-            asked = pipe.recv()
+            try:
+                asked = pipe.recv()
+            except EOFError:
+                return
             try:
                 pipe.send((self.client(*asked), None))
             except Exception as e:  # an answer like any other: the caller notes it
