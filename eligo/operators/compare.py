@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from eligo.operators.catalogue import small
+from eligo.operators.graph import components
 from eligo.sources.shared import checkpointed
 
 
@@ -41,40 +42,109 @@ def similar_pairs(old: DataFrame, new: DataFrame, key: str, least: float = 0.9,
     return a.join(b, [key, "x", "y"]).select(key, "i", "j", F.round(dot, digits).alias("similarity")).filter(F.col("similarity") > least)
 
 
-def greedy_matches(pairs: DataFrame, key: str, keep=checkpointed) -> DataFrame:
-    """One-to-one matches: the best pair first (ties: least i, then j), then the best of what is left.
+#: Pairs of a group that one task matches in one pass; larger groups are made smaller first.
+MANY_PAIRS = 2_000_000
+#: Rows to a tile of a long list.
+TILE_ROWS = 100_000
+
+
+def in_one_pass(pairs: DataFrame, group: str) -> DataFrame:
+    """The rows of ``pairs`` that a greedy pass takes in each group: the best first (ties: least i, then j), then the best
+    of what is left. A task reads its groups one after the other, in order, and holds the rows that are taken."""
+    columns = pairs.columns
+
+    def run(frames):
+        now, left, right = None, set(), set()
+        for f in frames:
+            keep = []
+            for g, i, j in zip(f[group], f["i"], f["j"]):
+                if g != now:
+                    now, left, right = g, set(), set()
+                keep.append(i not in left and j not in right)
+                if keep[-1]:
+                    left.add(i)
+                    right.add(j)
+            yield f[keep]
+
+    ordered = pairs.repartition(group).sortWithinPartitions(group, F.desc("similarity"), "i", "j")
+    return ordered.mapInPandas(run, pairs.schema).select(*columns)
+
+
+def best_of_both(pairs: DataFrame, key: str) -> DataFrame:
+    """The pairs that are the best of both their rows; they are in the greedy result whatever else is."""
+    rank = [F.row_number().over(Window.partitionBy(key, side).orderBy(F.desc("similarity"), "i", "j")) for side in ("i", "j")]
+    return pairs.select("*", rank[0].alias("ri"), rank[1].alias("rj")).filter("ri = 1 and rj = 1").drop("ri", "rj")
 
-    A pair that is the best of both its rows is in that result whatever else is, so each round accepts all of these at
-    once and drops the pairs they block. Rounds are checkpointed; there are as many as the longest chain of blocked
-    choices."""
-    left, taken = keep(pairs), None
-    while left.take(1):
-        rank = [F.row_number().over(Window.partitionBy(key, side).orderBy(F.desc("similarity"), "i", "j")) for side in ("i", "j")]
-        best = keep(left.select("*", rank[0].alias("ri"), rank[1].alias("rj")).filter("ri = 1 and rj = 1").drop("ri", "rj"))
-        taken = best if taken is None else taken.unionAll(best)
-        left = keep(left.join(best.select(key, "i"), [key, "i"], "left_anti").join(best.select(key, "j"), [key, "j"], "left_anti").select(*pairs.columns))
-    return left if taken is None else taken
 
+def parted(pairs: DataFrame, group: str, most: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs of groups with at most ``most``, those of larger ones)."""
+    large = pairs.groupBy(group).count().filter(F.col("count") > most).select(group)
+    large = small(checkpointed(large))
+    return pairs.join(large, group, "left_anti").select(*pairs.columns), pairs.join(large, group, "left_semi").select(*pairs.columns)
 
-def ordered_diff(old: DataFrame, new: DataFrame, matches: DataFrame, key: str) -> DataFrame:
+
+def greedy_matches(pairs: DataFrame, key: str, most: int = MANY_PAIRS) -> DataFrame:
+    """One-to-one matches: the best pair first (ties: least i, then j), then the best of what is left.
+
+    Pairs of different keys, and of different components of the graph of pairs, do not touch. So a key with at most
+    ``most`` pairs is matched in one pass by one task; of a larger key each component is, if it is small enough; and of
+    larger components all pairs that are the best of both their rows are taken at once, with what they block, until what
+    is left falls apart into small ones. However long a chain of blocked choices is, a small group is one pass."""
+    columns, taken, left = pairs.columns, [], checkpointed(pairs)
+    own, left = parted(left, key, most)
+    taken.append(in_one_pass(own, key))
+    while not (left := checkpointed(left)).isEmpty():
+        node = lambda side: F.struct(F.col(key), F.lit(side == "j").alias("right"), F.col(side).cast("string").alias("at"))
+        found = components(left.select(node("i").alias("a"), node("j").alias("b"))).select(F.col("u").alias("node_"), F.sha2(F.to_json("p"), 256).alias("group_"))
+        named = checkpointed(left.withColumn("node_", node("i")).join(found, "node_").drop("node_"))
+        own, left = parted(named, "group_", most)
+        taken.append(in_one_pass(own, "group_").select(*columns))
+        left = left.select(*columns)
+        for _ in range(4):
+            best = checkpointed(best_of_both(left, key))
+            taken.append(best.select(*columns))
+            left = checkpointed(left.join(best.select(key, "i"), [key, "i"], "left_anti").join(best.select(key, "j"), [key, "j"], "left_anti").select(*columns))
+    out = taken[0]
+    for t in taken[1:]:
+        out = out.unionAll(t)
+    return out.select(*columns)
+
+
+def running(rows: DataFrame, key: str, order: list[str], value: Column, column: str, tile: int = TILE_ROWS) -> DataFrame:
+    """``rows`` with ``column``: the sum of ``value`` over the rows of the key that come before, in ``order``.
+
+    In two levels, so that a long list is no task of its own: rows are parted by ranges into tiles, summed within their
+    tile, and moved on by the sums of the key's earlier tiles, of which there is one row each."""
+    n = max(1, -(-rows.count() // tile))
+    tiled = rows.withColumn("value_", value.cast("long")).repartitionByRange(n, key, *order).withColumn("tile_", F.spark_partition_id())
+    tiled = checkpointed(tiled)
+    here = F.sum("value_").over(Window.partitionBy(key, "tile_").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    sums = tiled.groupBy(key, "tile_").agg(F.sum("value_").alias("sum_"))
+    start = F.sum("sum_").over(Window.partitionBy(key).orderBy("tile_").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sums.select(F.col(key).alias("key_"), F.col("tile_").alias("at_"), F.coalesce(start, F.lit(0)).alias("start_"))
+    out = tiled.withColumn("here_", F.coalesce(here, F.lit(0)))
+    out = out.join(small(starts), out[key].eqNullSafe(F.col("key_")) & (out["tile_"] == F.col("at_")))
+    return out.withColumn(column, F.col("start_") + F.col("here_")).drop("value_", "tile_", "here_", "start_", "key_", "at_")
+
+
+def ordered_diff(old: DataFrame, new: DataFrame, matches: DataFrame, key: str, tile: int = TILE_ROWS) -> DataFrame:
     """key, place, old_pos, old_text, new_pos, new_text, similarity: every row of both sides once.
 
     A row's slot is the number of matched rows before it on its own side; a match stands in its old row's slot, after
-    the removed and the added rows of that slot."""
+    the removed and the added rows of that slot. Counts and places are running sums over tiles of about ``tile`` rows."""
     o = old.select(key, F.col("pos").alias("i"), F.col("text").alias("old_text")).join(matches.select(key, "i", "j", "similarity"), [key, "i"], "left")
     n = new.select(key, F.col("pos").alias("j"), F.col("text").alias("new_text")).join(matches.select(key, "j", F.lit(True).alias("met")), [key, "j"], "left")
-    before = lambda side, flag: F.coalesce(F.sum(flag.cast("int")).over(Window.partitionBy(key).orderBy(side).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    o = o.withColumn("slot", before("i", F.col("j").isNotNull()))
-    n = n.withColumn("slot", before("j", F.col("met").isNotNull()))
+    o = running(o, key, ["i"], F.col("j").isNotNull(), "slot", tile)
+    n = running(n, key, ["j"], F.col("met").isNotNull(), "slot", tile)
     both = o.join(n.filter("met").select(key, "j", "new_text"), [key, "j"], "left")
     rows = both.select(key, "slot", F.when(F.col("j").isNull(), 0).otherwise(2).alias("kind"), F.col("i").alias("at"), "i", "old_text", "j", "new_text", "similarity")
     added = n.filter("met is null").select(key, "slot", F.lit(1).alias("kind"), F.col("j").alias("at"), F.lit(None).cast(matches.schema["i"].dataType).alias("i"), F.lit(None).cast("string").alias("old_text"), "j", "new_text", F.lit(None).cast("double").alias("similarity"))
-    place = F.row_number().over(Window.partitionBy(key).orderBy("slot", "kind", "at"))
-    return rows.unionByName(added).select(key, place.alias("place"), F.col("i").alias("old_pos"), "old_text", F.col("j").alias("new_pos"), "new_text", "similarity")
+    placed = running(rows.unionByName(added), key, ["slot", "kind", "at"], F.lit(1), "before", tile)
+    return placed.select(key, (F.col("before") + 1).cast("int").alias("place"), F.col("i").alias("old_pos"), "old_text", F.col("j").alias("new_pos"), "new_text", "similarity")
 
 
-def diff_report(diff: DataFrame, key: str, same: float = 0.999) -> DataFrame:
-    """key, report: the ordered difference as text, a numbered entry per row."""
+def diff_entries(diff: DataFrame, key: str, same: float = 0.999) -> DataFrame:
+    """key, place, entry: each row of the ordered difference as text, for reports of any length."""
     head = F.format_string("%d. ", "place")
     share = F.format_string("%.1f%%", 100 * F.coalesce("similarity", F.lit(0.0)))
     entry = (
@@ -83,7 +153,13 @@ def diff_report(diff: DataFrame, key: str, same: float = 0.999) -> DataFrame:
         .when(F.col("similarity") >= same, F.concat(head, F.lit("matched ("), share, F.lit(")\n  "), F.col("new_text")))
         .otherwise(F.concat(head, F.lit("Modified ("), share, F.lit(")\n- "), F.col("old_text"), F.lit("\n+ "), F.col("new_text")))
     )
-    rows = diff.select(key, "place", entry.alias("entry"))
+    return diff.select(key, "place", entry.alias("entry"))
+
+
+def diff_report(diff: DataFrame, key: str, same: float = 0.999) -> DataFrame:
+    """key, report: the ordered difference of a key as one text, which one row must hold; :func:`diff_entries` has no
+    such bound."""
+    rows = diff_entries(diff, key, same)
     return rows.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "entry"))), lambda r: r["entry"]), "\n").alias("report"))
 
 

@@ -414,3 +414,73 @@ def test_fetch_gives_errors_as_values(spark):
     ids = spark.createDataFrame([("a",), (None,), ("a",)], "id string")
     got = sorted((r["id"] or "", r["status"], r["attempts"], r["body"]) for r in records.fetched(ids, "http://127.0.0.1:1/{id}", attempts=1).collect())
     assert got == [("", None, 0, None), ("a", None, 1, None)]
+
+
+def greedy(pairs):
+    out, left, right = [], set(), set()
+    for k, i, j, s in sorted(pairs, key=lambda p: (p[0], -p[3], p[1], p[2])):
+        if (k, i) not in left and (k, j) not in right:
+            left.add((k, i))
+            right.add((k, j))
+            out.append((k, i, j, s))
+    return sorted(out)
+
+
+PAIRS = "cohort string, i long, j long, similarity double"
+
+
+@pytest.mark.parametrize("most", [1_000_000, 40, 3])
+def test_greedy_matches_of_small_and_large_groups(spark, most):
+    import random
+
+    rng = random.Random(4)
+    pairs = list({(c, i, j): (c, i, j, rng.choice([0.5, 0.7, 0.9, rng.random()])) for c in "abc" for i, j in ((rng.randrange(30), rng.randrange(30)) for _ in range(25 if c == "a" else 120))}.values())
+    got = compare.greedy_matches(spark.createDataFrame(pairs, PAIRS), "cohort", most=most)
+    assert rows(got) == greedy(pairs)
+
+
+def test_a_long_chain_of_blocked_choices_is_few_jobs(spark):
+    n = 10_000
+    pairs = [("c", (k + 1) // 2, k // 2, 1 - k / (3 * n)) for k in range(n)]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("chain", "")
+    got = rows(compare.greedy_matches(spark.createDataFrame(pairs, PAIRS), "cohort"))
+    assert got == greedy(pairs) and len(tracker.getJobIdsForGroup("chain")) < 20
+    spark.sparkContext.setJobGroup("other", "")
+
+
+def test_components(spark):
+    from eligo.operators import graph
+
+    edges = [(k, k + 1) for k in range(0, 300) if k % 60] + [(900, 950), (950, 930), (5, 7)]
+    got = {r["u"]: r["p"] for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {}
+    for k in range(301):
+        want[k] = max(0, (k - 1) // 60 * 60 + 1) if k else 0
+    assert all(got[k] == want[k] for k in range(1, 301) if k in got) and {got[x] for x in (900, 950, 930)} == {900}
+
+
+def test_ordered_diff_of_one_long_cohort_over_many_tiles(spark):
+    n = 100_000
+    side = lambda name, step: spark.range(n).select(F.lit("c").alias("cohort"), F.col("id").alias("pos"), F.concat(F.lit(name), "id").alias("text"))
+    old, new = side("o", 1), side("n", 1)
+    matches = spark.range(0, n, 3).select(F.lit("c").alias("cohort"), F.col("id").alias("i"), (F.col("id") + 1).alias("j"), F.lit(0.95).alias("similarity")).filter(f"j < {n}")
+    got = compare.ordered_diff(old, new, matches, "cohort", tile=4_000)
+    assert got.count() == 2 * n - matches.count()
+    found = {r["place"]: (r["old_pos"], r["new_pos"]) for r in got.filter("place <= 12 or place > 166660").collect()}
+    want, at = {}, 0
+    met = {k: k + 1 for k in range(0, n, 3) if k + 1 < n}
+    nexts = set(met.values())
+    olds, news = iter(range(n)), iter(range(n))
+    place, o, w = 0, 0, 0
+    while o < n or w < n:
+        if o < n and o not in met:
+            step, o = (o, None), o + 1
+        elif w < n and w not in nexts:
+            step, w = (None, w), w + 1
+        else:
+            step, o, w = (o, w), o + 1, w + 1
+        place += 1
+        if place <= 12 or place > 166_660:
+            want[place] = step
+    assert found == want
