@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eligo.functions.criteria import NODES, parsed
+from eligo.sources.shared import fresh_dir
 
 #: The table's columns in order (fixed values): name, type, derived.
 COLUMNS = [
@@ -125,11 +126,55 @@ class Review:
     def shown(self) -> DataFrame:
         return self.ordered().offset(self.page * self.size).limit(self.size)
 
+    def loaded(self, rows: DataFrame, stay: bool = False) -> Review:
+        """The view of another table: sort keys stay, facets begin anew with everything selected, and so does the page,
+        or with ``stay`` the same page, clamped to those there are."""
+        view = replace(self, rows=rows, deselected={}, page=0)
+        return view.at(self.page) if stay else view
+
+    def indexed(self) -> Pages:
+        """The view's rows, sorted once and written by ranges, for any number of its pages."""
+        ordered = self.ordered().withColumn("place_", F.monotonically_increasing_id())
+        ordered = ordered.withColumns({"part_": F.shiftright("place_", 33).cast("int"), "at_": F.col("place_").bitwiseAND(F.lit((1 << 33) - 1))}).drop("place_")
+        path = fresh_dir(self.rows.sparkSession, "pages")
+        ordered.write.partitionBy("part_").parquet(path)
+        columns = [(f.name, f.dataType) for f in ordered.schema.fields if f.name != "part_"]
+        written = T.StructType([*(T.StructField(n, t) for n, t in columns), T.StructField("part_", T.IntegerType())])
+        table = self.rows.sparkSession.read.schema(written).parquet(path)
+        starts, before = [], 0
+        for part, n in sorted(table.groupBy("part_").count().collect()):  # a row for each range
+            starts.append((part, before, n))
+            before += n
+        return Pages(table, tuple(starts), before, self.size)
+
     def checked(self, code: str = "Code") -> DataFrame:
         """The page's rows with Error: why their code cannot be parsed, null if it can. Only the page is parsed."""
         return self.shown().withColumn("Error", parsed(F.col(code))["error"])
 
 
+@dataclass(frozen=True)
+class Pages:
+    """A sorted table in ranges, and how many rows come before each: any page is read from the one or two ranges that
+    hold it, however deep it lies."""
+
+    table: DataFrame
+    starts: tuple[tuple[int, int, int], ...]
+    rows: int
+    size: int
+
+    def count(self) -> int:
+        return ceil(self.rows / self.size)
+
+    def page(self, number: int) -> DataFrame:
+        """The rows of a page (from 0; clamped to those there are), in order."""
+        first = max(0, min(number, self.count() - 1)) * self.size
+        inside = F.lit(False)
+        for part, start, n in self.starts:
+            if start < first + self.size and first < start + n:
+                inside = inside | ((F.col("part_") == part) & F.col("at_").between(first - start, first + self.size - 1 - start))
+        return self.table.filter(inside).orderBy("part_", "at_").drop("part_", "at_")
+
+
 def page_list(page: int, pages: int, around: int = 7) -> list[int | None]:
     """Page numbers to offer, from 1: the ends and those around the current one; None stands for a gap."""
     near = sorted({1, pages, *range(max(1, page - around), min(pages, page + around) + 1)}) if pages else []

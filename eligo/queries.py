@@ -5,11 +5,14 @@ expression on both sides, so that each query's work grows with its tables."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eligo.functions import criteria, lenient, text, trees
 from eligo.operators import catalogue, compare, nesting, review
+from eligo.operators.edits import EditLog
 from eligo.plans import curation, models
 from eligo.sources import files, records
 from eligo.sources.shared import checkpointed, fresh_dir
@@ -95,13 +98,70 @@ def override_overlay(spark, sf_dir):
 @query("""WITH edits AS (SELECT user_id, props, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS k FROM events WHERE event_type = 'purchase')
 SELECT u.user_id, coalesce(e.props, 'none') AS notes FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN (SELECT * FROM edits WHERE k = 1) e ON u.user_id = e.user_id""")
 def edited_notes(spark, sf_dir):
-    """M3, M4: the latest note of a key."""
+    """M3: the latest note of a key."""
     events = t(spark, sf_dir, "events")
     base = events.select("user_id").distinct().withColumn("notes", F.lit("none"))
     edits = events.filter("event_type = 'purchase'").select("user_id", F.col("event_id").alias("version"), F.col("props").alias("notes"))
     return review.annotated(base, edits, ["user_id"], "notes")
 
 
+EDITED = """WITH edits AS (SELECT event_id, user_id, CASE event_id % 4 WHEN 0 THEN 'Notes' WHEN 1 THEN 'Checked' ELSE 'OverrideCode' END AS field,
+CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN CASE WHEN event_id % 8 = 1 THEN 'true' ELSE 'false' END ELSE CASE WHEN event_id % 9 = 0 THEN '' ELSE event_type END END AS value, event_id % 13 = 0 AS deleted FROM events),
+last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, field ORDER BY event_id DESC) AS k FROM edits) WHERE k = 1),
+wide AS (SELECT u.user_id, 'own ' || u.user_id AS own, n.value AS note, n.deleted AS no_note, c.value AS mark, c.deleted AS no_mark, CASE WHEN NOT o.deleted THEN nullif(o.value, '') END AS code
+FROM (SELECT DISTINCT user_id FROM events) u LEFT JOIN last n ON n.user_id = u.user_id AND n.field = 'Notes' LEFT JOIN last c ON c.user_id = u.user_id AND c.field = 'Checked' LEFT JOIN last o ON o.user_id = u.user_id AND o.field = 'OverrideCode')
+SELECT user_id, CASE WHEN NOT no_note THEN note ELSE 'none' END AS notes, CASE WHEN NOT no_mark THEN mark = 'true' ELSE false END AS checked, code IS NOT NULL AS override, coalesce(code, own) AS code FROM wide"""
+
+
+def edited(spark, sf_dir, compacted: bool) -> DataFrame:
+    """The users' rows under a log of three versions, between which the log may be compacted."""
+    events = t(spark, sf_dir, "events")
+    edits = events.selectExpr("event_id", "user_id", "CASE event_id % 4 WHEN 0 THEN 'Notes' WHEN 1 THEN 'Checked' ELSE 'OverrideCode' END AS field",
+        "CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN CASE WHEN event_id % 8 = 1 THEN 'true' ELSE 'false' END ELSE CASE WHEN event_id % 9 = 0 THEN '' ELSE event_type END END AS value",
+        "event_id % 13 = 0 AS deleted", "event_id AS seq")
+    log, cut = EditLog(fresh_dir(spark, "edits"), ("user_id",)), events.agg(F.max("event_id").alias("n")).first()["n"] or 0
+    for k in range(3):
+        log.append(edits.filter((F.col("event_id") > k * cut // 3 - (k == 0)) & (F.col("event_id") <= (k + 1) * cut // 3)))
+        if compacted and k < 2:
+            log.compact(spark)
+    base = events.select("user_id").distinct().select("user_id", F.concat(F.lit("own "), "user_id").alias("LlmCode"), F.lit("none").alias("Notes"), F.lit(False).alias("Checked"))
+    return log.applied(base).select("user_id", F.col("Notes").alias("notes"), F.col("Checked").alias("checked"), F.col("Override").alias("override"), F.col("Code").alias("code"))
+
+
+@query(EDITED)
+def edit_log(spark, sf_dir):
+    """M1, M2, M3, M4: overrides, notes and check marks from a log of versions."""
+    return edited(spark, sf_dir, False)
+
+
+@query(EDITED)
+def compacted_edit_log(spark, sf_dir):
+    """M1, M2, M3, M4: the same from a log that was compacted between its versions."""
+    return edited(spark, sf_dir, True)
+
+
+@query("""WITH placed AS (SELECT o_orderkey, row_number() OVER (ORDER BY nullif(o_orderpriority, '5-LOW') ASC NULLS LAST, o_totalprice DESC NULLS LAST, o_orderkey) - 1 AS k, count(*) OVER () AS n FROM orders WHERE o_orderstatus = 'F')
+SELECT CASE s.stay WHEN 0 THEN 'first' ELSE 'clamped' END AS page, o_orderkey FROM placed, (SELECT unnest([0, 1]) AS stay) s WHERE k // 50 = CASE s.stay WHEN 0 THEN 0 ELSE (n - 1) // 50 END""")
+def loaded_table(spark, sf_dir):
+    """M5, L3: another table in a view keeps the sort keys and selects everything; the page begins anew or is clamped."""
+    rows = t(spark, sf_dir, "orders").withColumn("priority", F.expr(PRIORITY))
+    view = review.Review(rows, "o_orderkey").toggled("priority", "1-URGENT").sorted_by("priority").sorted_by("o_totalprice").sorted_by("o_totalprice")
+    view = view.at(10**9)
+    other = rows.filter("o_orderstatus = 'F'")
+    shown = [v.shown().select(F.lit(name).alias("page"), "o_orderkey") for name, v in (("first", view.loaded(other)), ("clamped", view.loaded(other, stay=True)))]
+    return shown[0].unionAll(shown[1])
+
+
+@query("""WITH placed AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) - 1 AS k, count(*) OVER () AS n FROM orders WHERE o_orderstatus <> 'P')
+SELECT o_orderkey, o_totalprice FROM placed WHERE k // 50 IN (0, least(17, (n - 1) // 50), (n - 1) // 50)""")
+def deep_pages(spark, sf_dir):
+    """L1, L2, L3, O1: pages of a sorted table by a rank index: the first, one in the middle, and the last."""
+    rows = t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    pages = review.Review(rows, "o_orderkey").toggled("o_orderstatus", "P").sorted_by("o_totalprice").sorted_by("o_totalprice").indexed()
+    numbers = sorted({0, min(17, pages.count() - 1), pages.count() - 1})
+    return reduce(DataFrame.unionAll, [pages.page(n) for n in numbers]).select("o_orderkey", "o_totalprice")
+
+
 @query("""SELECT CAST(c_custkey AS VARCHAR) AS TrialId, nullif(c_mktsegment, 'MACHINERY') AS Cohort, c_name || chr(10) || '"q"' AS Description, c_nationkey % 2 = 0 AS Checked,
 CAST(NULL AS VARCHAR) AS Notes FROM customer""")
 def review_round_trip(spark, sf_dir):
@@ -568,10 +628,10 @@ def lists_with_any(spark, sf_dir):
     return nesting.with_any(lists, "types", ["purchase", "refund"]).select("user_id")
 
 
-@query("""SELECT string_agg(DISTINCT c, ',' ORDER BY c) AS categories FROM (SELECT event_type AS c FROM events WHERE event_id % 3 = 0 UNION ALL SELECT 'always')""")
+@query("""SELECT string_agg(DISTINCT c, ',' ORDER BY c) AS categories FROM (SELECT event_type AS c FROM events UNION ALL SELECT 'always')""")
 def category_union(spark, sf_dir):
     """The categories of all rows and those that always apply."""
-    lists = t(spark, sf_dir, "events").filter("event_id % 3 = 0").select(F.array("event_type").alias("c"))
+    lists = t(spark, sf_dir, "events").select(F.array("event_type").alias("c"))
     return nesting.category_union(lists, "c", ["always"]).select(F.array_join("categories", ",").alias("categories"))
 
 
@@ -656,10 +716,10 @@ def listed(*texts: str) -> Column:
     return F.expr(" || ".join(texts))
 
 
-@query("""SELECT conv_id, CAST(k AS INTEGER) AS rule_seq, 'rule ' || turn || CASE k WHEN 0 THEN ' a' ELSE ' b' END AS input_rule, k = 1 AND turn % 2 = 0 AS exclude, turn FROM conversations, (SELECT unnest(range(0, 2)) AS k) WHERE role = 'assistant'""")
+@query("""SELECT conv_id, CAST(k AS INTEGER) AS rule_seq, 'rule ' || turn || CASE k WHEN 0 THEN ' a' ELSE ' b' END AS input_rule, k = 1 AND turn % 2 = 0 AS exclude, turn FROM conversations, (SELECT unnest(range(0, 2)) AS k)""")
 def replayed_rules(spark, sf_dir):
     """Answers replayed from a cache by prompt digest, read as atomic rules, flips applied."""
-    rows = t(spark, sf_dir, "conversations").filter("role = 'assistant'").select("conv_id", "turn", F.concat("conv_id", F.lit("/"), "turn").alias("user"))
+    rows = t(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat("conv_id", F.lit("/"), "turn").alias("user"))
     answer = F.concat(F.lit('```json[{"input_rule": "rule '), "turn", F.lit(' a", "exclude": false}, {"input_rule": "rule '), "turn", F.lit(' b", "exclude": true, "flipped": '), (F.col("turn") % 2 == 1).cast("string"), F.lit("}]```"))
     got = models.Asker(answers(rows, "s", F.col("user"), answer)).ask(rows, "s", F.col("user"))
     return curation.atomic_rules(got, ["conv_id", "turn"]).select("conv_id", "rule_seq", "input_rule", "exclude", "turn")

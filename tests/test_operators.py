@@ -484,3 +484,41 @@ def test_ordered_diff_of_one_long_cohort_over_many_tiles(spark):
         if place <= 12 or place > 166_660:
             want[place] = step
     assert found == want
+
+
+def test_edit_log_versions_snapshots_and_empty_log(spark, tmp_path):
+    from eligo.operators.edits import EditLog
+
+    log = EditLog(str(tmp_path / "log"), ("k",))
+    base = spark.createDataFrame([(1, "a", None, None), (2, "b", "n", True), (None, "c", "n", False)], "k int, LlmCode string, Notes string, Checked boolean")
+    edit = lambda *rows_: log.append(spark.createDataFrame(rows_, "k int, field string, value string, deleted boolean, seq long"))
+    show = lambda: {r["k"]: (r["Code"], r["Override"], r["Notes"], r["Checked"]) for r in log.applied(base).collect()}
+    assert show() == {1: ("a", False, None, None), 2: ("b", False, "n", True), None: ("c", False, "n", False)}
+    log.compact(spark)
+    assert edit((1, "OverrideCode", "x", False, 0), (1, "OverrideCode", "y", False, 1), (2, "Checked", "false", False, 0)) == 1
+    assert edit((2, "Notes", None, False, 0), (1, "Checked", "TRUE", None, 0)) == 2
+    want = {1: ("y", True, None, True), 2: ("b", False, None, False), None: ("c", False, "n", False)}
+    assert show() == want
+    log.compact(spark, drop=False)
+    assert show() == want
+    log.compact(spark)
+    assert show() == want and sorted(p.name for p in (tmp_path / "log").iterdir() if not p.name.startswith(".")) == ["snapshot-2"]
+    assert edit((1, "OverrideCode", "z", True, 0), (2, "OverrideCode", "", False, 0), (2, "Notes", "m", True, 0)) == 3
+    want = {1: ("a", False, None, True), 2: ("b", False, "n", False), None: ("c", False, "n", False)}
+    assert show() == want
+    log.compact(spark)
+    assert show() == want
+
+
+def test_pages_by_rank_read_one_range(spark):
+    table = spark.range(0, 5_000, 1, 8).select("id", F.pmod(F.xxhash64("id"), F.lit(97)).alias("v"))
+    view = review.Review(table, "id", size=30).sorted_by("v")
+    pages = view.indexed()
+    assert pages.count() == view.pages() == 167
+    for n in (0, 5, 90, 166, 10**6, -3):
+        assert rows(pages.page(n)) == rows(view.at(n).shown())
+        assert [r["id"] for r in pages.page(n).collect()] == [r["id"] for r in view.at(n).shown().collect()]
+    plan = pages.page(90)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Limit" not in plan and "Offset" not in plan
+    none = review.Review(table.limit(0), "id").indexed()
+    assert none.count() == 0 and none.page(3).count() == 0
