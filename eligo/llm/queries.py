@@ -51,11 +51,14 @@ rules(rule, rule_host, rule_path, rule_verdict) AS (VALUES
     ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
 fits AS (
     SELECT page_id, rule, rule_verdict, row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC) AS k
-    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
-SELECT parts.page_id, host, path, rule,
-       CASE WHEN rule_verdict IS NOT NULL THEN rule_verdict
-            WHEN regexp_matches(host, '(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\.') THEN 'block' ELSE 'allow' END AS verdict
-FROM parts LEFT JOIN (SELECT * FROM fits WHERE k = 1) AS f ON parts.page_id = f.page_id
+    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+links AS (
+    SELECT DISTINCT host, path, TRUE AS listed FROM parts JOIN pages ON parts.page_id = pages.page_id
+    WHERE host <> '' AND len(regexp_extract_all(coalesce(html, ''), '<a ')) > len(regexp_extract_all(coalesce(html, ''), '<p>')))
+SELECT parts.page_id, parts.host, parts.path, rule,
+       CASE WHEN rule_verdict IS NOT NULL THEN rule_verdict WHEN listed THEN 'block'
+            WHEN regexp_matches(parts.host, '(^|\.)(adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm)\.') THEN 'block' ELSE 'allow' END AS verdict
+FROM parts LEFT JOIN (SELECT * FROM fits WHERE k = 1) AS f ON parts.page_id = f.page_id LEFT JOIN links ON links.host = parts.host AND links.path = parts.path
 """,
     "op3_warc": r"""
 WITH made AS (

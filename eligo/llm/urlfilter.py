@@ -4,15 +4,19 @@ The list of entries (host, path prefix, verdict) is a table of any length. Tasks
 range of keys: 64-bit xxhash keys of the entries' strings in ascending order, their verdicts, and the strings
 themselves. Spark ships the files to every executor once, whose workers memory-map them and share their pages; the
 driver sees no entry, only the files' names. A batch of urls becomes a batch of probes (each suffix of the host with
-each prefix length of the path that the list has), probed by vectorised binary search; a hit counts only if the stored
-string equals the probe, so digest collisions cannot decide a url.
+each prefix length of the path that the list has, and the page itself), probed by vectorised binary search; a hit counts
+only if the stored string equals the probe, so digest collisions cannot decide a url.
+
+An entry stands for a host with its subdomains and every path that begins with its own, or, if it is ``whole``, for one
+page: its host and path alone. The probes of a url grow with the number of path lengths that the former have in the list,
+which is small for rules and hosts; however many pages a list names, they cost one probe.
 
 The list's size is checked against ``most_bytes`` before it is shipped. A longer list is joined by its entry strings
 instead (:func:`judge_by_join`), with the same result, and no part of it leaves the executors.
 
 Defined results: a null url and one without ``://`` have an empty host and path and fit no entry; repeated rows are
 judged alike; of several entries that fit, rules come before the block list and the longest wins, of equally long ones
-that with the longer path; an empty table gives no rows; extra columns are kept, but ``host``, ``path``, ``rule`` and
+that with the longer path, then a whole page's; an empty table gives no rows; extra columns are kept, but ``host``, ``path``, ``rule`` and
 ``verdict`` are the results.
 """
 
@@ -54,44 +58,59 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def entry_rows(spark: SparkSession, rules=RULES) -> DataFrame:
-    """Rules as entries: host, path, origin (rule or list), verdict."""
-    return spark.createDataFrame([(h, p, "rule", v) for h, p, v in rules], "host string, path string, origin string, verdict string")
+    """Rules as entries: host, path, origin (rule or list), verdict, whole."""
+    return spark.createDataFrame([(h, p, "rule", v, False) for h, p, v in rules], "host string, path string, origin string, verdict string, whole boolean")
 
 
 def junk_entries(pages: DataFrame, url: str = "url", labels=JUNK) -> DataFrame:
     """A block list from crawled pages, by rule: each host that has one of ``labels`` before its last dot, from that
-    label on and so with its subdomains, under any domain; and each page of such a host."""
-    host, path = host_and_path(F.col(url))
+    label on and so with its subdomains, under any domain."""
+    host, _ = host_and_path(F.col(url))
     inner = F.regexp_extract(host, r"(?:^|\.)((?:" + "|".join(labels) + r")\..*)$", 1)
-    found = pages.select(inner.alias("host"), path.alias("path")).filter("host <> ''").select("host", F.explode(F.array(F.lit(""), F.col("path"))).alias("path"))
-    return found.distinct().select("host", "path", F.lit("list").alias("origin"), F.lit("block").alias("verdict"))
+    found = pages.select(inner.alias("host")).filter("host <> ''").distinct()
+    return found.select("host", F.lit("").alias("path"), F.lit("list").alias("origin"), F.lit("block").alias("verdict"), F.lit(False).alias("whole"))
+
+
+def link_pages(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """A block list of single pages: those whose html holds more links (``<a ``) than paragraphs (``<p>``), which lead
+    elsewhere and say little. A page that was crawled more than once counts if any of its copies does."""
+    host, path = host_and_path(F.col(url))
+    body = F.coalesce(F.col(html).cast("string"), F.lit(""))
+    found = pages.filter(F.regexp_count(body, F.lit("<a ")) > F.regexp_count(body, F.lit("<p>"))).select(host.alias("host"), path.alias("path")).filter("host <> ''").distinct()
+    return found.select("host", "path", F.lit("list").alias("origin"), F.lit("block").alias("verdict"), F.lit(True).alias("whole"))
+
+
+def entry_string(host: str, path: str, whole: bool) -> bytes:
+    """What is stored and probed for: pages and prefixes never share a string."""
+    return f"{'=' if whole else '^'}{host}\n{path}".encode()
 
 
 def digest_files(entries: DataFrame, most_bytes: int = 256 << 20, part_bytes: int = 32 << 20) -> list[str] | None:
     """The names under which executors find the array of ``entries``; None if it would be larger than ``most_bytes``."""
     spark = entries.sparkSession
     code = F.when(F.col("origin") == "rule", 0).otherwise(2) + F.when(F.col("verdict") == "allow", 0).otherwise(1)
-    entries = written(entries.groupBy("host", "path").agg(F.min(code).alias("code")), "entries")
-    sized = entries.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 24).alias("b")).first()["b"] or 0
+    entries = written(entries.groupBy("host", "path", "whole").agg(F.min(code).alias("code")), "entries")
+    sized = entries.agg(F.sum(F.octet_length("host") + F.octet_length("path") + 25).alias("b")).first()["b"] or 0
     if sized > most_bytes:
         return None
     folder, parts = fresh_dir(spark, "urls"), max(1, -(-sized // part_bytes))
 
     @arrow_udf("long")
-    def digest(hosts: pa.Array, paths: pa.Array) -> pa.Array:
-        keys = [xxhash.xxh64_intdigest(f"{h}\n{p}") for h, p in zip(hosts.to_pylist(), paths.to_pylist())]
+    def digest(hosts: pa.Array, paths: pa.Array, wholes: pa.Array) -> pa.Array:
+        keys = [xxhash.xxh64_intdigest(entry_string(*e)) for e in zip(hosts.to_pylist(), paths.to_pylist(), wholes.to_pylist())]
         return pa.array(np.asarray(keys, np.uint64).view(np.int64) ^ np.int64(-(1 << 63)))  # orders as the unsigned key
 
-    keyed = entries.select("host", "path", "code", digest("host", "path").alias("key"))
+    keyed = entries.select("host", "path", "code", "whole", digest("host", "path", "whole").alias("key"))
     keyed = keyed.repartition(1) if parts == 1 else keyed.repartitionByRange(parts, "key")
 
     def run(batches):
         blob, codes, lengths = [], [], set()
         for batch in batches:
-            for h, p, c in zip(*(batch.column(k).to_pylist() for k in range(3))):
-                blob.append(f"{h}\n{p}".encode())
+            for h, p, c, w in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                blob.append(entry_string(h, p, w))
                 codes.append(c)
-                lengths.add(len(p))
+                if not w:
+                    lengths.add(len(p))
         if blob:
             keys = np.fromiter(map(xxhash.xxh64_intdigest, blob), "<u8", len(blob))
             ends = np.cumsum([0, *map(len, blob)]).astype("<u8")
@@ -171,22 +190,24 @@ def judge_by_array(rows: DataFrame, names: list[str]) -> DataFrame:
     @arrow_udf(FOUND)
     def run(hosts: pa.Array, paths: pa.Array) -> pa.Array:
         array = digest_array(tuple(map(SparkFiles.get, names)))
-        probes, owner, parts = [], [], []
+        owner, parts = [], []
         for i, (h, p) in enumerate(zip(hosts.to_pylist(), paths.to_pylist())):
+            parts.append((h, p, True))
+            owner.append(i)
             for s in suffixes(h):
                 for n in array.lengths:
                     if n <= len(p):
-                        probes.append(f"{s}\n{p[:n]}".encode())
                         owner.append(i)
-                        parts.append((s, p[:n]))
+                        parts.append((s, p[:n], False))
+        probes = [entry_string(*x) for x in parts]
         best: dict[int, tuple] = {}
-        for i, code, (s, p) in zip(owner, array.find(probes), parts):
+        for i, code, (s, p, w) in zip(owner, array.find(probes), parts):
             if code >= 0:
-                rank = (code < 2, len(s) + len(p), len(p), code % 2 == 0, s + p)
+                rank = (code < 2, len(s) + len(p), len(p), w, code % 2 == 0, s + p)
                 best[i] = max(best.get(i, rank), rank)
         got = [best.get(i) for i in range(len(hosts))]
-        rule = pa.array([g[4] if g and g[0] else None for g in got], pa.string())
-        verdict = pa.array(["allow" if not g or g[3] else "block" for g in got], pa.string())
+        rule = pa.array([g[5] if g and g[0] else None for g in got], pa.string())
+        verdict = pa.array(["allow" if not g or g[4] else "block" for g in got], pa.string())
         return pa.StructArray.from_arrays([rule, verdict], ["rule", "verdict"])
 
     return rows.withColumn("found", run("host", "path")).select("page", "host", "path", "found.rule", "found.verdict")
@@ -197,15 +218,16 @@ def judge_by_join(rows: DataFrame, entries: DataFrame) -> DataFrame:
 
     A url's probes differ, so no key gathers many rows but by an entry that many urls fit; adaptive execution splits
     that one."""
-    lengths = entries.select(F.length("path").alias("n")).distinct()
+    lengths = entries.filter("not whole").select(F.length("path").alias("n")).distinct()
     labels = F.split("host", r"\.")
     tails = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     urls = rows.select("host", "path").distinct().filter("host <> ''")
     cut = urls.select("host", "path", F.explode(F.sequence(F.lit(0), F.length("path"))).alias("n")).join(lengths, "n", "left_semi")
-    pairs = cut.select("host", "path", F.explode(tails).alias("tail"), F.substring("path", F.lit(1), F.col("n")).alias("head"))
-    named = entries.select(F.col("host").alias("tail"), F.col("path").alias("head"), "origin", "verdict")
-    rank = F.struct((F.col("origin") == "rule").alias("rule"), (F.length("tail") + F.length("head")).alias("n"), F.length("head").alias("p"), (F.col("verdict") == "allow").alias("allow"), F.concat("tail", "head").alias("entry"))
-    best = written(pairs.join(named, ["tail", "head"]).groupBy("host", "path").agg(F.max(rank).alias("best")), "verdicts")
+    pairs = cut.select("host", "path", F.explode(tails).alias("tail"), F.substring("path", F.lit(1), F.col("n")).alias("head"), F.lit(False).alias("whole"))
+    pairs = pairs.unionAll(urls.select("host", "path", "host", "path", F.lit(True)))
+    named = entries.select(F.col("host").alias("tail"), F.col("path").alias("head"), "origin", "verdict", "whole")
+    rank = F.struct((F.col("origin") == "rule").alias("rule"), (F.length("tail") + F.length("head")).alias("n"), F.length("head").alias("p"), "whole", (F.col("verdict") == "allow").alias("allow"), F.concat("tail", "head").alias("entry"))
+    best = written(pairs.join(named, ["tail", "head", "whole"]).groupBy("host", "path").agg(F.max(rank).alias("best")), "verdicts")
     out = rows.join(best, ["host", "path"], "left")
     rule = F.when(F.col("best.rule"), F.col("best.entry"))
     verdict = F.when(F.coalesce("best.allow", F.lit(True)), "allow").otherwise("block")
@@ -213,7 +235,8 @@ def judge_by_join(rows: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def op6_url_filter(spark, sf_dir) -> DataFrame:
-    """The verdicts of ``pages`` by the fixed rules and the list that :func:`junk_entries` takes from ``pages`` itself."""
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    entries = entry_rows(spark).unionByName(junk_entries(pages))
-    return judge(pages, entries=entries).select("page_id", "host", "path", "rule", "verdict")
+    """The verdicts of ``pages`` by the fixed rules and the lists that :func:`junk_entries` and :func:`link_pages` take
+    from ``pages`` itself."""
+    pages = table(spark, sf_dir, "pages")
+    entries = entry_rows(spark).unionByName(junk_entries(pages)).unionByName(link_pages(pages))
+    return judge(pages.select("page_id", "url"), entries=entries).select("page_id", "host", "path", "rule", "verdict")

@@ -468,17 +468,33 @@ def test_url_list_of_thousands_hits_under_any_domain(spark):
     clean = ["http://example.com/a", "http://m.xadult-x.example.com/a", "http://spam-farm/a", "http://x.spam-farm/a"]
     rows = frame(spark, list(enumerate([*(f"http://{h}/a/{k}" for k, h in enumerate(hosts)), *clean])), "page_id long, url string")
     entries = urlfilter.junk_entries(rows)
-    assert entries.count() == 2 * len(hosts)
+    assert entries.count() == len(hosts)
     names = urlfilter.digest_files(entries, part_bytes=40_000)
     array = urlfilter.digest_array(tuple(map(SparkFiles.get, names)))
-    assert len(names) > 3 and sum(len(keys) for keys, *_ in array.parts) == 2 * len(hosts)
-    assert array.find([b"adult-x.example7.net\n", b"adult-x.example7.net\n/", b"nothing\n"]) == [3, -1, -1]
+    assert len(names) > 3 and sum(len(keys) for keys, *_ in array.parts) == len(hosts)
+    assert array.find([b"^adult-x.example7.net\n", b"=adult-x.example7.net\n", b"^nothing\n"]) == [3, -1, -1]
     assert {r["page_id"]: r["verdict"] for r in urlfilter.judge(rows, entries=entries).collect()} == {i: "block" if i < len(hosts) else "allow" for i in range(len(hosts) + len(clean))}
 
 
+def test_url_pages_decide_alone_and_collisions_do_not(spark, monkeypatch):
+    many = [(f"h{k}.org", f"/p/{k}", "list", "block", True) for k in range(3_000)]
+    entries = spark.createDataFrame([*many, ("h1.org", "/p/1", "rule", "allow", False), ("a.net", "", "list", "block", False), ("a.net", "/x", "list", "allow", True)], "host string, path string, origin string, verdict string, whole boolean")
+    urls = {"http://h7.org/p/7": "block", "http://h7.org/p/7?q#t": "block", "http://h7.org/p/77": "allow", "http://www.h7.org/p/7": "allow", "http://h1.org/p/1": "allow", "http://a.net/x": "allow", "http://a.net/xy": "block", "http://h2999.org/p/2999": "block", "x": "allow"}
+    rows = spark.createDataFrame(list(urls.items()), "url string, want string")
+    for options in ({}, {"most_bytes": 1}):
+        assert urlfilter.judge(rows, entries=entries, **options).filter("verdict <> want").count() == 0
+    # keys that collide: only the stored strings decide
+    array = urlfilter.DigestArray(())
+    blob = [b"^a.org\n", b"^b.org\n", b"^c.org\n"]
+    ends = np.cumsum([0, *map(len, blob)]).astype(np.uint64)
+    array.parts = [(np.array([5, 5, 9], np.uint64), ends, np.array([3, 0, 2], np.uint64), np.frombuffer(b"".join(blob), np.uint8))]
+    monkeypatch.setattr(urlfilter.xxhash, "xxh64_intdigest", lambda b: 9 if b == b"^c.org\n" else 5)
+    assert array.find([b"^b.org\n", b"^a.org\n", b"^x.org\n", b"^c.org\n"]) == [0, 3, -1, 2]
+
+
 def test_url_join_takes_every_path_length(spark):
     entry = "repeat('x', cast(id as int))"
-    entries = spark.range(1, 8200).selectExpr("'a.org' as host", f"'/' || {entry} as path", "'rule' as origin", "'block' as verdict")
+    entries = spark.range(1, 8200).selectExpr("'a.org' as host", f"'/' || {entry} as path", "'rule' as origin", "'block' as verdict", "false as whole")
     rows = spark.range(1, 13).selectExpr("id as page_id", "'http://a.org/' || repeat('x', cast(683 * id as int)) as url")
     got = {r[0]: r[1] for r in urlfilter.judge(rows, entries=entries, most_bytes=1).selectExpr("page_id", "length(rule)").collect()}
     assert got == {i: len("a.org/") + 683 * i for i in range(1, 13)}
