@@ -174,6 +174,48 @@ def review_round_trip(spark, sf_dir):
     return files.read_review(spark, at).select("TrialId", "Cohort", "Description", "Checked", "Notes")
 
 
+@query("""SELECT CAST(c_custkey AS VARCHAR) AS TrialId, CASE WHEN c_custkey % 3 = 0 THEN chr(10) || c_name || chr(10) || chr(10) || '"q"' || chr(9) ELSE c_name END AS Description, c_nationkey % 2 = 0 AS Checked,
+CASE WHEN c_custkey % 4 <> 0 THEN nullif(c_mktsegment, 'MACHINERY') END AS Notes FROM customer""")
+def review_in_ranges(spark, sf_dir):
+    """One large review file, whose quoted cells hold line ends, read in byte ranges by many tasks."""
+    description = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("\n"), "c_name", F.lit('\n\n"q"\t'))).otherwise(F.col("c_name"))
+    rows = t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("TrialId"), description.alias("Description"), (F.col("c_nationkey") % 2 == 0).alias("Checked"), F.when(F.col("c_custkey") % 4 != 0, F.expr("nullif(c_mktsegment, 'MACHINERY')")).alias("Notes"))
+    at, name = fresh_dir(spark, "review"), "spark.sql.files.maxPartitionBytes"
+    files.write_review(rows.coalesce(1), at)
+    before = spark.conf.get(name)
+    spark.conf.set(name, "16k")  # ranges are small only so that a small table has many
+    try:
+        return checkpointed(files.read_review(spark, at, in_ranges=True)).select("TrialId", "Description", "Checked", "Notes")
+    finally:
+        spark.conf.set(name, before)
+
+
+@query("""SELECT p_partkey, 'part "' || p_name || '"' || chr(10) AS rule_text, p_size % 2 = 0 AS exclude, false AS flipped, CASE WHEN p_size % 3 = 0 THEN p_brand || ',' || p_type END AS cohorts,
+CASE WHEN p_size % 5 <> 0 THEN 'Age(age=' || p_size || ', operator=">=")' END AS code, CASE WHEN p_size % 5 <> 0 THEN p_size END AS age, 'Age' AS types, CASE WHEN p_size % 5 = 0 THEN 'curate: empty code' ELSE '' END AS errors FROM part""")
+def typed_records(spark, sf_dir):
+    """Typed rules with code, types and errors, written as records and read back, the code parsed again."""
+    size = F.col("p_size")
+    rows = t(spark, sf_dir, "part").select(
+        "p_partkey", F.concat(F.lit('part "'), "p_name", F.lit('"\n')).alias("rule_text"), (size % 2 == 0).alias("exclude"), F.lit(False).alias("flipped"), F.when(size % 3 == 0, F.array("p_brand", "p_type")).alias("cohorts"),
+        F.when(size % 5 != 0, F.format_string('Age(age=%d, operator=">=")', size)).alias("code"), F.array(F.lit("Age")).alias("types"), F.when(size % 5 == 0, F.array(F.lit("curate: empty code"))).otherwise(F.array().cast("array<string>")).alias("errors"))
+    at = fresh_dir(spark, "rules")
+    files.write_rules(rows, at, ["p_partkey"])
+    out = files.read_rules(spark, at, "p_partkey long")
+    return out.select("p_partkey", "rule_text", "exclude", "flipped", F.array_join("cohorts", ",").alias("cohorts"), "code", F.get_json_object("node", "$.age").cast("int").alias("age"), F.array_join("types", ",").alias("types"), F.array_join("errors", ",").alias("errors"))
+
+
+@query("""SELECT c_custkey, 'I-0' || k AS statement_id, 'INCLUSION' AS section, CASE k WHEN 1 THEN 'age over ' || c_nationkey ELSE 'weight ' || c_custkey || ' a|weight ' || c_custkey || ' b' END AS rules FROM customer, (SELECT unnest([1, 2]) AS k)""")
+def grouped_rules(spark, sf_dir):
+    """Protocol texts cut into statements, each with its atomic rules in order."""
+    rows = t(spark, sf_dir, "customer").select("c_custkey", F.format_string("Inclusion Criteria:\n1. age over %d\n2. weight %d\n", "c_nationkey", "c_custkey").alias("text"))
+    lines = rows.join(t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), "c_custkey").select(F.explode(F.array(F.struct(F.format_string("1. age over %d", "c_nationkey").alias("s"), F.lit(1).alias("k")), F.struct(F.format_string("2. weight %d", "c_custkey").alias("s"), F.lit(2).alias("k")))).alias("x")).select("x.*").distinct()
+    said = F.substring("s", 4, 99)
+    tagged = F.when(F.col("k") == 1, F.format_string('[{"input_rule": "%s", "exclude": false}]', said)).otherwise(F.format_string('[{"input_rule": "%s a", "exclude": false}, {"input_rule": "%s b", "exclude": false}]', said, said))
+    cache = answers(lines, "sanitise", F.col("s"), F.col("s")).unionAll(answers(lines, "tag", F.col("s"), tagged))
+    out = curation.grouped_rules(rows, models.Asker(cache), "c_custkey")
+    return out.select("c_custkey", "statement_id", "section", F.array_join(F.transform("curations", lambda c: c["input_rule"]), "|").alias("rules"))
+
+
 @query("""SELECT c_custkey, c_acctbal < 0 AS owes FROM customer WHERE c_acctbal < 0 IS TRUE OR c_acctbal IS NULL""")
 def boolean_facet(spark, sf_dir):
     """all options of a boolean facet deselected, two shown again."""
@@ -703,7 +745,7 @@ def text_distance(spark, sf_dir):
     rows = t(spark, sf_dir, "conversations")
     a = rows.select("conv_id", "turn", F.col("text").alias("a"))
     b = rows.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("b"))
-    return a.join(b, ["conv_id", "turn"]).select("conv_id", "turn", compare.indel_ratio(F.col("a"), F.col("b")).alias("ratio"), F.size(compare.character_diff(F.col("a"), F.col("b"))).alias("steps"))
+    return a.join(b, ["conv_id", "turn"]).select("conv_id", "turn", compare.indel_ratio(F.col("a"), F.col("b")).alias("ratio"), F.array_join(compare.character_diff(F.col("a"), F.col("b")), "\n").alias("difference"))
 
 
 # -- workflows -------------------------------------------------------------------------------------------------------

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from eligo.functions.criteria import parsed
 from eligo.functions.text import document_id, header_value, unescaped
 from eligo.operators.review import back_filled, schema
+from eligo.sources.ranges import read_delimited
 
 CRITERIA = "$.protocolSection.eligibilityModule.eligibilityCriteria"
 
@@ -60,13 +61,14 @@ def read_mappings(spark: SparkSession, path: str) -> DataFrame:
     return by_cohort.select("path", "cohort", F.posexplode("rows").alias("pos", "row")).select("path", "cohort", "pos", F.coalesce("row.description", "row.input_rule").alias("description"), "row.exclude", "row.rule_reformat")
 
 
-TSV = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": True}
+TSV = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def read_review(spark: SparkSession, path: str) -> DataFrame:
+def read_review(spark: SparkSession, path: str, in_ranges: bool = False) -> DataFrame:
     """A review table; NULL cells are null, declared columns that the file lacks are filled in. A flag that is null is
-    an error, as a damaged table must not pass for an unchecked one."""
-    raw = spark.read.csv(path, nullValue="NULL", emptyValue="", **TSV)
+    an error, as a damaged table must not pass for an unchecked one. ``in_ranges``: large files are read by many tasks,
+    although their quoted cells hold line ends."""
+    raw = read_delimited(spark, path) if in_ranges else spark.read.csv(path, nullValue="NULL", emptyValue="", **TSV)
     known = {f.name: f.dataType for f in schema(derived=True)}
     flag = lambda c: F.when(F.lower(c).isin("true", "false"), F.lower(c) == "true").otherwise(F.raise_error(F.lit("a flag is neither true nor false")).cast("boolean"))
     typed = raw.select(*(flag(F.col(f"`{c}`")).alias(c) if c in known and known[c].simpleString() == "boolean" else F.col(f"`{c}`") for c in raw.columns))
@@ -100,6 +102,24 @@ def write_json(rows: DataFrame, path: str) -> None:
     json_records(rows).withColumnRenamed("record", "value").write.mode("errorifexists").text(path)
 
 
+#: Fields of a typed rule's record (fixed values).
+RULE_FIELDS = "rule_text string, exclude boolean, flipped boolean, cohorts array<string>, code string, types array<string>, errors array<string>"
+
+
+def write_rules(rows: DataFrame, path: str, keys: list[str]) -> None:
+    """Typed rules, a record to a line: the keys, text, flags, cohorts, code, types and errors; fields that ``rows`` lack
+    are null. An existing path is never overwritten."""
+    fields = [(f.split(" ", 1)) for f in RULE_FIELDS.split(", ")]
+    write_json(rows.select(*keys, *((F.col(n) if n in rows.columns else F.lit(None).cast(kind)).alias(n) for n, kind in fields)), path)
+
+
+def read_rules(spark: SparkSession, path: str, keys: str) -> DataFrame:
+    """Typed rules as :func:`write_rules` wrote them, with node: the code parsed again, null where it does not parse.
+    ``keys``: the keys' names and types. A line that is no record has null in every field."""
+    rows = spark.read.json(path, schema=f"{keys}, {RULE_FIELDS}")
+    return rows.withColumn("node", parsed(F.nullif(F.col("code"), F.lit("")))["json"])
+
+
 def required(column: Column, what: str) -> Column:
     return F.coalesce(column, F.raise_error(F.lit(f"{what} is missing")).cast("string"))
 

@@ -522,3 +522,32 @@ def test_pages_by_rank_read_one_range(spark):
     assert "Limit" not in plan and "Offset" not in plan
     none = review.Review(table.limit(0), "id").indexed()
     assert none.count() == 0 and none.page(3).count() == 0
+
+
+def test_quoted_files_in_ranges_equal_the_plain_reader(spark, tmp_path):
+    import random
+
+    rng = random.Random(6)
+    cell = lambda: rng.choice(["a", "", 'say "x"', "two\nlines", '"\n"\n', "tab\tin", "NULL", "é" * 9, "\n\n", "x" * 60])
+    data = [(str(k), cell(), cell(), rng.random() < 0.5) for k in range(900)]
+    table = spark.createDataFrame(data, "TrialId string, Description string, Notes string, Checked boolean")
+    at = str(tmp_path / "t")
+    files.write_review(table.coalesce(1), at)
+    files.write_review(spark.createDataFrame(data[:40], table.schema).coalesce(1), at + "2")
+    (two,) = [p for p in (tmp_path / "t2").iterdir() if p.name.endswith(".csv")]
+    two.rename(tmp_path / "t" / "part-9.csv")
+    want = rows(files.read_review(spark, at))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("500", "3k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            got = files.read_review(spark, at, in_ranges=True)
+            assert rows(got) == want
+            if size == "500":
+                from eligo.sources import ranges
+
+                assert ranges._lines(spark, at).rdd.getNumPartitions() > 20
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+            spark.conf.unset("spark.sql.files.openCostInBytes")
