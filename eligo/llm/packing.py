@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from eligo.llm.common import blocks, byte_letters, checkpointed, collector_off, table, take_turns, text_of, tokenizer_path
 
 #: Distinct words whose ids a Python worker remembers; past it the memory starts afresh.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 700_000
 
 
 #: Words whose pre-tokens can be counted without the tokenizer: printable Latin-1.
@@ -108,16 +108,25 @@ class WordIds(dict):
                 other.append(w)
         for at in range(0, len(other), 4096):
             self.one_by_one(other[at : at + 4096])
-        parts = [p for p in set(lone).union(*(cut for _, cut in plain)) if p not in known]
+        # letters alone are words themselves: those that are remembered as such are not remembered twice
+        letters: dict[str, bytes] = {}
+        parts = []
+        for p in set(lone).union(*(cut for _, cut in plain)):
+            held = self.get(p.encode()) if p.isalpha() else known.get(p)
+            if held is None:
+                parts.append(p)
+            else:
+                letters[p] = held
         groups = [parts[at : at + 200] for at in range(0, len(parts), 200)]
         as_letters = lambda p: p if p.isascii() else p.encode().decode("latin-1").translate(self.letters)
         for group, e in zip(groups, self.merges.encode_batch_fast([" ".join(map(as_letters, g)) for g in groups], add_special_tokens=False)):
             ids = np.asarray(e.ids, "<u4")
             coded, stops = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
             assert len(stops) == len(group)
-            known.update(zip(group, map(coded.__getitem__, map(slice, [0, *stops], stops))))
-        self.update(zip(single, map(known.__getitem__, lone)))
-        self.update((w, b"".join([known[p] for p in cut])) for w, cut in plain)
+            letters.update(zip(group, map(coded.__getitem__, map(slice, [0, *stops], stops))))
+        self.update(zip(single, map(letters.__getitem__, lone)))
+        self.update((w, b"".join([letters[p] for p in cut])) for w, cut in plain)
+        known.update((p, letters[p]) for p in parts if not p.isalpha())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.encode().split() for t in texts]
