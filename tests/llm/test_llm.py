@@ -843,3 +843,23 @@ def test_chat_examples(spark):
     replies = Counter(c for c, _, r, _ in rows if r == "assistant")
     assert Counter(e["conv_id"] for e in made.filter("loss_start is not null").collect()) == replies
     assert chat.digests(chat.examples(df.limit(0))).count() == 0
+
+
+def test_chat_of_a_long_conversation(spark):
+    """Three hundred turns, some long: every reply once, in order, all turns read back."""
+    rows = [(5, k, "user" if k % 2 == 0 else "assistant", f"turn {k} </s> \\" + "x" * (k % 40 * 50)) for k in range(300)]
+    got = chat.digests(chat.examples(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))).first()
+    said = "".join(t for _, _, r, t in rows if r == "assistant")
+    turns = "".join(f"{r}\n{t}\n" for _, _, r, t in rows)
+    assert (got["n_turns"], got["loss_chars"]) == (300, len(said))
+    assert (got["loss_sha256"], got["turns_sha256"]) == tuple(hashlib.sha256(x.encode()).hexdigest() for x in (said, turns))
+
+
+def test_toxicity_of_a_very_long_text(spark):
+    """A text of two million words is judged by all of them: one toxic part at its end counts."""
+    bad, good = "vile nasty awful ", "calm plain words "
+    docs = [(k, (bad if k % 2 else good) * 5, None) for k in range(60)] + [(100, good * 600_000 + bad * 5, None), (101, good * 600_000, None)]
+    labels = [(k, 0, k % 2) for k in range(60)]
+    frames = frame(spark, docs), frame(spark, labels, "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r["toxic"] for r in toxicity.judged(frames[0], toxicity.fitted(*frames)).collect()}
+    assert got[100] and not got[101] and all(got[k] == bool(k % 2) for k in range(60))
