@@ -11,15 +11,16 @@ Features enter if the fitting half shows by a likelihood ratio test that toxic r
 enter. They are counted in Spark, and only they, with the sampled rows that hold them, reach the driver, as a sparse
 matrix: its size follows the sample, not the texts' length.
 
-Labels only say toxic or not. Toxic rows are graded 1 to 3 by thirds of how many telling features they hold, which are
-the features that the model weighs: the order of the grades is partly its own input, and no label says that the thirds
-are right. So severity orders documents by how much in them points to toxic text; it is no measured harm. Grades from
-what the model does not see (occurrences, occurrences to a word) were tried and part toxic from clean rows worse.
+Labels only say toxic or not. Toxic rows of the fitting half are graded 1 to 3 by thirds of what a plain logistic fit
+on the other fold says of them, so a row's grade comes from other rows than itself (:func:`fold_grades`); which features
+there are was found on both folds. No label says that the thirds are right: severity orders documents by how surely
+other labelled rows call such text toxic; it is no measured harm.
 
 Whole texts are scored, each in one pass in its task; a very long text's features are held in its task only.
 
 Defined results: null and empty texts have no features and the lowest severity; with fewer than ``least_rows``
-labelled rows, or those of one class only, nothing is toxic and severity is 0; repeated rows are judged alike; rows
+labelled rows, or those of one class only, nothing is toxic and severity is 0; where a fold lacks a class, toxic rows are all
+of the middle grade; repeated rows are judged alike; rows
 with a null key are judged like any other; extra columns are kept, with ``severity``, ``grade`` and ``toxic``
 replaced; an empty table gives no rows.
 """
@@ -131,6 +132,21 @@ def fit_ordinal(x: Sparse, grade: np.ndarray, grades: int, rounds: int = 400, ri
     return params[:k], params[k] + np.concatenate([[0.0], np.cumsum(gaps)])
 
 
+def fold_grades(x: Sparse, toxic: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """0 for clean rows; 1 to 3 for toxic ones, by thirds within their fold of what a fit on the other fold gives them.
+
+    ``second``: the rows of the second fold. Where a fold lacks a class, toxic rows are graded 2."""
+    grade = np.where(toxic, 2, 0)
+    if any(not (toxic & f).any() or not (~toxic & f).any() for f in (second, ~second)):
+        return grade
+    for fold in (second, ~second):
+        weights, _ = fit_ordinal(x.of_rows(~fold), toxic[~fold].astype(int), 2)
+        eta, mine = x.times(weights), fold & toxic
+        low, high = np.quantile(eta[mine], [1 / 3, 2 / 3])
+        grade[mine] = 1 + (eta[mine] > low) + (eta[mine] > high)
+    return grade
+
+
 def best_cut(severity: np.ndarray, toxic: np.ndarray, clean_weight: float) -> float:
     """The cut of least loss: missed toxic share plus ``clean_weight`` times the flagged clean share."""
     places = np.unique(severity)
@@ -161,8 +177,9 @@ def sample(docs: DataFrame, labels: DataFrame, sample_rows: int) -> DataFrame:
     return checkpointed(rows.select("key", "toxic", F.explode_outer(run("text")).alias("feature")))
 
 
-#: The fitting half of the sample, as a condition on its rows.
+#: The fitting half of the sample, and its second fold, as conditions on its rows.
 FIT_HALF = "pmod(xxhash64(key, 5), 2) = 0"
+SECOND_FOLD = "pmod(xxhash64(key, 13), 2) = 1"
 
 
 def telling(rows: DataFrame, size: list[int]) -> DataFrame:
@@ -180,8 +197,9 @@ def telling(rows: DataFrame, size: list[int]) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2_000, clean_weight: float = 10.0, least_rows: int = 20) -> Model:
     rows = sample(docs, labels, sample_rows)
-    heads = rows.select("key", "toxic", F.expr(FIT_HALF).alias("fit")).distinct().toArrow().sort_by("key")
-    key, toxic, half = heads["key"].to_numpy(), heads["toxic"].to_numpy() == 1, np.asarray(heads["fit"].to_pylist(), bool)
+    heads = rows.select("key", "toxic", F.expr(FIT_HALF).alias("fit"), F.expr(SECOND_FOLD).alias("second")).distinct().toArrow().sort_by("key")
+    key, toxic = heads["key"].to_numpy(), heads["toxic"].to_numpy() == 1
+    half, second = (np.asarray(heads[c].to_pylist(), bool) for c in ("fit", "second"))
     size = [int((half & (toxic == g)).sum()) for g in (False, True)]
     if not all(size) or len(toxic) < least_rows:
         return Model({}, [], 1.0)
@@ -190,10 +208,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 2_000, clean_weig
         return Model({}, [], 1.0)
     features, column = np.unique(hits["feature"].to_numpy(), return_inverse=True)
     x = Sparse(np.searchsorted(key, hits["key"].to_numpy()), column, len(toxic), len(features))
-    held = x.times(np.ones(x.columns))
-    thirds = np.quantile(held[half & toxic], [1 / 3, 2 / 3])
-    grade = np.where(toxic, 1 + (held > thirds[0]) + (held > thirds[1]), 0)
-    weights, thresholds = fit_ordinal(x.of_rows(half), grade[half], 4)
+    fitting = x.of_rows(half)
+    weights, thresholds = fit_ordinal(fitting, fold_grades(fitting, toxic[half], second[half]), 4)
     model = Model(dict(zip(features.tolist(), weights.tolist())), thresholds.tolist(), 0.5)
     rest = ~half
     if toxic[rest].any() and not toxic[rest].all():

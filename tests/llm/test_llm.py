@@ -610,6 +610,26 @@ def test_ordinal_fit_orders_grades():
     assert mean == sorted(mean) and list(t) == sorted(t) and (w > 0).all()
 
 
+def test_grades_come_from_the_other_fold():
+    rng = np.random.default_rng(4)
+    strength = rng.random(600)
+    toxic = strength > 0.5
+    dense = rng.random((600, 8)) < 0.05 + 0.6 * (strength[:, None] - 0.3).clip(0)
+    second = rng.random(600) < 0.5
+    sparse = lambda m: toxicity.Sparse(*np.nonzero(m), *m.shape)
+    grade = toxicity.fold_grades(sparse(dense), toxic, second)
+    for fold in (second, ~second):
+        w, _ = toxicity.fit_ordinal(sparse(dense[~fold]), toxic[~fold].astype(int), 2)
+        eta = sorted(e for e, f, t in zip(dense @ w, fold, toxic) if f and t)
+        low, high = np.quantile(eta, [1 / 3, 2 / 3])
+        for i in np.flatnonzero(fold):
+            assert grade[i] == (1 + sum(dense[i] @ w > c + 1e-12 for c in (low, high)) if toxic[i] else 0)
+    mean = [strength[grade == g].mean() for g in range(4)]
+    assert mean == sorted(mean)  # the grades follow a strength that no label tells
+    one_sided = toxicity.fold_grades(sparse(dense), toxic, toxic)
+    assert set(one_sided[toxic]) == {2} and not one_sided[~toxic].any()
+
+
 def test_ordinal_gradient_is_that_of_the_likelihood():
     rng = np.random.default_rng(7)
     x, grade = rng.random((30, 5)) < 0.4, rng.integers(0, 4, 30)
