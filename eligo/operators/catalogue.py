@@ -5,6 +5,8 @@ checked; a larger one is joined."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from eligo.sources.shared import checkpointed
 BROADCAST_ROWS = 100_000
 #: Names up to which a set may be a constant of the plan.
 LITERAL_NAMES = 5_000
+#: Rules, their bytes, and categories up to which a catalogue's lists may be one constant of the plan.
+OFFERED_RULES, OFFERED_BYTES, OFFERED_CATEGORIES = 100_000, 8_000_000, 1_000
 
 
 def small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -73,7 +77,7 @@ def with_names(rows: DataFrame, known: DataFrame, names: Column, column: str, am
     named = numbered.select("number", F.explode("names").alias("rule")).join(known, "rule", "left_semi" if among else "left_anti")
     lists = named.groupBy("number").agg(F.sort_array(F.collect_set("rule")).alias("found"))
     found = F.when(F.col("names").isNotNull(), F.coalesce("found", F.array().cast("array<string>")))
-    out = numbered.join(lists, "number", "left")
+    out = numbered.join(lists.hint("merge"), "number", "left")  # as many lists as rows: never broadcast
     return out.select(*(F.col("row").getField(c).alias(c) for c in kept if c != column), found.alias(column))
 
 
@@ -85,27 +89,29 @@ def with_new_rules(rows: DataFrame, long: DataFrame, names: Column) -> DataFrame
 OFFERS = "array<struct<category: string, hint: string, rules: array<string>>>"
 
 
-def with_offers(rows: DataFrame, long: DataFrame, categories: Column, hints: dict[str, str], column: str, most: int = LITERAL_NAMES) -> DataFrame:
+def with_offers(rows: DataFrame, long: DataFrame, categories: Column, hints: dict[str, str], column: str, most: int = OFFERED_RULES) -> DataFrame:
     """``rows`` with ``column``: for each of ``categories`` (an array column), in its order, the category, its hint and
     the catalogue's rules in their order; null rules for a category that the catalogue lacks.
 
-    Up to ``most`` rules are a constant of the plan; more are joined by a row number that a checkpoint fixes."""
+    Up to ``most`` rules (and :data:`OFFERED_BYTES`, :data:`OFFERED_CATEGORIES`) are one constant of the plan, so that no
+    row is moved. More are joined by a row number that a checkpoint fixes; the rows' lists, which together are many times
+    the catalogue, are merged with their rows and never broadcast."""
     place = F.struct("row_pos", "rule")
-    by_category = long.filter("category is not null").groupBy("category").agg(F.transform(F.sort_array(F.collect_list(place)), lambda r: r["rule"]).alias("rules"))
+    long = long.filter("category is not null")
+    by_category = long.groupBy("category").agg(F.transform(F.sort_array(F.collect_list(place)), lambda r: r["rule"]).alias("rules"))
     told = F.map_from_arrays(F.array(*map(F.lit, hints)).cast("array<string>"), F.array(*map(F.lit, hints.values())).cast("array<string>"))
-    if long.limit(most + 1).count() <= most:
-        known = {r["category"]: r["rules"] for r in by_category.collect()}
-        names = F.array(*map(F.lit, known)).cast("array<string>")
-        lists = F.array(*(F.array(*map(F.lit, v)) for v in known.values())).cast("array<array<string>>")
-        offer = lambda c: F.struct(c.alias("category"), F.try_element_at(told, c).alias("hint"), F.try_element_at(F.map_from_arrays(names, lists), c).alias("rules"))
+    size = long.agg(F.count("*").alias("rules"), F.coalesce(F.sum(F.octet_length("rule") + F.octet_length("category")), F.lit(0)).alias("bytes"), F.countDistinct("category").alias("categories")).first()
+    if size["rules"] <= most and size["bytes"] <= OFFERED_BYTES and size["categories"] <= OFFERED_CATEGORIES:
+        known = F.from_json(F.lit(json.dumps({r["category"]: r["rules"] for r in by_category.collect()})), "map<string,array<string>>")
+        offer = lambda c: F.struct(c.alias("category"), F.try_element_at(told, c).alias("hint"), F.try_element_at(known, c).alias("rules"))
         return rows.withColumn(column, F.transform(categories, offer).cast(OFFERS))
     kept = [c for c in rows.columns if c != column]
     numbered = checkpointed(rows.select(F.struct(*(rows[c] for c in kept)).alias("row"), categories.alias("categories")).withColumn("number", F.monotonically_increasing_id()))
-    each = numbered.select("number", F.posexplode("categories").alias("at", "category")).join(by_category, "category", "left")
+    each = numbered.select("number", F.posexplode("categories").alias("at", "category")).join(by_category.hint("merge"), "category", "left")
     offer = F.struct("category", F.try_element_at(told, F.col("category")).alias("hint"), "rules")
     lists = each.groupBy("number").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", offer.alias("offer")))), lambda r: r["offer"]).cast(OFFERS).alias("offers"))
     found = F.when(F.col("categories").isNotNull(), F.coalesce("offers", F.array().cast(OFFERS)))
-    return numbered.join(lists, "number", "left").select(*(F.col("row").getField(c).alias(c) for c in kept), found.alias(column))
+    return numbered.join(lists.hint("merge"), "number", "left").select(*(F.col("row").getField(c).alias(c) for c in kept), found.alias(column))
 
 
 def with_warn(rows: DataFrame, long: DataFrame, rule: str = "rule") -> DataFrame:

@@ -394,6 +394,21 @@ def test_offers_by_both_ways(spark):
         assert sorted(((r["number"], r["found"] and [tuple(o) for o in r["found"]] if r["found"] != [] else []) for r in got), key=str) == sorted(want, key=str)
 
 
+def test_offers_of_rows_are_not_broadcast(spark):
+    from eligo.operators import catalogue
+
+    long = spark.range(6_000).selectExpr("concat('c', id % 3) AS category", "0 AS category_pos", "id AS row_pos", "concat('RULE_', id) AS rule", "false AS warn")
+    rows = spark.range(50).select("id", F.array(F.concat(F.lit("c"), F.col("id") % 4)).alias("cats"))
+    want = {k: [f"RULE_{n}" for n in range(k, 6_000, 3)] for k in range(3)} | {3: None}
+    for most in (None, 0):
+        got = catalogue.with_offers(rows, long, F.col("cats"), {}, "found", *([] if most is None else [most])).select("id", "found")
+        assert all(r["found"][0]["rules"] == want[r["id"] % 4] for r in got.collect())
+        got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan
+        assert most == 0 or "Exchange" not in plan
+
+
 def test_records_are_written_whole_or_not_at_all(spark, tmp_path):
     from eligo.sources import records
 
