@@ -1,14 +1,14 @@
 """Quality rules by a hashed n-gram log-likelihood ratio, with DataFrame functions only.
 
 Words and word pairs are hashed into a fixed number of buckets. Two multinomials over the buckets are counted: the
-raw corpus over all rows, and trusted target text over a bounded sample of well-labelled rows. A document's score is
+raw corpus over all rows, and trusted target text over half of all well-labelled rows. A document's score is
 the mean over its n-grams of log p_target - log p_raw, so long texts weigh no more than short ones. The threshold is
-fixed from labelled rows that the target has not seen: the cut that loses least, a lost good row counting as
+fixed from the other half of all labelled rows, which the target has not seen: the cut that loses least, a lost good row counting as
 ``good_weight`` accepted bad ones. Documents that fail the base rules (too short, or too repetitive) are rejected
 whatever their score.
 
-Nothing but the two count vectors (``buckets`` numbers each), the sample's keys and a histogram of its scores
-(``bins`` numbers) reaches the driver; their sizes are parameters.
+Nothing but the two count vectors (``buckets`` numbers each), a histogram of scores (``bins`` numbers) and up to
+:data:`BROADCAST_KEYS` labelled keys reaches the driver; more labels are joined by a shuffle.
 
 Defined results: null and empty texts have no words and fail the base rules; documents without n-grams score 0; with
 no usable labels every document that passes the base rules is kept; repeated rows are judged alike; extra columns are
@@ -83,12 +83,26 @@ def base_columns(docs: DataFrame, keep: list[str]) -> DataFrame:
     return a.withColumn("base_failed", failed)
 
 
-def sample_keys(labels: DataFrame, rows: int) -> DataFrame:
-    """At most ``rows`` keys of each label, those with the least hash; ``fit`` parts them into two halves."""
+def labelled(labels: DataFrame) -> DataFrame:
+    """key, good, fit: every labelled key once, parted into two halves by a hash."""
     named = labels.filter("doc_id is not null and quality in (0, 1)").groupBy(F.col("doc_id").cast("long").alias("key")).agg(F.max("quality").alias("good"))
+    return named.withColumn("fit", F.pmod(F.xxhash64("key", F.lit(11)), F.lit(2)) == 0)
+
+
+def sample_keys(labels: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` of the :func:`labelled` keys of each label, those with the least hash, to look at; the fit takes all."""
     rank = F.xxhash64("key", F.lit(7))
-    parts = [named.filter(F.col("good") == g).orderBy(rank, "key").limit(rows) for g in (0, 1)]
-    return parts[0].unionAll(parts[1]).withColumn("fit", F.pmod(F.xxhash64("key", F.lit(11)), F.lit(2)) == 0)
+    parts = [labelled(labels).filter(F.col("good") == g).orderBy(rank, "key").limit(rows) for g in (0, 1)]
+    return parts[0].unionAll(parts[1])
+
+
+def with_labels(docs: DataFrame, keys: DataFrame, how: str, few: bool) -> DataFrame:
+    """``docs`` joined with ``keys``: broadcast if they are few; else rows move to their keys, and rows without a key,
+    which meet none, are spread by their text."""
+    if few:
+        return docs.join(F.broadcast(keys), docs["doc_id"] == keys["key"], how)
+    own = F.when(docs["doc_id"].isNull(), F.xxhash64(docs["text"])).otherwise(F.lit(0).cast("long"))
+    return docs.join(keys.hint("merge"), (docs["doc_id"] == keys["key"]) & (own == keys["nought"]), how)
 
 
 class Ratio:
@@ -103,10 +117,15 @@ class Ratio:
         return total / F.greatest(F.size("h1") * 2 - 1, F.lit(1))
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 14, sample_rows: int = 20_000, bins: int = 2_000, good_weight: float = 20.0) -> Ratio:
-    """``docs``: doc_id, text (no nulls). ``sample_rows`` bounds the labelled keys that are broadcast."""
-    keys = F.broadcast(sample_keys(labels, sample_rows))
-    marked = docs.join(keys, docs["doc_id"] == keys["key"], "left")
+#: Labelled keys up to which they are broadcast.
+BROADCAST_KEYS = 1_000_000
+
+
+def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 14, broadcast_keys: int = BROADCAST_KEYS, bins: int = 2_000, good_weight: float = 20.0) -> Ratio:
+    """``docs``: doc_id, text (no nulls). All labelled rows count, half of them in the target and half for the threshold."""
+    keys = labelled(labels).withColumn("nought", F.lit(0).cast("long"))
+    few = keys.limit(broadcast_keys + 1).count() <= broadcast_keys
+    marked = with_labels(docs, keys, "left", few)
     target = (F.coalesce(F.col("good"), F.lit(0)) == 1) & F.coalesce("fit", F.lit(False))
     grams = hashed(marked.withColumn("target", target), ["target"]).select("target", F.explode(ngrams(buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum(F.col("target").cast("int")).alias("target")).collect()
@@ -118,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = 1 << 14, sample_rows:
         return Ratio([0.0] * buckets, -math.inf)
     weights = [math.log((g + 0.5) / (n_good + 0.5 * buckets)) - math.log((r + 0.5) / (n_raw + 0.5 * buckets)) for g, r in zip(good, raw)]
     ratio = Ratio([float(f"{w:.6f}") for w in weights], -math.inf)
-    held = docs.join(keys.filter("not fit"), docs["doc_id"] == F.col("key"))
+    held = with_labels(docs, keys.filter("not fit"), "inner", few)
     scored = hashed(held, ["good"]).filter(F.size("h1") >= 20).select("good", ratio.score(ngrams(buckets)).alias("score"))
     span = 20.0
     bin_ = F.floor((F.greatest(F.least("score", F.lit(span / 2)), F.lit(-span / 2)) + span / 2) * (bins / span))

@@ -193,6 +193,18 @@ def test_quality_weights_and_threshold_against_loops(spark):
     assert cost(ratio.threshold) <= min(cost(k / 100 - 10) for k in range(2001)) + 1e-9
 
 
+def test_quality_fit_takes_all_labels_by_both_joins(spark):
+    n, size = 60_000, 64
+    docs = spark.range(n).selectExpr("IF(id >= 59990, null, id) AS doc_id", "IF(id % 2 = 1, 'a', 'b') AS text")
+    labels = spark.range(59_990).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS quality")
+    good = quality.labelled(labels).filter("good = 1 and fit").count()
+    assert good > 14_000  # half of the well-labelled rows, not of a sample of 20,000
+    want = math.log((good + 0.5) / (good + 0.5 * size)) - math.log((n / 2 + 0.5) / (n + 0.5 * size))
+    fits = [quality.fit(docs, labels, size), quality.fit(docs, labels, size, broadcast_keys=0)]
+    assert fits[0].weights == fits[1].weights and fits[0].threshold == fits[1].threshold
+    assert fits[0].weights[spark_hash("a") % size] == pytest.approx(want, abs=1e-5)
+
+
 # -- 3 ---------------------------------------------------------------------------------------------------------------
 def test_warc_round_trip(spark):
     rows = [(1, "http://a", "<p>é</p>"), (2, "http://b", "<p>é</p>"), (0, None, "<p>é</p>"), (5, "u\r\nv", None), (4, "http://c", ""), (6, "x", "y" * 300_000), (None, "n", "<p>é</p>"), (8, "r\r\n\r\nt", "a\r\n\r\nb\r\n"), (7, "z", "y" * 300_000)]
