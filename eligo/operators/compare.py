@@ -6,11 +6,15 @@ kept, since no other pair can match."""
 from __future__ import annotations
 
 import difflib
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from eligo.operators.catalogue import small
 from eligo.operators.graph import components
@@ -24,22 +28,82 @@ def unit(vector: Column) -> Column:
     return F.transform(v, lambda x: x / norm)
 
 
+#: Products of one block of a tile that a task holds at once.
+BLOCK_PRODUCTS = 2_000_000
+
+
+def _vectors(column: pa.ChunkedArray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """length -> (places, matrix) of the vectors without nulls; no pair of others has a similarity."""
+    lists = column.combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    values, starts = lists.flatten(), np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    nulls = np.concatenate([[0], np.cumsum(values.is_null().to_numpy(zero_copy_only=False))])
+    good = (nulls[starts[1:]] == nulls[starts[:-1]]) & ~lists.is_null().to_numpy(zero_copy_only=False)
+    flat = values.fill_null(0.0).to_numpy(zero_copy_only=False)
+    out = {}
+    for d in np.unique(lengths[good]).tolist():
+        at = np.flatnonzero(good & (lengths == d))
+        out[d] = at, flat[starts[at][:, None] + np.arange(d)]
+    return out
+
+
+def _products(left: pa.ChunkedArray, right: pa.ChunkedArray):
+    """(places on the left, their vectors, places on the right, their vectors, products), block by block."""
+    ours, theirs = _vectors(left), _vectors(right)
+    for d in ours.keys() & theirs.keys():
+        (at, us), (to, vs) = ours[d], theirs[d]
+        step = max(1, BLOCK_PRODUCTS // max(1, len(vs)))
+        for k in range(0, len(us), step):
+            block = us[k : k + step]
+            yield at[k : k + step], block, to, vs, block @ vs.T
+
+
+def _near(left: pa.ChunkedArray, right: pa.ChunkedArray, least: float):
+    """(places on the left, on the right, products) of pairs of vectors that may be above ``least``, block by block.
+
+    A matrix product finds them with some room for its order of summing, which depends on the machine; their products are
+    then summed once more in the order of the elements, so that they are the same everywhere."""
+    for at, us, to, vs, products in _products(left, right):
+        x, y = np.nonzero(~(products < least - 1e-6))  # what is no number is kept, as the comparison has it
+        sums = np.zeros(len(x))
+        for e in range(us.shape[1]):
+            sums += us[x, e] * vs[y, e]
+        yield at[x], to[y], sums
+
+
+def in_tiles(old: DataFrame, new: DataFrame, key: str, tile: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with unit vectors, dealt to tiles: key, x, y, i, u and key, x, y, j, v."""
+    a, b = ((f.filter(F.length("text") > 0) if "text" in f.columns else f).filter(F.col(key).isNotNull()) for f in (old, new))
+    count = lambda f: f.groupBy(key).agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
+    tiles = small(count(a).withColumnRenamed("tiles", "across").join(count(b).withColumnRenamed("tiles", "down"), key))
+    deal = lambda n: F.pmod(F.xxhash64("pos"), F.col(n)).cast("int")
+    all_ = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    a = a.select(key, "pos", unit(F.col("vector")).alias("u")).join(tiles, key).select(key, deal("across").alias("x"), all_("down").alias("y"), F.col("pos").alias("i"), "u")
+    b = b.select(key, "pos", unit(F.col("vector")).alias("v")).join(tiles, key).select(F.col(key).alias(key), all_("across").alias("x"), deal("down").alias("y"), F.col("pos").alias("j"), "v")
+    return a, b
+
+
 def similar_pairs(old: DataFrame, new: DataFrame, key: str, least: float = 0.9, digits: int = 9, tile: int = 2_000) -> DataFrame:
     """key, i, j, similarity of pairs above ``least``. Both sides: key, pos, vector, and text if there is one: rows
     with an empty or null text are left out, as nothing can match them.
 
     Vectors are normalised once per row; the similarity is rounded so that it orders alike everywhere. Within a key all
     pairs are compared, since no bound on the cosine spares any; the rows of a key are dealt to tiles of about ``tile``
-    rows a side, and each pair of tiles meets in a task of its own, so a large key spreads over many."""
-    a, b = ((f.filter(F.length("text") > 0) if "text" in f.columns else f).filter(F.col(key).isNotNull()) for f in (old, new))
-    count = lambda f: f.groupBy(key).agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
-    tiles = small(count(a).withColumnRenamed("tiles", "across").join(count(b).withColumnRenamed("tiles", "down"), key))
-    deal = lambda n: F.pmod(F.xxhash64("pos"), F.col(n)).cast("int")
-    all_ = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    a = a.select(key, "pos", unit(F.col("vector")).alias("u")).join(tiles, key).select(key, F.col("pos").alias("i"), "u", deal("across").alias("x"), all_("down").alias("y"))
-    b = b.select(key, "pos", unit(F.col("vector")).alias("v")).join(tiles, key).select(key, F.col("pos").alias("j"), "v", deal("down").alias("y"), all_("across").alias("x"))
-    dot = F.aggregate(F.zip_with("u", "v", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-    return a.join(b, [key, "x", "y"]).select(key, "i", "j", F.round(dot, digits).alias("similarity")).filter(F.col("similarity") > least)
+    rows a side, and each pair of tiles meets in a task of its own, as a product of two matrices, so a large key spreads
+    over many."""
+    a, b = in_tiles(old, new, key, tile)
+    types = StructType([a.schema[key], a.schema["i"], b.schema["j"], StructField("dot", DoubleType())])
+
+    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = []
+        for x, y, sums in _near(left.column("u"), right.column("v"), least - 10.0**-digits):
+            if len(x):
+                parts.append(pa.table({key: left.column(key).take(x), "i": left.column("i").take(x), "j": right.column("j").take(y), "dot": pa.array(sums)}))
+        return pa.concat_tables(parts) if parts else pa.table({key: left.column(key)[:0], "i": left.column("i")[:0], "j": right.column("j")[:0], "dot": pa.array([], pa.float64())})
+
+    pairs = a.groupBy(key, "x", "y").cogroup(b.groupBy(key, "x", "y")).applyInArrow(meet, types)
+    return pairs.select(key, "i", "j", F.round("dot", digits).alias("similarity")).filter(F.col("similarity") > least)
 
 
 #: Pairs of a group that one task matches in one pass; larger groups are made smaller first.
@@ -110,6 +174,59 @@ def greedy_matches(pairs: DataFrame, key: str, most: int = MANY_PAIRS) -> DataFr
     return out.select(*columns)
 
 
+#: Bins of similarity to a unit, by which pairs are counted.
+BINS = 1_000
+
+
+def pair_counts(old: DataFrame, new: DataFrame, key: str, least: float, tile: int = 2_000) -> dict[int, int]:
+    """bin -> pairs above ``least`` with about that similarity (bin b: from b / BINS - 1 on), over all keys."""
+    a, b = in_tiles(old, new, key, tile)
+
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        n = np.zeros(2 * BINS + 1, np.int64)
+        for *_, products in _products(left.column("u"), right.column("v")):
+            s = np.nan_to_num(products[~(products < least - 1e-6)], nan=1.0)
+            n += np.bincount(((s + 1) * BINS).astype(np.int64).clip(0, 2 * BINS), minlength=2 * BINS + 1)
+        at = np.flatnonzero(n)
+        return pa.table({"bin": pa.array(at, pa.int64()), "n": pa.array(n[at])})
+
+    found = a.groupBy(key, "x", "y").cogroup(b.groupBy(key, "x", "y")).applyInArrow(count, "bin long, n long")
+    return {r["bin"]: r["n"] for r in found.groupBy("bin").agg(F.sum("n").alias("n")).collect()}
+
+
+def level_of(counts: dict[int, int], least: float, most: int) -> float:
+    """The least similarity above which there are at most ``most`` pairs, ``least`` if all are; one bin at least."""
+    level, above = None, 0
+    for b in sorted(counts, reverse=True):
+        above += counts[b]
+        if above > most and level is not None:
+            return max(level, least)
+        level = b / BINS - 1
+    return least
+
+
+def matched(old: DataFrame, new: DataFrame, key: str, least: float = 0.9, digits: int = 9, tile: int = 2_000, most: int = MANY_PAIRS, a_row: int = 8) -> DataFrame:
+    """The greedy matches (as :func:`greedy_matches` has them) of the :func:`similar_pairs` of two sides, without all pairs.
+
+    A greedy pass takes the pairs in descending similarity, so those above a level come first, and only rows that they
+    leave unmatched have further ones. Each round counts the pairs of the rows that are left, takes a level above which
+    there are at most ``most`` or ``a_row`` a row of them, matches these, and removes the matched rows. Pairs of one bin of
+    similarity (a thousandth) are never parted."""
+    products = old.groupBy(key).count().join(new.groupBy(key).agg(F.count("*").alias("others")), key).agg(F.sum(F.col("count") * F.col("others"))).first()[0] or 0
+    if products <= most:
+        return greedy_matches(similar_pairs(old, new, key, least, digits, tile), key, most)
+    taken = []
+    while True:
+        old, new = checkpointed(old), checkpointed(new)
+        level = level_of(pair_counts(old, new, key, least, tile), least, max(most, a_row * old.count()))
+        found = checkpointed(greedy_matches(similar_pairs(old, new, key, level, digits, tile), key, max(most, MANY_PAIRS)))
+        taken.append(found)
+        if level <= least:
+            return reduce(DataFrame.unionAll, taken)
+        old = old.join(found.select(key, F.col("i").alias("pos")), [key, "pos"], "left_anti")
+        new = new.join(found.select(key, F.col("j").alias("pos")), [key, "pos"], "left_anti")
+
+
 def running(rows: DataFrame, key: str, order: list[str], value: Column, column: str, tile: int = TILE_ROWS) -> DataFrame:
     """``rows`` with ``column``: the sum of ``value`` over the rows of the key that come before, in ``order``.
 

@@ -720,14 +720,14 @@ def embedded_pairs(spark, sf_dir):
 @query(f"{MATCH_SQL} SELECT * FROM matches")
 def greedy_match(spark, sf_dir):
     """Greedy one-to-one matches, by a sequential pass in the SQL."""
-    return compare.greedy_matches(compare.similar_pairs(*sides(spark, sf_dir), "cohort", 0.2), "cohort")
+    return compare.matched(*sides(spark, sf_dir), "cohort", 0.2)
 
 
 @query(f"{DIFF_SQL} SELECT * FROM placed")
 def ordered_diff(spark, sf_dir):
     """Both sides in one order."""
     old, new = sides(spark, sf_dir)
-    matches = compare.greedy_matches(compare.similar_pairs(old, new, "cohort", 0.2), "cohort")
+    matches = compare.matched(old, new, "cohort", 0.2)
     return compare.ordered_diff(old, new, matches, "cohort")
 
 

@@ -409,6 +409,42 @@ def test_offers_of_rows_are_not_broadcast(spark):
         assert most == 0 or "Exchange" not in plan
 
 
+def vector_sides(spark, n):
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    rows = [(int(rng.integers(0, 2)), k, rng.standard_normal(8).round(1).tolist()) for k in range(n)]
+    df = spark.createDataFrame(rows, "cohort int, pos long, vector array<double>")
+    return rows, df.filter("pos % 2 = 0"), df.filter("pos % 2 = 1")
+
+
+def test_tiles_of_pairs_are_matrix_products_with_all_pairs(spark):
+    rows, old, new = vector_sides(spark, 300)
+    odd = spark.createDataFrame([(0, 1001, [1.0, 2.0]), (0, 1003, None), (0, 1005, [1.0] * 7 + [None])], new.schema)
+    pairs = compare.similar_pairs(old, new.unionAll(odd), "cohort", 0.2, tile=40)
+    got = {(r["i"], r["j"]): r["similarity"] for r in pairs.collect()}
+
+    def cosine(a, b):
+        a, b = ([x / sum(y * y for y in v) ** 0.5 for x in v] for v in (a, b))
+        return round(sum(x * y for x, y in zip(a, b)), 9)
+
+    want = {(i, j): cosine(u, v) for c, i, u in rows for d, j, v in rows if c == d and i % 2 == 0 and j % 2 == 1}
+    assert got == pytest.approx({k: s for k, s in want.items() if s > 0.2}, abs=2e-9)
+    assert "FlatMapCoGroupsInArrow" in pairs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_matches_by_levels_are_those_of_all_pairs(spark):
+    _, old, new = vector_sides(spark, 400)
+    want = compare.greedy_matches(compare.similar_pairs(old, new, "cohort", 0.0), "cohort").collect()
+    levels = []
+    counted, compare.level_of = compare.level_of, lambda *a: levels.append(counted(*a)) or levels[-1]
+    try:
+        got = compare.matched(old, new, "cohort", 0.0, tile=60, most=300, a_row=1).collect()
+    finally:
+        compare.level_of = counted
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(levels) > 2
+
+
 def test_records_are_written_whole_or_not_at_all(spark, tmp_path):
     from eligo.sources import records
 
