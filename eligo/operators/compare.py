@@ -308,11 +308,23 @@ def unchanged(a: Column, b: Column, least: float = 95.0) -> Column:
     return F.coalesce(indel_ratio(a, b) >= least, F.lit(False))
 
 
+def _line_lists(pairs) -> pa.Array:
+    """list<string> of the differences of some pairs of texts, each kept as Arrow text as soon as it is made: a list of
+    Python texts, one to a character, takes some ten times the memory."""
+    chunks, starts, null = [pa.array([], pa.string())], [0], []
+    for x, y in pairs:
+        lines = pa.array([] if x is None or y is None else list(difflib.unified_diff(x, y)), pa.string())
+        null.append(x is None or y is None)
+        starts.append(starts[-1] + len(lines))
+        chunks.append(lines)
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.concat_arrays(chunks), mask=pa.array(null, pa.bool_()))
+
+
 def character_diff(a: Column, b: Column) -> Column:
     """array<string>: a unified difference of two texts, a character to a line."""
 
     @arrow_udf("array<string>")
     def run(xs: pa.Array, ys: pa.Array) -> pa.Array:
-        return pa.array([None if x is None or y is None else list(difflib.unified_diff(x, y)) for x, y in zip(xs.to_pylist(), ys.to_pylist())], pa.list_(pa.string()))
+        return _line_lists((x.as_py(), y.as_py()) for x, y in zip(xs, ys))
 
     return run(a, b)

@@ -445,6 +445,23 @@ def test_matches_by_levels_are_those_of_all_pairs(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, want)) and len(levels) > 2
 
 
+def test_character_differences_are_kept_as_arrow_texts():
+    import difflib
+    import random
+    import tracemalloc
+
+    rng = random.Random(3)
+    text_ = lambda: "".join(rng.choices("abcdefgh é", k=400))
+    pairs = [(text_(), text_()) for _ in range(200)] + [("a", None), ("", ""), ("a", "b")]
+    want = [None if x is None or y is None else list(difflib.unified_diff(x, y)) for x, y in pairs]
+    compare._line_lists(pairs[:1])  # what is loaded at first use is not counted
+    tracemalloc.start()
+    got = compare._line_lists(pairs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.to_pylist() == want and peak < 3_000_000
+
+
 def test_records_are_written_whole_or_not_at_all(spark, tmp_path):
     from eligo.sources import records
 
