@@ -212,3 +212,13 @@ def test_criteria_that_fit_their_types(spark):
 def test_criteria_errors(spark, bad):
     got = one(spark, criteria.parsed, bad)
     assert got["json"] is None and "line 1" in got["error"]
+
+
+def test_repeated_texts_are_read_once_within_a_bound(monkeypatch):
+    asked = []
+    read = lenient.Remembered(lambda t: asked.append(t) or (t, None))
+    assert [read(t) for t in ("a", "b", "a", None, None)] == [("a", None), ("b", None), ("a", None), (None, None), (None, None)]
+    assert asked == ["a", "b", None]
+    monkeypatch.setattr(lenient, "REMEMBERED_CHARS", 20)
+    for k in range(30):
+        assert read("x" * k) == ("x" * k, None) and read.chars <= 20
