@@ -33,10 +33,13 @@ def read_answers(rows: DataFrame, asker: Asker) -> DataFrame:
     """``rows`` (with response) with answer: the response as JSON text, null if it cannot be read.
 
     A response that none of the parsers reads is handed to the repair stage, and its answer goes through the same
-    parsers; only such rows are asked about. The rows are checkpointed, so that a chain of stages runs each once."""
+    parsers; only such rows are asked about, and where there are none nothing is joined. The rows are checkpointed, so
+    that a chain of stages runs each once."""
     read = lambda c: first_parse(text.code_blocks(F.col(c), "json"))["json"]
     rows = checkpointed(rows.withColumn("answer", read("response")))
     lost = F.col("answer").isNull() & F.col("response").isNotNull()
+    if rows.filter(lost).isEmpty():
+        return rows
     again = asker.ask(rows.filter(lost).withColumnRenamed("response", "broken"), "repair", F.col("broken"))
     again = again.withColumn("answer", read("response")).withColumn("response", F.col("broken"))
     return rows.filter(~lost).unionByName(again.select(*rows.columns))
@@ -202,7 +205,7 @@ def curated(rows: DataFrame, asker: Asker, instructions: Column | str | None = N
 def typed(rows: DataFrame, asker: Asker, instructions: str = "") -> DataFrame:
     """``rows`` (input_rule, exclude) with rule_text, code, node and errors: directed, filed under criterion types,
     curated as criterion code, cleaned and checked. Empty code and code that does not parse are errors; a row without
-    types is not curated."""
+    types is not curated. The rows are checkpointed, as a table and its errors are mostly both wanted."""
     asker = asker.prepared()
     out = rows.withColumn("rule_text", text.directed(F.col("input_rule"), F.coalesce("exclude", F.lit(False))))
     out = read_answers(asker.ask(out, "types", F.col("rule_text")), asker)
@@ -212,7 +215,7 @@ def typed(rows: DataFrame, asker: Asker, instructions: str = "") -> DataFrame:
     wrong = out.filter(F.size("errors") > 0)
     out = curated(out.filter(F.size("errors") == 0), asker, instructions)
     out = refused(out, "curate", F.when(F.coalesce("code", F.lit("")) == "", "empty code").otherwise(F.col("read.error")))
-    return out.withColumn("node", F.col("read.json")).drop("read", "response").unionByName(wrong, allowMissingColumns=True)
+    return checkpointed(out.withColumn("node", F.col("read.json")).drop("read", "response").unionByName(wrong, allowMissingColumns=True))
 
 
 def recurated(rows: DataFrame, asker: Asker, instructions: Column | str | None = None, code: str = "LlmCode") -> DataFrame:

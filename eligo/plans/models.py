@@ -174,10 +174,11 @@ def answered(rows: DataFrame, cache: DataFrame, model: str, system: Column, user
             misses = keyed.select("prompt_sha", F.col("system_").alias("system"), F.col("user_").alias("user")).join(fresh(), "prompt_sha", "left_anti")
             held.fill(misses.dropDuplicates(["prompt_sha"]), client, seconds=seconds)
         failed = held.read(spark).filter("response is null").groupBy("prompt_sha").agg(F.max_by("error", "at").alias("call_error"))
-        keyed, known = keyed.join(failed, "prompt_sha", "left"), fresh()
+        keyed, known = keyed.join(failed.hint("merge"), "prompt_sha", "left"), fresh()
     elif client is not None:
         raise ValueError("a client needs a folder for its answers")
-    out = keyed.drop("system_", "user_").join(known, "prompt_sha", "left")
+    # a workflow's cache has as many rows as its prompts, and a size guessed from files makes it look small: never broadcast
+    out = keyed.drop("system_", "user_").join(known.hint("merge"), "prompt_sha", "left")
     error = F.when(F.col("response").isNull(), F.col("call_error")) if store is not None else F.lit(None).cast("string")
     return out.withColumn("call_error", error)
 
@@ -227,7 +228,7 @@ class Asker:
         """The same with a cache that has each prompt once."""
         if self.unique:
             return self
-        # cache rows are few beside the prompts of a corpus, and unique ones stay as they are
+        # unique rows stay as they are
         once = self.cache.groupBy("prompt_sha").agg(F.max("response").alias("response"))
         return replace(self, cache=checkpointed(once), unique=True)
 

@@ -233,6 +233,23 @@ def test_grouped_rules(spark):
     assert [(x[0], x[3]) for x in got["I-02"]] == [("2. any of:\n - p\n - q", ["sanitise: no answer", "tag: no list of rules", "promote: no list of texts"])]
 
 
+def test_a_cache_is_merged_and_never_broadcast(spark):
+    asked = spark.range(40).select("id", F.concat(F.lit("u"), "id").alias("u"))
+    cache = asked.filter("id % 3 > 0").select(models.prompt_key("m", F.lit("s"), F.col("u")).alias("prompt_sha"), F.concat(F.lit("r"), "id").alias("response"))
+    got = models.Asker(cache).prepared().ask(asked, "s", F.col("u"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+    assert sorted((r["id"], r["response"]) for r in got.collect()) == [(i, f"r{i}" if i % 3 else None) for i in range(40)]
+
+
+def test_answers_that_are_all_read_ask_for_no_repair(spark):
+    data = [(1, "[1]"), (2, None), (3, "```json[2]```")]
+    cache = spark.createDataFrame([], "prompt_sha string, response string")
+    got = curation.read_answers(spark.createDataFrame(data, "k int, response string"), models.Asker(cache))
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["k"], r["answer"]) for r in got.collect()) == [(1, "[1]"), (2, None), (3, "[2]")]
+
+
 def test_writers_and_plain_readers(spark, tmp_path):
     (tmp_path / "p").mkdir()
     (tmp_path / "p/a.txt").write_text("Trial ID: T 1\nTrial Title:  Some title\ntext")
