@@ -182,10 +182,11 @@ def review_in_ranges(spark, sf_dir):
     rows = t(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("TrialId"), description.alias("Description"), (F.col("c_nationkey") % 2 == 0).alias("Checked"), F.when(F.col("c_custkey") % 4 != 0, F.expr("nullif(c_mktsegment, 'MACHINERY')")).alias("Notes"))
     at, name = fresh_dir(spark, "review"), "spark.sql.files.maxPartitionBytes"
     files.write_review(rows.coalesce(1), at)
-    before = spark.conf.get(name)
-    spark.conf.set(name, "16k")  # ranges are small only so that a small table has many
+    before, length = spark.conf.get(name), spark.read.format("binaryFile").load(at).agg(F.sum("length")).first()[0] or 0
+    # ranges are small only so that a small table has many: of 16 kB up to 1 MB, and then as many, up to Spark's own size
+    spark.conf.set(name, str(min(max(16 << 10, length // 64), 128 << 20)))
     try:
-        return checkpointed(files.read_review(spark, at, in_ranges=True)).select("TrialId", "Description", "Checked", "Notes")
+        return checkpointed(files.read_review(spark, at, in_ranges=True).select("TrialId", "Description", "Checked", "Notes"))
     finally:
         spark.conf.set(name, before)
 

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eligo.operators.catalogue import small
+from eligo.operators.catalogue import BROADCAST_ROWS
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -47,8 +47,15 @@ def _surveyed(lines: DataFrame) -> DataFrame:
 
 def records(spark: SparkSession, path: str) -> DataFrame:
     """file, number (from 0, in the file's order) and text of each record of the files at ``path``."""
+    return _first_file(spark, path)[0]
+
+
+def _first_file(spark: SparkSession, path: str) -> tuple[DataFrame, str | None]:
+    """(:func:`records`, the first file that has a line). One survey counts the ranges and finds the file."""
     lines, before = _lines(spark, path), Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = _surveyed(lines).withColumn("inside", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
+    surveyed = _surveyed(lines)
+    size = surveyed.agg(F.count("*").alias("ranges"), F.min("file").alias("file")).first()
+    ranges = surveyed.withColumn("inside", F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2)
     starts = F.when(F.col("inside") == 1, F.col("odd_starts")).otherwise(F.col("even_starts"))
     ranges = ranges.withColumn("first", F.coalesce(F.sum(starts).over(before), F.lit(0))).select("file", "block", "inside", "first")
 
@@ -58,6 +65,8 @@ def records(spark: SparkSession, path: str) -> DataFrame:
             numbers, places, whole = [], [], []
             for file, block, state, first, n in zip(*(batch.column(c).to_pylist() for c in ("file", "block", "inside", "first")), _quotes(batch)):
                 if at != (file, block):
+                    if first is None:
+                        raise ValueError(f"the range of {file} at {block} was not surveyed: ranges or files have changed")
                     at, inside, number, place = (file, block), state, first - 1, 0
                 number += not inside
                 whole.append(not inside and not n & 1)
@@ -68,29 +77,32 @@ def records(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("block"), pa.array(numbers, pa.int64()), pa.array(places, pa.int64()), pa.array(whole, pa.bool_()), batch.column("value")], names=["file", "block", "number", "place", "whole", "value"])
 
     # the join must keep the lines of a range together and in order, as a broadcast does; beyond its bound they are sorted
-    met = lines.withColumn("order_", F.monotonically_increasing_id()).join(small(ranges), ["file", "block"])
-    if not _is_broadcast(met):
+    few = size["ranges"] <= BROADCAST_ROWS
+    met = lines.withColumn("order_", F.monotonically_increasing_id()).join(F.broadcast(ranges) if few else ranges, ["file", "block"], "left")
+    if not few:
         met = met.repartition("file", "block").sortWithinPartitions("file", "block", "order_")
     numbered = met.select("value", "file", "block", "inside", "first").mapInArrow(run, "file string, block long, number long, place long, whole boolean, value string")
     alone = numbered.filter("whole").select("file", "number", F.col("value").alias("text"))
     parts = numbered.filter("not whole").groupBy("file", "number").agg(F.sort_array(F.collect_list(F.struct("block", "place", "value"))).alias("lines"))
-    return alone.unionByName(parts.select("file", "number", F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("text")))
+    return alone.unionByName(parts.select("file", "number", F.array_join(F.transform("lines", lambda x: x["value"]), "\n").alias("text"))), size["file"]
 
 
-def _is_broadcast(df: DataFrame) -> bool:
-    return "strategy=broadcast" in df._jdf.queryExecution().optimizedPlan().toString()
+def _header(lines: DataFrame, found: DataFrame, file: str) -> str:
+    """The first record of a file. Mostly it is the file's first line, and one task finds it."""
+    line = lines.filter((F.col("file") == file) & (F.col("block") == 0)).select("value").first()[0]
+    return line if line.count('"') % 2 == 0 else found.filter((F.col("file") == file) & (F.col("number") == 0)).first()["text"]
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = "\t", null: str = "NULL") -> DataFrame:
     """The files' rows as text columns, named by the first file's header; each file's first record is its header."""
-    found = records(spark, path)
-    heads = found.filter("number = 0").orderBy("file").limit(1).collect()
-    if not heads:
+    found, file = _first_file(spark, path)
+    if file is None:
         return spark.createDataFrame([], "value string").select()
     options = {"sep": sep, "quote": '"', "escape": '"', "nullValue": null, "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    width = heads[0]["text"].count(sep) + 1
+    head = _header(_lines(spark, path), found, file)
+    width = head.count(sep) + 1
     split = lambda names: ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
-    named = spark.createDataFrame([(heads[0]["text"].removesuffix("\r"),)], "text string").select(F.from_csv("text", split(f"c{k}" for k in range(width)), options).alias("h")).first()["h"]
+    named = spark.createDataFrame([(head.removesuffix("\r"),)], "text string").select(F.from_csv("text", split(f"c{k}" for k in range(width)), options).alias("h")).first()["h"]
     names = [n for n in named if n is not None]
     rows = found.filter("number > 0 and text <> ''").select(F.from_csv(F.regexp_replace("text", "\r$", ""), split(f"c{k}" for k in range(len(names))), options).alias("r"))
     return rows.select(*(F.col(f"r.c{k}").alias(n) for k, n in enumerate(names)))

@@ -636,3 +636,28 @@ def test_quoted_files_in_ranges_equal_the_plain_reader(spark, tmp_path):
         finally:
             spark.conf.set("spark.sql.files.maxPartitionBytes", before)
             spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_ranges_of_a_large_review_file_stay_few(spark, tmp_path, monkeypatch):
+    from eligo.queries import QUERIES
+    from eligo.sources import ranges
+
+    spark.range(60_000).selectExpr("id as c_custkey", "concat('Customer ', id) as c_name", "cast(id % 25 as int) as c_nationkey", "'BUILDING' as c_mktsegment").write.parquet(str(tmp_path / "customer.parquet"))
+    surveyed, seen = ranges._surveyed, []
+    monkeypatch.setattr(ranges, "_surveyed", lambda lines: seen.append(lines.rdd.getNumPartitions()) or surveyed(lines))
+    got = QUERIES["review_in_ranges"](spark, str(tmp_path))
+    assert len(seen) == 1 and 60 <= seen[0] <= 66
+    assert got.count() == 60_000 and got.filter("Description like '%\\n%'").count() == 20_000
+
+
+def test_a_header_of_many_lines_and_ranges_that_are_joined(spark, tmp_path, monkeypatch):
+    from eligo.sources import ranges
+
+    (tmp_path / "a.tsv").write_text("")
+    (tmp_path / "b.tsv").write_text('"k"\t"two\nlines"\n1\t"x\ny"\n2\tz\n')
+    (tmp_path / "c.tsv").write_text('"k"\t"two\nlines"\n3\t"\n"\n')
+    want = [("1", "x\ny"), ("2", "z"), ("3", "\n")]
+    for most in (0, 100_000):
+        monkeypatch.setattr(ranges, "BROADCAST_ROWS", most)
+        got = ranges.read_delimited(spark, str(tmp_path))
+        assert got.columns == ["k", "two\nlines"] and rows(got) == want
