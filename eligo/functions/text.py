@@ -82,8 +82,8 @@ def header_value(text: Column, label: str) -> Column:
 
 
 def many_lines(text: Column) -> Column:
-    """Whether more than one line is not blank."""
-    return F.size(F.filter(lines(text), lambda x: strip(x) != "")) > 1
+    """Whether more than one line is not blank. A text without a line end is not cut."""
+    return F.when(~text.rlike(LINE_END), False).otherwise(F.size(F.filter(lines(text), lambda x: strip(x) != "")) > 1)
 
 
 def unescaped(text: Column) -> Column:

@@ -67,24 +67,25 @@ def prepared(rows: DataFrame, keys: list[str], asker: Asker, body: str = "text")
     asker = asker.prepared()
     clean = asker.ask(rows.select(*keys, F.col(body).alias("raw")), "sanitise", F.col("raw"))
     clean = clean.select(*keys, text.strip(F.regexp_replace(F.coalesce("response", "raw"), r"(?m)^```\w*[ \t]*$", "")).alias("clean"), F.when(F.col("response").isNull(), "no answer").alias("e0"))
-    tagged = read_answers(asker.ask(clean, "tag", F.col("clean")), asker)
+    rules = F.coalesce(F.from_json("answer", RULES), F.array().cast(RULES))
+    tagged = read_answers(asker.ask(clean, "tag", F.col("clean")), asker).withColumn("listed", rules)
     whole = F.array(F.struct(F.col("clean").alias("input_rule"), F.lit(False).alias("exclude"), F.lit(False).alias("flipped"), F.lit(None).cast(NO_TEXTS).alias("cohorts")))
-    listed = F.coalesce(F.from_json("answer", RULES), F.array().cast(RULES))
+    listed = F.col("listed")
     tagged = refused(refused(tagged, "sanitise", F.col("e0")), "tag", F.when(F.size(listed) == 0, "no list of rules"))
     tagged = tagged.select(*keys, "errors", F.posexplode(F.when(F.size(listed) > 0, listed).otherwise(whole)).alias("at", "rule"))
     tagged = tagged.select(*keys, "errors", F.array("at").alias("place"), "rule.input_rule", F.coalesce("rule.exclude", F.lit(False)).alias("exclude"), F.col("rule.cohorts").alias("cohorts"))
+    # written, as three stages read the rules
+    tagged = checkpointed(tagged.withColumn("many", F.coalesce(text.many_lines(F.col("input_rule")), F.lit(False))))
 
-    many = text.many_lines(F.col("input_rule"))
-    promoted = read_answers(asker.ask(tagged.filter(many), "promote", F.col("input_rule")), asker)
+    promoted = read_answers(asker.ask(tagged.filter("many"), "promote", F.col("input_rule")), asker)
     points = F.when(F.col("answer").startswith("["), F.from_json("answer", NO_TEXTS))
     fine = (F.size(points) > 0) & ~F.exists(points, lambda p: p.isNull())
     promoted = refused(promoted, "promote", F.when(~F.coalesce(fine, F.lit(False)), "no list of texts"))
     promoted = promoted.select(*keys, "errors", "place", "exclude", "cohorts", F.posexplode(F.when(fine, points).otherwise(F.array("input_rule"))).alias("at", "input_rule"))
     promoted = promoted.select(*keys, "errors", F.concat("place", F.array("at")).alias("place"), "input_rule", "exclude", "cohorts")
-    points_or_rules = tagged.filter(~F.coalesce(many, F.lit(False))).unionByName(promoted)
+    points_or_rules = tagged.filter("not many").drop("many").unionByName(promoted)
 
-    turned = read_answers(asker.ask(points_or_rules.filter("exclude"), "flip", F.col("input_rule")), asker)
-    listed = F.coalesce(F.from_json("answer", RULES), F.array().cast(RULES))
+    turned = read_answers(asker.ask(points_or_rules.filter("exclude"), "flip", F.col("input_rule")), asker).withColumn("listed", rules)
     kept = F.array(F.struct(F.col("input_rule"), F.lit(True).alias("exclude"), F.lit(False).alias("flipped"), F.col("cohorts")))
     turned = refused(turned, "flip", F.when(F.size(listed) == 0, "no list of rules"))
     own = F.transform(listed, lambda r: nesting.rebuilt(r["input_rule"], F.coalesce(r["exclude"], F.lit(True)), F.coalesce(r["flipped"], F.lit(False)), F.coalesce(r["cohorts"], F.col("cohorts"))))
@@ -97,10 +98,10 @@ def prepared(rows: DataFrame, keys: list[str], asker: Asker, body: str = "text")
 
 def grouped_rules(docs: DataFrame, asker: Asker, key: str = "doc_id") -> DataFrame:
     """Protocol texts by statement: key, statement_id, section, statement and ``curations``, its atomic rules in order."""
-    parents = text.parent_statements(docs, key).select(key, "seq", "statement_id", "section", "statement")
+    parents = checkpointed(text.parent_statements(docs, key).select(key, "seq", "statement_id", "section", "statement"))
     rows = prepared(parents, [key, "seq"], asker, "statement")
     lists = rows.groupBy(key, "seq").agg(F.sort_array(F.collect_list(F.struct("rule_seq", "input_rule", "exclude", "flipped", "cohorts", "errors"))).alias("curations"))
-    return parents.join(lists, [key, "seq"], "left")
+    return parents.join(lists.hint("merge"), [key, "seq"], "left")  # as many lists as statements: never broadcast
 
 
 def categorised(rows: DataFrame, asker: Asker) -> DataFrame:

@@ -208,7 +208,8 @@ def typed_records(spark, sf_dir):
 @query("""SELECT c_custkey, 'I-0' || k AS statement_id, 'INCLUSION' AS section, CASE k WHEN 1 THEN 'age over ' || c_nationkey ELSE 'weight ' || c_custkey || ' a|weight ' || c_custkey || ' b' END AS rules FROM customer, (SELECT unnest([1, 2]) AS k)""")
 def grouped_rules(spark, sf_dir):
     """Protocol texts cut into statements, each with its atomic rules in order."""
-    rows = t(spark, sf_dir, "customer").select("c_custkey", F.format_string("Inclusion Criteria:\n1. age over %d\n2. weight %d\n", "c_nationkey", "c_custkey").alias("text"))
+    # a small file has few splits, and its texts are many times as large
+    rows = t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").repartition(spark.sparkContext.defaultParallelism, "c_custkey").select("c_custkey", F.format_string("Inclusion Criteria:\n1. age over %d\n2. weight %d\n", "c_nationkey", "c_custkey").alias("text"))
     lines = rows.join(t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), "c_custkey").select(F.explode(F.array(F.struct(F.format_string("1. age over %d", "c_nationkey").alias("s"), F.lit(1).alias("k")), F.struct(F.format_string("2. weight %d", "c_custkey").alias("s"), F.lit(2).alias("k")))).alias("x")).select("x.*").distinct()
     said = F.substring("s", 4, 99)
     tagged = F.when(F.col("k") == 1, F.format_string('[{"input_rule": "%s", "exclude": false}]', said)).otherwise(F.format_string('[{"input_rule": "%s a", "exclude": false}, {"input_rule": "%s b", "exclude": false}]', said, said))

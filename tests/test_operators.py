@@ -661,3 +661,23 @@ def test_a_header_of_many_lines_and_ranges_that_are_joined(spark, tmp_path, monk
         monkeypatch.setattr(ranges, "BROADCAST_ROWS", most)
         got = ranges.read_delimited(spark, str(tmp_path))
         assert got.columns == ["k", "two\nlines"] and rows(got) == want
+
+
+def test_statements_and_rules_are_made_once(spark, tmp_path):
+    docs = [(k, f"Inclusion criteria\n1. weight {k}\n2. age\n") for k in range(30)]
+    spark.createDataFrame(docs, "doc_id int, text string").write.parquet(str(tmp_path / "docs"))
+    told = [("sanitise", "2. age", "age"), ("tag", "age", '[{"input_rule": "age", "exclude": false}]')]
+    cache = spark.createDataFrame(told, "s string, u string, response string")
+    cache = cache.select(models.prompt_key("m", F.col("s"), F.col("u")).alias("prompt_sha"), "response")
+    out = curation.grouped_rules(spark.read.parquet(str(tmp_path / "docs")), models.Asker(cache))
+    plans = out._jdf.queryExecution()
+    assert "Relation" not in plans.optimizedPlan().toString()
+    assert "BroadcastExchange" not in plans.executedPlan().toString()
+    got = {(r["doc_id"], r["statement_id"]): [(c["input_rule"], len(c["errors"])) for c in r["curations"]] for r in out.collect()}
+    assert got == {(k, i): x for k in range(30) for i, x in (("I-01", [(f"1. weight {k}", 2)]), ("I-02", [("age", 0)]))}
+
+
+def test_texts_of_many_lines(spark):
+    data = [("a",), ("",), (None,), ("a\n",), ("a\n \n",), ("a\nb",), ("a b",), ("\r\na\r\n\r\nb",), (" \n\t",)]
+    got = spark.createDataFrame(data, "v string").select(text.many_lines(F.col("v"))).collect()
+    assert [bool(r[0]) for r in got] == [False, False, False, False, False, True, True, True, False]
