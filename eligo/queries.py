@@ -5,7 +5,9 @@ expression on both sides, so that each query's work grows with its tables."""
 
 from __future__ import annotations
 
+import json
 from functools import reduce
+from http.server import BaseHTTPRequestHandler
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -884,36 +886,43 @@ def recurate(spark, sf_dir):
     return out.select("p_partkey", F.col("LlmCode").alias("code"), F.regexp_extract("Proposed", r"age=(\d+)", 1).try_cast("int").alias("age"), error.alias("error"))
 
 
-def registry(spark: SparkSession) -> str:
-    """A small server of records on the driver, for queries that fetch: its URL. Ids divisible by 5 are unknown, every
-    seventh is busy at first, and every eleventh answers with something else than JSON."""
-    import json
-    import threading
-    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+class Registry(BaseHTTPRequestHandler):
+    """Answers for records, in place of a registry on the network. Ids divisible by 5 are unknown, every seventh is busy
+    at first, and every eleventh answers with something else than JSON."""
+
+    protocol_version = "HTTP/1.1"
+    busy: set[str] = set()
+
+    def do_GET(self):
+        name = self.path.rpartition("/")[2]
+        n = int(name[1:])
+        status = 404 if n % 5 == 0 else 503 if n % 7 == 0 and name not in self.busy else 200
+        if n % 7 == 0 and n % 5:
+            # the next request for it is answered; then nothing is left to remember
+            self.busy.symmetric_difference_update({name})
+        text_ = f"Inclusion Criteria:\n1. record {n}"
+        body = b"<html>" if n % 11 == 0 else json.dumps({"protocolSection": {"eligibilityModule": {"eligibilityCriteria": text_}}}).encode()
+        self.send_response(status)
+        self.send_header("Content-Length", str(len(body)))
+        self.send_header("Connection", "close")
+        self.end_headers()
+        self.wfile.write(body)
 
-    seen: dict[str, int] = {}
+    def log_message(self, *_):
+        pass
 
-    class Records(BaseHTTPRequestHandler):
-        protocol_version = "HTTP/1.1"
 
-        def do_GET(self):
-            name = self.path.rpartition("/")[2]
-            n, seen[name] = int(name[1:]), seen.get(name, 0) + 1
-            status = 404 if n % 5 == 0 else 503 if n % 7 == 0 and seen[name] == 1 else 200
-            text_ = f"Inclusion Criteria:\n1. record {n}"
-            body = b"<html>" if n % 11 == 0 else json.dumps({"protocolSection": {"eligibilityModule": {"eligibilityCriteria": text_}}}).encode()
-            self.send_response(status)
-            self.send_header("Content-Length", str(len(body)))
-            self.send_header("Connection", "close")
-            self.end_headers()
-            self.wfile.write(body)
+REGISTRY = {"url": "http://registry/studies/{id}", "handler": "eligo.queries:Registry", "wait": 0.01, "at_once": 8}
 
-        def log_message(self, *_):
-            pass
+
+def registry(spark: SparkSession) -> str:
+    """A small server of records on the driver, for queries that fetch: its URL."""
+    import threading
+    from http.server import ThreadingHTTPServer
 
     host = spark.conf.get("spark.driver.host", "127.0.0.1")
     ThreadingHTTPServer.request_queue_size = 256
-    server = ThreadingHTTPServer((host, 0), Records)
+    server = ThreadingHTTPServer((host, 0), Registry)
     threading.Thread(target=server.serve_forever, daemon=True).start()
     return f"http://{host}:{server.server_address[1]}/studies/{{id}}"
 
@@ -923,10 +932,11 @@ SELECT 'T' || n AS id, CASE WHEN n % 5 = 0 THEN 404 ELSE 200 END AS status, CASE
 CASE WHEN n % 5 <> 0 AND n % 11 <> 0 THEN 'Inclusion Criteria:' || chr(10) || '1. record ' || n END AS criteria,
 CASE WHEN n % 5 = 0 THEN 'status 404' WHEN n % 11 = 0 THEN 'the answer is no JSON' END AS error FROM n""")
 def fetched_records(spark, sf_dir):
-    """Registry records over HTTP, a request per id; busy servers are asked again, other answers are error rows."""
+    """Registry records over HTTP, a request per id; busy servers are asked again, other answers are error rows. The
+    tasks' own handler answers, since there is no network."""
     ids = t(spark, sf_dir, "customer").select(F.concat(F.lit("T"), "c_custkey").alias("id"))
     # fetched once and written: a plan that is read twice must not ask twice
-    got = checkpointed(records.fetched(ids, registry(spark), wait=0.01))
+    got = checkpointed(records.fetched(ids, **REGISTRY))
     body = F.when(F.col("body").isNotNull(), files.criteria_field(F.col("body")))
     return got.select("id", "status", "attempts", body.alias("criteria"), "error")
 

@@ -1,18 +1,24 @@
 """Registry records over HTTP, as a Spark data source: a reader over a table of ids, and a writer with commit and abort.
 
 Reading: the ids are a Parquet table, a partition per file of it. Each id is one request; a busy or failing server is
-asked again a few times. What is not answered with 200 is a row with its status and an error, never the end of the job.
+asked again a few times, and while one id waits, a task asks for others. What is not answered with 200 is a row with its
+status and an error, never the end of the job. Without a network, a handler of http.server may answer inside the tasks.
 Writing: each task writes its records, one to a line, to a hidden file of its own; only the job's commit gives these files
 their names, and an abort removes them, so a lost task or a failed job leaves nothing that readers see."""
 
 from __future__ import annotations
 
+import http.client
+import io
 import json
+import pkgutil
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
 import uuid
+from collections import deque
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -26,12 +32,46 @@ SCHEMA = "id string, status int, attempts int, body string, error string"
 BUSY = (408, 429, 500, 502, 503, 504)
 
 
-def fetch(url: str, attempts: int = 3, seconds: float = 30.0, wait: float = 0.5) -> tuple[int | None, int, str | None, str | None]:
+class Exchange:
+    """What http.client and http.server use of a socket, for one request that ``handler`` answers in this process."""
+
+    def __init__(self, handler=None, received: bytes = b""):
+        self.handler, self.received, self.sent = handler, received, bytearray()
+
+    def sendall(self, data) -> None:
+        self.sent += data
+
+    def makefile(self, *_) -> io.BytesIO:
+        if self.handler:
+            far = Exchange(received=bytes(self.sent))
+            self.handler(far, ("", 0), None)
+            self.received = bytes(far.sent)
+        return io.BytesIO(self.received)
+
+    def close(self) -> None:
+        pass
+
+
+def opener(handler):
+    """``urlopen`` with requests answered by a handler class of http.server: HTTP on both sides, but no connection."""
+
+    class Connection(http.client.HTTPConnection):
+        def connect(self):
+            self.sock = Exchange(handler)
+
+    class Answered(urllib.request.HTTPHandler):
+        def http_open(self, request):
+            return self.do_open(Connection, request)
+
+    return urllib.request.build_opener(urllib.request.ProxyHandler({}), Answered).open
+
+
+def fetch(url: str, attempts: int = 3, seconds: float = 30.0, wait: float = 0.5, ask=urllib.request.urlopen) -> tuple[int | None, int, str | None, str | None]:
     """(status, attempts made, body, error) of a GET request. Waits double from one attempt to the next."""
     status, error = None, None
     for k in range(1, attempts + 1):
         try:
-            with urllib.request.urlopen(url, timeout=seconds) as answer:
+            with ask(url, timeout=seconds) as answer:
                 status, body = answer.status, answer.read().decode("utf-8")
             if status == 200:
                 json.loads(body)
@@ -72,13 +112,23 @@ class RecordReader(DataSourceReader):
 
         files, _ = file_system(self.options["ids"])
         attempts, seconds, wait = int(self.options.get("attempts", 3)), float(self.options.get("seconds", 30)), float(self.options.get("wait", 0.5))
-        with files.open_input_file(partition.path) as f:
+        handler, at_once = self.options.get("handler"), int(self.options.get("at_once", 4))
+        ask = opener(pkgutil.resolve_name(handler)) if handler else urllib.request.urlopen
+
+        def record(id_: str | None) -> tuple:
+            if id_ is None:
+                return None, None, 0, None, "no id"
+            return id_, *fetch(self.options["url"].replace("{id}", urllib.parse.quote(id_, safe="")), attempts, seconds, wait, ask)
+
+        with files.open_input_file(partition.path) as f, ThreadPoolExecutor(at_once) as pool:
+            asked: deque = deque()
             for batch in pq.ParquetFile(f).iter_batches(batch_size=1_000, columns=["id"]):
                 for id_ in batch.column(0).to_pylist():
-                    if id_ is None:
-                        yield None, None, 0, None, "no id"
-                    else:
-                        yield id_, *fetch(self.options["url"].replace("{id}", urllib.parse.quote(id_, safe="")), attempts, seconds, wait)
+                    asked.append(pool.submit(record, id_))
+                    if len(asked) == 8 * at_once:
+                        yield asked.popleft().result()
+            while asked:
+                yield asked.popleft().result()
 
 
 @dataclass
@@ -130,8 +180,9 @@ class RecordWriter(DataSourceWriter):
 
 
 class RecordSource(DataSource):
-    """Options: ``ids`` (a Parquet table with an ``id`` column), ``url`` (with {id}), ``attempts``, ``seconds``, ``wait``;
-    for writing ``path``."""
+    """Options: ``ids`` (a Parquet table with an ``id`` column), ``url`` (with {id}), ``attempts``, ``seconds``, ``wait``,
+    ``at_once`` (requests of a task that are under way together), ``handler`` ("module:class" of a handler of http.server
+    that answers in the tasks, in place of the network); for writing ``path``."""
 
     @classmethod
     def name(cls) -> str:
@@ -147,12 +198,13 @@ class RecordSource(DataSource):
         return RecordWriter(dict(self.options), overwrite)
 
 
-def fetched(ids: DataFrame, url: str, tasks: int = 4, **options) -> DataFrame:
-    """id, status, attempts, body, error: the record of each distinct id (a column ``id``), asked for by ``tasks`` tasks."""
+def fetched(ids: DataFrame, url: str, tasks: int = 4, most: int = 20_000, **options) -> DataFrame:
+    """id, status, attempts, body, error: the record of each distinct id (a column ``id``), asked for by ``tasks`` tasks, or
+    by more if a task had more than ``most`` ids."""
     spark = ids.sparkSession
     spark.dataSource.register(RecordSource)
     at = fresh_dir(spark, "ids")
-    ids.select(ids["id"].cast("string").alias("id")).distinct().repartition(tasks).write.parquet(at)
+    ids.select(ids["id"].cast("string").alias("id")).distinct().repartition(tasks).write.option("maxRecordsPerFile", most).parquet(at)
     return spark.read.format(FORMAT).options(ids=at, url=url, **{k: str(v) for k, v in options.items()}).load()
 
 

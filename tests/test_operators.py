@@ -501,6 +501,61 @@ def test_fetch_gives_errors_as_values(spark):
     assert got == [("", None, 0, None), ("a", None, 1, None)]
 
 
+def test_requests_are_answered_in_the_process(monkeypatch):
+    import socket
+
+    from eligo.queries import Registry
+    from eligo.sources import records
+
+    monkeypatch.setattr(socket, "socket", None)
+    ask = records.opener(Registry)
+    for _ in range(2):  # nothing is remembered: a task that is run again gets the same answers
+        got = [records.fetch(f"http://registry/studies/T{n}", wait=0.0, ask=ask) for n in (1, 5, 7, 11, 35, 77)]
+        assert [(g[0], g[1], g[3]) for g in got] == [
+            (200, 1, None), (404, 1, "status 404"), (200, 2, None), (200, 1, "the answer is no JSON"), (404, 1, "status 404"), (200, 2, "the answer is no JSON")]
+        assert "1. record 7" in got[2][2] and not Registry.busy
+    assert records.fetch("http://registry/studies/T7", attempts=1, ask=ask) == (503, 1, None, "status 503")
+    Registry.busy.clear()
+
+
+def test_many_ids_are_many_tasks_and_each_is_asked_once(spark):
+    from eligo.sources import records
+
+    ids = spark.range(1, 1001).selectExpr("concat('T', id % 500) as id").unionAll(spark.createDataFrame([(None,)], "id string"))
+    got = records.fetched(ids, "http://registry/studies/{id}", most=20, handler="eligo.queries:Registry", wait=0.01)
+    assert got.rdd.getNumPartitions() >= 25
+    found = {r["id"]: (r["status"], r["attempts"]) for r in got.collect()}
+    want = {f"T{n}": (404 if n % 5 == 0 else 200, 2 if n % 5 and n % 7 == 0 else 1) for n in range(500)}
+    assert found == {**want, None: (None, 0)} and got.count() == 501
+    assert records.fetched(ids.limit(0), "http://registry/{id}", handler="eligo.queries:Registry").count() == 0
+
+
+def test_a_task_asks_for_others_while_an_id_waits(tmp_path):
+    import time
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from eligo.sources import records
+
+    pq.write_table(pa.table({"id": [f"T{7 * n}" for n in range(1, 33) if n % 5]}), tmp_path / "a.parquet")
+    reader = records.RecordReader({"ids": str(tmp_path), "url": "http://registry/{id}", "handler": "eligo.queries:Registry", "wait": "0.2", "at_once": "8"})
+    start = time.monotonic()
+    got = [r for p in reader.partitions() for r in reader.read(p)]
+    assert [r[2] for r in got] == [2] * 26 and time.monotonic() - start < 0.2 * 26 / 2
+
+
+def test_fetched_records_pass_no_server_on_the_driver(spark, tmp_path, monkeypatch):
+    import http.server
+
+    from eligo.queries import QUERIES
+
+    monkeypatch.setattr(http.server, "ThreadingHTTPServer", None)
+    spark.range(40).toDF("c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    got = QUERIES["fetched_records"](spark, str(tmp_path))
+    assert sorted(r["id"] for r in got.filter("attempts = 2").collect()) == ["T14", "T21", "T28", "T7"] and got.count() == 40
+
+
 def greedy(pairs):
     out, left, right = [], set(), set()
     for k, i, j, s in sorted(pairs, key=lambda p: (p[0], -p[3], p[1], p[2])):
