@@ -915,18 +915,6 @@ class Registry(BaseHTTPRequestHandler):
 REGISTRY = {"url": "http://registry/studies/{id}", "handler": "eligo.queries:Registry", "wait": 0.01, "at_once": 8}
 
 
-def registry(spark: SparkSession) -> str:
-    """A small server of records on the driver, for queries that fetch: its URL."""
-    import threading
-    from http.server import ThreadingHTTPServer
-
-    host = spark.conf.get("spark.driver.host", "127.0.0.1")
-    ThreadingHTTPServer.request_queue_size = 256
-    server = ThreadingHTTPServer((host, 0), Registry)
-    threading.Thread(target=server.serve_forever, daemon=True).start()
-    return f"http://{host}:{server.server_address[1]}/studies/{{id}}"
-
-
 @query("""WITH n AS (SELECT c_custkey AS n FROM customer)
 SELECT 'T' || n AS id, CASE WHEN n % 5 = 0 THEN 404 ELSE 200 END AS status, CASE WHEN n % 5 <> 0 AND n % 7 = 0 THEN 2 ELSE 1 END AS attempts,
 CASE WHEN n % 5 <> 0 AND n % 11 <> 0 THEN 'Inclusion Criteria:' || chr(10) || '1. record ' || n END AS criteria,
@@ -945,7 +933,7 @@ def fetched_records(spark, sf_dir):
 def saved_records(spark, sf_dir):
     """Fetched records saved as lines of JSON and read back."""
     ids, at = t(spark, sf_dir, "customer").select(F.concat(F.lit("T"), "c_custkey").alias("id")), fresh_dir(spark, "records")
-    records.save(records.fetched(ids, registry(spark), wait=0.01), at)
+    records.save(records.fetched(ids, **REGISTRY), at)
     return spark.read.text(at).select(files.criteria_field(F.col("value")).alias("criteria"))
 
 

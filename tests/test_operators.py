@@ -556,6 +556,17 @@ def test_fetched_records_pass_no_server_on_the_driver(spark, tmp_path, monkeypat
     assert sorted(r["id"] for r in got.filter("attempts = 2").collect()) == ["T14", "T21", "T28", "T7"] and got.count() == 40
 
 
+def test_saved_records_pass_no_server_on_the_driver(spark, tmp_path, monkeypatch):
+    import http.server
+
+    from eligo.queries import QUERIES
+
+    monkeypatch.setattr(http.server, "ThreadingHTTPServer", None)
+    spark.range(40).toDF("c_custkey").write.parquet(str(tmp_path / "customer.parquet"))
+    got = sorted(int(r["criteria"].split()[-1]) for r in QUERIES["saved_records"](spark, str(tmp_path)).collect())
+    assert got == [n for n in range(40) if n % 5 and n % 11]
+
+
 def greedy(pairs):
     out, left, right = [], set(), set()
     for k, i, j, s in sorted(pairs, key=lambda p: (p[0], -p[3], p[1], p[2])):
